@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from greenledger.functions.numeric import round_half_up
 from greenledger.functions.pcaf import attribution_factor, issuer_emissions, pcaf_score
 from greenledger.operators.positions import POSITION_COLUMNS, holding_positions, loan_positions
 
@@ -89,8 +90,8 @@ def attribute(positions: DataFrame, as_of: str) -> DataFrame:
     )
     return scored.withColumns(
         {
-            "financed_emissions_tco2e": F.round("financed_emissions_tco2e", 6),
-            "attribution_factor": F.round("attribution_factor", 10),
+            "financed_emissions_tco2e": round_half_up("financed_emissions_tco2e", 6),
+            "attribution_factor": round_half_up("attribution_factor", 10),
         }
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from greenledger.functions.numeric import as_double, exact_sum, round_half_up, round_sum, sum_double
 from greenledger.functions.pcaf import BUSINESS_LOAN, CORPORATE_BOND, LISTED_EQUITY
 
 # Report notes and SFDR indicator labels.
@@ -18,16 +19,16 @@ PAI3 = "PAI3_ghg_intensity_tco2e_per_m_eur"
 def financed_report(fe: DataFrame, asset_class: str, value_name: str) -> DataFrame:
     """R01-R03: one asset class at portfolio x issuer grain, in one aggregate.
 
-    ``issuer_name`` is functionally dependent on the issuer, so it is taken
-    with ``any_value`` instead of widening the grouping key.
+    The quality columns (average score, emissions flag) are conditional
+    aggregates of the same pass, not a second aggregate joined back.
     """
     rows = fe.where(F.col("asset_class") == F.lit(asset_class))
     fe_col = F.col("financed_emissions_tco2e")
     agg = rows.groupBy("as_of_date", "portfolio_id", "issuer_id", "issuer_name").agg(
-        F.round(F.sum("exposure_eur"), 2).alias(value_name),
-        F.round(F.sum(fe_col), 6).alias("financed_emissions_tco2e"),
-        F.round(F.max("attribution_factor"), 10).alias("attribution_factor"),
-        F.round(F.avg("pcaf_score"), 4).alias("pcaf_score"),
+        round_sum("exposure_eur", 2).alias(value_name),
+        round_sum(fe_col, 6).alias("financed_emissions_tco2e"),
+        round_half_up(F.max("attribution_factor"), 10).alias("attribution_factor"),
+        round_half_up(F.avg("pcaf_score"), 4).alias("pcaf_score"),
         F.max(F.when(fe_col.isNotNull(), F.lit(1)).otherwise(F.lit(0))).alias("has_emissions_flag"),
     )
     return agg
@@ -69,13 +70,13 @@ def r06_pai(fe: DataFrame, ci: DataFrame, portfolios: DataFrame, as_of: str) ->
     entity's portfolios.
     """
     per_entity = fe.groupBy("legal_entity").agg(
-        F.round(F.sum("financed_emissions_tco2e"), 6).alias("pai1"),
-        F.round(F.sum("exposure_eur"), 2).alias("aum_eur"),
+        round_sum("financed_emissions_tco2e", 6).alias("pai1"),
+        round_sum("exposure_eur", 2).alias("aum_eur"),
     )
     pai12 = per_entity.select(
         "legal_entity",
         F.col("pai1"),
-        F.round(F.try_divide(F.col("pai1"), F.col("aum_eur") / 1_000_000.0), 6).alias("pai2"),
+        round_half_up(F.try_divide(F.col("pai1"), F.col("aum_eur") / 1_000_000.0), 6).alias("pai2"),
     ).unpivot("legal_entity", ["pai1", "pai2"], "pai_indicator", "pai_value")
     pai12 = pai12.withColumn(
         "pai_indicator", F.when(F.col("pai_indicator") == "pai1", F.lit(PAI1)).otherwise(F.lit(PAI2))
@@ -85,8 +86,8 @@ def r06_pai(fe: DataFrame, ci: DataFrame, portfolios: DataFrame, as_of: str) ->
         ci.join(entity, "portfolio_id", "left")
         .groupBy("legal_entity")
         .agg(
-            F.round(
-                F.try_divide(F.sum(F.col("waci_tco2e_per_m_eur") * F.col("aum_eur")), F.sum("aum_eur")), 6
+            round_half_up(
+                F.try_divide(sum_double(F.col("waci_tco2e_per_m_eur") * F.col("aum_eur")), sum_double("aum_eur")), 6
             ).alias("pai_value")
         )
         .select("legal_entity", F.lit(PAI3).alias("pai_indicator"), "pai_value")
@@ -99,20 +100,22 @@ def r07_fossil(fe: DataFrame) -> DataFrame:
     x = F.col("exposure_eur")
     flag = F.col("fossil_fuel_flag")
     agg = fe.groupBy("as_of_date", "portfolio_id").agg(
-        F.round(F.sum(x), 2).alias("aum_eur"),
-        F.round(F.sum(F.when(flag == 1, x).otherwise(F.lit(0.0))), 2).alias("fossil_fuel_market_value_eur"),
-        F.sum(F.when(flag.isNotNull(), x).otherwise(F.lit(0.0))).alias("flagged_exposure_eur"),
+        round_sum(x, 2).alias("aum_eur"),
+        round_sum(F.when(flag == 1, x).otherwise(F.lit(0.0)), 2).alias("fossil_fuel_market_value_eur"),
+        sum_double(F.when(flag.isNotNull(), x).otherwise(F.lit(0.0))).alias("flagged_exposure_eur"),
     )
     return agg.select(
         "as_of_date",
         "portfolio_id",
         "aum_eur",
         "fossil_fuel_market_value_eur",
-        F.round(F.try_divide(100.0 * F.col("fossil_fuel_market_value_eur"), F.col("aum_eur")), 6).alias(
+        round_half_up(F.try_divide(100.0 * F.col("fossil_fuel_market_value_eur"), F.col("aum_eur")), 6).alias(
             "fossil_fuel_exposure_pct"
         ),
         "flagged_exposure_eur",
-        F.round(F.try_divide(100.0 * F.col("flagged_exposure_eur"), F.col("aum_eur")), 4).alias("flag_coverage_pct"),
+        round_half_up(F.try_divide(100.0 * F.col("flagged_exposure_eur"), F.col("aum_eur")), 4).alias(
+            "flag_coverage_pct"
+        ),
     )
 
 
@@ -136,14 +139,14 @@ def r09_coverage(coverage: DataFrame, as_of: str) -> DataFrame:
     """
     per_cause = coverage.groupBy("gap_cause").agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.round(F.sum("exposure_eur"), 2).alias("market_value_eur"),
-        F.sum("exposure_eur").alias("_cause_total"),
+        round_sum("exposure_eur", 2).alias("market_value_eur"),
+        exact_sum("exposure_eur").alias("_cause_total"),
     )
-    total = F.sum("_cause_total").over(Window.partitionBy(F.lit(1)))
+    total = as_double(F.sum("_cause_total").over(Window.partitionBy(F.lit(1))))
     return per_cause.select(
         "gap_cause",
         "row_count",
         "market_value_eur",
-        F.round(F.try_divide(100.0 * F.col("market_value_eur"), total), 6).alias("share_of_aum_pct"),
+        round_half_up(F.try_divide(100.0 * F.col("market_value_eur"), total), 6).alias("share_of_aum_pct"),
         F.lit(as_of).cast("date").alias("as_of_date"),
     )
