@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from greenledger.functions.numeric import round_half_up
 from greenledger.functions.pcaf import attribution_factor, issuer_emissions, pcaf_score
-from greenledger.operators.positions import POSITION_COLUMNS, holding_positions, loan_positions
+from greenledger.operators.positions import POSITION_COLUMNS, holding_positions, loan_positions, with_legal_entity
 
 ISSUER_ATTRS = (
     "fiscal_year",
@@ -101,7 +101,7 @@ def financed_emissions(
     instruments: DataFrame,
     loans: DataFrame,
     fx: DataFrame,
-    portfolios: DataFrame,
+    portfolios: DataFrame | None,
     financials: DataFrame,
     entity_map: DataFrame,
     vendor: DataFrame,
@@ -113,18 +113,26 @@ def financed_emissions(
 
     Plan shape: the issuer profile is built at issuer grain and pushed onto
     the instrument master, so holdings join once (on instrument_id) and loans
-    join once (on issuer_id). With ``taxonomy`` the taxonomy shares ride along
-    (columns ``taxonomy_*``), which lets the taxonomy mart aggregate without
-    another pass over the positions.
+    join once (on issuer_id); FX is a bounded broadcast. With ``portfolios``
+    the legal entity is attached (the published table); without it the fact
+    stays at portfolio level, which is all the marts and reports need. With
+    ``taxonomy`` the taxonomy shares ride along (columns ``taxonomy_*``), so
+    the taxonomy mart aggregates without another pass over the positions.
     """
     fiscal_year = int(as_of[:4])
     profile = issuer_profile(financials, entity_map, vendor, taxonomy, fiscal_year)
-    extra = ISSUER_ATTRS + (TAXONOMY_ATTRS if taxonomy is not None else ())
+    tax_cols = TAXONOMY_ATTRS if taxonomy is not None else ()
+    extra = ISSUER_ATTRS + tax_cols
     instrument_attrs = instruments.select("instrument_id", "issuer_id", "instrument_type").join(
         profile, "issuer_id", "left"
     )
-    positions = holding_positions(holdings, instrument_attrs, fx, portfolios, as_of, extra).unionByName(
-        loan_positions(loans, fx, portfolios, as_of, loan_portfolio, profile, extra)
+    positions = holding_positions(holdings, instrument_attrs, fx, None, as_of, extra).unionByName(
+        loan_positions(loans, fx, None, as_of, loan_portfolio, profile, extra)
     )
     out = attribute(positions, as_of)
-    return out.select(*FINANCED_EMISSIONS_COLUMNS, *(TAXONOMY_ATTRS if taxonomy is not None else ()))
+    columns = FINANCED_EMISSIONS_COLUMNS
+    if portfolios is not None:
+        out = with_legal_entity(out, portfolios)
+    else:
+        columns = tuple(c for c in columns if c != "legal_entity")
+    return out.select(*columns, *tax_cols)

@@ -23,23 +23,36 @@ POSITION_COLUMNS = (
     "native_currency",
     "fx_missing_flag",
 )
-# Bounds for the broadcast check: one FX row per currency, one row per portfolio.
-FX_MAX_ROWS = 10_000
+# Currency codes are three capital letters (ISO 4217 form).
+ISO_CURRENCY_PATTERN = "^[A-Z]{3}$"
+# Bound for the portfolio broadcast check; FX needs none (see fx_for_date).
 PORTFOLIO_MAX_ROWS = 100_000
 
 
 def fx_for_date(fx: DataFrame, as_of: str) -> DataFrame:
-    """Rates of the as-of date, keyed by ``fx_currency``; broadcast when provably small."""
-    rates = fx.where(F.col("as_of_date") == F.lit(as_of).cast("date")).select(
-        F.col("currency").alias("fx_currency"), "rate_to_eur"
+    """Rates of the as-of date keyed by ``fx_currency``, broadcast by construction.
+
+    One row per three-letter code, so at most 26**3 = 17,576 rows whatever
+    the input size: a proven bound, no size probe needed. On a cleaned FX
+    table (unique currency and date, codes checked) the grouping is a no-op.
+    """
+    rates = (
+        fx.where((F.col("as_of_date") == F.lit(as_of).cast("date")) & F.col("currency").rlike(ISO_CURRENCY_PATTERN))
+        .groupBy(F.col("currency").alias("fx_currency"))
+        .agg(F.min("rate_to_eur").alias("rate_to_eur"))
     )
-    return broadcast_if_small(rates, FX_MAX_ROWS)
+    return F.broadcast(rates)
 
 
 def portfolio_entities(portfolios: DataFrame) -> DataFrame:
+    """portfolio_id -> legal_entity, broadcast only when provably small."""
     return broadcast_if_small(portfolios.select("portfolio_id", "legal_entity"), PORTFOLIO_MAX_ROWS)
 
 
+def with_legal_entity(positions: DataFrame, portfolios: DataFrame) -> DataFrame:
+    return positions.join(portfolio_entities(portfolios), "portfolio_id", "left")
+
+
 def _in_eur(df: DataFrame, amount: str) -> DataFrame:
     """``exposure = amount x rate``; a missing rate counts as 1.0 and is flagged."""
     return df.withColumns(
@@ -50,15 +63,19 @@ def _in_eur(df: DataFrame, amount: str) -> DataFrame:
     )
 
 
+def _columns(portfolios: DataFrame | None) -> tuple[str, ...]:
+    return POSITION_COLUMNS if portfolios is not None else tuple(c for c in POSITION_COLUMNS if c != "legal_entity")
+
+
 def holding_positions(
     holdings: DataFrame,
     instrument_attrs: DataFrame,
     fx: DataFrame,
-    portfolios: DataFrame,
+    portfolios: DataFrame | None,
     as_of: str,
     extra: Sequence[str] = (),
 ) -> DataFrame:
-    """Holdings of the as-of date with instrument, FX and portfolio attributes.
+    """Holdings of the as-of date with instrument, FX and (optionally) portfolio attributes.
 
     ``instrument_attrs`` is the instrument master, optionally already enriched
     with issuer attributes (``extra`` names them), so the big holdings side is
@@ -68,11 +85,11 @@ def holding_positions(
         "portfolio_id", "instrument_id", "market_value", F.col("currency").alias("native_currency")
     )
     inst = instrument_attrs.select("instrument_id", "issuer_id", "instrument_type", *extra)
-    joined = (
-        h.join(inst, "instrument_id", "left")
-        .join(fx_for_date(fx, as_of), F.col("native_currency") == F.col("fx_currency"), "left")
-        .join(portfolio_entities(portfolios), "portfolio_id", "left")
+    joined = h.join(inst, "instrument_id", "left").join(
+        fx_for_date(fx, as_of), F.col("native_currency") == F.col("fx_currency"), "left"
     )
+    if portfolios is not None:
+        joined = with_legal_entity(joined, portfolios)
     joined = _in_eur(joined, "market_value").withColumns(
         {
             "asset_class": asset_class_of("instrument_type"),
@@ -81,13 +98,13 @@ def holding_positions(
             "native_amount": F.col("market_value"),
         }
     )
-    return joined.select(*POSITION_COLUMNS, *extra)
+    return joined.select(*_columns(portfolios), *extra)
 
 
 def loan_positions(
     loans: DataFrame,
     fx: DataFrame,
-    portfolios: DataFrame,
+    portfolios: DataFrame | None,
     as_of: str,
     loan_portfolio: str,
     issuer_attrs: DataFrame | None = None,
@@ -103,9 +120,9 @@ def loan_positions(
     )
     if issuer_attrs is not None:
         lo = lo.join(issuer_attrs.select("issuer_id", *extra), "issuer_id", "left")
-    joined = lo.join(fx_for_date(fx, as_of), F.col("native_currency") == F.col("fx_currency"), "left").join(
-        portfolio_entities(portfolios), "portfolio_id", "left"
-    )
+    joined = lo.join(fx_for_date(fx, as_of), F.col("native_currency") == F.col("fx_currency"), "left")
+    if portfolios is not None:
+        joined = with_legal_entity(joined, portfolios)
     joined = _in_eur(joined, "native_amount").withColumns(
         {
             "asset_class": F.lit(BUSINESS_LOAN),
@@ -113,7 +130,7 @@ def loan_positions(
             "position_kind": F.lit("loan"),
         }
     )
-    return joined.select(*POSITION_COLUMNS, *extra)
+    return joined.select(*_columns(portfolios), *extra)
 
 
 def positions_in_eur(
@@ -121,11 +138,12 @@ def positions_in_eur(
     instruments: DataFrame,
     loans: DataFrame,
     fx: DataFrame,
-    portfolios: DataFrame,
+    portfolios: DataFrame | None,
     as_of: str,
     loan_portfolio: str,
 ) -> DataFrame:
     """UNION ALL of holding and loan positions, converted to EUR at the as-of rate."""
-    return holding_positions(holdings, instruments, fx, portfolios, as_of).unionByName(
-        loan_positions(loans, fx, portfolios, as_of, loan_portfolio)
+    positions = holding_positions(holdings, instruments, fx, None, as_of).unionByName(
+        loan_positions(loans, fx, None, as_of, loan_portfolio)
     )
+    return with_legal_entity(positions, portfolios).select(*POSITION_COLUMNS)

@@ -85,10 +85,8 @@ def typed_frame(raw: DataFrame, spec: CleanSpec) -> DataFrame:
         elif name in spec.date9_dates:
             col = parse_date9(col)
         exprs[name] = col
-    typed = raw.select(*[exprs[n].alias(n) for n in spec.columns])
-    if spec.flags:
-        typed = typed.withColumns({flag: missing_flag(src) for flag, src in spec.flags.items()})
-    return typed
+    flags = [missing_flag(exprs[src]).alias(flag) for flag, src in spec.flags.items()]
+    return raw.select(*[exprs[n].alias(n) for n in spec.columns], *flags)
 
 
 def reason_column(spec: CleanSpec) -> Column:
@@ -140,13 +138,16 @@ def dedupe_keep_one(
     key: Sequence[str],
     order: Sequence[tuple[str, bool]] = (),
     source_table: str = "",
+    keep: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Keep one row per key: the first by ``order`` (then by all columns).
 
-    Built as one hash aggregate on the key with ``min(struct)``, so the map
-    side collapses a hot key before the shuffle (no window sort of a whole
-    group in one task). Returns (kept, ledger) where the ledger has one row
-    per duplicated key carrying the number of rows dropped.
+    Built as one aggregate on the key with ``min(struct)``, so the map side
+    collapses a hot key before the shuffle (no window sort of a whole group in
+    one task). ``keep`` restricts the candidates to rows where it is true,
+    inside the aggregate, so no filter is pushed into (and duplicates) the
+    typing expressions below. Returns (kept, ledger) where the ledger has one
+    row per duplicated key carrying the number of rows dropped.
     Descending order is supported for numeric columns only.
     """
     order_exprs = [F.col(c) if asc else -F.col(c) for c, asc in order]
@@ -154,8 +155,12 @@ def dedupe_keep_one(
         F.struct(*order_exprs, F.lit(0).alias("_pad")).alias("o"),
         F.struct(*[F.col(c) for c in df.columns]).alias("r"),
     )
-    grouped = df.groupBy(*key).agg(F.min(ranking).alias("_w"), F.count(F.lit(1)).alias("_n"))
-    kept = grouped.select("_w.r.*")
+    if keep is None:
+        agg = [F.min(ranking).alias("_w"), F.count(F.lit(1)).alias("_n")]
+    else:
+        agg = [F.min(F.when(keep, ranking)).alias("_w"), F.count_if(keep).alias("_n")]
+    grouped = df.groupBy(*key).agg(*agg)
+    kept = grouped.where(F.col("_n") > 0).select("_w.r.*")
     dropped = grouped.where(F.col("_n") > 1).select(
         F.lit(source_table).alias("source_table"),
         F.lit(DUPLICATE_KEY).alias("reject_reason"),
@@ -166,14 +171,32 @@ def dedupe_keep_one(
     return kept, dropped
 
 
+def clean_rows(typed: DataFrame, spec: CleanSpec) -> DataFrame:
+    """The rows that pass: no reject reason, one per key (when the spec dedupes).
+
+    With a key, the good rows go straight into the dedupe aggregate (the
+    reject test is a condition inside it), so no filter is pushed into and
+    duplicates the typing expressions.
+    """
+    if not (spec.dedupe and spec.key):
+        return typed.where(reason_column(spec).isNull())
+    kept, _ = dedupe_keep_one(typed, spec.key, spec.order, spec.name, keep=reason_column(spec).isNull())
+    return kept
+
+
+def ledger_rows(typed: DataFrame, spec: CleanSpec) -> DataFrame:
+    """Ledger entries: rejected rows plus one entry per duplicated key."""
+    _, rejects = split_rejects(typed, spec)
+    if not (spec.dedupe and spec.key):
+        return rejects
+    _, dups = dedupe_keep_one(typed, spec.key, spec.order, spec.name, keep=reason_column(spec).isNull())
+    return rejects.unionByName(dups)
+
+
 def clean_table(raw: DataFrame, spec: CleanSpec) -> tuple[DataFrame, DataFrame]:
     """Landing extract -> (clean rows, ledger rows)."""
     typed = typed_frame(raw, spec)
-    good, rejects = split_rejects(typed, spec)
-    if spec.dedupe and spec.key:
-        good, dups = dedupe_keep_one(good, spec.key, spec.order, spec.name)
-        rejects = rejects.unionByName(dups)
-    return good, rejects
+    return clean_rows(typed, spec), ledger_rows(typed, spec)
 
 
 def empty_rejects(spark: SparkSession) -> DataFrame:

@@ -65,13 +65,24 @@ def r05_waci(ci: DataFrame) -> DataFrame:
 def r06_pai(fe: DataFrame, ci: DataFrame, portfolios: DataFrame, as_of: str) -> DataFrame:
     """SFDR PAI 1-3 per legal entity, long form.
 
-    PAI1 and PAI2 come from one aggregate of the fact (PAI2 from the rounded
-    PAI1 and rounded AUM); PAI3 is the AUM-weighted rounded WACI over the
-    entity's portfolios.
+    PAI1 and PAI2 come from exact per-portfolio partial sums of the fact
+    (a tiny aggregate), mapped to legal entities and summed again: exact
+    decimal sums make this equal to summing the positions directly, and the
+    fact never needs the portfolio attributes. PAI2 uses the rounded PAI1 and
+    rounded AUM; PAI3 is the AUM-weighted rounded WACI over the entity's
+    portfolios.
     """
-    per_entity = fe.groupBy("legal_entity").agg(
-        round_sum("financed_emissions_tco2e", 6).alias("pai1"),
-        round_sum("exposure_eur", 2).alias("aum_eur"),
+    entity = portfolios.select("portfolio_id", "legal_entity")
+    per_portfolio = fe.groupBy("portfolio_id").agg(
+        exact_sum("financed_emissions_tco2e").alias("_fe"), exact_sum("exposure_eur").alias("_x")
+    )
+    per_entity = (
+        per_portfolio.join(entity, "portfolio_id", "left")
+        .groupBy("legal_entity")
+        .agg(
+            as_double(F.round(F.sum("_fe"), 6)).alias("pai1"),
+            as_double(F.round(F.sum("_x"), 2)).alias("aum_eur"),
+        )
     )
     pai12 = per_entity.select(
         "legal_entity",
@@ -81,7 +92,6 @@ def r06_pai(fe: DataFrame, ci: DataFrame, portfolios: DataFrame, as_of: str) ->
     pai12 = pai12.withColumn(
         "pai_indicator", F.when(F.col("pai_indicator") == "pai1", F.lit(PAI1)).otherwise(F.lit(PAI2))
     )
-    entity = portfolios.select("portfolio_id", "legal_entity")
     pai3 = (
         ci.join(entity, "portfolio_id", "left")
         .groupBy("legal_entity")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
+
 from pyspark.sql import SparkSession
 
 from greenledger.plans import specs
@@ -9,7 +11,25 @@ from greenledger.plans.pipeline import Book
 from greenledger.sources import driver
 
 
+_BOOKS: OrderedDict[tuple[int, str, str], Book] = OrderedDict()
+_MAX_BOOKS = 4
+
+
 def driver_book(spark: SparkSession, sf_dir: str, as_of: str = driver.AS_OF) -> Book:
-    extracts = driver.landing_extracts(spark, sf_dir, as_of)
-    holdings = specs.holdings_spec(driver.HOLDINGS_TIE_BREAKERS)
-    return Book(spark, extracts, as_of, driver.LOAN_PORTFOLIO, clean_specs={"holdings": holdings})
+    """The book of one folder, memoized per session.
+
+    A Book only holds lazy plans (nothing is cached or persisted), so sharing
+    it between queries saves rebuilding identical plans on the Python side;
+    every query still runs from the parquet files.
+    """
+    key = (id(spark), sf_dir, as_of)
+    book = _BOOKS.get(key)
+    if book is None or book.spark is not spark:
+        extracts = driver.landing_extracts(spark, sf_dir, as_of)
+        holdings = specs.holdings_spec(driver.HOLDINGS_TIE_BREAKERS)
+        book = Book(spark, extracts, as_of, driver.LOAN_PORTFOLIO, clean_specs={"holdings": holdings})
+        _BOOKS[key] = book
+        while len(_BOOKS) > _MAX_BOOKS:
+            _BOOKS.popitem(last=False)
+    _BOOKS.move_to_end(key)
+    return book

@@ -41,6 +41,7 @@ RULE_SQL = {
     specs.MISSING_TAXONOMY_SHARE: "taxonomy_eligible_share IS NULL OR taxonomy_aligned_share IS NULL",
     specs.ALIGNED_GT_ELIGIBLE: "taxonomy_aligned_share > taxonomy_eligible_share",
     specs.UNPARSEABLE_DATE9: "as_of_date IS NULL",
+    specs.INVALID_CURRENCY_CODE: "NOT regexp_full_match(currency, '[A-Z]{3}')",
 }
 
 LANDING_SQL = f"""

@@ -10,14 +10,15 @@ so a lost executor only recomputes from the last written layer.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from greenledger.operators import marts, reports
 from greenledger.operators.emissions import FINANCED_EMISSIONS_COLUMNS, financed_emissions
-from greenledger.operators.positions import positions_in_eur
-from greenledger.operators.quality import clean_table, reject_ledger
+from greenledger.operators.positions import positions_in_eur, with_legal_entity
+from greenledger.operators.quality import clean_rows, ledger_rows, reject_ledger, typed_frame
 from greenledger.operators.resolve import resolve_entities
 from greenledger.plans import specs
 
@@ -28,7 +29,7 @@ class Book:
     def __init__(
         self,
         spark: SparkSession,
-        extracts: dict[str, DataFrame],
+        extracts: Mapping[str, DataFrame],
         as_of: str,
         loan_portfolio: str,
         clean_specs: dict[str, specs.CleanSpec] | None = None,
@@ -40,17 +41,24 @@ class Book:
         self.loan_portfolio = loan_portfolio
         self.clean_specs = {s.name: s for s in specs.SOURCES}
         self.clean_specs.update(clean_specs or {})
+        self._typed_cache: dict[str, DataFrame] = {}
+        self._silver_cache: dict[str, DataFrame] = {}
 
     # ---- silver -------------------------------------------------------------
-    @cached_property
-    def _cleaned(self) -> dict[str, tuple[DataFrame, DataFrame]]:
-        return {name: clean_table(self.extracts[name], spec) for name, spec in self.clean_specs.items()}
+    def _typed(self, name: str) -> DataFrame:
+        if name not in self._typed_cache:
+            self._typed_cache[name] = typed_frame(self.extracts[name], self.clean_specs[name])
+        return self._typed_cache[name]
 
     def silver(self, name: str) -> DataFrame:
-        return self._cleaned[name][0]
+        """Clean rows of one source (built on first use)."""
+        if name not in self._silver_cache:
+            self._silver_cache[name] = clean_rows(self._typed(name), self.clean_specs[name])
+        return self._silver_cache[name]
 
     def rejects(self, name: str) -> DataFrame:
-        return self._cleaned[name][1]
+        """Ledger rows of one source."""
+        return ledger_rows(self._typed(name), self.clean_specs[name])
 
     @cached_property
     def reject_ledger(self) -> DataFrame:
@@ -77,13 +85,13 @@ class Book:
 
     @cached_property
     def fact(self) -> DataFrame:
-        """Financed emissions plus the taxonomy shares (internal, wider than the published table)."""
+        """Financed emissions at portfolio level plus the taxonomy shares (what marts and reports read)."""
         return financed_emissions(
             self.silver("holdings"),
             self.silver("instruments"),
             self.silver("loans"),
             self.silver("fx_rates"),
-            self.silver("portfolios"),
+            None,
             self.silver("company_financials"),
             self.entity_map,
             self.silver("vendor_emissions"),
@@ -94,7 +102,8 @@ class Book:
 
     @cached_property
     def financed_emissions(self) -> DataFrame:
-        return self.fact.select(*FINANCED_EMISSIONS_COLUMNS)
+        """The published position table (with legal entity)."""
+        return with_legal_entity(self.fact, self.silver("portfolios")).select(*FINANCED_EMISSIONS_COLUMNS)
 
     @cached_property
     def data_quality(self) -> DataFrame:
@@ -110,6 +119,12 @@ class Book:
 
     @cached_property
     def coverage(self) -> DataFrame:
+        """Gap cause per position at portfolio level (what R09 aggregates)."""
+        return marts.coverage_gaps(self.fact)
+
+    @cached_property
+    def coverage_table(self) -> DataFrame:
+        """The published coverage table: financed emissions plus gap cause."""
         return marts.coverage_gaps(self.financed_emissions)
 
     # ---- reports ------------------------------------------------------------

@@ -79,7 +79,7 @@ def queries() -> dict[str, Query]:
     out["data_quality"] = _attr("data_quality")
     out["carbon_intensity"] = _attr("carbon_intensity")
     out["taxonomy_alignment"] = _attr("taxonomy_alignment")
-    out["coverage_gaps"] = _attr("coverage")
+    out["coverage_gaps"] = _attr("coverage_table")
     out.update({name: _report(rid) for name, rid in REPORT_QUERIES.items()})
     return out
 

@@ -16,6 +16,7 @@ NEGATIVE_OUTSTANDING = "negative_outstanding_amount"
 MISSING_TAXONOMY_SHARE = "missing_taxonomy_share"
 ALIGNED_GT_ELIGIBLE = "aligned_gt_eligible"
 UNPARSEABLE_DATE9 = "unparseable_sas_date9"
+INVALID_CURRENCY_CODE = "invalid_currency_code"
 
 PORTFOLIOS = CleanSpec(
     name="portfolios",
@@ -114,7 +115,10 @@ FX_RATES = CleanSpec(
     key=("currency", "as_of_date"),
     date9_dates=("as_of_date",),
     doubles=("rate_to_eur",),
-    rules=((UNPARSEABLE_DATE9, lambda: F.col("as_of_date").isNull()),),
+    rules=(
+        (UNPARSEABLE_DATE9, lambda: F.col("as_of_date").isNull()),
+        (INVALID_CURRENCY_CODE, lambda: ~F.col("currency").rlike("^[A-Z]{3}$")),
+    ),
 )
 CROSSWALK = CleanSpec(
     name="crosswalk",

@@ -10,11 +10,14 @@ Column pruning reaches each parquet scan: only the columns used are read.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from greenledger.sources.parallel import spread
+
 # Reporting date of the driver data and the book that holds the loans.
 AS_OF = "2000-12-31"
 LOAN_PORTFOLIO = "FURNITURE"
@@ -29,6 +32,14 @@ RATINGS = ("AAA", "AA", "A", "BBB", "BB", "B", "CCC")  # by s_suppkey % 7
 SOURCES_BY_RESIDUE = ("verified", "reported", "estimated")  # by s_suppkey % 3
 
 DRIVER_TABLES = ("customer", "supplier", "part", "orders", "lineitem")
+# The two fact-sized tables are spread on their key when under-split (columns pruned first).
+SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+SPREAD_COLUMNS = {
+    "lineitem": (
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
+    ),
+    "orders": ("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"),
+}
 
 
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -214,18 +225,46 @@ def crosswalk(supplier: DataFrame) -> DataFrame:
     return supplier.where(k % 7 != 3).select(_text(k).alias("issuer_id"), provider.alias("provider_entity_id"))
 
 
-def landing_extracts(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> dict[str, DataFrame]:
-    """The ten source extracts (all text) projected from the driver tables."""
-    t = {name: read_driver(spark, sf_dir, name) for name in DRIVER_TABLES}
-    return {
-        "portfolios": portfolios(t["customer"]),
-        "instruments": instruments(t["part"], t["supplier"]),
-        "issuers": issuers(t["supplier"]),
-        "holdings": holdings(t["lineitem"], t["orders"], t["customer"]),
-        "loans": loans(t["orders"], t["supplier"]),
-        "company_financials": company_financials(t["lineitem"]),
-        "vendor_emissions": vendor_emissions(t["supplier"], as_of),
-        "taxonomy_data": taxonomy_data(t["supplier"], as_of),
-        "fx_rates": fx_rates(t["orders"]),
-        "crosswalk": crosswalk(t["supplier"]),
-    }
+class LandingExtracts(Mapping):
+    """The ten source extracts, each built on first access (plans are not free to build)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF):
+        self._spark, self._dir, self._as_of = spark, sf_dir, as_of
+        self._tables: dict[str, DataFrame] = {}
+        self._frames: dict[str, DataFrame] = {}
+        self._builders: dict[str, Callable[[], DataFrame]] = {
+            "portfolios": lambda: portfolios(self._t("customer")),
+            "instruments": lambda: instruments(self._t("part"), self._t("supplier")),
+            "issuers": lambda: issuers(self._t("supplier")),
+            "holdings": lambda: holdings(self._t("lineitem"), self._t("orders"), self._t("customer")),
+            "loans": lambda: loans(self._t("orders"), self._t("supplier")),
+            "company_financials": lambda: company_financials(self._t("lineitem")),
+            "vendor_emissions": lambda: vendor_emissions(self._t("supplier"), self._as_of),
+            "taxonomy_data": lambda: taxonomy_data(self._t("supplier"), self._as_of),
+            "fx_rates": lambda: fx_rates(self._t("orders")),
+            "crosswalk": lambda: crosswalk(self._t("supplier")),
+        }
+
+    def _t(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            df = read_driver(self._spark, self._dir, name)
+            if name in SPREAD_KEYS:
+                df = spread(df.select(*SPREAD_COLUMNS[name]), SPREAD_KEYS[name])
+            self._tables[name] = df
+        return self._tables[name]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self._builders[name]()
+        return self._frames[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def landing_extracts(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> LandingExtracts:
+    """The ten source extracts (all text) projected from the driver tables, built lazily."""
+    return LandingExtracts(spark, sf_dir, as_of)
