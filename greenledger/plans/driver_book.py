@@ -11,23 +11,31 @@ from greenledger.plans.pipeline import Book
 from greenledger.sources import driver
 
 
-_BOOKS: OrderedDict[tuple[int, str, str], Book] = OrderedDict()
+_BOOKS: OrderedDict[tuple[int, str, str, bool], Book] = OrderedDict()
 _MAX_BOOKS = 4
 
 
-def driver_book(spark: SparkSession, sf_dir: str, as_of: str = driver.AS_OF) -> Book:
+def driver_book(spark: SparkSession, sf_dir: str, as_of: str = driver.AS_OF, materialize_fact: bool = False) -> Book:
     """The book of one folder, memoized per session.
 
     A Book only holds lazy plans (nothing is cached or persisted), so sharing
     it between queries saves rebuilding identical plans on the Python side;
-    every query still runs from the parquet files.
+    every query still runs from the parquet files. With ``materialize_fact``
+    the gold fact is written once (checkpoint) and read back by every consumer.
     """
-    key = (id(spark), sf_dir, as_of)
+    key = (id(spark), sf_dir, as_of, materialize_fact)
     book = _BOOKS.get(key)
     if book is None or book.spark is not spark:
         extracts = driver.landing_extracts(spark, sf_dir, as_of)
         holdings = specs.holdings_spec(driver.HOLDINGS_TIE_BREAKERS)
-        book = Book(spark, extracts, as_of, driver.LOAN_PORTFOLIO, clean_specs={"holdings": holdings})
+        book = Book(
+            spark,
+            extracts,
+            as_of,
+            driver.LOAN_PORTFOLIO,
+            clean_specs={"holdings": holdings},
+            materialize_fact=materialize_fact,
+        )
         _BOOKS[key] = book
         while len(_BOOKS) > _MAX_BOOKS:
             _BOOKS.popitem(last=False)

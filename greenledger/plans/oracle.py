@@ -355,3 +355,94 @@ def prelude() -> str:
 
 def with_prelude(select: str) -> str:
     return prelude() + "\n" + select.strip()
+
+
+# ---- reconciliation -----------------------------------------------------------------------
+
+LEGACY_COVERAGE_CTE = """
+b_cov AS (
+  SELECT * REPLACE (
+    CASE WHEN gap_cause = 'unmapped_issuer'
+          AND issuer_id = (SELECT min(issuer_id) FROM g_cov WHERE gap_cause = 'unmapped_issuer')
+         THEN 'mapped' ELSE gap_cause END AS gap_cause)
+  FROM g_cov)"""
+
+
+def baseline_sql(report_id: str) -> str:
+    if report_id == "R01":
+        return (
+            "SELECT * REPLACE (round_even(financed_emissions_tco2e / 10.0, 0) * 10.0 AS financed_emissions_tco2e) "
+            f"FROM ({REPORT_SQL['R01']}) r"
+        )
+    if report_id == "R09":
+        return _r09("b_cov")
+    return REPORT_SQL[report_id]
+
+
+def _side_sql(sql: str, spec: specs.ReconSpec, tag: str) -> str:
+    keys = ", ".join(f"coalesce(CAST({k} AS VARCHAR), '') AS {k}" for k in spec.keys)
+    vals = ", ".join(f"CAST({v} AS DOUBLE) AS {tag}_{v}" for v in spec.values)
+    aggs = ", ".join(f"min({tag}_{v}) AS {tag}_{v}" for v in spec.values)
+    group = ", ".join(spec.keys)
+    return f"SELECT {group}, count(*) AS {tag}__n, {aggs} FROM (SELECT {keys}, {vals} FROM ({sql}) q) s GROUP BY {group}"
+
+
+def compared_sql(report_id: str) -> str:
+    spec = specs.RECON_SPECS[report_id]
+    on = " AND ".join(f"n.{k} = b.{k}" for k in spec.keys)
+    key_text = "concat_ws('|', " + ", ".join(f"coalesce(n.{k}, b.{k})" for k in spec.keys) + ")"
+    tol = (
+        lambda v: f"greatest(CAST({spec.abs_tol} AS DOUBLE), CAST({spec.rel_tol} AS DOUBLE) * greatest(abs(b.b_{v}), 1.0))"
+    )
+    mism = {
+        v: f"NOT ((n.n_{v} IS NULL AND b.b_{v} IS NULL) OR coalesce(abs(n.n_{v} - b.b_{v}) <= {tol(v)}, false))"
+        for v in spec.values
+    }
+    first = "CASE " + " ".join(f"WHEN {m} THEN '{v}'" for v, m in mism.items()) + " END"
+    pick = {t: "CASE " + " ".join(f"WHEN {m} THEN {t}.{t}_{v}" for v, m in mism.items()) + " END" for t in ("n", "b")}
+    break_type = (
+        "CASE WHEN n.n__n IS NULL THEN 'missing_in_new' WHEN b.b__n IS NULL THEN 'missing_in_baseline' "
+        "WHEN n.n__n > 1 OR b.b__n > 1 THEN 'duplicate_key' "
+        f"WHEN {first} IS NOT NULL THEN 'value_mismatch' END"
+    )
+    inner = f"""SELECT '{report_id}' AS report_id, {key_text} AS key_text, {break_type} AS break_type,
+      n.n__n, b.b__n, {first} AS first_col, {pick['n']} AS pick_new, {pick['b']} AS pick_old
+    FROM ({_side_sql(REPORT_SQL[report_id], spec, 'n')}) n
+    FULL OUTER JOIN ({_side_sql(baseline_sql(report_id), spec, 'b')}) b ON {on}"""
+    return f"""SELECT report_id, key_text, break_type, n__n, b__n,
+      CASE WHEN break_type = 'value_mismatch' THEN first_col END AS column_name,
+      CASE WHEN break_type = 'value_mismatch' THEN pick_new END AS new_value,
+      CASE WHEN break_type = 'value_mismatch' THEN pick_old END AS old_value
+    FROM ({inner}) c"""
+
+
+def breaks_sql(report_id: str) -> str:
+    return (
+        "SELECT report_id, key_text, break_type, column_name, new_value, old_value "
+        f"FROM ({compared_sql(report_id)}) c WHERE break_type IS NOT NULL"
+    )
+
+
+def recon_summary_sql(report_ids, expected_fail) -> str:
+    parts = [
+        f"""SELECT '{rid}' AS report_id, CAST(coalesce(sum(n__n), 0) AS BIGINT) AS rows_new,
+          CAST(coalesce(sum(b__n), 0) AS BIGINT) AS rows_base, count_if(break_type IS NOT NULL) AS breaks
+        FROM ({compared_sql(rid)}) c"""
+        for rid in report_ids
+    ]
+    expected = ", ".join(f"'{r}'" for r in expected_fail)
+    return f"""SELECT report_id, CASE WHEN breaks = 0 THEN 'PASS' ELSE 'FAIL' END AS status, rows_new, rows_base,
+      breaks, CASE WHEN breaks = 0 THEN 'match' ELSE 'see breaking rows' END AS note,
+      (breaks > 0 AND report_id NOT IN ({expected})) AS unexpected_fail
+    FROM ({' UNION ALL '.join(parts)}) s"""
+
+
+def top_breaks_sql(report_ids, n: int = 8) -> str:
+    union = " UNION ALL ".join(breaks_sql(rid) for rid in report_ids)
+    return f"""SELECT * FROM (
+      SELECT *, row_number() OVER (PARTITION BY report_id ORDER BY key_text) AS break_rank FROM ({union}) u
+    ) r WHERE break_rank <= {n}"""
+
+
+def with_recon(select: str) -> str:
+    return prelude() + "," + LEGACY_COVERAGE_CTE + "\n" + select.strip()

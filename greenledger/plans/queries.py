@@ -8,6 +8,7 @@ nothing is collected.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from greenledger.operators.quality import DUPLICATE_KEY, reject_counts
 from greenledger.plans import oracle
 from greenledger.plans.driver_book import driver_book
-from greenledger.plans.pipeline import REPORT_IDS
+from greenledger.plans.pipeline import REPORT_IDS, SEEDED_DIFFERENCES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,9 +82,23 @@ def queries() -> dict[str, Query]:
     out["taxonomy_alignment"] = _attr("taxonomy_alignment")
     out["coverage_gaps"] = _attr("coverage_table")
     out.update({name: _report(rid) for name, rid in REPORT_QUERIES.items()})
+    out["recon_breaks"] = recon_breaks
+    out["recon_summary"] = lambda spark, sf_dir: _gold_book(spark, sf_dir).recon_summary()
+    out["recon_top_breaks"] = lambda spark, sf_dir: _gold_book(spark, sf_dir).top_breaks(8)
     return out
 
 
+def _gold_book(spark: SparkSession, sf_dir: str):
+    """Reconciliation reads a written gold fact (as a production run does), not 18 inlined pipelines."""
+    return driver_book(spark, sf_dir, materialize_fact=True)
+
+
+def recon_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every break of every report against its baseline."""
+    book = _gold_book(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [book.breaks(rid) for rid in REPORT_IDS])
+
+
 def _rejects_union() -> str:
     return " UNION ALL ".join(f"SELECT * FROM rej_{t}" for t in CLEAN_QUERIES.values())
 
@@ -108,6 +123,10 @@ def oracle_sql() -> dict[str, str]:
     out["taxonomy_alignment"] = w("SELECT * FROM g_ta")
     out["coverage_gaps"] = w("SELECT * FROM g_cov")
     out.update({name: w(oracle.REPORT_SQL[rid]) for name, rid in REPORT_QUERIES.items()})
+    r = oracle.with_recon
+    out["recon_breaks"] = r(" UNION ALL ".join(oracle.breaks_sql(rid) for rid in REPORT_IDS))
+    out["recon_summary"] = r(oracle.recon_summary_sql(REPORT_IDS, SEEDED_DIFFERENCES))
+    out["recon_top_breaks"] = r(oracle.top_breaks_sql(REPORT_IDS, 8))
     return out
 
 

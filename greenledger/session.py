@@ -13,13 +13,17 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
+# Local mode runs everything in the driver JVM; only used when we create the session.
+LOCAL_DRIVER_MEMORY = "8g"
 
 
 def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "greenledger") -> SparkSession:
     """Local session for tests and the bench. On a cluster, use the session you are given."""
     builder = SparkSession.builder.master(master).appName(app)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    builder = builder.config("spark.driver.memory", LOCAL_DRIVER_MEMORY)
     for key, value in DEFAULT_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
