@@ -446,3 +446,35 @@ def top_breaks_sql(report_ids, n: int = 8) -> str:
 
 def with_recon(select: str) -> str:
     return prelude() + "," + LEGACY_COVERAGE_CTE + "\n" + select.strip()
+
+
+# ---- row accounting -----------------------------------------------------------------------
+
+
+def step_metrics_sql(tables) -> str:
+    z = "CAST(0 AS BIGINT)"
+    parts = []
+    for t in tables:
+        step = f"'silver.{t}'"
+        parts += [
+            f"SELECT {step} AS step, count(*) AS input_rows, {z} AS output_rows, {z} AS rejected_rows, "
+            f"{z} AS duplicate_rows, {z} AS flagged_rows FROM l_{t}",
+            f"SELECT {step}, {z}, count(*), {z}, {z}, {z} FROM s_{t}",
+            f"SELECT {step}, {z}, {z}, "
+            "CAST(coalesce(sum(CASE WHEN reject_reason <> 'duplicate_key' THEN rejected_rows END), 0) AS BIGINT), "
+            "CAST(coalesce(sum(CASE WHEN reject_reason = 'duplicate_key' THEN rejected_rows END), 0) AS BIGINT), "
+            f"{z} FROM rej_{t}",
+        ]
+    e = "'silver.entity_resolution'"
+    g = "'gold.financed_emissions'"
+    parts += [
+        f"SELECT {e}, count(*), {z}, {z}, {z}, {z} FROM s_issuers",
+        f"SELECT {e}, {z}, count(*), {z}, {z}, count_if(coverage_status <> 'mapped') FROM g_entity_map",
+        f"SELECT {g}, count(*), {z}, {z}, {z}, {z} FROM g_positions",
+        f"SELECT {g}, {z}, count(*), {z}, {z}, count_if(financed_emissions_tco2e IS NULL) FROM g_fe",
+    ]
+    sums = ", ".join(
+        f"CAST(sum({m}) AS BIGINT) AS {m}"
+        for m in ("input_rows", "output_rows", "rejected_rows", "duplicate_rows", "flagged_rows")
+    )
+    return f"SELECT step, {sums} FROM ({' UNION ALL '.join(parts)}) u GROUP BY step"

@@ -15,10 +15,13 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from greenledger.operators import marts, recon, reports
+from pyspark.sql import functions as F
+
+from greenledger.functions.pcaf import MAPPED
+from greenledger.operators import marts, metrics, recon, reports
 from greenledger.operators.emissions import FINANCED_EMISSIONS_COLUMNS, financed_emissions
 from greenledger.operators.positions import positions_in_eur, with_legal_entity
-from greenledger.operators.quality import clean_rows, ledger_rows, reject_ledger, typed_frame
+from greenledger.operators.quality import DUPLICATE_KEY, clean_rows, ledger_rows, reject_ledger, typed_frame
 from greenledger.operators.resolve import resolve_entities
 from greenledger.plans import specs
 from greenledger.session import checkpoint_dir
@@ -159,6 +162,49 @@ class Book:
         return builders[report_id]()
 
 
+    # ---- row accounting -----------------------------------------------------
+    def step_metrics(self) -> DataFrame:
+        """Rows in / out / rejected / de-duplicated / flagged for every cleaning step and the gold build."""
+        reason = F.col("reject_reason")
+        parts = []
+        for name in self.clean_specs:
+            step = f"silver.{name}"
+            ledger = self.rejects(name)
+            parts += [
+                metrics.metric(self.extracts[name], step, metrics.rows("input_rows")),
+                metrics.metric(self.silver(name), step, metrics.rows("output_rows")),
+                metrics.metric(
+                    ledger,
+                    step,
+                    {
+                        "rejected_rows": F.sum(F.when(reason != DUPLICATE_KEY, F.col("rejected_rows"))),
+                        "duplicate_rows": F.sum(F.when(reason == DUPLICATE_KEY, F.col("rejected_rows"))),
+                    },
+                ),
+            ]
+        step = "silver.entity_resolution"
+        parts += [
+            metrics.metric(self.silver("issuers"), step, metrics.rows("input_rows")),
+            metrics.metric(
+                self.entity_map,
+                step,
+                {"output_rows": F.count(F.lit(1)), "flagged_rows": F.count_if(F.col("coverage_status") != MAPPED)},
+            ),
+        ]
+        step = "gold.financed_emissions"
+        parts += [
+            metrics.metric(self.positions, step, metrics.rows("input_rows")),
+            metrics.metric(
+                self.fact,
+                step,
+                {
+                    "output_rows": F.count(F.lit(1)),
+                    "flagged_rows": F.count_if(F.col("financed_emissions_tco2e").isNull()),
+                },
+            ),
+        ]
+        return metrics.step_counts(parts)
+
     # ---- reconciliation -----------------------------------------------------
     def baseline(self, report_id: str) -> DataFrame:
         """Frozen legacy numbers, re-derived: R01 rounded to 10 t, R09 with the legacy crosswalk, others equal."""

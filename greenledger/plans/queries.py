@@ -7,6 +7,7 @@ nothing is collected.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,6 +17,10 @@ from pyspark.sql import functions as F
 from greenledger.operators.quality import DUPLICATE_KEY, reject_counts
 from greenledger.plans import oracle
 from greenledger.plans.driver_book import driver_book
+from greenledger.session import checkpoint_dir
+from greenledger.sources import driver
+from greenledger.sources.extracts import ingest_table
+from greenledger.sources.tables import read_report_csv, write_report_csv
 from greenledger.plans.pipeline import REPORT_IDS, SEEDED_DIFFERENCES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,12 +87,28 @@ def queries() -> dict[str, Query]:
     out["taxonomy_alignment"] = _attr("taxonomy_alignment")
     out["coverage_gaps"] = _attr("coverage_table")
     out.update({name: _report(rid) for name, rid in REPORT_QUERIES.items()})
+    out["step_metrics"] = lambda spark, sf_dir: driver_book(spark, sf_dir).step_metrics()
+    out["audit_ingest"] = audit_ingest
+    out["csv_roundtrip"] = csv_roundtrip
     out["recon_breaks"] = recon_breaks
     out["recon_summary"] = lambda spark, sf_dir: _gold_book(spark, sf_dir).recon_summary()
     out["recon_top_breaks"] = lambda spark, sf_dir: _gold_book(spark, sf_dir).top_breaks(8)
     return out
 
 
+def audit_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze ingest of one delivered file with its audit columns (load time left out: it is the clock)."""
+    return ingest_table(spark, f"{sf_dir.rstrip('/')}/customer.parquet", driver.AS_OF).drop("_ingested_at")
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R01 written by the report CSV sink into the shared checkpoint folder, then read back with its schema."""
+    report = driver_book(spark, sf_dir).report("R01")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/report-csv/{uuid.uuid4().hex}/R01"
+    write_report_csv(report, path)
+    return read_report_csv(spark, path, report.schema)
+
+
 def _gold_book(spark: SparkSession, sf_dir: str):
     """Reconciliation reads a written gold fact (as a production run does), not 18 inlined pipelines."""
     return driver_book(spark, sf_dir, materialize_fact=True)
@@ -123,6 +144,11 @@ def oracle_sql() -> dict[str, str]:
     out["taxonomy_alignment"] = w("SELECT * FROM g_ta")
     out["coverage_gaps"] = w("SELECT * FROM g_cov")
     out.update({name: w(oracle.REPORT_SQL[rid]) for name, rid in REPORT_QUERIES.items()})
+    out["step_metrics"] = w(oracle.step_metrics_sql(list(CLEAN_QUERIES.values())))
+    out["audit_ingest"] = (
+        f"SELECT *, 'customer.parquet' AS _source_file, 'batch-{driver.AS_OF}' AS _batch_id FROM customer"
+    )
+    out["csv_roundtrip"] = w(oracle.REPORT_SQL["R01"])
     r = oracle.with_recon
     out["recon_breaks"] = r(" UNION ALL ".join(oracle.breaks_sql(rid) for rid in REPORT_IDS))
     out["recon_summary"] = r(oracle.recon_summary_sql(REPORT_IDS, SEEDED_DIFFERENCES))
