@@ -1,0 +1,145 @@
+"""Golden values of the planted-defect fixture (as-of 2025-12-31)."""
+
+import pytest
+
+from tests.conftest import rows_by
+
+
+def test_bronze_audit_columns(fixture_extracts):
+    row = fixture_extracts["holdings"].where("instrument_id = 'E001'").first()
+    assert row["_source_file"] == "holdings.csv"
+    assert row["_batch_id"] == "batch-2025-12-31"
+    assert row["_ingested_at"] is not None
+
+
+def test_cleaning_trims_types_and_flags(book):
+    inst = rows_by(book.silver("instruments"), "instrument_id")
+    assert inst[("E001",)]["isin"] == "FI0000000001"
+    assert inst[("E011",)]["isin"] == "GB0000000011"
+    iss = rows_by(book.silver("issuers"), "issuer_id")
+    assert iss[("ISS009",)]["lei"] is None and iss[("ISS009",)]["lei_missing_flag"] == 1
+    assert iss[("ISS001",)]["lei_missing_flag"] == 0
+    ports = rows_by(book.silver("portfolios"), "portfolio_id")
+    assert ports[("P01",)]["legal_entity"] == "Asset Manager"
+    vend = rows_by(book.silver("vendor_emissions"), "provider_entity_id")
+    assert vend[("PROV004",)]["esg_rating"] is None
+    assert vend[("PROV003",)]["scope3_tco2e"] is None
+
+
+def test_reject_ledger(book):
+    ledger = book.reject_ledger.collect()
+    reasons = sorted((r["source_table"], r["reject_reason"], r["business_key"], r["rejected_rows"]) for r in ledger)
+    assert reasons == [
+        ("holdings", "duplicate_key", "P01|E001|2025-12-31", 1),
+        ("holdings", "missing_market_value", "P04|E003|2025-12-31", 1),
+        ("loans", "negative_outstanding_amount", "L006", 1),
+        ("taxonomy_data", "aligned_gt_eligible", "ISS004|2025", 1),
+    ]
+    detail = [r["details"] for r in ledger if r["reject_reason"] == "missing_market_value"][0]
+    assert '"market_value":null' in detail
+
+
+def test_entity_map(book):
+    status = {r["issuer_id"]: r["coverage_status"] for r in book.entity_map.collect()}
+    assert len(status) == 12
+    assert status["ISS006"] == status["ISS007"] == "unmapped_issuer"
+    assert status["ISS010"] == "orphan_provider"
+    assert sum(s == "mapped" for s in status.values()) == 9
+
+
+def test_positions_count(book):
+    assert book.financed_emissions.count() == 26  # 20 holdings + 6 loans
+
+
+def test_r01_published_anchor(book):
+    r01 = rows_by(book.report("R01"), "portfolio_id", "issuer_id")
+    assert len(r01) == 13
+    p01 = r01[("P01", "ISS001")]
+    assert p01["market_value_eur"] == 25_000_000
+    assert p01["financed_emissions_tco2e"] == 2312.5
+    assert p01["attribution_factor"] == 0.000625
+    assert p01["pcaf_score"] == 1 and p01["has_emissions_flag"] == 1
+    assert r01[("P01", "ISS004")]["market_value_eur"] == 8_004_000
+    assert r01[("P01", "ISS004")]["financed_emissions_tco2e"] == 4402.2
+    assert r01[("P01", "ISS006")]["financed_emissions_tco2e"] is None
+    assert r01[("P01", "ISS007")]["attribution_factor"] == 0.0011428571
+    assert r01[("P01", "ISS008")]["attribution_factor"] is None  # EVIC = 0
+    assert r01[("P01", "ISS009")]["financed_emissions_tco2e"] == 3966.666667
+    assert r01[("P01", "ISS012")]["market_value_eur"] == 10_000_500
+    assert r01[("P01", "ISS012")]["financed_emissions_tco2e"] == 16.6675
+    assert r01[("P04", "ISS002")]["financed_emissions_tco2e"] == 4720
+
+
+def test_r02_r03(book):
+    r02 = rows_by(book.report("R02"), "portfolio_id", "issuer_id")
+    assert len(r02) == 7
+    assert r02[("P02", "ISS010")]["pcaf_score"] == 5 and r02[("P02", "ISS010")]["attribution_factor"] == 0.002
+    assert r02[("P02", "ISS012")]["financed_emissions_tco2e"] == 13.334
+    r03 = rows_by(book.report("R03"), "portfolio_id", "issuer_id")
+    assert len(r03) == 6
+    assert r03[("P03", "ISS001")]["financed_emissions_tco2e"] == 2466.666667
+    assert r03[("P03", "ISS008")]["financed_emissions_tco2e"] == 4800  # EVIC 0 but total assets known
+    assert r03[("P03", "ISS012")]["outstanding_eur"] == 5_900_000
+
+
+@pytest.mark.parametrize(
+    "pid,score,cov",
+    [("P01", 2.3614, 87.3954), ("P02", 2.2, 96.25), ("P03", 2.1723, 94.7781)],
+)
+def test_r04(book, pid, score, cov):
+    r04 = rows_by(book.report("R04"), "portfolio_id")
+    assert r04[(pid,)]["weighted_pcaf_score"] == score
+    assert r04[(pid,)]["coverage_pct"] == cov
+
+
+def test_r05_r07_r08(book):
+    r05 = rows_by(book.report("R05"), "portfolio_id")
+    assert r05[("P01",)]["waci_tco2e_per_m_eur"] == 1242.721589
+    assert r05[("P01",)]["carbon_footprint_tco2e_per_m_eur"] == 414.543435
+    assert r05[("P04",)]["aum_eur"] == 14_000_000
+    r07 = rows_by(book.report("R07"), "portfolio_id")
+    assert r07[("P01",)]["fossil_fuel_market_value_eur"] == 41_004_000
+    assert r07[("P01",)]["fossil_fuel_exposure_pct"] == 34.45584
+    assert r07[("P02",)]["flag_coverage_pct"] == 96.25
+    r08 = rows_by(book.report("R08"), "portfolio_id")
+    assert r08[("P01",)]["eligible_share_pct"] == 24.158801
+    assert r08[("P03",)]["aligned_share_of_eligible_pct"] == 30.985383
+    assert r08[("P04",)]["aligned_share_of_aum_pct"] == 11.285714
+
+
+def test_r06(book):
+    r06 = rows_by(book.report("R06"), "legal_entity", "pai_indicator")
+    assert len(r06) == 6  # the trailing blank no longer splits an entity
+    am = "Asset Manager"
+    assert r06[(am, "PAI1_ghg_emissions_tco2e")]["pai_value"] == 101058.743167
+    assert r06[(am, "PAI2_carbon_footprint_tco2e_per_m_eur")]["pai_value"] == 474.443279
+    assert r06[(am, "PAI3_ghg_intensity_tco2e_per_m_eur")]["pai_value"] == 1294.306267
+    assert r06[("Bank", "PAI1_ghg_emissions_tco2e")]["pai_value"] == 51524.641667
+
+
+def test_r09(book):
+    r09 = rows_by(book.report("R09"), "gap_cause")
+    assert {k[0]: (v["row_count"], v["market_value_eur"], v["share_of_aum_pct"]) for k, v in r09.items()} == {
+        "mapped": (21, 303_904_900, 92.680805),
+        "orphan_provider": (1, 3_000_000, 0.914899),
+        "unmapped_issuer": (3, 15_000_000, 4.574497),
+        "zero_or_missing_denominator": (1, 6_000_000, 1.829799),
+    }
+    assert sum(v["share_of_aum_pct"] for v in r09.values()) == pytest.approx(100, abs=1e-5)
+
+
+def test_reconciliation_seeded_failures(book):
+    summary = {r["report_id"]: r for r in book.recon_summary().collect()}
+    assert {rid for rid, r in summary.items() if r["status"] == "FAIL"} == {"R01", "R09"}
+    assert not any(r["unexpected_fail"] for r in summary.values())
+    assert summary["R01"]["rows_new"] == 13 and summary["R09"]["rows_new"] == 4
+    top = book.top_breaks(8).collect()
+    assert max(r["break_rank"] for r in top) <= 8
+
+
+def test_row_accounting(book):
+    for r in book.step_metrics().collect():
+        if r["step"].startswith("silver."):
+            assert r["input_rows"] == r["output_rows"] + r["rejected_rows"] + r["duplicate_rows"], r
+    fe = {r["step"]: r for r in book.step_metrics().collect()}["gold.financed_emissions"]
+    assert fe["input_rows"] == fe["output_rows"] == 26
