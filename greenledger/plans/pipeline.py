@@ -54,6 +54,15 @@ class Book:
         self._typed_cache: dict[str, DataFrame] = {}
         self._silver_cache: dict[str, DataFrame] = {}
 
+    def pin(self, **frames: DataFrame) -> None:
+        """Use already-written tables for derived layers (``entity_map=``, ``fact=``, ...)."""
+        for name, df in frames.items():
+            self.__dict__[name] = df  # cached_property reads the instance dict first
+
+    def pin_silver(self, tables: Mapping[str, DataFrame]) -> None:
+        """Use already-written clean tables instead of cleaning the extracts."""
+        self._silver_cache.update(tables)
+
     # ---- silver -------------------------------------------------------------
     def _typed(self, name: str) -> DataFrame:
         if name not in self._typed_cache:
