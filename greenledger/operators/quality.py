@@ -199,6 +199,28 @@ def clean_table(raw: DataFrame, spec: CleanSpec) -> tuple[DataFrame, DataFrame]:
     return clean_rows(typed, spec), ledger_rows(typed, spec)
 
 
+def clean_counts(typed: DataFrame, spec: CleanSpec) -> DataFrame:
+    """One row: input, kept, rejected and de-duplicated row counts of a source (count-only aggregates).
+
+    Same rules as ``clean_rows`` / ``ledger_rows``, so input = kept + rejected + duplicates.
+    """
+    ok = reason_column(spec).isNull()
+    if not (spec.dedupe and spec.key):
+        return typed.agg(
+            F.count(F.lit(1)).alias("input_rows"),
+            F.count_if(ok).alias("output_rows"),
+            F.count_if(~ok).alias("rejected_rows"),
+            F.lit(0).cast("bigint").alias("duplicate_rows"),
+        )
+    per_key = typed.groupBy(*spec.key).agg(F.count(F.lit(1)).alias("_all"), F.count_if(ok).alias("_ok"))
+    return per_key.agg(
+        F.sum("_all").alias("input_rows"),
+        F.count_if(F.col("_ok") > 0).alias("output_rows"),
+        F.sum(F.col("_all") - F.col("_ok")).alias("rejected_rows"),
+        F.sum(F.greatest(F.col("_ok") - 1, F.lit(0))).alias("duplicate_rows"),
+    )
+
+
 def empty_rejects(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], REJECT_SCHEMA)
 

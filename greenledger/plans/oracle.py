@@ -470,7 +470,8 @@ def step_metrics_sql(tables) -> str:
     parts += [
         f"SELECT {e}, count(*), {z}, {z}, {z}, {z} FROM s_issuers",
         f"SELECT {e}, {z}, count(*), {z}, {z}, count_if(coverage_status <> 'mapped') FROM g_entity_map",
-        f"SELECT {g}, count(*), {z}, {z}, {z}, {z} FROM g_positions",
+        f"SELECT {g}, count(*), {z}, {z}, {z}, {z} FROM s_holdings WHERE as_of_date = {D}",
+        f"SELECT {g}, count(*), {z}, {z}, {z}, {z} FROM s_loans WHERE as_of_date = {D}",
         f"SELECT {g}, {z}, count(*), {z}, {z}, count_if(financed_emissions_tco2e IS NULL) FROM g_fe",
     ]
     sums = ", ".join(
