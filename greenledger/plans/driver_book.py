@@ -26,16 +26,12 @@ def driver_book(spark: SparkSession, sf_dir: str, as_of: str = driver.AS_OF, mat
     key = (id(spark), sf_dir, as_of, materialize_fact)
     book = _BOOKS.get(key)
     if book is None or book.spark is not spark:
-        extracts = driver.landing_extracts(spark, sf_dir, as_of)
-        holdings = specs.holdings_spec(driver.HOLDINGS_TIE_BREAKERS)
-        book = Book(
-            spark,
-            extracts,
-            as_of,
-            driver.LOAN_PORTFOLIO,
-            clean_specs={"holdings": holdings},
-            materialize_fact=materialize_fact,
-        )
+        if materialize_fact:
+            book = driver_book(spark, sf_dir, as_of).with_materialized_fact()
+        else:
+            extracts = driver.landing_extracts(spark, sf_dir, as_of)
+            holdings = specs.holdings_spec(driver.HOLDINGS_TIE_BREAKERS)
+            book = Book(spark, extracts, as_of, driver.LOAN_PORTFOLIO, clean_specs={"holdings": holdings})
         _BOOKS[key] = book
         while len(_BOOKS) > _MAX_BOOKS:
             _BOOKS.popitem(last=False)

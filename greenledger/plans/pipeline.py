@@ -24,7 +24,7 @@ from greenledger.operators.positions import positions_in_eur, with_legal_entity
 from greenledger.operators.quality import clean_counts, clean_rows, ledger_rows, reject_ledger, typed_frame
 from greenledger.operators.resolve import resolve_entities
 from greenledger.plans import specs
-from greenledger.session import checkpoint_dir
+from greenledger.sources.tables import materialize
 
 
 # The two reports whose legacy baseline is known to differ.
@@ -53,6 +53,16 @@ class Book:
         self.materialize_fact = materialize_fact
         self._typed_cache: dict[str, DataFrame] = {}
         self._silver_cache: dict[str, DataFrame] = {}
+        self._report_cache: dict[str, DataFrame] = {}
+
+    def with_materialized_fact(self) -> Book:
+        """A book sharing this one's silver plans whose fact is written once and read back."""
+        other = Book(self.spark, self.extracts, self.as_of, self.loan_portfolio, self.clean_specs, True)
+        other._typed_cache = self._typed_cache
+        other._silver_cache = self._silver_cache
+        if "entity_map" in self.__dict__:
+            other.pin(entity_map=self.__dict__["entity_map"])
+        return other
 
     def pin(self, **frames: DataFrame) -> None:
         """Use already-written tables for derived layers (``entity_map=``, ``fact=``, ...)."""
@@ -106,9 +116,9 @@ class Book:
     def fact(self) -> DataFrame:
         """Financed emissions at portfolio level plus the taxonomy shares (what marts and reports read).
 
-        With ``materialize_fact`` the fact is written once to the shared
-        checkpoint folder (reliable checkpoint: lineage cut, survives lost
-        executors) and every consumer reads it back.
+        With ``materialize_fact`` the fact is written once as a table in the
+        shared checkpoint folder (lineage cut, survives lost executors) and
+        every consumer reads it back.
         """
         fact = financed_emissions(
             self.silver("holdings"),
@@ -124,8 +134,7 @@ class Book:
             taxonomy=self.silver("taxonomy_data"),
         )
         if self.materialize_fact:
-            checkpoint_dir(self.spark)
-            fact = fact.checkpoint(eager=True)
+            fact = materialize(fact, "fact")
         return fact
 
     @cached_property
@@ -157,6 +166,12 @@ class Book:
 
     # ---- reports ------------------------------------------------------------
     def report(self, report_id: str) -> DataFrame:
+        """One of the nine reports (plan built once per book)."""
+        if report_id not in self._report_cache:
+            self._report_cache[report_id] = self._build_report(report_id)
+        return self._report_cache[report_id]
+
+    def _build_report(self, report_id: str) -> DataFrame:
         builders = {
             "R01": lambda: reports.r01_equity(self.fact),
             "R02": lambda: reports.r02_bonds(self.fact),

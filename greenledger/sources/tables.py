@@ -8,6 +8,7 @@ part files (never collected to the driver).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,3 +61,18 @@ def write_report_csv(df: DataFrame, path: str, single_file: bool = False) -> str
 def read_report_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read a report CSV back with its schema (empty field -> null)."""
     return spark.read.schema(schema).option("header", True).option("nullValue", "").csv(path)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the session's shared checkpoint folder and read it back.
+
+    Cuts lineage like a reliable checkpoint, but computes the plan once (a
+    reliable RDD checkpoint of an uncached plan runs it twice) and keeps the
+    data columnar, so readers get pruning and statistics.
+    """
+    from greenledger.session import checkpoint_dir  # local import: session helpers stay optional here
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/greenledger/{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
