@@ -62,26 +62,23 @@ def r05_waci(ci: DataFrame) -> DataFrame:
     )
 
 
-def r06_pai(fe: DataFrame, ci: DataFrame, portfolios: DataFrame, as_of: str) -> DataFrame:
+def r06_pai(summary: DataFrame, ci: DataFrame, portfolios: DataFrame, as_of: str) -> DataFrame:
     """SFDR PAI 1-3 per legal entity, long form.
 
-    PAI1 and PAI2 come from exact per-portfolio partial sums of the fact
-    (a tiny aggregate), mapped to legal entities and summed again: exact
-    decimal sums make this equal to summing the positions directly, and the
-    fact never needs the portfolio attributes. PAI2 uses the rounded PAI1 and
-    rounded AUM; PAI3 is the AUM-weighted rounded WACI over the entity's
-    portfolios.
+    ``summary`` is the exact per-portfolio aggregate of the fact
+    (``marts.portfolio_summary``) and ``ci`` the carbon intensity derived from
+    it, so the whole report is one scan of the fact. The DECIMAL partial sums
+    are mapped to legal entities and summed again, which equals summing the
+    positions directly. PAI2 uses the rounded PAI1 and rounded AUM; PAI3 is
+    the AUM-weighted rounded WACI over the entity's portfolios.
     """
     entity = portfolios.select("portfolio_id", "legal_entity")
-    per_portfolio = fe.groupBy("portfolio_id").agg(
-        exact_sum("financed_emissions_tco2e").alias("_fe"), exact_sum("exposure_eur").alias("_x")
-    )
     per_entity = (
-        per_portfolio.join(entity, "portfolio_id", "left")
+        summary.join(entity, "portfolio_id", "left")
         .groupBy("legal_entity")
         .agg(
-            as_double(F.round(F.sum("_fe"), 6)).alias("pai1"),
-            as_double(F.round(F.sum("_x"), 2)).alias("aum_eur"),
+            as_double(F.round(F.sum("total_fe"), 6)).alias("pai1"),
+            as_double(F.round(F.sum("aum"), 2)).alias("aum_eur"),
         )
     )
     pai12 = per_entity.select(

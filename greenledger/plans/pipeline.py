@@ -146,9 +146,13 @@ class Book:
     def data_quality(self) -> DataFrame:
         return marts.data_quality(self.fact)
 
+    @cached_property
+    def portfolio_summary(self) -> DataFrame:
+        return marts.portfolio_summary(self.fact)
+
     @cached_property
     def carbon_intensity(self) -> DataFrame:
-        return marts.carbon_intensity(self.fact)
+        return marts.carbon_intensity(self.fact, self.portfolio_summary)
 
     @cached_property
     def taxonomy_alignment(self) -> DataFrame:
@@ -178,7 +182,9 @@ class Book:
             "R03": lambda: reports.r03_loans(self.fact),
             "R04": lambda: reports.r04_quality(self.data_quality),
             "R05": lambda: reports.r05_waci(self.carbon_intensity),
-            "R06": lambda: reports.r06_pai(self.fact, self.carbon_intensity, self.silver("portfolios"), self.as_of),
+            "R06": lambda: reports.r06_pai(
+                self.portfolio_summary, self.carbon_intensity, self.silver("portfolios"), self.as_of
+            ),
             "R07": lambda: reports.r07_fossil(self.fact),
             "R08": lambda: reports.r08_taxonomy(self.taxonomy_alignment),
             "R09": lambda: reports.r09_coverage(self.coverage, self.as_of),

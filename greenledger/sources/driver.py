@@ -32,13 +32,13 @@ RATINGS = ("AAA", "AA", "A", "BBB", "BB", "B", "CCC")  # by s_suppkey % 7
 SOURCES_BY_RESIDUE = ("verified", "reported", "estimated")  # by s_suppkey % 3
 
 DRIVER_TABLES = ("customer", "supplier", "part", "orders", "lineitem")
-# The two fact-sized tables are spread on their key when under-split (columns pruned first).
-SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+# The fact-sized table is spread on its key when under-split (columns pruned first); the loans
+# extract is spread after projection, so the raw orders can still be broadcast where they are small.
+SPREAD_KEYS = {"lineitem": "l_orderkey"}
 SPREAD_COLUMNS = {
     "lineitem": (
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
     ),
-    "orders": ("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"),
 }
 
 
@@ -237,7 +237,7 @@ class LandingExtracts(Mapping):
             "instruments": lambda: instruments(self._t("part"), self._t("supplier")),
             "issuers": lambda: issuers(self._t("supplier")),
             "holdings": lambda: holdings(self._t("lineitem"), self._t("orders"), self._t("customer")),
-            "loans": lambda: loans(self._t("orders"), self._t("supplier")),
+            "loans": lambda: spread(loans(self._t("orders"), self._t("supplier")), "loan_id"),
             "company_financials": lambda: company_financials(self._t("lineitem")),
             "vendor_emissions": lambda: vendor_emissions(self._t("supplier"), self._as_of),
             "taxonomy_data": lambda: taxonomy_data(self._t("supplier"), self._as_of),

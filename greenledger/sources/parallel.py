@@ -14,7 +14,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     same rows) lets every core share that work. Inputs that already have
     enough splits, i.e. any large table on a cluster, are returned unchanged.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. remote clients): leave the plan as it is
+        return df
+    if have >= want:
         return df
     return df.repartition(want, *keys)
