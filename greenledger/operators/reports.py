@@ -62,44 +62,43 @@ def r05_waci(ci: DataFrame) -> DataFrame:
     )
 
 
-def r06_pai(summary: DataFrame, ci: DataFrame, portfolios: DataFrame, as_of: str) -> DataFrame:
-    """SFDR PAI 1-3 per legal entity, long form.
+def r06_pai(summary: DataFrame, portfolios: DataFrame, as_of: str) -> DataFrame:
+    """SFDR PAI 1-3 per legal entity, long form, from one aggregate.
 
     ``summary`` is the exact per-portfolio aggregate of the fact
-    (``marts.portfolio_summary``) and ``ci`` the carbon intensity derived from
-    it, so the whole report is one scan of the fact. The DECIMAL partial sums
-    are mapped to legal entities and summed again, which equals summing the
-    positions directly. PAI2 uses the rounded PAI1 and rounded AUM; PAI3 is
-    the AUM-weighted rounded WACI over the entity's portfolios.
+    (``marts.portfolio_summary``). Every PAI is computed in the same
+    per-entity aggregate over it, so the fact is scanned once: the DECIMAL
+    partial sums re-aggregate exactly (PAI1 = rounded total financed
+    emissions; PAI2 from the rounded PAI1 and rounded AUM), and PAI3 is the
+    AUM-weighted rounded WACI over the entity's portfolios that have a usable
+    position. An entity without such a portfolio has no PAI3 row.
     """
     entity = portfolios.select("portfolio_id", "legal_entity")
+    usable = F.col("usable_rows") > 0
+    waci = round_half_up(F.try_divide(as_double(F.col("waci_num")), as_double(F.col("covered_exposure"))), 6)
+    aum = as_double(F.col("aum"))
     per_entity = (
         summary.join(entity, "portfolio_id", "left")
         .groupBy("legal_entity")
         .agg(
             as_double(F.round(F.sum("total_fe"), 6)).alias("pai1"),
             as_double(F.round(F.sum("aum"), 2)).alias("aum_eur"),
+            sum_double(F.when(usable, waci * aum)).alias("_pai3_num"),
+            sum_double(F.when(usable, aum)).alias("_pai3_den"),
+            F.count_if(usable).alias("_usable_portfolios"),
         )
     )
-    pai12 = per_entity.select(
+    wide = per_entity.select(
         "legal_entity",
-        F.col("pai1"),
-        round_half_up(F.try_divide(F.col("pai1"), F.col("aum_eur") / 1_000_000.0), 6).alias("pai2"),
-    ).unpivot("legal_entity", ["pai1", "pai2"], "pai_indicator", "pai_value")
-    pai12 = pai12.withColumn(
-        "pai_indicator", F.when(F.col("pai_indicator") == "pai1", F.lit(PAI1)).otherwise(F.lit(PAI2))
+        "_usable_portfolios",
+        F.col("pai1").alias(PAI1),
+        round_half_up(F.try_divide(F.col("pai1"), F.col("aum_eur") / 1_000_000.0), 6).alias(PAI2),
+        round_half_up(F.try_divide(F.col("_pai3_num"), F.col("_pai3_den")), 6).alias(PAI3),
     )
-    pai3 = (
-        ci.join(entity, "portfolio_id", "left")
-        .groupBy("legal_entity")
-        .agg(
-            round_half_up(
-                F.try_divide(sum_double(F.col("waci_tco2e_per_m_eur") * F.col("aum_eur")), sum_double("aum_eur")), 6
-            ).alias("pai_value")
-        )
-        .select("legal_entity", F.lit(PAI3).alias("pai_indicator"), "pai_value")
+    long = wide.unpivot(["legal_entity", "_usable_portfolios"], [PAI1, PAI2, PAI3], "pai_indicator", "pai_value")
+    return long.where((F.col("pai_indicator") != PAI3) | (F.col("_usable_portfolios") > 0)).select(
+        "legal_entity", "pai_indicator", "pai_value", F.lit(as_of).cast("date").alias("as_of_date")
     )
-    return pai12.unionByName(pai3).withColumn("as_of_date", F.lit(as_of).cast("date"))
 
 
 def r07_fossil(fe: DataFrame) -> DataFrame:

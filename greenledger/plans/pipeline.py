@@ -182,9 +182,7 @@ class Book:
             "R03": lambda: reports.r03_loans(self.fact),
             "R04": lambda: reports.r04_quality(self.data_quality),
             "R05": lambda: reports.r05_waci(self.carbon_intensity),
-            "R06": lambda: reports.r06_pai(
-                self.portfolio_summary, self.carbon_intensity, self.silver("portfolios"), self.as_of
-            ),
+            "R06": lambda: reports.r06_pai(self.portfolio_summary, self.silver("portfolios"), self.as_of),
             "R07": lambda: reports.r07_fossil(self.fact),
             "R08": lambda: reports.r08_taxonomy(self.taxonomy_alignment),
             "R09": lambda: reports.r09_coverage(self.coverage, self.as_of),
