@@ -213,11 +213,12 @@ def clean_counts(typed: DataFrame, spec: CleanSpec) -> DataFrame:
             F.lit(0).cast("bigint").alias("duplicate_rows"),
         )
     per_key = typed.groupBy(*spec.key).agg(F.count(F.lit(1)).alias("_all"), F.count_if(ok).alias("_ok"))
+    zero = F.lit(0).cast("bigint")
     return per_key.agg(
-        F.sum("_all").alias("input_rows"),
+        F.coalesce(F.sum("_all"), zero).alias("input_rows"),
         F.count_if(F.col("_ok") > 0).alias("output_rows"),
-        F.sum(F.col("_all") - F.col("_ok")).alias("rejected_rows"),
-        F.sum(F.greatest(F.col("_ok") - 1, F.lit(0))).alias("duplicate_rows"),
+        F.coalesce(F.sum(F.col("_all") - F.col("_ok")), zero).alias("rejected_rows"),
+        F.coalesce(F.sum(F.greatest(F.col("_ok") - 1, F.lit(0))), zero).alias("duplicate_rows"),
     )
 
 
