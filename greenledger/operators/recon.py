@@ -110,6 +110,19 @@ def recon_summary(
     )
 
 
+def missing_baseline(report_id: str, new: DataFrame, expected_fail: Sequence[str] = ()) -> DataFrame:
+    """Summary row for a report whose baseline does not exist: FAIL, with the new side's row count."""
+    return new.agg(F.count(F.lit(1)).alias("rows_new")).select(
+        F.lit(report_id).alias("report_id"),
+        F.lit(FAIL).alias("status"),
+        "rows_new",
+        F.lit(0).cast("bigint").alias("rows_base"),
+        F.lit(0).cast("bigint").alias("breaks"),
+        F.lit("missing output or baseline").alias("note"),
+        F.lit(report_id not in expected_fail).alias("unexpected_fail"),
+    )
+
+
 def breaking_rows(breaks: DataFrame, n: int = 8) -> DataFrame:
     """The first ``n`` breaks of one report by key (top-k: a bounded sort, not a full one)."""
     return breaks.orderBy("key_text").limit(n)

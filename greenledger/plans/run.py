@@ -12,9 +12,11 @@ so later runs and readers prune to one date.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from greenledger.operators import metrics, recon
 from greenledger.operators.emissions import FINANCED_EMISSIONS_COLUMNS, TAXONOMY_ATTRS
@@ -94,8 +96,14 @@ def run_batch(
         if report_csv_dir:
             write_report_csv(written_reports[rid], f"{report_csv_dir.rstrip('/')}/{rid}", single_file=True)
     if baselines is not None:
-        pairs = {rid: (written_reports[rid], baselines.read(spark, "gold", rid.lower())) for rid in REPORT_IDS}
-        summary = recon.recon_summary(pairs, specs.RECON_SPECS, SEEDED_DIFFERENCES)
+        pairs, missing = {}, []
+        for rid in REPORT_IDS:
+            try:
+                pairs[rid] = (written_reports[rid], baselines.read(spark, "gold", rid.lower()))
+            except AnalysisException:  # no baseline table for this report
+                missing.append(recon.missing_baseline(rid, written_reports[rid], SEEDED_DIFFERENCES))
+        parts = [recon.recon_summary(pairs, specs.RECON_SPECS, SEEDED_DIFFERENCES)] if pairs else []
+        summary = reduce(DataFrame.unionByName, parts + missing)
         store.write(summary, "gold", "recon_summary")
 
     run_metrics = spark.createDataFrame(

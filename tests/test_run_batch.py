@@ -27,3 +27,13 @@ def test_run_batch_writes_layers(spark, fixture_extracts):
     run_batch(spark, fixture_extracts, store2, FIXTURE_AS_OF, FIXTURE_LOAN_PORTFOLIO, baselines=store)
     summary = store2.read(spark, "gold", "recon_summary").collect()
     assert len(summary) == 9 and all(r["status"] == "PASS" for r in summary)
+
+
+def test_missing_baseline_is_a_fail(spark, fixture_extracts):
+    base = tempfile.mkdtemp(prefix="greenledger-run-")
+    empty_baselines = TableStore(f"{base}/nothing-here")
+    store = TableStore(f"{base}/tables")
+    run_batch(spark, fixture_extracts, store, FIXTURE_AS_OF, FIXTURE_LOAN_PORTFOLIO, baselines=empty_baselines)
+    summary = {r["report_id"]: r for r in store.read(spark, "gold", "recon_summary").collect()}
+    assert len(summary) == 9 and all(r["status"] == "FAIL" for r in summary.values())
+    assert summary["R01"]["rows_new"] == 13 and summary["R02"]["unexpected_fail"]
