@@ -26,6 +26,16 @@ ISSUER_ATTRS = (
     "fossil_fuel_flag",
 )
 TAXONOMY_ATTRS = ("taxonomy_eligible_share", "taxonomy_aligned_share")
+# Columns that are the vendor's licensed data (they stay in the restricted layer).
+VENDOR_ATTRS = (
+    "provider_entity_id",
+    "scope1_tco2e",
+    "scope2_tco2e",
+    "scope3_tco2e",
+    "emission_data_source",
+    "esg_rating",
+    "fossil_fuel_flag",
+)
 FINANCED_EMISSIONS_COLUMNS = (
     *POSITION_COLUMNS,
     *ISSUER_ATTRS,
@@ -136,3 +146,8 @@ def financed_emissions(
     else:
         columns = tuple(c for c in columns if c != "legal_entity")
     return out.select(*columns, *tax_cols)
+
+
+def open_projection(fe: DataFrame) -> DataFrame:
+    """The fact without the vendor's licensed columns, for the open gold layer (derived values stay)."""
+    return fe.drop(*[c for c in VENDOR_ATTRS if c in fe.columns])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from greenledger.operators import metrics, recon
-from greenledger.operators.emissions import FINANCED_EMISSIONS_COLUMNS, TAXONOMY_ATTRS
+from greenledger.operators.emissions import FINANCED_EMISSIONS_COLUMNS, TAXONOMY_ATTRS, open_projection
 from greenledger.operators.positions import with_legal_entity
 from greenledger.plans import specs
 from greenledger.plans.pipeline import REPORT_IDS, SEEDED_DIFFERENCES, Book
@@ -75,8 +75,12 @@ def run_batch(
     log.append(entry)
     gold_book.pin(entity_map=emap)
     fact = with_legal_entity(gold_book.fact, clean["portfolios"]).select(*FINANCED_EMISSIONS_COLUMNS, *TAXONOMY_ATTRS)
-    fact, entry = _write_observed(fact, store, "gold", "financed_emissions", "gold.financed_emissions", partition_by=("as_of_date",))
+    # the full fact carries vendor data: restricted layer; the open gold table is its projection
+    fact, entry = _write_observed(
+        fact, store, "restricted", "financed_emissions_full", "gold.financed_emissions", partition_by=("as_of_date",)
+    )
     log.append(entry)
+    store.write(open_projection(fact), "gold", "financed_emissions", partition_by=("as_of_date",))
     gold_book.pin(fact=fact.where(F.col("as_of_date") == F.lit(as_of).cast("date")))
 
     marts_out = {

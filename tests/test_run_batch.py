@@ -22,6 +22,10 @@ def test_run_batch_writes_layers(spark, fixture_extracts):
     r01 = rows_by(store.read(spark, "gold", "r01"), "portfolio_id", "issuer_id")
     assert r01[("P01", "ISS001")]["financed_emissions_tco2e"] == 2312.5
     assert "restricted" in store.path("restricted", "vendor_emissions")
+    open_cols = store.read(spark, "gold", "financed_emissions").columns
+    assert "scope1_tco2e" not in open_cols and "esg_rating" not in open_cols
+    assert "financed_emissions_tco2e" in open_cols and "pcaf_score" in open_cols
+    assert "scope1_tco2e" in store.read(spark, "restricted", "financed_emissions_full").columns
     # a second run reconciles against the first as baseline: everything matches
     store2 = TableStore(f"{base}/tables2")
     run_batch(spark, fixture_extracts, store2, FIXTURE_AS_OF, FIXTURE_LOAN_PORTFOLIO, baselines=store)
