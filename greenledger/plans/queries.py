@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from greenledger.operators.emissions import VENDOR_ATTRS, open_projection
 from greenledger.operators.quality import DUPLICATE_KEY, reject_counts
 from greenledger.plans import oracle
 from greenledger.plans.driver_book import driver_book
@@ -66,6 +67,11 @@ def reject_ledger_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_counts(driver_book(spark, sf_dir).reject_ledger)
 
 
+def reject_ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ledger entry (the row JSON is left out: number formatting is engine-specific)."""
+    return driver_book(spark, sf_dir).reject_ledger.drop("details")
+
+
 def duplicates_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = driver_book(spark, sf_dir).reject_ledger
     return (
@@ -78,10 +84,12 @@ def duplicates_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {name: _silver(table) for name, table in CLEAN_QUERIES.items()}
     out["reject_ledger"] = reject_ledger_counts
+    out["reject_ledger_rows"] = reject_ledger_rows
     out["duplicates_dropped"] = duplicates_dropped
     out["entity_map"] = _attr("entity_map")
     out["positions_eur"] = _attr("positions")
     out["financed_emissions"] = _attr("financed_emissions")
+    out["financed_emissions_open"] = lambda spark, sf_dir: open_projection(driver_book(spark, sf_dir).financed_emissions)
     out["data_quality"] = _attr("data_quality")
     out["carbon_intensity"] = _attr("carbon_intensity")
     out["taxonomy_alignment"] = _attr("taxonomy_alignment")
@@ -132,6 +140,7 @@ def oracle_sql() -> dict[str, str]:
               CAST(sum(rejected_rows) AS BIGINT) AS rejected_rows
             FROM ({_rejects_union()}) r GROUP BY 1, 2"""
     )
+    out["reject_ledger_rows"] = w(f"SELECT * FROM ({_rejects_union()}) r")
     out["duplicates_dropped"] = w(
         f"""SELECT source_table, count(*) AS duplicate_keys, CAST(sum(rejected_rows) AS BIGINT) AS rows_dropped
             FROM ({_rejects_union()}) r WHERE reject_reason = 'duplicate_key' GROUP BY 1"""
@@ -139,6 +148,8 @@ def oracle_sql() -> dict[str, str]:
     out["entity_map"] = w("SELECT * FROM g_entity_map")
     out["positions_eur"] = w("SELECT * FROM g_positions")
     out["financed_emissions"] = w("SELECT * FROM g_fe")
+    vendor_cols = ", ".join(VENDOR_ATTRS)
+    out["financed_emissions_open"] = w(f"SELECT * EXCLUDE ({vendor_cols}) FROM g_fe")
     out["data_quality"] = w("SELECT * FROM g_dq")
     out["carbon_intensity"] = w("SELECT * FROM g_ci")
     out["taxonomy_alignment"] = w("SELECT * FROM g_ta")
