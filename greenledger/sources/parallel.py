@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-repartition ``df`` on ``keys`` when its scan has fewer splits than the cluster has cores.
+    """Round-robin ``df`` over the cluster's cores when its scan has fewer splits than cores.
 
     A single huge row group or an unsplittable (gzip) extract is read by one
     task, which then also does all the per-row parsing before the first
-    shuffle. Spreading on the key (deterministic, so a retried task sees the
-    same rows) lets every core share that work. Inputs that already have
-    enough splits, i.e. any large table on a cluster, are returned unchanged.
+    shuffle. Round-robin (not hash) distribution cannot be skewed by a hot key
+    or by a block of identical copies; Spark sorts each input partition before
+    distributing, so a retried task sends the same rows to the same place.
+    ``keys`` only document the grain. Inputs that already have enough splits,
+    i.e. any large table on a cluster, are returned unchanged.
     """
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
@@ -21,4 +23,4 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
         return df
     if have >= want:
         return df
-    return df.repartition(want, *keys)
+    return df.repartition(want)
