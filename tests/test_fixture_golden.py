@@ -14,8 +14,8 @@ def test_bronze_audit_columns(fixture_extracts):
 
 def test_cleaning_trims_types_and_flags(book):
     inst = rows_by(book.silver("instruments"), "instrument_id")
-    assert inst[("E001",)]["isin"] == "FI0000000001"
-    assert inst[("E011",)]["isin"] == "GB0000000011"
+    assert inst[("E001",)]["isin"] == "XS0000000001"
+    assert inst[("E011",)]["isin"] == "XS0000000011"
     iss = rows_by(book.silver("issuers"), "issuer_id")
     assert iss[("ISS009",)]["lei"] is None and iss[("ISS009",)]["lei_missing_flag"] == 1
     assert iss[("ISS001",)]["lei_missing_flag"] == 0
