@@ -25,6 +25,8 @@ from greenledger.plans import specs
 from greenledger.plans.pipeline import REPORT_IDS, SEEDED_DIFFERENCES, Book
 from greenledger.sources.tables import TableStore, write_report_csv
 
+# Reports whose size grows with the book (portfolio x issuer); the others are portfolio-grain or smaller.
+POSITION_GRAIN_REPORTS = ("R01", "R02", "R03")
 # Tables with a date column worth partitioning on.
 DATE_PARTITIONED = {"holdings": ("as_of_date",), "loans": ("as_of_date",)}
 
@@ -98,7 +100,10 @@ def run_batch(
         written_reports[rid], entry = _write_observed(gold_book.report(rid), store, "gold", rid.lower(), f"report.{rid}")
         log.append(entry)
         if report_csv_dir:
-            write_report_csv(written_reports[rid], f"{report_csv_dir.rstrip('/')}/{rid}", single_file=True)
+            # portfolio / entity / cause grain reports are small by construction: one file each;
+            # the position-grain reports (portfolio x issuer) are written by every task in parallel
+            single = rid not in POSITION_GRAIN_REPORTS
+            write_report_csv(written_reports[rid], f"{report_csv_dir.rstrip('/')}/{rid}", single_file=single)
     if baselines is not None:
         pairs, missing = {}, []
         for rid in REPORT_IDS:
