@@ -12,7 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SUM_TYPE = "decimal(38,10)"  # 28 integer digits for sums of products
+# Per-row money, shares, scores and published rates carry at most 6 decimals and stay below 1e12
+# (ANSI raises on overflow rather than rounding): as DECIMAL(18,6) they are exact, and a product of
+# two of them is an exact DECIMAL(37,12). Values with no short decimal form (e.g. issuer intensity
+# times exposure, never published) are taken to 6 decimals as DECIMAL(38,6) before summing.
+ROW_TYPE = "decimal(18,6)"
+SUM_TYPE = "decimal(38,6)"
 ROUND_TYPE = "decimal(38,18)"  # 20 integer digits, 18 places before a published rounding
 
 
@@ -25,14 +30,26 @@ def as_double(dec: Column) -> Column:
     return dec.cast("string").cast("double")
 
 
-def exact_sum(col: str | Column) -> Column:
-    """Order-independent sum of a double column, as DECIMAL(38,10)."""
+def exact_sum(col: str | Column, *factors: str | Column) -> Column:
+    """Order-independent sum of a money-like column (or of a product of such columns), as DECIMAL.
+
+    Every factor is taken as DECIMAL(18,6); the product is formed in decimal, so nothing is
+    rounded before or during the sum.
+    """
+    term = _c(col).cast(ROW_TYPE)
+    for f in factors:
+        term = term * _c(f).cast(ROW_TYPE)
+    return F.sum(term)
+
+
+def decimal_sum(col: str | Column) -> Column:
+    """Order-independent sum of values without a short decimal form, each taken to 6 decimals."""
     return F.sum(_c(col).cast(SUM_TYPE))
 
 
-def sum_double(col: str | Column) -> Column:
+def sum_double(col: str | Column, *factors: str | Column) -> Column:
     """Exact sum returned as double."""
-    return as_double(exact_sum(col))
+    return as_double(exact_sum(col, *factors))
 
 
 def round_half_up(col: str | Column, places: int) -> Column:

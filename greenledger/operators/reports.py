@@ -83,7 +83,7 @@ def r06_pai(summary: DataFrame, portfolios: DataFrame, as_of: str) -> DataFrame:
         .agg(
             as_double(F.round(F.sum("total_fe"), 6)).alias("pai1"),
             as_double(F.round(F.sum("aum"), 2)).alias("aum_eur"),
-            sum_double(F.when(usable, waci * aum)).alias("_pai3_num"),
+            sum_double(F.when(usable, waci), aum).alias("_pai3_num"),
             sum_double(F.when(usable, aum)).alias("_pai3_den"),
             F.count_if(usable).alias("_usable_portfolios"),
         )

@@ -17,14 +17,22 @@ AS_OF = driver.AS_OF
 FY = int(AS_OF[:4])
 D = f"DATE '{AS_OF}'"
 
-def xsum(e: str) -> str:
-    """Exact sum as double (DECIMAL(38,10) sum, converted through text)."""
-    return f"CAST(CAST(sum(CAST({e} AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE)"
+def xsum(e: str, *factors: str) -> str:
+    """Exact sum as double: factors as DECIMAL(18,6), product in decimal, converted through text."""
+    # the first factor is widened so DuckDB forms the product in 128 bits (still exact)
+    first = f"CAST({e} AS DECIMAL({38 if factors else 18},6))"
+    term = " * ".join([first, *(f"CAST({x} AS DECIMAL(18,6))" for x in factors)])
+    return f"CAST(CAST(sum({term}) AS VARCHAR) AS DOUBLE)"
+
+
+def dsum(e: str) -> str:
+    """Sum of values without a short decimal form, each taken to 6 decimals, as double."""
+    return f"CAST(CAST(sum(CAST({e} AS DECIMAL(38,6))) AS VARCHAR) AS DOUBLE)"
 
 
 def rsum(e: str, n: int) -> str:
     """Exact sum rounded half-up to n places, as double."""
-    return f"CAST(CAST(round(sum(CAST({e} AS DECIMAL(38,10))), {n}) AS VARCHAR) AS DOUBLE)"
+    return f"CAST(CAST(round(sum(CAST({e} AS DECIMAL(18,6))), {n}) AS VARCHAR) AS DOUBLE)"
 
 
 def rnd(e: str, n: int) -> str:
@@ -245,12 +253,12 @@ g_dq AS (
     {rnd("score_num / nullif(exposure_eur, 0)", 4)} AS weighted_pcaf_score,
     {rnd("100.0 * covered_exposure_eur / nullif(exposure_eur, 0)", 4)} AS coverage_pct
   FROM (SELECT as_of_date, portfolio_id, asset_class, {xsum("exposure_eur")} AS exposure_eur,
-          {xsum("pcaf_score * exposure_eur")} AS score_num,
+          {xsum("pcaf_score", "exposure_eur")} AS score_num,
           {xsum("CASE WHEN financed_emissions_tco2e IS NOT NULL THEN exposure_eur ELSE 0.0 END")} AS covered_exposure_eur
         FROM g_fe GROUP BY 1, 2, 3) a),
 g_ci_usable AS (
   SELECT as_of_date, portfolio_id,
-    {xsum("issuer_emissions_tco2e / (revenue_eur / 1000000.0) * exposure_eur")} AS waci_num,
+    {dsum("issuer_emissions_tco2e / (revenue_eur / 1000000.0) * exposure_eur")} AS waci_num,
     {xsum("exposure_eur")} AS covered_exposure_eur, {xsum("financed_emissions_tco2e")} AS financed_emissions_tco2e
   FROM g_fe
   WHERE issuer_emissions_tco2e IS NOT NULL AND revenue_eur > 0 AND financed_emissions_tco2e IS NOT NULL
@@ -269,8 +277,8 @@ g_ta AS (
       AS aligned_share_of_eligible_pct,
     {rnd("100.0 * aligned_eur / nullif(aum_eur, 0)", 6)} AS aligned_share_of_aum_pct
   FROM (SELECT fe.as_of_date, fe.portfolio_id, {xsum("fe.exposure_eur")} AS aum_eur,
-          {xsum("fe.exposure_eur * coalesce(t.taxonomy_eligible_share, 0.0)")} AS eligible_eur,
-          {xsum("fe.exposure_eur * coalesce(t.taxonomy_aligned_share, 0.0)")} AS aligned_eur
+          {xsum("fe.exposure_eur", "coalesce(t.taxonomy_eligible_share, 0.0)")} AS eligible_eur,
+          {xsum("fe.exposure_eur", "coalesce(t.taxonomy_aligned_share, 0.0)")} AS aligned_eur
         FROM g_fe fe
         LEFT JOIN (SELECT * FROM s_taxonomy_data WHERE fiscal_year = {FY}) t ON fe.issuer_id = t.issuer_id
         GROUP BY 1, 2) a),
@@ -303,7 +311,7 @@ def _r09(coverage: str) -> str:
       AS share_of_aum_pct,
     {D} AS as_of_date
   FROM (SELECT gap_cause, count(*) AS row_count, {rsum("exposure_eur", 2)} AS market_value_eur,
-          sum(CAST(exposure_eur AS DECIMAL(38,10))) AS cause_total
+          sum(CAST(exposure_eur AS DECIMAL(18,6))) AS cause_total
         FROM {coverage} GROUP BY gap_cause) c"""
 
 
@@ -328,7 +336,7 @@ REPORT_SQL = {
         FROM g_fe GROUP BY 1) e
   UNION ALL
   SELECT p.legal_entity, 'PAI3_ghg_intensity_tco2e_per_m_eur',
-    {rnd(f'{xsum("ci.waci_tco2e_per_m_eur * ci.aum_eur")} / nullif({xsum("ci.aum_eur")}, 0)', 6)}, {D}
+    {rnd(f'{xsum("ci.waci_tco2e_per_m_eur", "ci.aum_eur")} / nullif({xsum("ci.aum_eur")}, 0)', 6)}, {D}
   FROM g_ci ci LEFT JOIN s_portfolios p ON ci.portfolio_id = p.portfolio_id
   GROUP BY p.legal_entity""",
     "R07": f"""

@@ -1,5 +1,8 @@
 """Unit tests of the column functions and operators on tiny frames."""
 
+import functools
+import operator
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,11 +33,19 @@ def test_round_half_up_in_decimal_domain(spark):
 
 
 def test_exact_sum_is_order_independent(spark):
-    values = [0.1] * 10 + [1e16, -1e16]
+    values = [9e11] + [0.1] * 10 + [-9e11]
+    assert functools.reduce(operator.add, values) != 1.0  # a plain double sum in this order drifts
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(7)
     assert df.agg(numeric.sum_double("x")).first()[0] == 1.0
 
 
+def test_exact_sum_refuses_values_outside_its_domain(spark):
+    # rows are DECIMAL(18,6): beyond 1e12 the cast fails loudly (ANSI) instead of rounding
+    df = spark.createDataFrame([(1e16,)], "x double")
+    with pytest.raises(Exception):
+        df.agg(numeric.sum_double("x")).collect()
+
+
 PCAF_ROWS = [
     # status, source, s1, s2, s3 -> score
     ("mapped", "verified", 1.0, 1.0, 1.0, 1),
