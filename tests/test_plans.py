@@ -70,3 +70,16 @@ def test_partition_pruning_on_written_tables(spark):
     plan = plan_of(read)
     assert re.search(r"PartitionFilters: \[[^\]]*as_of_date", plan)
     assert [r["k"] for r in read.collect()] == ["a"]
+
+
+def test_spread_only_when_under_split_and_copies_stay_balanced(spark):
+    from greenledger.sources.parallel import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, numPartitions=cores)
+    assert spread(wide, "id") is wide  # enough splits: unchanged plan
+    copies = spark.range(0, 8000, numPartitions=1).select(F.lit(7).alias("k"))  # one key, all copies
+    spread_df = spread(copies, "k")
+    sizes = spread_df.rdd.glom().map(len).collect()
+    assert len(sizes) == cores and sum(sizes) == 8000
+    assert max(sizes) - min(sizes) <= 1  # round-robin: a hot key or a block of copies cannot pile up
