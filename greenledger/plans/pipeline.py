@@ -27,6 +27,24 @@ from greenledger.plans import specs
 from greenledger.sources.tables import materialize
 
 
+# Columns of the fact that the marts and reports read.
+REPORT_FACT_COLUMNS = (
+    "as_of_date",
+    "portfolio_id",
+    "issuer_id",
+    "issuer_name",
+    "asset_class",
+    "exposure_eur",
+    "revenue_eur",
+    "coverage_status",
+    "fossil_fuel_flag",
+    "attribution_factor",
+    "issuer_emissions_tco2e",
+    "financed_emissions_tco2e",
+    "pcaf_score",
+    "taxonomy_eligible_share",
+    "taxonomy_aligned_share",
+)
 # The two reports whose legacy baseline is known to differ.
 SEEDED_DIFFERENCES = ("R01", "R09")
 
@@ -114,13 +132,8 @@ class Book:
 
     @cached_property
     def fact(self) -> DataFrame:
-        """Financed emissions at portfolio level plus the taxonomy shares (what marts and reports read).
-
-        With ``materialize_fact`` the fact is written once as a table in the
-        shared checkpoint folder (lineage cut, survives lost executors) and
-        every consumer reads it back.
-        """
-        fact = financed_emissions(
+        """Financed emissions at portfolio level plus the taxonomy shares (full width, lazy plan)."""
+        return financed_emissions(
             self.silver("holdings"),
             self.silver("instruments"),
             self.silver("loans"),
@@ -133,9 +146,19 @@ class Book:
             self.loan_portfolio,
             taxonomy=self.silver("taxonomy_data"),
         )
+
+    @cached_property
+    def report_fact(self) -> DataFrame:
+        """What the marts and reports read.
+
+        With ``materialize_fact`` only the columns they use are written, once,
+        as a table in the shared checkpoint folder (lineage cut, survives lost
+        executors) and every consumer reads it back; otherwise it is the lazy
+        fact, which Catalyst prunes per query anyway.
+        """
         if self.materialize_fact:
-            fact = materialize(fact, "fact")
-        return fact
+            return materialize(self.fact.select(*REPORT_FACT_COLUMNS), "fact")
+        return self.fact
 
     @cached_property
     def financed_emissions(self) -> DataFrame:
@@ -144,24 +167,24 @@ class Book:
 
     @cached_property
     def data_quality(self) -> DataFrame:
-        return marts.data_quality(self.fact)
+        return marts.data_quality(self.report_fact)
 
     @cached_property
     def portfolio_summary(self) -> DataFrame:
-        return marts.portfolio_summary(self.fact)
+        return marts.portfolio_summary(self.report_fact)
 
     @cached_property
     def carbon_intensity(self) -> DataFrame:
-        return marts.carbon_intensity(self.fact, self.portfolio_summary)
+        return marts.carbon_intensity(self.report_fact, self.portfolio_summary)
 
     @cached_property
     def taxonomy_alignment(self) -> DataFrame:
-        return marts.taxonomy_alignment(self.fact)
+        return marts.taxonomy_alignment(self.report_fact)
 
     @cached_property
     def coverage(self) -> DataFrame:
         """Gap cause per position at portfolio level (what R09 aggregates)."""
-        return marts.coverage_gaps(self.fact)
+        return marts.coverage_gaps(self.report_fact)
 
     @cached_property
     def coverage_table(self) -> DataFrame:
@@ -177,13 +200,13 @@ class Book:
 
     def _build_report(self, report_id: str) -> DataFrame:
         builders = {
-            "R01": lambda: reports.r01_equity(self.fact),
-            "R02": lambda: reports.r02_bonds(self.fact),
-            "R03": lambda: reports.r03_loans(self.fact),
+            "R01": lambda: reports.r01_equity(self.report_fact),
+            "R02": lambda: reports.r02_bonds(self.report_fact),
+            "R03": lambda: reports.r03_loans(self.report_fact),
             "R04": lambda: reports.r04_quality(self.data_quality),
             "R05": lambda: reports.r05_waci(self.carbon_intensity),
             "R06": lambda: reports.r06_pai(self.portfolio_summary, self.silver("portfolios"), self.as_of),
-            "R07": lambda: reports.r07_fossil(self.fact),
+            "R07": lambda: reports.r07_fossil(self.report_fact),
             "R08": lambda: reports.r08_taxonomy(self.taxonomy_alignment),
             "R09": lambda: reports.r09_coverage(self.coverage, self.as_of),
         }
