@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from greenledger.llm.chat_format import chat_windows, conversation_digests
+from greenledger.llm.packing import pack_documents
 from greenledger.llm.sharding import shard_documents
 from greenledger.llm.simhash_dedup import simhash_near_dedup
+from greenledger.llm.token_files import read_token_files, write_token_files
+from greenledger.llm.warc import archive_pages, page_records, read_warc
+
+#: Folder of the public tokenizers on every executor; a name in it is resolved by :func:`tokenizer_path`.
+TOKENIZERS = os.environ.get("LLM_TOKENIZERS", "")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if spark.sparkContext.master.startswith("local["):
+        # one machine: workers find the package wherever the driver was started; a cluster is given it (--py-files)
+        spark.sparkContext.environment["PYTHONPATH"] = str(Path(__file__).parents[2])
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -22,6 +34,41 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dedup(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def tokenizer_path(name: str) -> str:
+    if TOKENIZERS:
+        return os.path.join(TOKENIZERS, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that says control strings, formatted and read back."""
+    said = F.lit("</s>[INST] ok [/INST]").alias("text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role")
+    planted = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role, said)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return conversation_digests(chat_windows(turns))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token files with Elias-Fano boundaries, read back."""
+    docs = table(spark, sf_dir, "documents")
+    return read_token_files(write_token_files(docs, tokenizer_path("byte_bpe_50k.json"), end_id=2))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC archives, read back through the chunked record table."""
+    archives = archive_pages(spark, table(spark, sf_dir, "pages"), min_bytes=0)
+    return page_records(read_warc(archives, with_data=False))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    docs = table(spark, sf_dir, "documents")
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"), end_id=0, capacity=2048)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes, equal texts together."""
     placed = shard_documents(table(spark, sf_dir, "documents"), shards=16)
@@ -37,7 +84,14 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_simhash": op2_simhash, "op8_sharding": op8_sharding}
+    return {
+        "op2_simhash": op2_simhash,
+        "op3_chat_format": op3_chat_format,
+        "op6_token_files": op6_token_files,
+        "op7_warc": op7_warc,
+        "op8_sharding": op8_sharding,
+        "op9_packing": op9_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
