@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenledger.llm.chat_format import chat_windows, conversation_digests
+from greenledger.llm.embedding_dedup import embedding_near_dedup
 from greenledger.llm.packing import pack_documents
 from greenledger.llm.sharding import shard_documents
 from greenledger.llm.simhash_dedup import simhash_near_dedup
@@ -29,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine >= 0.98 between all embeddings of a label."""
+    return embedding_near_dedup(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-dedup of all documents: 3-word shingles, 3 bits."""
     return simhash_near_dedup(table(spark, sf_dir, "documents"), shingle=3, radius=3)
@@ -85,6 +91,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_embeddings": op1_embeddings,
         "op2_simhash": op2_simhash,
         "op3_chat_format": op3_chat_format,
         "op6_token_files": op6_token_files,
@@ -94,5 +101,39 @@ def queries() -> dict[str, Query]:
     }
 
 
+#: Cosine in double precision over equal labels, and the vectors reachable over the links.
+EMBEDDINGS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), n AS (SELECT a, count(*) AS n FROM link GROUP BY a), low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT vec_id, COALESCE(n.n, 0) AS n_links, COALESCE(LEAST(vec_id, low.b), vec_id) AS component_id,
+  vec_id = COALESCE(LEAST(vec_id, low.b), vec_id) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN low ON low.a = vec_id
+"""
+
+#: Base32 of SHA-1: five hex digits are four base32 digits.
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, COALESCE(html, '') AS html, sha1(COALESCE(html, '')) AS h,
+    min(page_id) OVER (PARTITION BY COALESCE(html, '')) AS first FROM pages
+)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(1 + ((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INT), 5) AS BIGINT) >> CAST(5 * (3 - i % 4) AS INT)) & 31) AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_embeddings": EMBEDDINGS_SQL, "op7_warc": WARC_SQL}
