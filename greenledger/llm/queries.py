@@ -14,6 +14,7 @@ from greenledger.llm.embedding_dedup import embedding_near_dedup
 from greenledger.llm.packing import pack_documents
 from greenledger.llm.sharding import shard_documents
 from greenledger.llm.simhash_dedup import simhash_near_dedup
+from greenledger.llm.toxicity import fit_from, fold, toxic_spans
 from greenledger.llm.token_files import read_token_files, write_token_files
 from greenledger.llm.warc import archive_pages, page_records, read_warc
 
@@ -89,6 +90,13 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; the model never sees the held-out fifth of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxic_spans(docs, fit_from(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted", "spans")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_embeddings": op1_embeddings,
@@ -98,6 +106,7 @@ def queries() -> dict[str, Query]:
         "op7_warc": op7_warc,
         "op8_sharding": op8_sharding,
         "op9_packing": op9_packing,
+        "op10_toxicity": op10_toxicity,
     }
 
 
