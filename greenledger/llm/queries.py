@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenledger.llm.chat_format import chat_windows, conversation_digests
+from greenledger.llm.decontaminate import contaminated
 from greenledger.llm.embedding_dedup import embedding_near_dedup
 from greenledger.llm.packing import pack_documents
 from greenledger.llm.sharding import shard_documents
 from greenledger.llm.simhash_dedup import simhash_near_dedup
 from greenledger.llm.toxicity import fit_from, fold, toxic_spans
+from greenledger.llm.suffix_dedup import repeated_passages
 from greenledger.llm.token_files import read_token_files, write_token_files
 from greenledger.llm.warc import archive_pages, page_records, read_warc
 
@@ -58,6 +60,16 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(chat_windows(turns))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of all documents that are similar to a benchmark item: 5 words, 0.8 or more."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), threshold=0.8)
+
+
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that stand more than once in all documents."""
+    return repeated_passages(table(spark, sf_dir, "documents"), passage=50)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token files with Elias-Fano boundaries, read back."""
     docs = table(spark, sf_dir, "documents")
@@ -102,6 +114,8 @@ def queries() -> dict[str, Query]:
         "op1_embeddings": op1_embeddings,
         "op2_simhash": op2_simhash,
         "op3_chat_format": op3_chat_format,
+        "op4_decontaminate": op4_decontaminate,
+        "op5_suffix_array": op5_suffix_array,
         "op6_token_files": op6_token_files,
         "op7_warc": op7_warc,
         "op8_sharding": op8_sharding,
