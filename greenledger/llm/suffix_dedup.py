@@ -138,10 +138,19 @@ def _text_bytes(x: str | None) -> bytes:
     return (x or "").encode("utf-8", "surrogatepass")
 
 
+def text_key(text: Column) -> Column:
+    """64 bits of a text's SHA-256; null counts as empty."""
+    return F.xxhash64(_digest(F.coalesce(text.cast("string"), F.lit(""))))
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.substring(F.sha2(text.cast("binary"), 256), 1, 32))
+
+
 def repeated_passages(
     docs: DataFrame, passage: int = PASSAGE, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``(doc_id, start_word, n_words, duplicate, first_doc_id)``: passages that stand elsewhere too.
+    """``(doc_id, start_word, n_words, duplicate, first_doc_id, text_key)``: passages that stand elsewhere too.
 
     A window of ``passage`` words has its first place in the smallest document id that holds it, and
     there at the earliest word. ``duplicate`` rows cover the windows whose first place is another;
@@ -150,12 +159,13 @@ def repeated_passages(
     the smallest document that holds a window of the row.
 
     Texts under ``passage`` words, empty and null ones have no rows. Rows of one id and one text are
-    one document; a null id counts as the smallest. Other columns are ignored.
+    one document; rows of one id with different texts, or without an id, are told apart by
+    ``text_key`` (:func:`text_key`). A null id counts as the smallest. Other columns are ignored.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("d"),
-        F.unhex(F.substring(F.sha2(text.cast("binary"), 256), 1, 32)).alias("th"),
+        _digest(text).alias("th"),
         text.alias("text"),
     )
 
@@ -182,7 +192,7 @@ def repeated_passages(
     copied = heads.where("head != tail").select("th", "head")
     one = F.col("d") == F.col("head")
     copies = rows.select("d", "th", "n").join(copied, "th").select(
-        "d", F.lit(0).cast("long").alias("start_word"), F.col("n").alias("n_words"), (~one).alias("duplicate"), F.col("head").alias("first")
+        "d", F.lit(0).cast("long").alias("start_word"), F.col("n").alias("n_words"), (~one).alias("duplicate"), F.col("head").alias("first"), F.xxhash64("th").alias("t")
     )
 
     # 1. Suffixes with an equal neighbour in another text, or in their own.
@@ -197,42 +207,46 @@ def repeated_passages(
     # 2. Windows around them.
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for d, x, ks in zip(*(batch.column(i) for i in range(3)), strict=True):
+            for d, x, ks, t in zip(*(batch.column(i) for i in range(4)), strict=True):
                 want = ks.values.to_numpy(zero_copy_only=False).view(np.uint64)
                 at, hashes, again = _windows(_text_bytes(x.as_py()), want, passage, gram)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(at), d.as_py()), pa.int64()),
-                        pa.array(at, pa.int64()),
+                        pa.array(np.full(len(at), t.as_py()), pa.int64()),
+                        pa.array(at.astype(np.int32)),
                         pa.array(hashes.view(np.int64)),
                         pa.array(again),
                     ],
-                    names=["d", "p", "h", "again"],
+                    names=["d", "t", "p", "h", "again"],
                 )
 
-    around = texts.join(wanted, ["d", "th"]).select("d", "text", "ks")
-    windows = stored(around.mapInArrow(extend, "d long, p long, h long, again boolean").select("d", F.col("p").cast("int").alias("p"), "h", "again"), "suffix-windows")
-    least = windows.groupBy("h").agg(F.min("d").alias("first"), F.max("d").alias("last"), F.max("again").alias("self"))
-    least = least.where("first != last OR self").select("h", "first")
-    hits = windows.join(least, "h").select("d", "p", "first", (F.col("again") | (F.col("d") != F.col("first"))).alias("dup"))
-    per_doc = hits.groupBy("d", "dup").agg(F.collect_list(F.struct("p", "first")).alias("hits"))
+    around = texts.join(wanted, ["d", "th"]).select("d", "text", "ks", F.xxhash64("th").alias("t"))
+    windows = stored(around.mapInArrow(extend, "d long, t long, p int, h long, again boolean"), "suffix-windows")
+    least = windows.groupBy("h").agg(
+        F.min("d").alias("first"), F.max("d").alias("last"), F.min("t").alias("a"), F.max("t").alias("b"), F.max("again").alias("self")
+    )
+    least = least.where("first != last OR a != b OR self").select("h", "first", F.expr("CASE WHEN first = last THEN a END").alias("a"))
+    elsewhere = F.col("again") | (F.col("d") != F.col("first")) | F.coalesce(F.col("t") != F.col("a"), F.lit(False))
+    hits = windows.join(least, "h").select("d", "t", "p", "first", elsewhere.alias("dup"))
+    per_doc = hits.groupBy("d", "t", "dup").agg(F.collect_list(F.struct("p", "first")).alias("hits"))
 
     def join_up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for d, dup, found in zip(frame["d"], frame["dup"], frame["hits"], strict=True):
+            for d, t, dup, found in zip(frame["d"], frame["t"], frame["dup"], frame["hits"], strict=True):
                 found = sorted({(x["p"], x["first"]) for x in found})
                 places = np.array([p for p, _ in found])
                 firsts = np.array([x for _, x in found])
                 for a, b in zip(*_runs(places, passage), strict=True):
                     inside = firsts[np.searchsorted(places, a) : np.searchsorted(places, b - passage, side="right")]
-                    out.append((d, a, b - a, dup, inside.min()))
-            yield pd.DataFrame(out, columns=["d", "start_word", "n_words", "duplicate", "first"])
+                    out.append((d, a, b - a, dup, inside.min(), t))
+            yield pd.DataFrame(out, columns=["d", "start_word", "n_words", "duplicate", "first", "t"])
 
-    spans = per_doc.mapInPandas(join_up, "d long, start_word long, n_words long, duplicate boolean, first long")
+    spans = per_doc.mapInPandas(join_up, "d long, start_word long, n_words long, duplicate boolean, first long, t long")
     named = lambda c: F.when(F.col(c) != _NULL_ID, F.col(c))
     return spans.unionByName(copies.distinct()).select(
-        named("d").alias("doc_id"), "start_word", "n_words", "duplicate", named("first").alias("first_doc_id")
+        named("d").alias("doc_id"), "start_word", "n_words", "duplicate", named("first").alias("first_doc_id"), F.col("t").alias("text_key")
     )
 
 
@@ -254,20 +268,23 @@ def _without(text: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def remove_passages(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the duplicate passages of ``spans``; columns and rows stay, texts get shorter.
+def remove_passages(
+    docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None
+) -> DataFrame:
+    """``docs`` without the duplicate passages of ``spans``; a document left without a word goes.
 
-    Only affected texts go through Python. A text that is one duplicate passage becomes empty. Null
-    ids are matched like others.
+    Columns stay; ``length_col`` gets the new number of characters where a text got shorter. Only
+    affected texts go through Python. Rows are matched by id (null too) and text.
     """
-    cuts = spans.where("duplicate").groupBy(F.col("doc_id").alias("_gl_id")).agg(
+    cuts = spans.where("duplicate").groupBy(F.col("doc_id").alias("_gl_id"), F.col("text_key").alias("_gl_key")).agg(
         F.collect_list(F.struct("start_word", "n_words")).alias("_gl_cuts")
     )
-    joined = docs.join(cuts, docs[id_col].eqNullSafe(F.col("_gl_id")), "left")
+    same = docs[id_col].eqNullSafe(F.col("_gl_id")) & (text_key(docs[text_col]) == F.col("_gl_key"))
+    joined = docs.join(cuts, same, "left")
     hit = F.col("_gl_cuts").isNotNull()
-    clean = _without(F.when(hit, F.col(text_col)), F.col("_gl_cuts"))
-    joined = joined.withColumn("_gl_text", clean)
-    columns: list[Column] = [
-        F.when(hit, F.col("_gl_text")).otherwise(F.col(c)).alias(c) if c == text_col else docs[c] for c in docs.columns
-    ]
-    return joined.select(columns)
+    joined = joined.withColumn("_gl_new", _without(F.when(hit, F.col(text_col)), F.col("_gl_cuts")))
+    joined = joined.where(~hit | F.col("_gl_new").rlike(r"[^\x20\x09-\x0D]"))
+    new = {text_col: F.col("_gl_new")}
+    if length_col:
+        new[length_col] = F.length("_gl_new").cast(docs.schema[length_col].dataType)
+    return joined.select([F.when(hit, new[c]).otherwise(docs[c]).alias(c) if c in new else docs[c] for c in docs.columns])

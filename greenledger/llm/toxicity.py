@@ -319,6 +319,31 @@ def fit_from(
     return fit(rows["_text"].to_pylist(), rows["_y"].to_pylist())
 
 
+def _chunks(every: list[str | None]) -> Iterator[tuple[int, list[str]]]:
+    """Texts in turns of about BATCH_CHARS characters, null as empty: ``(from, texts)``."""
+    texts, at, size = [], 0, 0
+    for i, t in enumerate(every):
+        texts.append(t or "")
+        size += len(texts[-1])
+        if size >= BATCH_CHARS or i == len(every) - 1:
+            yield at, texts
+            texts, at, size = [], i + 1, 0
+
+
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is not predicted toxic, unchanged."""
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(model)
+        for batch in batches:
+            for at, texts in _chunks(batch.column(place).to_pylist()):
+                clean = [x < 0.5 for x, _ in scorer.score(texts)]
+                yield batch.slice(at, len(texts)).filter(pa.array(clean))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def toxic_spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, score, predicted, spans)``: one row per row of ``docs``; whole texts are scored.
 
@@ -337,24 +362,17 @@ def toxic_spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(model)
         for batch in batches:
-            texts, at = [], 0
-            every = batch.column(1).to_pylist()
-            size = 0
-            for i, t in enumerate(every):
-                texts.append(t or "")
-                size += len(texts[-1])
-                if size >= BATCH_CHARS or i == len(every) - 1:
-                    found = scorer.score(texts)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column(0).slice(at, len(texts)),
-                            pa.array([x for x, _ in found], schema.field(0).type),
-                            pa.array([int(x >= 0.5) for x, _ in found], schema.field(1).type),
-                            pa.array([s for _, s in found], schema.field(2).type),
-                        ],
-                        names=["doc_id", *schema.names],
-                    )
-                    texts, at, size = [], i + 1, 0
+            for at, texts in _chunks(batch.column(1).to_pylist()):
+                found = scorer.score(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(at, len(texts)),
+                        pa.array([x for x, _ in found], schema.field(0).type),
+                        pa.array([int(x >= 0.5) for x, _ in found], schema.field(1).type),
+                        pa.array([s for _, s in found], schema.field(2).type),
+                    ],
+                    names=["doc_id", *schema.names],
+                )
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string"))
