@@ -1,9 +1,12 @@
 """Whole-text encoding with the tokenizers library, as fast as its vocabulary repeats.
 
-Byte-pair encoding works pre-token by pre-token, and white space that is followed by a word always
-starts a new one. So a text is cut there, each different unit is encoded once by the library, and the
-ids of equal units are reused. The cuts depend on the tokenizer's own settings (:func:`_rule`); a
-tokenizer with other settings gets whole texts.
+Byte-pair encoding works pre-token by pre-token, so a text can be cut wherever a pre-token must end,
+each different unit is encoded once by the library, and the ids of equal units are reused. Cuts depend
+on the tokenizer's own settings (:func:`_rule`); a tokenizer with other settings gets whole texts.
+
+Units are cut at spaces first; a unit that is not known yet is cut further, after a word before
+punctuation, and pieces that are one word go to the library's BPE model itself, without the
+pre-tokenizer's regular expressions and offsets.
 """
 
 from __future__ import annotations
@@ -12,15 +15,19 @@ import functools
 import json
 import os
 import re
+import struct
+import unicodedata
 
 import numpy as np
 
 #: Units that a worker remembers; beyond that it starts afresh.
-REMEMBERED = 600_000
+REMEMBERED = 800_000
 #: Characters of text, about, that are encoded at a time.
 BATCH_CHARS = 4_000_000
-_ODD_SPACE = re.compile(r" (?=\s)")
+_ODD_SPACE = re.compile(r" (?=\s)|\x00")
 _BEFORE_WORD = re.compile(r"(?= [^\W_])")
+#: After a letter (or other non-digit of a word) before what is no word character; after a lone line end before a word.
+_PIECES = re.compile(r"(?<=[^\W\d_])(?=\W)|(?<=\S\n)(?=\w)")
 
 
 def _rule(settings: dict) -> str:
@@ -33,7 +40,7 @@ def _rule(settings: dict) -> str:
     pre, norm = settings.get("pre_tokenizer") or {}, settings.get("normalizer")
     if settings.get("post_processor") or settings["model"].get("type") != "BPE":
         return "whole"
-    if any(" " in x["content"] or x["lstrip"] or x["rstrip"] for x in settings.get("added_tokens", [])):
+    if any(re.search(r"^\w|\s|\w$", x["content"]) or x["lstrip"] or x["rstrip"] for x in settings.get("added_tokens", [])):
         return "whole"
     if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and norm is None:
         return "space"
@@ -43,14 +50,21 @@ def _rule(settings: dict) -> str:
         and steps[0]["type"] == "Split"
         and steps[0].get("invert")
         and steps[0]["behavior"] == "Removed"
-        and r"[^\s\p{L}\p{N}]+" in steps[0]["pattern"].get("Regex", "")
+        and steps[0]["pattern"].get("Regex") == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
         and all(x["type"] == "ByteLevel" and not x["use_regex"] and not x["add_prefix_space"] for x in steps[1:])
-        and {x["type"] for x in (norm or {}).get("normalizers", [])} <= {"NFC", "Replace", "Lowercase"}
+        and {x["type"] for x in (norm or {}).get("normalizers", [])} == {"NFC", "Replace", "Lowercase"}
     ):
         return "blank"
     return "whole"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for letters from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    moved = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(moved)}
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers, without special tokens."""
 
@@ -59,36 +73,106 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
-            self.rule = _rule(json.load(f))
+            settings = json.load(f)
+        self.rule = _rule(settings)
+        self.added = [x["content"] for x in settings.get("added_tokens", [])]
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
-    def _units(self, text: str) -> list[str]:
+    def _units(self, text: str) -> list[str] | None:
+        """Units of a text. For ``space`` they stand without the space before them, or after U+0000 if there is none.
+
+        None for a text with U+0000 itself, which is encoded whole.
+        """
         if self.rule == "blank":
             return text.replace("\n", " ").split(" ")
         if _ODD_SPACE.search(text):
-            return _BEFORE_WORD.split(text)
-        first, *rest = text.split(" ")
-        return [first, *map(" ".__add__, rest)]
+            if "\0" in text:
+                return None
+            first, *rest = _BEFORE_WORD.split(text)
+            return ["\0" + first, *(x[1:] for x in rest)] if first else [x[1:] for x in rest]
+        units = text.split(" ")
+        units[0] = "\0" + units[0]
+        return units
+
+    def _plain(self, unit: str) -> str:
+        """The text of a unit."""
+        if self.rule == "blank":
+            return unit
+        return unit[1:] if unit[:1] == "\0" else " " + unit
+
+    def _cut(self, unit: str) -> list[str]:
+        """A unit as units that end where a pre-token must."""
+        text = self._plain(unit)
+        if any(x in text for x in self.added) or " " in text[1:]:
+            return [unit]
+        # U+0130 is the one letter whose lower case ends in a mark
+        if self.rule == "blank" and not text.isascii() and ("\u0130" in text or not unicodedata.is_normalized("NFC", text)):
+            return [unit]
+        parts = _PIECES.split(text)
+        if self.rule == "blank":
+            return parts
+        return [x[1:] if x[:1] == " " else "\0" + x for x in parts]
+
+    def _word(self, unit: str) -> bytes | None:
+        """Ids of a unit that is a single word for the pre-tokenizer, from the BPE model alone."""
+        space = self.rule == "space"
+        bare = space and unit[:1] == "\0"
+        word = unit[1:] if bare else unit
+        if not word.isalpha():
+            return None
+        if word.isascii():
+            spelled = word if space else word.lower()
+        else:
+            if not space:
+                word = "".join(map(str.lower, unicodedata.normalize("NFC", word)))
+                if not word.isalpha():
+                    return None
+            spelled = word.encode().decode("latin-1").translate(self.letters)
+        if space and not bare:
+            spelled = "\u0120" + spelled  # the byte of a space
+        ids = [x.id for x in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _learn(self, units: set[str]) -> None:
+        known, cut, hard = self.known, [], []
+        for unit in units:
+            ids = self._word(unit)
+            if ids is None:
+                cut.append(unit)
+            else:
+                known[unit] = ids
+        parts = [self._cut(x) for x in cut]
+        for unit in set().union(*parts).difference(known):
+            ids = self._word(unit)
+            if ids is None:
+                hard.append(unit)
+            else:
+                known[unit] = ids
+        for at in range(0, len(hard), 20_000):
+            some = hard[at : at + 20_000]
+            known.update(zip(some, self._ids([self._plain(x) for x in some]), strict=True))
+        for unit, pieces in zip(cut, parts, strict=True):
+            known[unit] = b"".join(map(known.__getitem__, pieces))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.rule == "whole":
             return self._ids(texts)
         units = [self._units(x) for x in texts]
-        missing = set().union(*units).difference(self.known)
+        missing = set().union(*filter(None, units)).difference(self.known)
         if len(self.known) + len(missing) > REMEMBERED:
             self.known.clear()
-            missing = set().union(*units)
+            missing = set().union(*filter(None, units))
         if missing:
-            missing = list(missing)
-            for at in range(0, len(missing), 20_000):
-                part = missing[at : at + 20_000]
-                self.known.update(zip(part, self._ids(part), strict=True))
-        return [b"".join(map(self.known.__getitem__, x)) for x in units]
+            self._learn(missing)
+        get = self.known.__getitem__
+        return [self._ids([t])[0] if x is None else b"".join(map(get, x)) for t, x in zip(texts, units, strict=True)]
 
 
 @functools.lru_cache(maxsize=2)
