@@ -115,13 +115,13 @@ def bag(w):
 def brute_leaks(docs, items):
     norm = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
     out = {}
+    bags = [(i, x, bag(x)) for i, x in ((i, norm(x)) for i, x in items) if x]
     for d, t in docs:
         w = norm(t)
-        for i, x in items:
-            x = norm(x)
-            if not x:
-                continue
-            want = bag(x)
+        mine = set(bag(w))
+        for i, x, want in bags:
+            if len(x) >= 5 and not mine & set(want):
+                continue  # nothing shared: similarity 0
             best = 0
             for s in range(max(1, len(w) - len(x) + 1)):
                 have = bag(w[s : s + len(x)]) if len(x) >= 5 else Counter([tuple(w[s : s + len(x)])])
