@@ -21,7 +21,7 @@ import unicodedata
 import numpy as np
 
 #: Units that a worker remembers; beyond that it starts afresh.
-REMEMBERED = 800_000
+REMEMBERED = 700_000
 #: Characters of text, about, that are encoded at a time.
 BATCH_CHARS = 4_000_000
 _ODD_SPACE = re.compile(r" (?=\s)|\x00")
@@ -164,15 +164,26 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.rule == "whole":
             return self._ids(texts)
-        units = [self._units(x) for x in texts]
-        missing = set().union(*filter(None, units)).difference(self.known)
-        if len(self.known) + len(missing) > REMEMBERED:
+        if len(self.known) > REMEMBERED:
             self.known.clear()
-            missing = set().union(*filter(None, units))
+        get = self.known.get
+        units = [self._units(x) for x in texts]
+        found = [x and list(map(get, x)) for x in units]
+        missing: set[str] = set()
+        for x, ids in zip(units, found, strict=True):
+            if x and None in ids:
+                missing.update(u for u, v in zip(x, ids, strict=True) if v is None)
         if missing:
             self._learn(missing)
-        get = self.known.__getitem__
-        return [self._ids([t])[0] if x is None else b"".join(map(get, x)) for t, x in zip(texts, units, strict=True)]
+        out = []
+        for text, x, ids in zip(texts, units, found, strict=True):
+            if x is None:
+                out.append(self._ids([text])[0])
+            elif None in ids:
+                out.append(b"".join([get(u) if v is None else v for u, v in zip(x, ids, strict=True)]))
+            else:
+                out.append(b"".join(ids))
+        return out
 
 
 @functools.lru_cache(maxsize=2)
