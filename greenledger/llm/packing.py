@@ -12,7 +12,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,10 +138,10 @@ def pack_documents(
         base += bins
     runs = {x: np.array(r, dtype=np.int64) for x, r in runs.items()}
 
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            length, rank = frame["length"].to_numpy(), frame.pop("rank").to_numpy()
-            sequence, offset = np.empty(len(frame), np.int64), np.empty(len(frame), np.int64)
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # the ids pass as they are, only numbers are looked at
+            length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
+            sequence, offset = np.empty(len(length), np.int64), np.empty(len(length), np.int64)
             order = np.argsort(length, kind="stable")
             starts = np.flatnonzero(np.r_[True, np.diff(length[order]) != 0]) if len(order) else []
             for rows in np.split(order, starts[1:]) if len(order) else []:
@@ -150,14 +149,16 @@ def pack_documents(
                 run = runs[x][np.searchsorted(runs[x][:, 0], rank[rows], side="right") - 1]
                 bin_no, slot = np.divmod(rank[rows] - run[:, 0], run[:, 2])
                 sequence[rows], offset[rows] = run[:, 1] + bin_no, run[:, 3] + slot * x
-            yield frame.assign(sequence_id=sequence, offset=offset)
+            kept = [batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], [*columns, "sequence_id", "offset"])
 
     subs = max(1, cut.count() // SUB_ROWS)
     spread = cut.withColumn("sub", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(subs)))
     order = [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")]
     ranked = gapless_index(spread, "length", "sub", order, "rank").select(*cut.columns, "rank")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema)
-    return ranked.mapInPandas(place, f"{schema}, sequence_id long, offset long")
+    columns = cut.columns
+    return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
