@@ -228,6 +228,7 @@ def repeated_passages(
     )
     least = least.where("first != last OR a != b OR self").select("h", "first", F.expr("CASE WHEN first = last THEN a END").alias("a"))
     elsewhere = F.col("again") | (F.col("d") != F.col("first")) | F.coalesce(F.col("t") != F.col("a"), F.lit(False))
+    least = stored(least, "suffix-repeated")  # a join of two shuffles: a hot window can be split
     hits = windows.join(least, "h").select("d", "t", "p", "first", elsewhere.alias("dup"))
     per_doc = hits.groupBy("d", "t", "dup").agg(F.collect_list(F.struct("p", "first")).alias("hits"))
 
