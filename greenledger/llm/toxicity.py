@@ -33,7 +33,7 @@ WEIGHTS = 1 << 18
 AROUND, CLEAN_WINDOWS = 8, 2
 ROUNDS = 50
 #: Tokens whose scores a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: Characters of text that are scored at a time, about.
 BATCH_CHARS = 8_000_000
 _WORD = re.compile(r"\w+")
