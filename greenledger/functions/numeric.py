@@ -12,11 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Per-row money, shares, scores and published rates carry at most 6 decimals and stay below 1e12
-# (ANSI raises on overflow rather than rounding): as DECIMAL(18,6) they are exact, and a product of
-# two of them is an exact DECIMAL(37,12). Values with no short decimal form (e.g. issuer intensity
-# times exposure, never published) are taken to 6 decimals as DECIMAL(38,6) before summing.
-ROW_TYPE = "decimal(18,6)"
+# An amount is taken to 9 decimals as DECIMAL(27,9): up to 1e18 per row, and a sum of amounts is a
+# DECIMAL(37,9), so totals are safe up to 1e28. What multiplies an amount (a share, a score) is a
+# DECIMAL(10,6); the product is an exact DECIMAL(38,15). Values beyond fail loudly (ANSI), and
+# non-finite inputs are rejected when they are cleaned. Values with no short decimal form (e.g.
+# issuer intensity times exposure, never published) are taken to 6 decimals before summing.
+AMOUNT_TYPE = "decimal(27,9)"
+FACTOR_TYPE = "decimal(10,6)"
 SUM_TYPE = "decimal(38,6)"
 ROUND_TYPE = "decimal(38,18)"  # 20 integer digits, 18 places before a published rounding
 
@@ -31,14 +33,10 @@ def as_double(dec: Column) -> Column:
 
 
 def exact_sum(col: str | Column, *factors: str | Column) -> Column:
-    """Order-independent sum of a money-like column (or of a product of such columns), as DECIMAL.
-
-    Every factor is taken as DECIMAL(18,6); the product is formed in decimal, so nothing is
-    rounded before or during the sum.
-    """
-    term = _c(col).cast(ROW_TYPE)
+    """Order-independent sum of an amount (times one factor), as DECIMAL; the product is formed in decimal."""
+    term = _c(col).cast(AMOUNT_TYPE)
     for f in factors:
-        term = term * _c(f).cast(ROW_TYPE)
+        term = term * _c(f).cast(FACTOR_TYPE)
     return F.sum(term)
 
 

@@ -9,6 +9,7 @@ from greenledger.functions.numeric import round_half_up
 from greenledger.functions.pcaf import attribution_factor, issuer_emissions, pcaf_score
 from greenledger.operators.positions import POSITION_COLUMNS, holding_positions, loan_positions, with_legal_entity
 
+# Published column names.
 ISSUER_ATTRS = (
     "fiscal_year",
     "evic_eur",

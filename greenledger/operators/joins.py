@@ -1,17 +1,35 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Left joins of position-sized data with attribute tables whose keys are unique.
+
+Nothing runs while a plan is built: whether the attribute side is broadcast is left to its size as
+Spark knows it (file statistics) or measures it (adaptive execution). What these helpers add is that
+a hot or null key never puts a third of the positions into one task when the join does shuffle: the
+positions' key is salted and the attribute side is repeated once per salt.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Salts for joins on keys of which there are few (currency, portfolio): every key is hot there.
+FEW_KEY_SALTS = 64
+# Salts for joins on many keys of which some may be hot (instrument, issuer).
+HOT_KEY_SALTS = 8
+
+
+def _salted(positions: DataFrame, attrs: DataFrame, key: str, salts: int) -> DataFrame:
+    # the salt depends on the whole row, so a retried task sends the same rows to the same place;
+    # a null key matches nothing and is spread the same way
+    salt = F.pmod(F.xxhash64(*positions.columns), F.lit(salts))
+    repeated = attrs.withColumn("_salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(salts)])))
+    return positions.withColumn("_salt", salt).join(repeated, [key, "_salt"], "left").drop("_salt")
+
+
+def join_few_keys(positions: DataFrame, attrs: DataFrame, key: str) -> DataFrame:
+    """Left join on a key with few values, each of which may hold a large part of the positions."""
+    return _salted(positions, attrs, key, FEW_KEY_SALTS)
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only when ``df`` provably has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is
-    returned unhinted and the join falls back to a shuffle join (which AQE may
-    still turn into a broadcast from measured shuffle sizes, or split if skewed).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def join_hot_keys(positions: DataFrame, attrs: DataFrame, key: str) -> DataFrame:
+    """Left join on a key with many values, some of which (null included) may be hot."""
+    return _salted(positions, attrs, key, HOT_KEY_SALTS)

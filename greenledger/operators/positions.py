@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenledger.functions.pcaf import BUSINESS_LOAN, asset_class_of
-from greenledger.operators.joins import broadcast_if_small
+from greenledger.operators.joins import join_few_keys, join_hot_keys
 
 POSITION_COLUMNS = (
     "portfolio_id",
@@ -23,34 +23,22 @@ POSITION_COLUMNS = (
     "native_currency",
     "fx_missing_flag",
 )
-# Currency codes are three capital letters (ISO 4217 form).
-ISO_CURRENCY_PATTERN = "^[A-Z]{3}$"
-# Bound for the portfolio broadcast check; FX needs none (see fx_for_date).
-PORTFOLIO_MAX_ROWS = 100_000
-
-
 def fx_for_date(fx: DataFrame, as_of: str) -> DataFrame:
-    """Rates of the as-of date keyed by ``fx_currency``, broadcast by construction.
-
-    One row per three-letter code, so at most 26**3 = 17,576 rows whatever
-    the input size: a proven bound, no size probe needed. On a cleaned FX
-    table (unique currency and date, codes checked) the grouping is a no-op.
-    """
-    rates = (
-        fx.where((F.col("as_of_date") == F.lit(as_of).cast("date")) & F.col("currency").rlike(ISO_CURRENCY_PATTERN))
+    """Rates of the as-of date keyed by ``fx_currency``, any code that parsed; one row per currency."""
+    return (
+        fx.where(F.col("as_of_date") == F.lit(as_of).cast("date"))
         .groupBy(F.col("currency").alias("fx_currency"))
         .agg(F.min("rate_to_eur").alias("rate_to_eur"))
     )
-    return F.broadcast(rates)
 
 
-def portfolio_entities(portfolios: DataFrame) -> DataFrame:
-    """portfolio_id -> legal_entity, broadcast only when provably small."""
-    return broadcast_if_small(portfolios.select("portfolio_id", "legal_entity"), PORTFOLIO_MAX_ROWS)
+def with_legal_entity(positions: DataFrame, portfolios: DataFrame) -> DataFrame:
+    return join_few_keys(positions, portfolios.select("portfolio_id", "legal_entity"), "portfolio_id")
 
 
-def with_legal_entity(positions: DataFrame, portfolios: DataFrame) -> DataFrame:
-    return positions.join(portfolio_entities(portfolios), "portfolio_id", "left")
+def _with_rate(positions: DataFrame, fx: DataFrame, as_of: str) -> DataFrame:
+    rates = fx_for_date(fx, as_of).withColumnRenamed("fx_currency", "native_currency")
+    return join_few_keys(positions, rates, "native_currency")
 
 
 def _in_eur(df: DataFrame, amount: str) -> DataFrame:
@@ -85,9 +73,7 @@ def holding_positions(
         "portfolio_id", "instrument_id", "market_value", F.col("currency").alias("native_currency")
     )
     inst = instrument_attrs.select("instrument_id", "issuer_id", "instrument_type", *extra)
-    joined = h.join(inst, "instrument_id", "left").join(
-        fx_for_date(fx, as_of), F.col("native_currency") == F.col("fx_currency"), "left"
-    )
+    joined = _with_rate(join_hot_keys(h, inst, "instrument_id"), fx, as_of)
     if portfolios is not None:
         joined = with_legal_entity(joined, portfolios)
     joined = _in_eur(joined, "market_value").withColumns(
@@ -119,8 +105,8 @@ def loan_positions(
         F.col("currency").alias("native_currency"),
     )
     if issuer_attrs is not None:
-        lo = lo.join(issuer_attrs.select("issuer_id", *extra), "issuer_id", "left")
-    joined = lo.join(fx_for_date(fx, as_of), F.col("native_currency") == F.col("fx_currency"), "left")
+        lo = join_hot_keys(lo, issuer_attrs.select("issuer_id", *extra), "issuer_id")
+    joined = _with_rate(lo, fx, as_of)
     if portfolios is not None:
         joined = with_legal_entity(joined, portfolios)
     joined = _in_eur(joined, "native_amount").withColumns(

@@ -12,9 +12,10 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from greenledger.sources.extracts import MALFORMED
 from greenledger.functions.cleaning import (
     blank_to_null,
     missing_flag,
@@ -33,6 +34,8 @@ REJECT_SCHEMA = (
 AUDIT_COLUMNS = ("_ingested_at", "_source_file", "_batch_id")
 MISSING_KEY = "missing_key"
 DUPLICATE_KEY = "duplicate_key"
+NON_FINITE = "non_finite_number"
+MALFORMED_LINE = "malformed_line"
 
 Rule = tuple[str, Callable[[], Column]]
 
@@ -86,18 +89,25 @@ def typed_frame(raw: DataFrame, spec: CleanSpec) -> DataFrame:
             col = parse_date9(col)
         exprs[name] = col
     flags = [missing_flag(exprs[src]).alias(flag) for flag, src in spec.flags.items()]
-    return raw.select(*[exprs[n].alias(n) for n in spec.columns], *flags)
+    extra = [MALFORMED] if MALFORMED in raw.columns else []
+    return raw.select(*[exprs[n].alias(n) for n in spec.columns], *flags, *extra)
 
 
-def reason_column(spec: CleanSpec) -> Column:
-    """First matching table rule wins, then a null key; null means the row is good.
+def reason_column(spec: CleanSpec, typed: DataFrame | None = None) -> Column:
+    """A malformed line first (where ``typed`` can hold one), NaN or infinite numbers, then the first matching table rule, then a null or blank key.
 
-    Table rules come first so that e.g. an unparseable date that is part of
-    the key is reported with its specific reason.
+    Null means the row is good. Table rules come before the key, so that e.g. an unparseable date
+    that is part of the key is reported with its specific reason.
     """
-    branches: list[tuple[str, Column]] = [(reason, predicate()) for reason, predicate in spec.rules]
+    branches: list[tuple[str, Column]] = []
+    if typed is not None and MALFORMED in typed.columns:
+        branches.append((MALFORMED_LINE, F.col(MALFORMED).isNotNull()))
+    if spec.doubles:
+        odd = [F.isnan(c) | (F.abs(F.col(c)) == float("inf")) for c in spec.doubles]
+        branches.append((NON_FINITE, reduce(lambda a, b: a | b, odd)))
+    branches += [(reason, predicate()) for reason, predicate in spec.rules]
     if spec.key:
-        key_missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.key])
+        key_missing = reduce(lambda a, b: a | b, [F.coalesce(F.col(k).cast("string"), F.lit("")) == "" for k in spec.key])
         branches.append((MISSING_KEY, key_missing))
     if not branches:
         return F.lit(None).cast("string")
@@ -120,7 +130,7 @@ def row_json(columns: Sequence[str]) -> Column:
 
 def split_rejects(typed: DataFrame, spec: CleanSpec) -> tuple[DataFrame, DataFrame]:
     """Split into (good, ledger rows) with one CASE column; the split is total."""
-    flagged = typed.withColumn("_reject_reason", reason_column(spec))
+    flagged = typed.withColumn("_reject_reason", reason_column(spec, typed))
     good = flagged.where(F.col("_reject_reason").isNull()).drop("_reject_reason")
     bad = flagged.where(F.col("_reject_reason").isNotNull())
     ledger = bad.select(
@@ -160,7 +170,9 @@ def dedupe_keep_one(
     else:
         agg = [F.min(F.when(keep, ranking)).alias("_w"), F.count_if(keep).alias("_n")]
     grouped = df.groupBy(*key).agg(*agg)
-    kept = grouped.where(F.col("_n") > 0).select("_w.r.*")
+    # keys come from the grouping, so a filter on them (as-of date, fiscal year) moves below the aggregate
+    columns = [F.col(c) if c in key else F.col(f"_w.r.{c}").alias(c) for c in df.columns]
+    kept = grouped.where(F.col("_n") > 0).select(*columns)
     dropped = grouped.where(F.col("_n") > 1).select(
         F.lit(source_table).alias("source_table"),
         F.lit(DUPLICATE_KEY).alias("reject_reason"),
@@ -178,10 +190,11 @@ def clean_rows(typed: DataFrame, spec: CleanSpec) -> DataFrame:
     reject test is a condition inside it), so no filter is pushed into and
     duplicates the typing expressions.
     """
+    ok = reason_column(spec, typed).isNull()
     if not (spec.dedupe and spec.key):
-        return typed.where(reason_column(spec).isNull())
-    kept, _ = dedupe_keep_one(typed, spec.key, spec.order, spec.name, keep=reason_column(spec).isNull())
-    return kept
+        return typed.where(ok).drop(MALFORMED)
+    kept, _ = dedupe_keep_one(typed, spec.key, spec.order, spec.name, keep=ok)
+    return kept.drop(MALFORMED)
 
 
 def ledger_rows(typed: DataFrame, spec: CleanSpec) -> DataFrame:
@@ -189,7 +202,7 @@ def ledger_rows(typed: DataFrame, spec: CleanSpec) -> DataFrame:
     _, rejects = split_rejects(typed, spec)
     if not (spec.dedupe and spec.key):
         return rejects
-    _, dups = dedupe_keep_one(typed, spec.key, spec.order, spec.name, keep=reason_column(spec).isNull())
+    _, dups = dedupe_keep_one(typed, spec.key, spec.order, spec.name, keep=reason_column(spec, typed).isNull())
     return rejects.unionByName(dups)
 
 
@@ -204,7 +217,7 @@ def clean_counts(typed: DataFrame, spec: CleanSpec) -> DataFrame:
 
     Same rules as ``clean_rows`` / ``ledger_rows``, so input = kept + rejected + duplicates.
     """
-    ok = reason_column(spec).isNull()
+    ok = reason_column(spec, typed).isNull()
     if not (spec.dedupe and spec.key):
         return typed.agg(
             F.count(F.lit(1)).alias("input_rows"),
@@ -222,10 +235,6 @@ def clean_counts(typed: DataFrame, spec: CleanSpec) -> DataFrame:
     )
 
 
-def empty_rejects(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], REJECT_SCHEMA)
-
-
 def reject_ledger(frames: Sequence[DataFrame]) -> DataFrame:
     """Union of ledger frames (UNION ALL by name)."""
     return reduce(lambda a, b: a.unionByName(b), frames)

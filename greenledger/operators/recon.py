@@ -3,9 +3,11 @@
 Both sides are reduced to one row per key (a partial aggregate, so a
 duplicated key becomes a ``duplicate_key`` break instead of fanning out),
 then joined FULL OUTER on the keys compared as text (missing -> ''). A key
-breaks at most once: missing on one side, duplicated, or the first value
-column out of tolerance. A value matches when both are null, or both are
-numbers with ``|new - old| <= max(abs_tol, rel_tol * max(|old|, 1))``.
+breaks at most once: missing on one side, duplicated, or with the list of all
+value columns that differ. Two values match when both are missing (null or
+empty), when both are numbers with ``|new - old| <= max(abs_tol, rel_tol *
+max(|old|, 1))``, or when they are not both numbers and their texts are equal.
+NaN matches nothing.
 """
 
 from __future__ import annotations
@@ -16,7 +18,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from greenledger.functions.pcaf import MAPPED, UNMAPPED_ISSUER
 from greenledger.plans.specs import ReconSpec
 
 # Break kinds and summary states.
@@ -25,12 +26,14 @@ MISSING_IN_BASELINE = "missing_in_baseline"
 DUPLICATE_KEY = "duplicate_key"
 VALUE_MISMATCH = "value_mismatch"
 PASS, FAIL = "PASS", "FAIL"
-BREAK_COLUMNS = ("report_id", "key_text", "break_type", "column_name", "new_value", "old_value")
+BREAK_COLUMNS = (
+    "report_id", "key_text", "break_type", "column_name", "new_value", "old_value", "new_text", "old_text"
+)
 
 
 def _side(df: DataFrame, spec: ReconSpec, tag: str) -> DataFrame:
     keys = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in spec.keys]
-    values = [F.col(v).cast("double").alias(f"{tag}_{v}") for v in spec.values]
+    values = [F.nullif(F.col(v).cast("string"), F.lit("")).alias(f"{tag}_{v}") for v in spec.values]
     return (
         df.select(*keys, *values)
         .groupBy(*spec.keys)
@@ -38,47 +41,57 @@ def _side(df: DataFrame, spec: ReconSpec, tag: str) -> DataFrame:
     )
 
 
-def _matches(new: Column, old: Column, spec: ReconSpec) -> Column:
+def _difference(column: str, spec: ReconSpec) -> Column:
+    """What differs in ``column``, null if the two values match."""
+    new_text, old_text = F.col(f"n_{column}"), F.col(f"b_{column}")
+    new, old = new_text.try_cast("double"), old_text.try_cast("double")
+    numbers = new.isNotNull() & old.isNotNull()
     threshold = F.greatest(F.lit(spec.abs_tol), F.lit(spec.rel_tol) * F.greatest(F.abs(old), F.lit(1.0)))
-    both_null = new.isNull() & old.isNull()
-    close = F.coalesce(F.abs(new - old) <= threshold, F.lit(False))
-    return both_null | close
+    close = ~F.isnan(new) & ~F.isnan(old) & (F.abs(new - old) <= threshold)
+    match = F.when(numbers, close).otherwise(new_text.eqNullSafe(old_text))
+    is_text = lambda x, number: F.when(number.isNull(), x)
+    return F.when(
+        ~match,
+        F.struct(
+            F.lit(column).alias("column_name"),
+            new.alias("new_value"),
+            old.alias("old_value"),
+            is_text(new_text, new).alias("new_text"),
+            is_text(old_text, old).alias("old_text"),
+        ),
+    )
 
 
 def compared(new: DataFrame, base: DataFrame, spec: ReconSpec) -> DataFrame:
-    """One row per key of either side with ``break_type`` (null = no break) and the first breaking column."""
+    """One row per key of either side with ``break_type`` (null = no break) and ``diffs``, all differing columns."""
     j = _side(new, spec, "n").join(_side(base, spec, "b"), list(spec.keys), "full")
-    mismatch = [(v, ~_matches(F.col(f"n_{v}"), F.col(f"b_{v}"), spec)) for v in spec.values]
-    first_col = reduce(lambda acc, m: acc.when(m[1], F.lit(m[0])), mismatch[1:], F.when(mismatch[0][1], F.lit(mismatch[0][0])))
-    pick = lambda tag: reduce(
-        lambda acc, m: acc.when(m[1], F.col(f"{tag}_{m[0]}")),
-        mismatch[1:],
-        F.when(mismatch[0][1], F.col(f"{tag}_{mismatch[0][0]}")),
-    )
+    diffs = F.array_compact(F.array(*[_difference(v, spec) for v in spec.values]))
     break_type = (
         F.when(F.col("n__n").isNull(), F.lit(MISSING_IN_NEW))
         .when(F.col("b__n").isNull(), F.lit(MISSING_IN_BASELINE))
         .when((F.col("n__n") > 1) | (F.col("b__n") > 1), F.lit(DUPLICATE_KEY))
-        .when(first_col.isNotNull(), F.lit(VALUE_MISMATCH))
+        .when(F.size("diffs") > 0, F.lit(VALUE_MISMATCH))
     )
-    is_value = F.col("break_type") == VALUE_MISMATCH
-    return (
-        j.withColumn("break_type", break_type)
-        .withColumn("report_id", F.lit(spec.report_id))
-        .withColumn("key_text", F.concat_ws("|", *[F.col(k) for k in spec.keys]))
-        .withColumns(
-            {
-                "column_name": F.when(is_value, first_col),
-                "new_value": F.when(is_value, pick("n")),
-                "old_value": F.when(is_value, pick("b")),
-            }
-        )
+    return j.withColumn("diffs", diffs).select(
+        F.lit(spec.report_id).alias("report_id"),
+        F.concat_ws("|", *[F.col(k) for k in spec.keys]).alias("key_text"),
+        break_type.alias("break_type"),
+        "n__n",
+        "b__n",
+        "diffs",
     )
 
 
+def _break_rows(compared_keys: DataFrame, *extra: str) -> DataFrame:
+    """A row per break, and one per differing column of a value mismatch."""
+    shown = F.when(F.col("break_type") == VALUE_MISMATCH, F.col("diffs"))
+    rows = compared_keys.select("report_id", "key_text", "break_type", *extra, F.explode_outer(shown).alias("d"))
+    return rows.select(*[f"d.{c}" if c not in rows.columns else c for c in BREAK_COLUMNS], *extra)
+
+
 def reconcile(new: DataFrame, base: DataFrame, spec: ReconSpec) -> DataFrame:
-    """Break rows of one report: report_id, key_text, break_type, column_name, new_value, old_value."""
-    return compared(new, base, spec).where(F.col("break_type").isNotNull()).select(*BREAK_COLUMNS)
+    """Break rows of one report (``BREAK_COLUMNS``); a key with several differing columns has a row for each."""
+    return _break_rows(compared(new, base, spec).where(F.col("break_type").isNotNull()))
 
 
 def recon_summary(
@@ -123,30 +136,13 @@ def missing_baseline(report_id: str, new: DataFrame, expected_fail: Sequence[str
     )
 
 
-def breaking_rows(breaks: DataFrame, n: int = 8) -> DataFrame:
-    """The first ``n`` breaks of one report by key (top-k: a bounded sort, not a full one)."""
-    return breaks.orderBy("key_text").limit(n)
+def breaking_keys(compared_keys: DataFrame, n: int = 8) -> DataFrame:
+    """The first ``n`` breaking keys of one report (top-k: a bounded sort, not a full one)."""
+    return compared_keys.where(F.col("break_type").isNotNull()).orderBy("key_text").limit(n)
 
 
 def top_breaks(per_report: Sequence[DataFrame], n: int = 8) -> DataFrame:
-    """First ``n`` breaks of each report, numbered (the window runs over at most n rows per report)."""
-    limited = reduce(DataFrame.unionByName, [breaking_rows(b, n) for b in per_report])
+    """Break rows of the first ``n`` breaking keys of each report, numbered by key (at most n keys per report)."""
+    limited = reduce(DataFrame.unionByName, [breaking_keys(c, n) for c in per_report])
     rank = F.row_number().over(Window.partitionBy("report_id").orderBy("key_text")).cast("bigint")
-    return limited.withColumn("break_rank", rank)
-
-
-# ---- baselines with the two seeded legacy differences ----------------------------------------
-
-
-def rounded_to_nearest(report: DataFrame, column: str, step: float = 10.0) -> DataFrame:
-    """Baseline whose ``column`` was rounded to the nearest ``step`` (half-even), as the legacy job did."""
-    return report.withColumn(column, F.bround(F.col(column) / step, 0) * step)
-
-
-def legacy_remap(coverage: DataFrame) -> DataFrame:
-    """Coverage as the legacy crosswalk saw it: the first unmapped issuer still counted as mapped."""
-    gap = F.col("gap_cause")
-    first_unmapped = coverage.where(gap == UNMAPPED_ISSUER).select(F.min("issuer_id")).scalar()
-    return coverage.withColumn(
-        "gap_cause", F.when((gap == UNMAPPED_ISSUER) & (F.col("issuer_id") == first_unmapped), F.lit(MAPPED)).otherwise(gap)
-    )
+    return _break_rows(limited.withColumn("break_rank", rank), "break_rank")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from greenledger.functions.numeric import as_double, exact_sum, round_half_up, round_sum, sum_double
+from greenledger.functions.numeric import as_double, decimal_sum, exact_sum, round_half_up, round_sum, sum_double
 from greenledger.functions.pcaf import BUSINESS_LOAN, CORPORATE_BOND, LISTED_EQUITY
 
 # Report notes and SFDR indicator labels.
@@ -83,7 +83,7 @@ def r06_pai(summary: DataFrame, portfolios: DataFrame, as_of: str) -> DataFrame:
         .agg(
             as_double(F.round(F.sum("total_fe"), 6)).alias("pai1"),
             as_double(F.round(F.sum("aum"), 2)).alias("aum_eur"),
-            sum_double(F.when(usable, waci), aum).alias("_pai3_num"),
+            as_double(decimal_sum(F.when(usable, waci * aum))).alias("_pai3_num"),
             sum_double(F.when(usable, aum)).alias("_pai3_den"),
             F.count_if(usable).alias("_usable_portfolios"),
         )

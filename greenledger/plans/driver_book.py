@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections import OrderedDict
-
 from pyspark.sql import SparkSession
 
 from greenledger.plans import specs
@@ -11,8 +9,7 @@ from greenledger.plans.pipeline import Book
 from greenledger.sources import driver
 
 
-_BOOKS: OrderedDict[tuple[int, str, str, bool], Book] = OrderedDict()
-_MAX_BOOKS = 4
+_BOOKS: dict[tuple[int, str, str, bool], Book] = {}
 
 
 def driver_book(spark: SparkSession, sf_dir: str, as_of: str = driver.AS_OF, materialize_fact: bool = False) -> Book:
@@ -33,7 +30,4 @@ def driver_book(spark: SparkSession, sf_dir: str, as_of: str = driver.AS_OF, mat
             holdings = specs.holdings_spec(driver.HOLDINGS_TIE_BREAKERS)
             book = Book(spark, extracts, as_of, driver.LOAN_PORTFOLIO, clean_specs={"holdings": holdings})
         _BOOKS[key] = book
-        while len(_BOOKS) > _MAX_BOOKS:
-            _BOOKS.popitem(last=False)
-    _BOOKS.move_to_end(key)
     return book

@@ -1,7 +1,6 @@
 """SQL twins of the Spark queries, for DuckDB over the driver tables.
 
-Cleaning CTEs are generated from the same declarative ``CleanSpec`` data
-(rule predicates are written out by hand below); joins, marts and reports are
+The cleaning contract is written out by hand below; joins, marts and reports are
 written out in the plain shape of the original batch job (sequential left
 joins, separate aggregates), so they check the fused Spark plans
 independently. Only used for verification, never on the Spark path.
@@ -9,7 +8,6 @@ independently. Only used for verification, never on the Spark path.
 
 from __future__ import annotations
 
-from greenledger.operators.quality import CleanSpec
 from greenledger.plans import specs
 from greenledger.sources import driver
 
@@ -18,21 +16,23 @@ FY = int(AS_OF[:4])
 D = f"DATE '{AS_OF}'"
 
 def xsum(e: str, *factors: str) -> str:
-    """Exact sum as double: factors as DECIMAL(18,6), product in decimal, converted through text."""
-    # the first factor is widened so DuckDB forms the product in 128 bits (still exact)
-    first = f"CAST({e} AS DECIMAL({38 if factors else 18},6))"
-    term = " * ".join([first, *(f"CAST({x} AS DECIMAL(18,6))" for x in factors)])
+    """Exact sum as double: decimals are read from the numbers' text, the product is formed in decimal."""
+    term = " * ".join([dec(e, 27, 9), *(dec(x, 10, 6) for x in factors)])
     return f"CAST(CAST(sum({term}) AS VARCHAR) AS DOUBLE)"
 
 
+def dec(e: str, width: int, scale: int) -> str:
+    return f"CAST(CAST({e} AS VARCHAR) AS DECIMAL({width},{scale}))"
+
+
 def dsum(e: str) -> str:
     """Sum of values without a short decimal form, each taken to 6 decimals, as double."""
-    return f"CAST(CAST(sum(CAST({e} AS DECIMAL(38,6))) AS VARCHAR) AS DOUBLE)"
+    return f"CAST(CAST(sum({dec(e, 38, 6)}) AS VARCHAR) AS DOUBLE)"
 
 
 def rsum(e: str, n: int) -> str:
     """Exact sum rounded half-up to n places, as double."""
-    return f"CAST(CAST(round(sum(CAST({e} AS DECIMAL(18,6))), {n}) AS VARCHAR) AS DOUBLE)"
+    return f"CAST(CAST(round(sum({dec(e, 27, 9)}), {n}) AS VARCHAR) AS DOUBLE)"
 
 
 def rnd(e: str, n: int) -> str:
@@ -40,18 +40,6 @@ def rnd(e: str, n: int) -> str:
     return f"CAST(CAST(round(CAST({e} AS DECIMAL(38,18)), {n}) AS VARCHAR) AS DOUBLE)"
 
 
-# Rule predicates by reject reason, as SQL text.
-RULE_SQL = {
-    specs.MISSING_MARKET_VALUE: "market_value IS NULL",
-    specs.UNPARSEABLE_DATE: "as_of_date IS NULL",
-    specs.MISSING_OUTSTANDING: "outstanding_amount IS NULL",
-    specs.NEGATIVE_OUTSTANDING: "outstanding_amount < 0",
-    specs.MISSING_TAXONOMY_SHARE: "taxonomy_eligible_share IS NULL OR taxonomy_aligned_share IS NULL",
-    specs.ALIGNED_GT_ELIGIBLE: "taxonomy_aligned_share > taxonomy_eligible_share",
-    specs.UNPARSEABLE_DATE9: "as_of_date IS NULL",
-    specs.INVALID_CURRENCY_CODE: "NOT regexp_full_match(currency, '[A-Z]{3}')",
-}
-
 LANDING_SQL = f"""
 nsupp AS (SELECT count(*) AS n FROM supplier),
 l_portfolios AS (
@@ -84,14 +72,17 @@ l_holdings AS (
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey) li
   JOIN customer c ON li.o_custkey = c.c_custkey),
 l_loans AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS loan_id,
+  SELECT CASE WHEN o_orderkey % 40 = 11 THEN '  ' ELSE CAST(o_orderkey AS VARCHAR) END AS loan_id,
     CAST(o_custkey % (SELECT n FROM nsupp) AS VARCHAR) AS borrower_issuer_id,
-    CAST(make_date(year(o_orderdate), 12, 31) AS VARCHAR) AS as_of_date,
+    CAST(make_date(year(o_orderdate) + later, 12, 31) AS VARCHAR) AS as_of_date,
     CASE WHEN o_orderkey % 40 = 7 THEN CAST(-o_totalprice AS VARCHAR)
-         WHEN o_orderkey % 40 = 8 THEN NULL ELSE CAST(o_totalprice AS VARCHAR) END AS outstanding_amount,
-    CASE o_orderkey % 3 WHEN 0 THEN 'EUR' WHEN 1 THEN 'GBP' ELSE 'SEK' END AS currency,
+         WHEN o_orderkey % 40 = 8 THEN NULL WHEN o_orderkey % 40 = 9 THEN 'NaN'
+         WHEN o_orderkey % 40 = 10 THEN '-Infinity' WHEN o_orderkey % 1000 = 500 THEN '2500000000000.5'
+         ELSE CAST(o_totalprice AS VARCHAR) END AS outstanding_amount,
+    CASE WHEN o_orderkey % 40 = 12 THEN 'usd' WHEN o_orderkey % 40 = 13 THEN 'USDT'
+         WHEN o_orderkey % 3 = 0 THEN 'EUR' WHEN o_orderkey % 3 = 1 THEN 'GBP' ELSE 'SEK' END AS currency,
     o_orderpriority AS loan_purpose
-  FROM orders),
+  FROM orders, (SELECT unnest([0, 1]) AS later) twice WHERE later = 0 OR o_orderkey % 10 = 3),
 l_company_financials AS (
   SELECT CAST(k AS VARCHAR) AS issuer_id, CAST(y AS VARCHAR) AS fiscal_year,
     CASE WHEN k % 5 = 1 THEN '0' ELSE CAST(v * 1000 AS VARCHAR) END AS evic_eur,
@@ -120,6 +111,8 @@ l_fx_rates AS (
   SELECT 'EUR' AS currency, '31dec' || y AS as_of_date, '1.0' AS rate_to_eur FROM fx_years
   UNION ALL SELECT 'SEK', '31dec' || y, '0.087' FROM fx_years
   UNION ALL SELECT 'GBP', '31dec' || y, '1.18' FROM fx_years
+  UNION ALL SELECT 'usd', '31dec' || y, '0.92' FROM fx_years
+  UNION ALL SELECT 'USDT', '31dec' || y, '0.91' FROM fx_years
   UNION ALL SELECT 'NOK', y || '-12-31', '0.085' FROM fx_years),
 l_crosswalk AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS issuer_id,
@@ -128,44 +121,79 @@ l_crosswalk AS (
   FROM supplier WHERE s_suppkey % 7 <> 3)"""
 
 
-def _typed_expr(spec: CleanSpec, c: str) -> str:
-    e = f"trim({c})"
-    if c in spec.upper:
-        e = f"upper({e})"
-    if c in spec.blank_to_null:
-        e = f"nullif(trim({e}), '')"
-    if c in spec.doubles:
-        return f"TRY_CAST({e} AS DOUBLE)"
-    if c in spec.ints:
-        return f"TRY_CAST({e} AS INTEGER)"
-    if c in spec.longs:
-        return f"TRY_CAST({e} AS BIGINT)"
-    if c in spec.iso_dates:
-        return f"CAST(try_strptime({e}, '%Y-%m-%d') AS DATE)"
-    if c in spec.date9_dates:
-        return f"CAST(try_strptime(upper({e}), '%d%b%Y') AS DATE)"
-    return e
-
-
-def _clean_ctes(spec: CleanSpec) -> str:
-    n = spec.name
-    typed = ", ".join(f"{_typed_expr(spec, c)} AS {c}" for c in spec.columns)
-    flags = "".join(f", CAST({src} IS NULL AS INTEGER) AS {flag}" for flag, src in spec.flags.items())
-    out_cols = [*spec.columns, *spec.flags]
-    whens = [f"WHEN {RULE_SQL[reason]} THEN '{reason}'" for reason, _ in spec.rules]
-    if spec.key:
-        whens.append("WHEN " + " OR ".join(f"{k} IS NULL" for k in spec.key) + " THEN 'missing_key'")
-    reason = f"CASE {' '.join(whens)} END" if whens else "CAST(NULL AS VARCHAR)"
-    order = [f"{c} ASC NULLS FIRST" if asc else f"-{c} ASC NULLS FIRST" for c, asc in spec.order]
-    order += [f"{c} ASC NULLS FIRST" for c in out_cols]
-    key = ", ".join(spec.key)
-    cols = ", ".join(out_cols)
-    bkey = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in spec.key)
+# The cleaning contract written out for the check, apart from the specs that Spark uses:
+# source -> (key, order before all columns, columns as "name:kind").
+CONTRACT = {
+    "portfolios": ("portfolio_id", "", "portfolio_id portfolio_name legal_entity asset_class_scope currency"),
+    "instruments": ("instrument_id", "", "instrument_id isin:upper instrument_type issuer_id currency"),
+    "issuers": ("issuer_id", "", "issuer_id lei:blank issuer_name country nace_sector lei_missing_flag:flag_lei"),
+    "holdings": (
+        "portfolio_id instrument_id as_of_date",
+        "-market_value ASC NULLS FIRST, src_order_key, src_line_no,",
+        "portfolio_id instrument_id as_of_date:iso quantity:double market_value:double currency src_order_key:bigint src_line_no:int",
+    ),
+    "loans": (
+        "loan_id as_of_date", "",
+        "loan_id borrower_issuer_id as_of_date:iso outstanding_amount:double currency loan_purpose",
+    ),
+    "company_financials": (
+        "issuer_id fiscal_year", "",
+        "issuer_id fiscal_year:int evic_eur:double total_assets_eur:double revenue_eur:double",
+    ),
+    "vendor_emissions": (
+        "provider_entity_id fiscal_year", "",
+        "provider_entity_id fiscal_year:int scope1_tco2e:double scope2_tco2e:double scope3_tco2e:double "
+        "emission_data_source esg_rating:blank fossil_fuel_flag:int",
+    ),
+    "taxonomy_data": (
+        "issuer_id fiscal_year", "",
+        "issuer_id fiscal_year:int taxonomy_eligible_share:double taxonomy_aligned_share:double",
+    ),
+    "fx_rates": ("currency as_of_date", "", "currency as_of_date:date9 rate_to_eur:double"),
+    "crosswalk": ("issuer_id", "", "issuer_id provider_entity_id:blank"),
+}
+KINDS = {
+    "": "trim({c})",
+    "upper": "upper(trim({c}))",
+    "blank": "nullif(trim({c}), '')",
+    "flag_lei": "CAST(nullif(trim(lei), '') IS NULL AS INTEGER)",
+    "double": "TRY_CAST(trim({c}) AS DOUBLE)",
+    "int": "TRY_CAST(trim({c}) AS INTEGER)",
+    "bigint": "TRY_CAST(trim({c}) AS BIGINT)",
+    "iso": "CAST(try_strptime(trim({c}), '%Y-%m-%d') AS DATE)",
+    "date9": "CAST(try_strptime(upper(trim({c})), '%d%b%Y') AS DATE)",
+}
+RULES = {
+    "holdings": (("missing_market_value", "market_value IS NULL"), ("unparseable_date", "as_of_date IS NULL")),
+    "loans": (
+        ("missing_outstanding_amount", "outstanding_amount IS NULL"),
+        ("negative_outstanding_amount", "outstanding_amount < 0"),
+        ("unparseable_date", "as_of_date IS NULL"),
+    ),
+    "taxonomy_data": (
+        ("missing_taxonomy_share", "taxonomy_eligible_share IS NULL OR taxonomy_aligned_share IS NULL"),
+        ("aligned_gt_eligible", "taxonomy_aligned_share > taxonomy_eligible_share"),
+    ),
+    "fx_rates": (("unparseable_sas_date9", "as_of_date IS NULL"),),
+}
+
+
+def _clean_ctes(n: str) -> str:
+    keys, order, columns = CONTRACT[n]
+    keys = keys.split()
+    kinds = {c: k for c, _, k in (x.partition(":") for x in columns.split())}
+    typed = ", ".join(f"{KINDS[k].format(c=c)} AS {c}" for c, k in kinds.items())
+    odd = " OR ".join(f"NOT isfinite({c})" for c, k in kinds.items() if k == "double")
+    whens = [f"WHEN {odd} THEN 'non_finite_number'"] if odd else []
+    whens += [f"WHEN {p} THEN '{r}'" for r, p in RULES.get(n, ())]
+    whens.append("WHEN " + " OR ".join(f"{k} IS NULL OR CAST({k} AS VARCHAR) = ''" for k in keys) + " THEN 'missing_key'")
+    key, cols = ", ".join(keys), ", ".join(kinds)
+    ties = ", ".join(f"{c} ASC NULLS FIRST" for c in kinds)
+    bkey = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys)
     return f"""
-t_{n} AS (SELECT *{flags} FROM (SELECT {typed} FROM l_{n}) x),
-x_{n} AS (SELECT *, {reason} AS _reason FROM t_{n}),
+x_{n} AS (SELECT *, CASE {' '.join(whens)} END AS _reason FROM (SELECT {typed} FROM l_{n}) t),
 s_{n} AS (SELECT {cols} FROM (
-  SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {", ".join(order)}) AS _rn
+  SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order} {ties}) AS _rn
   FROM x_{n} WHERE _reason IS NULL) d WHERE _rn = 1),
 rej_{n} AS (
   SELECT '{n}' AS source_table, _reason AS reject_reason, {bkey} AS business_key, CAST(1 AS BIGINT) AS rejected_rows
@@ -175,13 +203,6 @@ rej_{n} AS (
   FROM x_{n} WHERE _reason IS NULL GROUP BY {key} HAVING count(*) > 1)"""
 
 
-def _silver_specs() -> list[CleanSpec]:
-    out = []
-    for s in specs.SOURCES:
-        out.append(specs.holdings_spec(driver.HOLDINGS_TIE_BREAKERS) if s.name == "holdings" else s)
-    return out
-
-
 FE_COLS = """portfolio_id, legal_entity, issuer_id, position_id, position_kind, asset_class, instrument_type,
     exposure_eur, native_amount, native_currency, fx_missing_flag, fiscal_year, evic_eur, total_assets_eur,
     revenue_eur, issuer_name, provider_entity_id, coverage_status, lei_missing_flag, scope1_tco2e, scope2_tco2e,
@@ -253,7 +274,7 @@ g_dq AS (
     {rnd("score_num / nullif(exposure_eur, 0)", 4)} AS weighted_pcaf_score,
     {rnd("100.0 * covered_exposure_eur / nullif(exposure_eur, 0)", 4)} AS coverage_pct
   FROM (SELECT as_of_date, portfolio_id, asset_class, {xsum("exposure_eur")} AS exposure_eur,
-          {xsum("pcaf_score", "exposure_eur")} AS score_num,
+          {xsum("exposure_eur", "pcaf_score")} AS score_num,
           {xsum("CASE WHEN financed_emissions_tco2e IS NOT NULL THEN exposure_eur ELSE 0.0 END")} AS covered_exposure_eur
         FROM g_fe GROUP BY 1, 2, 3) a),
 g_ci_usable AS (
@@ -311,7 +332,7 @@ def _r09(coverage: str) -> str:
       AS share_of_aum_pct,
     {D} AS as_of_date
   FROM (SELECT gap_cause, count(*) AS row_count, {rsum("exposure_eur", 2)} AS market_value_eur,
-          sum(CAST(exposure_eur AS DECIMAL(18,6))) AS cause_total
+          sum({dec("exposure_eur", 27, 9)}) AS cause_total
         FROM {coverage} GROUP BY gap_cause) c"""
 
 
@@ -336,7 +357,7 @@ REPORT_SQL = {
         FROM g_fe GROUP BY 1) e
   UNION ALL
   SELECT p.legal_entity, 'PAI3_ghg_intensity_tco2e_per_m_eur',
-    {rnd(f'{xsum("ci.waci_tco2e_per_m_eur", "ci.aum_eur")} / nullif({xsum("ci.aum_eur")}, 0)', 6)}, {D}
+    {rnd(f'{dsum("ci.waci_tco2e_per_m_eur * ci.aum_eur")} / nullif({xsum("ci.aum_eur")}, 0)', 6)}, {D}
   FROM g_ci ci LEFT JOIN s_portfolios p ON ci.portfolio_id = p.portfolio_id
   GROUP BY p.legal_entity""",
     "R07": f"""
@@ -357,7 +378,7 @@ REPORT_SQL = {
 
 
 def prelude() -> str:
-    silver = "".join("," + _clean_ctes(s) for s in _silver_specs())
+    silver = "".join("," + _clean_ctes(n) for n in CONTRACT)
     return "WITH " + LANDING_SQL.strip() + silver + "," + GOLD_SQL
 
 
@@ -367,24 +388,20 @@ def with_prelude(select: str) -> str:
 
 # ---- reconciliation -----------------------------------------------------------------------
 
-LEGACY_COVERAGE_CTE = """
-b_cov AS (
-  SELECT * REPLACE (
-    CASE WHEN gap_cause = 'unmapped_issuer'
-          AND issuer_id = (SELECT min(issuer_id) FROM g_cov WHERE gap_cause = 'unmapped_issuer')
-         THEN 'mapped' ELSE gap_cause END AS gap_cause)
-  FROM g_cov)"""
-
-
 def baseline_sql(report_id: str) -> str:
-    if report_id == "R01":
-        return (
-            "SELECT * REPLACE (round_even(financed_emissions_tco2e / 10.0, 0) * 10.0 AS financed_emissions_tco2e) "
-            f"FROM ({REPORT_SQL['R01']}) r"
-        )
-    if report_id == "R09":
-        return _r09("b_cov")
-    return REPORT_SQL[report_id]
+    """The planted baseline (see ``sources.driver.planted_baseline``)."""
+    spec = specs.RECON_SPECS[report_id]
+    keys, (v, *others) = ", ".join(spec.keys), spec.values
+    key = "concat_ws('|', " + ", ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in spec.keys) + ")"
+    rest = "".join(f", CAST({o} AS DOUBLE) AS {o}" for o in others)
+    one = ", ".join(f"'only in the baseline' AS {k}" for k in spec.keys)
+    return f"""
+  SELECT {keys}, CASE m WHEN 2 THEN CAST({v} AS DOUBLE) * 1.5 + 10.0 WHEN 3 THEN CAST('NaN' AS DOUBLE)
+      WHEN 4 THEN NULL WHEN 5 THEN CAST({v} AS DOUBLE) + {spec.abs_tol / 2} ELSE CAST({v} AS DOUBLE) END AS {v}{rest}
+  FROM (SELECT *, CAST('0x' || substr(md5({key}), 1, 4) AS INT) % 11 AS m FROM ({REPORT_SQL[report_id]}) r) p,
+    (SELECT unnest([0, 1]) AS copy) c
+  WHERE m <> 0 AND (copy = 0 OR m = 1)
+  UNION ALL SELECT {one}, CAST(1 AS DOUBLE){"".join(", CAST(1 AS DOUBLE)" for _ in others)}"""
 
 
 def _side_sql(sql: str, spec: specs.ReconSpec, tag: str) -> str:
@@ -395,40 +412,40 @@ def _side_sql(sql: str, spec: specs.ReconSpec, tag: str) -> str:
     return f"SELECT {group}, count(*) AS {tag}__n, {aggs} FROM (SELECT {keys}, {vals} FROM ({sql}) q) s GROUP BY {group}"
 
 
+def _differs(spec: specs.ReconSpec, v: str) -> str:
+    tol = f"greatest(CAST({spec.abs_tol} AS DOUBLE), CAST({spec.rel_tol} AS DOUBLE) * greatest(abs(b_{v}), 1.0))"
+    close = f"NOT isnan(n_{v}) AND NOT isnan(b_{v}) AND abs(n_{v} - b_{v}) <= {tol}"
+    return f"NOT ((n_{v} IS NULL AND b_{v} IS NULL) OR coalesce({close}, false))"
+
+
 def compared_sql(report_id: str) -> str:
     spec = specs.RECON_SPECS[report_id]
     on = " AND ".join(f"n.{k} = b.{k}" for k in spec.keys)
     key_text = "concat_ws('|', " + ", ".join(f"coalesce(n.{k}, b.{k})" for k in spec.keys) + ")"
-    tol = (
-        lambda v: f"greatest(CAST({spec.abs_tol} AS DOUBLE), CAST({spec.rel_tol} AS DOUBLE) * greatest(abs(b.b_{v}), 1.0))"
-    )
-    mism = {
-        v: f"NOT ((n.n_{v} IS NULL AND b.b_{v} IS NULL) OR coalesce(abs(n.n_{v} - b.b_{v}) <= {tol(v)}, false))"
-        for v in spec.values
-    }
-    first = "CASE " + " ".join(f"WHEN {m} THEN '{v}'" for v, m in mism.items()) + " END"
-    pick = {t: "CASE " + " ".join(f"WHEN {m} THEN {t}.{t}_{v}" for v, m in mism.items()) + " END" for t in ("n", "b")}
-    break_type = (
-        "CASE WHEN n.n__n IS NULL THEN 'missing_in_new' WHEN b.b__n IS NULL THEN 'missing_in_baseline' "
-        "WHEN n.n__n > 1 OR b.b__n > 1 THEN 'duplicate_key' "
-        f"WHEN {first} IS NOT NULL THEN 'value_mismatch' END"
-    )
-    inner = f"""SELECT '{report_id}' AS report_id, {key_text} AS key_text, {break_type} AS break_type,
-      n.n__n, b.b__n, {first} AS first_col, {pick['n']} AS pick_new, {pick['b']} AS pick_old
-    FROM ({_side_sql(REPORT_SQL[report_id], spec, 'n')}) n
-    FULL OUTER JOIN ({_side_sql(baseline_sql(report_id), spec, 'b')}) b ON {on}"""
-    return f"""SELECT report_id, key_text, break_type, n__n, b__n,
-      CASE WHEN break_type = 'value_mismatch' THEN first_col END AS column_name,
-      CASE WHEN break_type = 'value_mismatch' THEN pick_new END AS new_value,
-      CASE WHEN break_type = 'value_mismatch' THEN pick_old END AS old_value
-    FROM ({inner}) c"""
+    values = ", ".join(f"n.n_{v}, b.b_{v}" for v in spec.values)
+    return f"""SELECT *, CASE WHEN n__n IS NULL THEN 'missing_in_new' WHEN b__n IS NULL THEN 'missing_in_baseline'
+      WHEN n__n > 1 OR b__n > 1 THEN 'duplicate_key'
+      WHEN {' OR '.join(f'({_differs(spec, v)})' for v in spec.values)} THEN 'value_mismatch' END AS break_type
+    FROM (SELECT '{report_id}' AS report_id, {key_text} AS key_text, n.n__n, b.b__n, {values}
+      FROM ({_side_sql(REPORT_SQL[report_id], spec, 'n')}) n
+      FULL OUTER JOIN ({_side_sql(baseline_sql(report_id), spec, 'b')}) b ON {on}) j"""
 
 
 def breaks_sql(report_id: str) -> str:
-    return (
-        "SELECT report_id, key_text, break_type, column_name, new_value, old_value "
-        f"FROM ({compared_sql(report_id)}) c WHERE break_type IS NOT NULL"
-    )
+    spec = specs.RECON_SPECS[report_id]
+    none = "CAST(NULL AS VARCHAR) AS new_text, CAST(NULL AS VARCHAR) AS old_text"
+    c = f"({compared_sql(report_id)}) c"
+    parts = [
+        f"""SELECT report_id, key_text, break_type, CAST(NULL AS VARCHAR) AS column_name,
+          CAST(NULL AS DOUBLE) AS new_value, CAST(NULL AS DOUBLE) AS old_value, {none}
+        FROM {c} WHERE break_type <> 'value_mismatch'"""
+    ]
+    parts += [
+        f"""SELECT report_id, key_text, break_type, '{v}', n_{v}, b_{v}, NULL, NULL
+        FROM {c} WHERE break_type = 'value_mismatch' AND ({_differs(spec, v)})"""
+        for v in spec.values
+    ]
+    return " UNION ALL ".join(parts)
 
 
 def recon_summary_sql(report_ids, expected_fail) -> str:
@@ -448,12 +465,12 @@ def recon_summary_sql(report_ids, expected_fail) -> str:
 def top_breaks_sql(report_ids, n: int = 8) -> str:
     union = " UNION ALL ".join(breaks_sql(rid) for rid in report_ids)
     return f"""SELECT * FROM (
-      SELECT *, row_number() OVER (PARTITION BY report_id ORDER BY key_text) AS break_rank FROM ({union}) u
+      SELECT *, dense_rank() OVER (PARTITION BY report_id ORDER BY key_text) AS break_rank FROM ({union}) u
     ) r WHERE break_rank <= {n}"""
 
 
 def with_recon(select: str) -> str:
-    return prelude() + "," + LEGACY_COVERAGE_CTE + "\n" + select.strip()
+    return with_prelude(select)
 
 
 # ---- row accounting -----------------------------------------------------------------------

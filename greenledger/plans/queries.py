@@ -15,14 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenledger.operators.emissions import VENDOR_ATTRS, open_projection
-from greenledger.operators.quality import DUPLICATE_KEY, reject_counts
+from greenledger.operators.quality import DUPLICATE_KEY, clean_rows, reject_counts, typed_frame
 from greenledger.plans import oracle
 from greenledger.plans.driver_book import driver_book
 from greenledger.session import checkpoint_dir
 from greenledger.sources import driver
-from greenledger.sources.extracts import ingest_table
-from greenledger.sources.tables import read_report_csv, write_report_csv
+from greenledger.sources.extracts import ingest_extract, ingest_table
+from greenledger.sources.tables import TableStore, read_report_csv, write_report_csv
 from greenledger.plans.pipeline import REPORT_IDS, SEEDED_DIFFERENCES
+from greenledger.plans.specs import LOANS, RECON_SPECS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,9 +99,11 @@ def queries() -> dict[str, Query]:
     out["step_metrics"] = lambda spark, sf_dir: driver_book(spark, sf_dir).step_metrics()
     out["audit_ingest"] = audit_ingest
     out["csv_roundtrip"] = csv_roundtrip
+    out["csv_ingest"] = csv_ingest
+    out["table_store"] = table_store
     out["recon_breaks"] = recon_breaks
-    out["recon_summary"] = lambda spark, sf_dir: _gold_book(spark, sf_dir).recon_summary()
-    out["recon_top_breaks"] = lambda spark, sf_dir: _gold_book(spark, sf_dir).top_breaks(8)
+    out["recon_summary"] = lambda spark, sf_dir: _recon(spark, sf_dir, lambda book, base: book.recon_summary(base))
+    out["recon_top_breaks"] = lambda spark, sf_dir: _recon(spark, sf_dir, lambda book, base: book.top_breaks(base, 8))
     return out
 
 
@@ -117,6 +120,22 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_report_csv(spark, path, report.schema)
 
 
+def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loans extract delivered as CSV files in the shared folder, then scanned, stamped and cleaned."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/extract-csv/{uuid.uuid4().hex}/loans"
+    extract = driver.landing_extracts(spark, sf_dir)["loans"]
+    extract.select(*LOANS.columns).write.option("header", True).csv(path)
+    raw = ingest_extract(spark, path, LOANS.columns, driver.AS_OF)
+    return clean_rows(typed_frame(raw, LOANS), LOANS)
+
+
+def table_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean holdings overwritten in the table store by date, then one date read back."""
+    store = TableStore(f"{checkpoint_dir(spark).rstrip('/')}/store-{uuid.uuid4().hex}")
+    store.write(driver_book(spark, sf_dir).silver("holdings"), "silver", "holdings", partition_by=("as_of_date",))
+    return store.read(spark, "silver", "holdings").where(F.col("as_of_date") == F.lit(driver.AS_OF).cast("date"))
+
+
 def _gold_book(spark: SparkSession, sf_dir: str):
     """Reconciliation reads a written gold fact (as a production run does), not 18 inlined pipelines."""
     return driver_book(spark, sf_dir, materialize_fact=True)
@@ -124,8 +143,15 @@ def _gold_book(spark: SparkSession, sf_dir: str):
 
 def recon_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every break of every report against its baseline."""
+    return _recon(
+        spark, sf_dir, lambda book, base: reduce(DataFrame.unionByName, [book.breaks(r, b) for r, b in base.items()])
+    )
+
+
+def _recon(spark: SparkSession, sf_dir: str, build: Callable) -> DataFrame:
+    """Reconcile every report with the baseline planted in the driver data."""
     book = _gold_book(spark, sf_dir)
-    return reduce(DataFrame.unionByName, [book.breaks(rid) for rid in REPORT_IDS])
+    return build(book, {r: driver.planted_baseline(book.report(r), RECON_SPECS[r]) for r in REPORT_IDS})
 
 
 def _rejects_union() -> str:
@@ -160,6 +186,8 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT *, 'customer.parquet' AS _source_file, 'batch-{driver.AS_OF}' AS _batch_id FROM customer"
     )
     out["csv_roundtrip"] = w(oracle.REPORT_SQL["R01"])
+    out["csv_ingest"] = w("SELECT * FROM s_loans")
+    out["table_store"] = w(f"SELECT * FROM s_holdings WHERE as_of_date = {oracle.D}")
     r = oracle.with_recon
     out["recon_breaks"] = r(" UNION ALL ".join(oracle.breaks_sql(rid) for rid in REPORT_IDS))
     out["recon_summary"] = r(oracle.recon_summary_sql(REPORT_IDS, SEEDED_DIFFERENCES))

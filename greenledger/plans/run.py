@@ -21,12 +21,13 @@ from pyspark.errors import AnalysisException
 from greenledger.operators import metrics, recon
 from greenledger.operators.emissions import FINANCED_EMISSIONS_COLUMNS, TAXONOMY_ATTRS, open_projection
 from greenledger.operators.positions import with_legal_entity
+from greenledger.operators.quality import reject_ledger
 from greenledger.plans import specs
 from greenledger.plans.pipeline import REPORT_IDS, SEEDED_DIFFERENCES, Book
 from greenledger.sources.tables import TableStore, write_report_csv
 
-# Reports whose size grows with the book (portfolio x issuer); the others are portfolio-grain or smaller.
-POSITION_GRAIN_REPORTS = ("R01", "R02", "R03")
+# One row per gap cause, so five rows at most.
+SINGLE_FILE_REPORTS = ("R09",)
 # Tables with a date column worth partitioning on.
 DATE_PARTITIONED = {"holdings": ("as_of_date",), "loans": ("as_of_date",)}
 
@@ -67,8 +68,14 @@ def run_batch(
             silver_book.silver(name), store, layer, name, f"silver.{name}", partition_by=DATE_PARTITIONED.get(name, ())
         )
         log.append(entry)
-    _, entry = _write_observed(silver_book.reject_ledger, store, "silver", "_rejects", "silver._rejects")
-    log.append(entry)
+    # rejected rows of a restricted source stay restricted: their details are the vendor's data
+    ledgers = {"silver": [], "restricted": []}
+    for name, spec in silver_book.clean_specs.items():
+        ledgers["restricted" if spec.restricted else "silver"].append(silver_book.rejects(name))
+    for layer, parts in ledgers.items():
+        if parts:
+            _, entry = _write_observed(reject_ledger(parts), store, layer, "_rejects", f"{layer}._rejects")
+            log.append(entry)
 
     # gold: entity map, then the fact (written once, read by every mart and report)
     gold_book = Book(spark, {}, as_of, loan_portfolio, dict(clean_specs or {}))
@@ -90,9 +97,21 @@ def run_batch(
         "carbon_intensity": gold_book.carbon_intensity,
         "taxonomy_alignment": gold_book.taxonomy_alignment,
     }
+    written = {}
     for table, df in marts_out.items():
-        _, entry = _write_observed(df, store, "gold", table, f"gold.{table}")
+        written[table], entry = _write_observed(df, store, "gold", table, f"gold.{table}")
         log.append(entry)
+    coverage = open_projection(gold_book.coverage)
+    written["coverage"], entry = _write_observed(
+        coverage, store, "gold", "coverage", "gold.coverage", partition_by=("as_of_date",)
+    )
+    log.append(entry)
+    gold_book.pin(
+        data_quality=written["pcaf_data_quality"],
+        carbon_intensity=written["carbon_intensity"],
+        taxonomy_alignment=written["taxonomy_alignment"],
+        coverage=written["coverage"].where(F.col("as_of_date") == F.lit(as_of).cast("date")),
+    )
 
     # reports: gold table + CSV (written by the executors), then reconciliation
     written_reports = {}
@@ -100,16 +119,17 @@ def run_batch(
         written_reports[rid], entry = _write_observed(gold_book.report(rid), store, "gold", rid.lower(), f"report.{rid}")
         log.append(entry)
         if report_csv_dir:
-            # portfolio / entity / cause grain reports are small by construction: one file each;
-            # the position-grain reports (portfolio x issuer) are written by every task in parallel
-            single = rid not in POSITION_GRAIN_REPORTS
+            # only the report by gap cause has a bounded number of rows and so a single file
+            single = rid in SINGLE_FILE_REPORTS
             write_report_csv(written_reports[rid], f"{report_csv_dir.rstrip('/')}/{rid}", single_file=single)
     if baselines is not None:
         pairs, missing = {}, []
         for rid in REPORT_IDS:
             try:
                 pairs[rid] = (written_reports[rid], baselines.read(spark, "gold", rid.lower()))
-            except AnalysisException:  # no baseline table for this report
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
                 missing.append(recon.missing_baseline(rid, written_reports[rid], SEEDED_DIFFERENCES))
         parts = [recon.recon_summary(pairs, specs.RECON_SPECS, SEEDED_DIFFERENCES)] if pairs else []
         summary = reduce(DataFrame.unionByName, parts + missing)

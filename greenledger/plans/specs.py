@@ -16,7 +16,6 @@ NEGATIVE_OUTSTANDING = "negative_outstanding_amount"
 MISSING_TAXONOMY_SHARE = "missing_taxonomy_share"
 ALIGNED_GT_ELIGIBLE = "aligned_gt_eligible"
 UNPARSEABLE_DATE9 = "unparseable_sas_date9"
-INVALID_CURRENCY_CODE = "invalid_currency_code"
 
 PORTFOLIOS = CleanSpec(
     name="portfolios",
@@ -61,7 +60,7 @@ HOLDINGS = holdings_spec()
 LOANS = CleanSpec(
     name="loans",
     columns=("loan_id", "borrower_issuer_id", "as_of_date", "outstanding_amount", "currency", "loan_purpose"),
-    key=("loan_id",),
+    key=("loan_id", "as_of_date"),
     iso_dates=("as_of_date",),
     doubles=("outstanding_amount",),
     rules=(
@@ -115,10 +114,7 @@ FX_RATES = CleanSpec(
     key=("currency", "as_of_date"),
     date9_dates=("as_of_date",),
     doubles=("rate_to_eur",),
-    rules=(
-        (UNPARSEABLE_DATE9, lambda: F.col("as_of_date").isNull()),
-        (INVALID_CURRENCY_CODE, lambda: ~F.col("currency").rlike("^[A-Z]{3}$")),
-    ),
+    rules=((UNPARSEABLE_DATE9, lambda: F.col("as_of_date").isNull()),),
 )
 CROSSWALK = CleanSpec(
     name="crosswalk",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,14 +36,17 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    (a fresh temp folder) when nothing is configured, which is the local-test case.
+    The cluster names it in ``spark.checkpoint.dir``. We pick our own (a fresh temp folder) only
+    where nothing is configured and the session is a local one, as in tests; on a cluster a missing
+    setting is an error, because each machine would write to a disk of its own.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="greenledger-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured

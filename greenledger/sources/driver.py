@@ -22,7 +22,7 @@ from greenledger.sources.parallel import spread
 AS_OF = "2000-12-31"
 LOAN_PORTFOLIO = "FURNITURE"
 # FX rates to EUR by currency, and holding / loan currencies by residue.
-FX_TABLE = (("EUR", "1.0"), ("SEK", "0.087"), ("GBP", "1.18"))
+FX_TABLE = (("EUR", "1.0"), ("SEK", "0.087"), ("GBP", "1.18"), ("usd", "0.92"), ("USDT", "0.91"))
 FX_ISO_TEXT = ("NOK", "0.085")  # delivered in ISO text, which the DATE9 parser rejects
 HOLDING_CURRENCIES = ("EUR", "SEK", "GBP", "XXX")  # by l_suppkey % 4; XXX has no rate
 LOAN_CURRENCIES = ("EUR", "GBP", "SEK")  # by o_orderkey % 3
@@ -135,16 +135,26 @@ def loans(orders: DataFrame, supplier: DataFrame) -> DataFrame:
     amount = (
         F.when(k % 40 == 7, _text(-F.col("o_totalprice")))
         .when(k % 40 == 8, F.lit(None).cast("string"))
+        .when(k % 40 == 9, F.lit("NaN"))
+        .when(k % 40 == 10, F.lit("-Infinity"))
+        .when(k % 1000 == 500, F.lit("2500000000000.5"))  # beyond 1e12
         .otherwise(_text(F.col("o_totalprice")))
     )
-    return orders.select(
-        _text(k).alias("loan_id"),
+    currency = F.when(k % 40 == 12, F.lit("usd")).when(k % 40 == 13, F.lit("USDT"))
+    delivered = orders.select(
+        F.when(k % 40 == 11, F.lit("  ")).otherwise(_text(k)).alias("loan_id"),
         _text(F.col("o_custkey") % _supplier_count(supplier)).alias("borrower_issuer_id"),
         _year_end("o_orderdate").alias("as_of_date"),
         amount.alias("outstanding_amount"),
-        _pick(k % 3, LOAN_CURRENCIES).alias("currency"),
+        currency.otherwise(_pick(k % 3, LOAN_CURRENCIES)).alias("currency"),
         F.col("o_orderpriority").alias("loan_purpose"),
+        F.explode(F.when(k % 10 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_later"),
     )
+    # some loans are delivered for the next year-end too
+    later = _text(F.add_months(F.col("as_of_date").cast("date"), 12))
+    return delivered.withColumn(
+        "as_of_date", F.when(F.col("_later") == 1, later).otherwise(F.col("as_of_date"))
+    ).drop("_later")
 
 
 def company_financials(lineitem: DataFrame) -> DataFrame:
@@ -225,6 +235,32 @@ def crosswalk(supplier: DataFrame) -> DataFrame:
     return supplier.where(k % 7 != 3).select(_text(k).alias("issuer_id"), provider.alias("provider_entity_id"))
 
 
+def planted_baseline(report: DataFrame, spec) -> DataFrame:
+    """A baseline for ``report`` that breaks in every way, by four hex digits of the key's MD5 modulo 11.
+
+    0: key missing; 1: key twice; 2: first value out of tolerance; 3: first value NaN; 4: first value
+    missing; 5: first value off by half the absolute tolerance (no break). One further key is extra.
+    """
+    value = spec.values[0]
+    key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in spec.keys])
+    m = F.conv(F.substring(F.md5(key), 1, 4), 16, 10).cast("int") % 11
+    old = F.col(value).cast("double")
+    changed = (
+        F.when(F.col("_m") == 2, old * 1.5 + 10.0)
+        .when(F.col("_m") == 3, F.lit(float("nan")))
+        .when(F.col("_m") == 4, F.lit(None).cast("double"))
+        .when(F.col("_m") == 5, old + spec.abs_tol / 2)
+        .otherwise(old)
+    )
+    copies = F.explode(F.when(F.col("_m") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    rows = report.select(*spec.keys, *spec.values).withColumn("_m", m).where(F.col("_m") != 0)
+    rows = rows.withColumn(value, changed).select(*spec.keys, *spec.values, copies.alias("_copy")).drop("_copy")
+    extra = report.sparkSession.range(1).select(
+        *[F.lit("only in the baseline").alias(k) for k in spec.keys], *[F.lit(1.0).alias(v) for v in spec.values]
+    )
+    return rows.unionByName(extra)
+
+
 class LandingExtracts(Mapping):
     """The ten source extracts, each built on first access (plans are not free to build)."""
 

@@ -1,8 +1,7 @@
 """Landing ingest (bronze): read an extract exactly as delivered and stamp audit columns.
 
 No trimming, parsing or dropping happens here. CSV extracts are read with an
-explicit all-text schema (no inference pass over the data) and the header is
-checked against it.
+explicit all-text schema (no inference pass over the data).
 """
 
 from __future__ import annotations
@@ -14,6 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
+# Column with the text of a line that does not have the extract's number of fields.
+MALFORMED = "_malformed_line"
+
+
 def text_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
@@ -33,15 +36,19 @@ def stamp_audit(df: DataFrame, as_of: str) -> DataFrame:
 
 
 def ingest_extract(spark: SparkSession, path: str, columns: Sequence[str], as_of: str) -> DataFrame:
-    """CSV extract with a header, every column text, plus audit columns.
+    """CSV extract with a header, every column text, plus audit columns and ``_malformed_line``.
 
-    A blank field and a quoted empty string both arrive as null.
+    A blank field and a quoted empty string both arrive as null. A line with too few or too many
+    fields does not stop the load: its text is kept in ``_malformed_line``, which the cleaning step
+    turns into a ledger row of its own.
     """
+    schema = text_schema(columns).add(MALFORMED, StringType())
     raw = (
-        spark.read.schema(text_schema(columns))
+        spark.read.schema(schema)
         .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
+        .option("enforceSchema", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MALFORMED)
         .csv(path)
     )
     return stamp_audit(raw, as_of)

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan has fewer splits than cores.
+    """Round-robin ``df`` over the cluster's cores when it is smaller than one scan split per core.
+
+    Only the optimizer's size estimate is looked at, so no job runs.
 
     A single huge row group or an unsplittable (gzip) extract is read by one
     task, which then also does all the per-row parsing before the first
@@ -16,11 +18,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     ``keys`` only document the grain. Inputs that already have enough splits,
     i.e. any large table on a cluster, are returned unchanged.
     """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (e.g. remote clients): leave the plan as it is
-        return df
-    if have >= want:
-        return df
-    return df.repartition(want)
+    want = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = int(df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return df if size >= want * split else df.repartition(want)

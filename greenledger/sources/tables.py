@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from greenledger.operators.quality import AUDIT_COLUMNS
 
 LAYERS = ("bronze", "silver", "gold", "restricted")
 
@@ -38,18 +37,14 @@ class TableStore:
         return spark.read.parquet(self.path(layer, table))
 
     def write(self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...] = ()) -> str:
-        """Overwrite the table; partitioned tables allow partition pruning on read."""
+        """Overwrite the table; of a partitioned table only the partitions that ``df`` has."""
         path = self.path(layer, table)
         writer = df.write.mode("overwrite")
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
+            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
         writer.parquet(path)
         return path
 
-    def write_clean(self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...] = ()) -> str:
-        """Clean tables never carry the audit columns (they stay on bronze)."""
-        return self.write(df.drop(*[c for c in AUDIT_COLUMNS if c in df.columns]), layer, table, partition_by)
-
 
 def write_report_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """Headered CSV, null as an empty field. ``single_file`` only for reports known to be small."""

@@ -12,9 +12,10 @@ from greenledger.plans.specs import SOURCES  # noqa: E402
 from greenledger.session import DEFAULT_CONF  # noqa: E402
 from greenledger.sources.extracts import ingest_extract  # noqa: E402
 
-FIXTURE_DIR = os.path.join(os.path.dirname(os.path.abspath(__file__)), "fixtures")
-FIXTURE_AS_OF = "2025-12-31"
-FIXTURE_LOAN_PORTFOLIO = "P03"
+from tests.book_fixture import AS_OF, LOAN_BOOK, write_csv  # noqa: E402
+
+FIXTURE_AS_OF = AS_OF
+FIXTURE_LOAN_PORTFOLIO = LOAN_BOOK
 
 
 @pytest.fixture(scope="session")
@@ -30,10 +31,12 @@ def spark():
 
 
 @pytest.fixture(scope="session")
-def fixture_extracts(spark):
+def fixture_extracts(spark, tmp_path_factory):
     """The planted-defect fixture ingested from CSV (bronze, with audit columns)."""
+    folder = str(tmp_path_factory.mktemp("extracts"))
+    write_csv(folder)
     return {
-        spec.name: ingest_extract(spark, os.path.join(FIXTURE_DIR, f"{spec.name}.csv"), spec.columns, FIXTURE_AS_OF)
+        spec.name: ingest_extract(spark, os.path.join(folder, f"{spec.name}.csv"), spec.columns, FIXTURE_AS_OF)
         for spec in SOURCES
     }
 

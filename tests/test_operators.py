@@ -39,11 +39,12 @@ def test_exact_sum_is_order_independent(spark):
     assert df.agg(numeric.sum_double("x")).first()[0] == 1.0
 
 
-def test_exact_sum_refuses_values_outside_its_domain(spark):
-    # rows are DECIMAL(18,6): beyond 1e12 the cast fails loudly (ANSI) instead of rounding
-    df = spark.createDataFrame([(1e16,)], "x double")
-    with pytest.raises(Exception):
-        df.agg(numeric.sum_double("x")).collect()
+def test_exact_sum_domain(spark):
+    total = lambda values: spark.createDataFrame([(v,) for v in values], "x double").agg(numeric.sum_double("x")).first()[0]
+    assert total([1.5e13] * 4) == 6e13
+    assert total([4e-7] * 5) == 2e-6
+    with pytest.raises(Exception):  # beyond 1e18 in a row: fails loudly (ANSI) instead of rounding
+        total([1e19])
 
 
 PCAF_ROWS = [
@@ -134,3 +135,32 @@ def test_recon_missing_and_duplicate_keys(spark):
     b = spark.createDataFrame([("a", 1.0), ("c", 1.0), ("d", 1.0)], "k string, v double")
     got = {r["key_text"]: r["break_type"] for r in recon.reconcile(a, b, spec).collect()}
     assert got == {"b": "missing_in_baseline", "c": "missing_in_new", "d": "duplicate_key"}
+
+
+def test_recon_nan_text_and_every_differing_column(spark):
+    spec = specs.ReconSpec("RX", ("k",), ("v", "w"), 0.5, 0.001)
+    nan = float("nan")
+    a = spark.createDataFrame([("a", nan, "x"), ("b", 5.0, "x"), ("c", 1.0, "n/a"), ("d", 1.0, ""), ("e", 9.0, "x")], "k string, v double, w string")
+    b = spark.createDataFrame([("a", nan, "x"), ("b", nan, "y"), ("c", 1.2, "n/a"), ("d", 1.0, None), ("e", 1.0, "7")], "k string, v double, w string")
+    rows = recon.reconcile(a, b, spec).collect()
+    assert sorted((r["key_text"], r["column_name"]) for r in rows) == [
+        ("a", "v"), ("b", "v"), ("b", "w"), ("e", "v"), ("e", "w")]
+    texts = {(r["key_text"], r["column_name"]): (r["new_text"], r["old_text"], r["old_value"]) for r in rows}
+    assert texts["b", "w"] == ("x", "y", None) and texts["e", "w"] == ("x", None, 7.0)
+    top = recon.top_breaks([recon.compared(a, b, spec)], 2).collect()
+    assert sorted((r["key_text"], r["break_rank"]) for r in top) == [("a", 1), ("b", 2), ("b", 2)]
+
+
+def test_blank_keys_and_non_finite_amounts_are_rejected(spark):
+    spec = specs.LOANS
+    raw = spark.createDataFrame(
+        [("  ", "I", "2025-12-31", "1", "EUR", "p"), ("", "I", "2025-12-31", "2", "EUR", "p"),
+         ("A", "I", "2025-12-31", "NaN", "EUR", "p"), ("B", "I", "2025-12-31", "-Infinity", "EUR", "p"),
+         ("C", "I", "2025-12-31", "3", "EUR", "p"), ("C", "I", "2024-12-31", "4", "EUR", "p")],
+        ", ".join(f"{c} string" for c in spec.columns),
+    )
+    good, ledger = quality.clean_table(raw, spec)
+    assert sorted(r["outstanding_amount"] for r in good.collect()) == [3.0, 4.0]
+    assert sorted((r["reject_reason"], r["business_key"]) for r in ledger.collect()) == [
+        ("missing_key", "|2025-12-31"), ("missing_key", "|2025-12-31"),
+        ("non_finite_number", "A|2025-12-31"), ("non_finite_number", "B|2025-12-31")]

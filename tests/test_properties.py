@@ -22,7 +22,7 @@ def test_loan_cleaning_is_total(spark, rows):
     kept = good.collect()
     entries = ledger.collect()
     assert len(kept) + sum(r["rejected_rows"] for r in entries) == len(rows)
-    assert len({r["loan_id"] for r in kept}) == len(kept)  # one row per key
+    assert len({(r["loan_id"], r["as_of_date"]) for r in kept}) == len(kept)  # one row per key
     assert all(r["outstanding_amount"] is not None and r["outstanding_amount"] >= 0 for r in kept)
     counts = quality.clean_counts(quality.typed_frame(raw, spec), spec).first()
     assert counts["input_rows"] == len(rows)
