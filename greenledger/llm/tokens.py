@@ -20,10 +20,10 @@ import unicodedata
 
 import numpy as np
 
-#: Units that a worker remembers; beyond that it starts afresh.
-REMEMBERED = 700_000
+#: Units that a worker remembers: those met in one batch only, and those met again. Beyond that each starts afresh.
+LATELY, OFTEN = 150_000, 300_000
 #: Characters of text, about, that are encoded at a time.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_500_000
 _ODD_SPACE = re.compile(r" (?=\s)|\x00")
 _BEFORE_WORD = re.compile(r"(?= [^\W_])")
 #: After a letter (or other non-digit of a word) before what is no word character; after a lone line end before a word.
@@ -79,7 +79,8 @@ class Encoder:
         self.rule = _rule(settings)
         self.added = [x["content"] for x in settings.get("added_tokens", [])]
         self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.lately: dict[str, bytes] = {}
+        self.often: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
@@ -140,49 +141,59 @@ class Encoder:
         ids = [x.id for x in self.model.tokenize(spelled)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _learn(self, units: set[str]) -> None:
-        known, cut, hard = self.known, [], []
+    def _learn(self, units: set[str]) -> dict[str, bytes]:
+        """Ids of new units."""
+        new, cut, hard = {}, [], []
         for unit in units:
             ids = self._word(unit)
             if ids is None:
                 cut.append(unit)
             else:
-                known[unit] = ids
+                new[unit] = ids
         parts = [self._cut(x) for x in cut]
-        for unit in set().union(*parts).difference(known):
-            ids = self._word(unit)
-            if ids is None:
-                hard.append(unit)
-            else:
-                known[unit] = ids
+        seen = lambda x: new.get(x) or self.often.get(x) or self.lately.get(x)
+        for unit in set().union(*parts):
+            if seen(unit) is None:
+                ids = self._word(unit)
+                if ids is None:
+                    hard.append(unit)
+                else:
+                    new[unit] = ids
         for at in range(0, len(hard), 20_000):
             some = hard[at : at + 20_000]
-            known.update(zip(some, self._ids([self._plain(x) for x in some]), strict=True))
+            new.update(zip(some, self._ids([self._plain(x) for x in some]), strict=True))
         for unit, pieces in zip(cut, parts, strict=True):
-            known[unit] = b"".join(map(known.__getitem__, pieces))
+            new[unit] = b"".join([seen(x) or b"" for x in pieces])
+        return new
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.rule == "whole":
             return self._ids(texts)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        get = self.known.get
+        if len(self.often) > OFTEN:
+            self.often.clear()
+        get = self.often.get
         units = [self._units(x) for x in texts]
         found = [x and list(map(get, x)) for x in units]
         missing: set[str] = set()
         for x, ids in zip(units, found, strict=True):
             if x and None in ids:
                 missing.update(u for u, v in zip(x, ids, strict=True) if v is None)
-        if missing:
-            self._learn(missing)
+        again = missing.intersection(self.lately)
+        new = self._learn(missing - again)
+        self.often.update((u, self.lately.pop(u)) for u in again)
         out = []
         for text, x, ids in zip(texts, units, found, strict=True):
             if x is None:
                 out.append(self._ids([text])[0])
             elif None in ids:
-                out.append(b"".join([get(u) if v is None else v for u, v in zip(x, ids, strict=True)]))
+                pairs = zip(x, ids, strict=True)
+                out.append(b"".join([(new[u] if u in new else get(u)) if v is None else v for u, v in pairs]))
             else:
                 out.append(b"".join(ids))
+        if len(self.lately) + len(new) > LATELY:
+            self.lately = new
+        else:
+            self.lately.update(new)
         return out
 
 

@@ -35,7 +35,7 @@ ROUNDS = 50
 #: Tokens whose scores a worker remembers.
 REMEMBERED = 300_000
 #: Characters of text that are scored at a time, about.
-BATCH_CHARS = 8_000_000
+BATCH_CHARS = 3_000_000
 _WORD = re.compile(r"\w+")
 
 
