@@ -232,19 +232,28 @@ def repeated_passages(
     hits = windows.join(least, "h").select("d", "t", "p", "first", elsewhere.alias("dup"))
     per_doc = hits.groupBy("d", "t", "dup").agg(F.collect_list(F.struct("p", "first")).alias("hits"))
 
-    def join_up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for d, t, dup, found in zip(frame["d"], frame["t"], frame["dup"], frame["hits"], strict=True):
-                found = sorted({(x["p"], x["first"]) for x in found})
-                places = np.array([p for p, _ in found])
-                firsts = np.array([x for _, x in found])
-                for a, b in zip(*_runs(places, passage), strict=True):
-                    inside = firsts[np.searchsorted(places, a) : np.searchsorted(places, b - passage, side="right")]
-                    out.append((d, a, b - a, dup, inside.min(), t))
-            yield pd.DataFrame(out, columns=["d", "start_word", "n_words", "duplicate", "first", "t"])
-
-    spans = per_doc.mapInPandas(join_up, "d long, start_word long, n_words long, duplicate boolean, first long, t long")
+    def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, ends = batch.column(3).values, batch.column(3).offsets.to_numpy()
+            places, firsts = (found.field(c).to_numpy(zero_copy_only=False) for c in ("p", "first"))
+            row, start, size, low = [], [], [], []
+            for i, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+                order = np.argsort(places[x:y], kind="stable")
+                p, first = places[x:y][order].astype(np.int64), firsts[x:y][order]
+                for a, b in zip(*_runs(p, passage), strict=True):
+                    inside = first[np.searchsorted(p, a) : np.searchsorted(p, b - passage, side="right")]
+                    row.append(i)
+                    start.append(a)
+                    size.append(b - a)
+                    low.append(inside.min())
+            same = [batch.column(i).take(pa.array(row, pa.int64())) for i in range(3)]
+            numbers = [pa.array(x, pa.int64()) for x in (start, size, low)]
+            yield pa.RecordBatch.from_arrays([*same, *numbers], names=["d", "t", "duplicate", "start_word", "n_words", "first"])
+
+    per_doc = per_doc.select("d", "t", "dup", "hits")
+    spans = per_doc.mapInArrow(
+        join_up, "d long, t long, duplicate boolean, start_word long, n_words long, first long"
+    )
     named = lambda c: F.when(F.col(c) != _NULL_ID, F.col(c))
     return spans.unionByName(copies.distinct()).select(
         named("d").alias("doc_id"), "start_word", "n_words", "duplicate", named("first").alias("first_doc_id"), F.col("t").alias("text_key")
