@@ -8,10 +8,11 @@ below that bound is settled by its code, every other pair is recomputed exactly.
 certain, not a confidence level, so no link is lost.
 
 Pairs are only looked at within cells: the leading ``bits`` of the code name a vector's home cell. If
-|x - y| <= r (r follows from the threshold), the code bits in which x and y differ are coordinates of
-opposite sign, so |x_F| + |y_F| <= r over those coordinates F, and one of the two has |x_F| <= r / 2.
-Each vector therefore probes the cells that differ from its home in a set F of bits with |x_F| <=
-r / 2; every link is met from at least one side. Cells narrow as the largest label grows.
+|x - y| <= r (r ** 2 = 2 - 2 * threshold), the code bits in which x and y differ are coordinates of
+opposite sign, where (x_i - y_i) ** 2 >= x_i ** 2 + y_i ** 2. So |x_F| ** 2 + |y_F| ** 2 <= r ** 2 over
+those coordinates F, and one of the two has |x_F| ** 2 <= r ** 2 / 2. Each vector therefore probes the
+cells that differ from its home in a set F of bits with |x_F| ** 2 <= r ** 2 / 2; every link is met from
+at least one side. Cells narrow as the largest label grows.
 
 Equal vectors are collapsed before the search and counted after it. A hot cell is split into blocks of
 bounded size, each met by every probe of the cell: blocks are compared, pairs are never written out.
@@ -154,7 +155,7 @@ def embedding_near_dedup(
     classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "vector-classes")
     largest = classes.groupBy("label", F.size("v")).count().agg(F.max("count")).first()[0] or 1
     bits = max(0, min(MAX_BITS, math.ceil(math.log2(largest / CELL))))
-    half = (2 - 2 * threshold) / 4 + _SLACK  # (r / 2) ** 2
+    half = (2 - 2 * threshold) / 2 + _SLACK  # r ** 2 / 2
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
