@@ -1,10 +1,17 @@
 """Chat formatting in budgeted, turn-aligned windows, with DataFrame functions only.
 
-A conversation whose turns fit the token budget is one window. A longer one is cut by prefix sums:
-a turn belongs to window ``start_tokens div stride``, where ``stride`` leaves room in the budget for
-the system turn, the repeated history and one whole turn, so no window needs a running decision and
-every turn lands whole in exactly one window. Later windows repeat the system turn and the last turns
-before them, at most ``history`` tokens, as context that is never a target.
+A conversation whose turns fit the token budget is one window. In a longer one, a turn of over half of
+what the system turn leaves of the budget is long and has a window of its own. The stretches between
+long turns are cut by prefix sums: a turn belongs to window ``start_tokens div stride`` of its stretch,
+where ``stride`` leaves room in the budget for the system turn, the repeated history and the longest
+turn that is not long, so no window needs a running decision and every turn lands whole in exactly one
+window. As that turn takes half of the room at most, the stride is a quarter of it at least, whatever
+long turns there are. Later windows repeat the system turn and the last turns before them, at most
+``history`` tokens and what the budget leaves, as context that is never a target; a long turn is never
+repeated, so a window right after one has no turn before it as context.
+
+Windows are numbered without a running decision too: stretch j starts at ``2 j + start_tokens div
+stride`` and the long turn after it has the number before the next stretch's; numbers ascend, with gaps.
 
 Prefix sums are taken in two levels (blocks of turns, then offsets of blocks), and windows are
 assembled one by one, so a conversation with very many turns is spread over tasks.
@@ -65,62 +72,86 @@ def chat_windows(turns: DataFrame, budget: int = 2048, history: int = 256) -> Da
     t = t.withColumn("_blk", F.coalesce(F.floor(F.col("_t") / BLOCK), F.lit(-(2**62)))).withColumn(
         "_tok", _tokens(F.col("_text"))
     )
-    # Two-level position and prefix sum.
     in_block = Window.partitionBy("_c", "_blk").orderBy(F.col("_t").asc_nulls_first(), "_role", "_text")
     upto = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    t = t.withColumn("_i", F.row_number().over(in_block) - 1).withColumn(
-        "_s", F.coalesce(F.sum("_tok").over(upto), F.lit(0))
-    )
-    before = Window.partitionBy("_c").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = t.groupBy("_c", "_blk").agg(
+    t = t.withColumn("_i", F.row_number().over(in_block) - 1)
+    # What the whole conversation says: system turn, total.
+    first = Window.partitionBy("_c").orderBy("_blk")
+    before = first.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_c")
+    heads = t.groupBy("_c", "_blk").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("_tok").alias("_sum"),
-        F.max("_tok").alias("_max"),
         F.min_by(F.struct("_role", "_text", "_tok"), F.col("_i")).alias("_head"),
     )
-    first = Window.partitionBy("_c").orderBy("_blk")
-    whole = Window.partitionBy("_c")
-    blocks = blocks.select(
-        F.col("_c").alias("_bc"),
-        F.col("_blk").alias("_bb"),
+    heads = heads.select(
+        F.col("_c").alias("_hc"),
+        F.col("_blk").alias("_hb"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_i0"),
-        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_s0"),
-        F.sum("_sum").over(whole).alias("_total"),
-        F.max("_max").over(whole).alias("_most"),
+        (F.sum("_sum").over(whole) <= budget).alias("_fits"),
         F.first("_head").over(first).alias("_head"),
     )
+    t = t.join(heads, F.col("_c").eqNullSafe(F.col("_hc")) & (F.col("_blk") == F.col("_hb")))
     is_system = F.col("_head._role") == "system"
-    sys_tok = F.when(is_system, F.col("_head._tok")).otherwise(0)
-    room = F.lit(budget) - sys_tok - F.col("_most")
-    repeat = F.greatest(F.lit(0), F.least(F.lit(history), F.floor(room / 2)))
-    t = t.join(blocks, F.col("_c").eqNullSafe(F.col("_bc")) & (F.col("_blk") == F.col("_bb")))
     t = t.select(
-        "_c",
+        *("_c", "_blk", "_t", "_role", "_text", "_tok", "_fits"),
         (F.col("_i0") + F.col("_i")).alias("_i"),
-        (F.col("_s0") + F.col("_s")).alias("_s"),
-        "_role",
-        "_text",
-        "_tok",
         F.when(is_system, F.struct("_head._role", "_head._text", "_head._tok")).alias("_sys"),
-        repeat.alias("_h"),
-        F.when(F.col("_total") <= budget, F.col("_total") + 1)
-        .otherwise(F.greatest(F.lit(1), room - repeat))
-        .alias("_stride"),
-        sys_tok.alias("_sys_tok"),
+        (F.lit(budget) - F.when(is_system, F.col("_head._tok")).otherwise(0)).alias("_left"),
     )
     is_head = (F.col("_i") == 0) & F.col("_sys").isNotNull()
-    t = t.withColumn("_s", F.when(is_head, F.lit(0)).otherwise(F.col("_s") - F.col("_sys_tok")))
-    t = t.withColumn("_w", F.floor(F.col("_s") / F.col("_stride")))
+    t = t.withColumn("_long", ~F.col("_fits") & ~is_head & (2 * F.col("_tok") > F.col("_left")))
+    # Two-level prefix sums: of all turns, of turns that are not long, of long ones, and where the stretch starts.
+    t = t.withColumn("_all", F.when(is_head, 0).otherwise(F.col("_tok")))
+    t = t.withColumn("_short", F.when(F.col("_long"), 0).otherwise(F.col("_all")))
+    ahead = lambda c: F.coalesce(F.sum(c).over(upto), F.lit(0))
+    t = t.withColumn("_a", ahead("_all")).withColumn("_s", ahead("_short"))
+    t = t.withColumn("_j", ahead(F.col("_long").cast("long")))
+    t = t.withColumn("_cut", F.when(F.col("_long"), F.col("_s")))
+    t = t.withColumn("_from", F.max("_cut").over(upto))
+    blocks = t.groupBy("_c", "_blk").agg(
+        F.sum("_all").alias("_all"),
+        F.sum("_short").alias("_short"),
+        F.sum(F.col("_long").cast("long")).alias("_longs"),
+        F.max("_cut").alias("_cut"),
+        F.max(F.when(~F.col("_long") & ~is_head, F.col("_tok"))).alias("_max"),
+    )
+    blocks = blocks.withColumn("_s0", F.coalesce(F.sum("_short").over(before), F.lit(0)))
+    blocks = blocks.select(
+        F.col("_c").alias("_bc"),
+        F.col("_blk").alias("_bb"),
+        F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_a0"),
+        "_s0",
+        F.coalesce(F.sum("_longs").over(before), F.lit(0)).alias("_j0"),
+        F.coalesce(F.max(F.col("_s0") + F.col("_cut")).over(before), F.lit(0)).alias("_from0"),
+        F.coalesce(F.max("_max").over(whole), F.lit(0)).alias("_most"),
+    )
+    t = t.join(blocks, F.col("_c").eqNullSafe(F.col("_bc")) & (F.col("_blk") == F.col("_bb")))
+    room = F.col("_left") - F.col("_most")
+    repeat = F.greatest(F.lit(0), F.least(F.lit(history), F.floor(room / 2)))
+    spare = F.greatest(F.lit(0), F.least(F.lit(history), F.col("_left") - F.col("_tok")))
+    t = t.select(
+        *("_c", "_i", "_role", "_text", "_tok", "_sys", "_long"),
+        (F.col("_a0") + F.col("_a")).alias("_a"),
+        (F.col("_s0") + F.col("_s")).alias("_s"),
+        (F.col("_j0") + F.col("_j")).alias("_j"),
+        F.coalesce(F.col("_s0") + F.col("_from"), F.col("_from0")).alias("_from"),
+        F.when(F.col("_long"), spare).otherwise(repeat).alias("_h"),
+        F.when(F.col("_fits"), 0).otherwise(F.least(F.lit(history), F.floor(F.col("_left") / 2))).alias("_reach"),
+        F.when(F.col("_fits"), F.lit(budget + 1)).otherwise(F.greatest(F.lit(1), room - repeat)).alias("_stride"),
+    )
+    alone = F.when((F.col("_j") == 0) & (F.col("_s") == 0), 0).otherwise(F.expr("2 * _j + 1 + _s div _stride"))
+    t = t.withColumn("_w", F.when(F.col("_long"), alone).otherwise(F.expr("2 * _j + _from div _stride + (_s - _from) div _stride")))
     # Windows after the first repeat the system turn and recent turns.
     windows = t.groupBy(F.col("_c").alias("_wc"), F.col("_w").alias("_ww")).agg(
-        F.min("_s").alias("_from"), F.first("_sys").alias("_wsys")
+        F.min("_a").alias("_wa"), F.max("_h").alias("_wh"), F.first("_sys").alias("_wsys")
     )
     targets = t.select("_c", "_w", "_i", F.lit(False).alias("_ctx"), "_role", "_text", "_tok")
-    late = t.where(~is_head & (F.col("_h") > 0)).withColumn(
-        "_w2", F.explode(F.expr("sequence(_w + 1, greatest(_w + 1, (_s + _h) div _stride))"))
+    late = t.where(~is_head & ~F.col("_long") & (F.col("_reach") > 0)).withColumn(
+        "_w2", F.explode(F.expr("sequence(_w + 1, 2 * _j + 1 + (_s + _reach) div _stride)"))
     )
     late = late.join(windows, F.col("_c").eqNullSafe(F.col("_wc")) & (F.col("_w2") == F.col("_ww"))).where(
-        F.col("_from") - F.col("_s") <= F.col("_h")
+        F.col("_wa") - F.col("_a") <= F.col("_wh")
     )
     late = late.select("_c", F.col("_w2").alias("_w"), "_i", F.lit(True).alias("_ctx"), "_role", "_text", "_tok")
     system = windows.where((F.col("_ww") > 0) & F.col("_wsys").isNotNull()).select(

@@ -1,7 +1,9 @@
 """Cases in which an operator once did less than its whole job, one or two for each."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from greenledger.llm import chat_format as chat
 from greenledger.llm import embedding_dedup as emb
 
 
@@ -23,3 +25,59 @@ def test_links_whose_differing_coordinates_lie_on_both_sides(spark, monkeypatch)
         want |= {base + i: int(n) - 1 for i, n in enumerate((unit @ unit.T >= 0.98).sum(axis=1))}
     assert want[0] == want[1] == 1
     assert got == want
+
+
+def plain_windows(turns, budget, history):
+    """[(context, targets)] of one conversation of (role, tokens) turns, decided turn by turn."""
+    system = turns[0][1] if turns[0][0] == "system" else 0
+    left, at = budget - system, int(system > 0)
+    if sum(n for _, n in turns) <= budget:
+        return [([], list(range(len(turns))))]
+    longs = {i for i, (_, n) in enumerate(turns) if i >= at and 2 * n > left}
+    room = left - max((n for i, (_, n) in enumerate(turns) if i >= at and i not in longs), default=0)
+    repeat = max(0, min(history, room // 2))
+    groups, start = [], 0
+    for i in range(at, len(turns)):
+        if i in longs:
+            groups.append(("long", [i]))
+            start = 0
+            continue
+        key = start // max(1, room - repeat)
+        start += turns[i][1]
+        if not groups or groups[-1][0] != key:
+            groups.append((key, []))
+        groups[-1][1].append(i)
+    out = []
+    for key, targets in groups:
+        allowed = max(0, min(history, left - turns[targets[0]][1])) if key == "long" else repeat
+        k = targets[0]
+        while k > at and sum(n for _, n in turns[k - 1 : targets[0]]) <= allowed:
+            k -= 1
+        out.append((list(range(at)) * bool(out) + list(range(k, targets[0])), list(range(at)) * (not out) + targets))
+    return out
+
+
+def test_long_turns_leave_the_other_windows_their_context(spark):
+    rng = np.random.default_rng(4)
+    sizes = {c: rng.integers(1, 20, 700) for c in range(8)}
+    sizes[1][300] = 2000  # beyond the budget
+    sizes[2][300] = 190  # fits, and would leave next to nothing
+    sizes[3][0] = sizes[4][1] = 2000  # at the start, without and with a system turn
+    sizes[5][[99, 100, 255, 256, 257, 699]] = 2000, 150, 120, 2000, 101, 500
+    sizes[6][rng.choice(700, 60, replace=False)] = 150
+    sizes[7][0] = 120  # a large system turn
+    roles = lambda c, i: "system" if i == 0 and c in (2, 4, 7) else ["user", "assistant"][i % 2]
+    rows = [(c, i, roles(c, i), f"{i:<{4 * n}}"[: 4 * n]) for c, x in sizes.items() for i, n in enumerate(x.tolist())]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.chat_windows(df, budget=200, history=40).select("*", chat.read_turns(F.col("formatted")).alias("turns"))
+    got = {c: [] for c in sizes}
+    for r in out.orderBy("conv_id", "window").collect():
+        texts = [t["text"] for t in r.turns]
+        got[r.conv_id].append((texts[: r.context_turns], texts[r.context_turns :]))
+        assert r.over_budget == (r.n_tokens > 200)
+        assert not r.over_budget or max(len(x) for x in texts) > 4 * (200 - 124 - 4)
+    for c in sizes:
+        mine = [x for x in rows if x[0] == c]
+        want = plain_windows([(x[2], -(-len(x[3]) // 4) + 4) for x in mine], 200, 40)
+        assert got[c] == [([mine[i][3] for i in a], [mine[i][3] for i in b]) for a, b in want], c
+    assert sum(not a for a, _ in got[1]) == 3  # the first, the long turn, the one after it
