@@ -160,7 +160,8 @@ def repeated_passages(
 
     Texts under ``passage`` words, empty and null ones have no rows. Rows of one id and one text are
     one document; rows of one id with different texts, or without an id, are told apart by
-    ``text_key`` (:func:`text_key`). A null id counts as the smallest. Other columns are ignored.
+    ``text_key`` (:func:`text_key`), and the lowest key comes first. A null id counts as the smallest.
+    Other columns are ignored.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(
@@ -223,11 +224,10 @@ def repeated_passages(
 
     around = texts.join(wanted, ["d", "th"]).select("d", "text", "ks", F.xxhash64("th").alias("t"))
     windows = stored(around.mapInArrow(extend, "d long, t long, p int, h long, again boolean"), "suffix-windows")
-    least = windows.groupBy("h").agg(
-        F.min("d").alias("first"), F.max("d").alias("last"), F.min("t").alias("a"), F.max("t").alias("b"), F.max("again").alias("self")
-    )
-    least = least.where("first != last OR a != b OR self").select("h", "first", F.expr("CASE WHEN first = last THEN a END").alias("a"))
-    elsewhere = F.col("again") | (F.col("d") != F.col("first")) | F.coalesce(F.col("t") != F.col("a"), F.lit(False))
+    place = F.struct("d", "t")
+    least = windows.groupBy("h").agg(F.min(place).alias("x"), F.max(place).alias("y"), F.max("again").alias("self"))
+    least = least.where("x != y OR self").select("h", F.col("x.d").alias("first"), F.col("x.t").alias("a"))
+    elsewhere = F.col("again") | (F.col("d") != F.col("first")) | (F.col("t") != F.col("a"))
     least = stored(least, "suffix-repeated")  # a join of two shuffles: a hot window can be split
     hits = windows.join(least, "h").select("d", "t", "p", "first", elsewhere.alias("dup"))
     per_doc = hits.groupBy("d", "t", "dup").agg(F.collect_list(F.struct("p", "first")).alias("hits"))

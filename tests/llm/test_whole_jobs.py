@@ -1,10 +1,12 @@
 """Cases in which an operator once did less than its whole job, one or two for each."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from greenledger.llm import chat_format as chat
 from greenledger.llm import embedding_dedup as emb
+from greenledger.llm.suffix_dedup import remove_passages, repeated_passages
 
 
 def test_links_whose_differing_coordinates_lie_on_both_sides(spark, monkeypatch):
@@ -81,3 +83,16 @@ def test_long_turns_leave_the_other_windows_their_context(spark):
         want = plain_windows([(x[2], -(-len(x[3]) // 4) + 4) for x in mine], 200, 40)
         assert got[c] == [([mine[i][3] for i in a], [mine[i][3] for i in b]) for a, b in want], c
     assert sum(not a for a, _ in got[1]) == 3  # the first, the long turn, the one after it
+
+
+@pytest.mark.parametrize("ids", [(None, None, 7), (3, 3, 7), (None, None, None)])
+def test_a_passage_stays_in_one_of_the_texts_that_share_the_smallest_id(spark, ids):
+    passage = " ".join(f"w{i}" for i in range(12))
+    rows = [(d, f"own{i} text{i} {passage} end{i}") for i, d in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = repeated_passages(df, 12, 4)
+    assert sorted((r.duplicate, r.start_word, r.n_words) for r in spans.collect()) == [(False, 2, 12), (True, 2, 12), (True, 2, 12)]
+    assert {r.doc_id for r in spans.collect() if not r.duplicate} == {ids[0]}
+    left = sorted(r.text for r in remove_passages(df, spans).collect())
+    assert sum(passage in t for t in left) == 1 and len(left) == 3
+    assert all(t in (rows[i][1], f"own{i} text{i} end{i}") for i, t in enumerate(left))
