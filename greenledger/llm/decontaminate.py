@@ -8,9 +8,10 @@ bags, a shingle's weight being the times it occurs.
 1. Windows. A window and an item of m shingles each that are ``threshold`` similar share at least
    2 * threshold / (1 + threshold) of them. At 0.8 at most m / 9 differ, so some run of the window's
    shingles that the item has too is min(m, 4) long, and one of every ``stride`` <= min(m, 4)
-   positions of the document hits it. Only hits are looked at: they tell item size and alignment, and
-   the windows up to m / 9 words before and after that alignment are taken, since words put in or
-   left out move it by no more.
+   positions of the document hits it. Documents without a hit are settled. In the others every
+   position is looked at, and each window of m positions of which all but m / 9 hold a shingle of
+   some item of that size is taken, wherever in the item the shingle stands: the bags of a similar
+   window share at least as many, also if the item repeats itself or its parts are in another order.
 2. Fingerprints. Each window and item gets the SimHash of its bag. ``radius + 1`` blocks of bits
    index the items, per size: of two fingerprints within the radius at least one block is equal, so
    the equi-join on blocks misses none of them. A pair is taken at its first equal block only.
@@ -121,25 +122,35 @@ def contaminated(
     sizes = [r[0] for r in items.where(F.col("n") < SHINGLE).select("n").distinct().collect()]  # 4 at most
     least = items.where(F.col("n") >= SHINGLE).agg(F.min("n")).first()[0] or SHINGLE
     stride = max(1, min(4, least - SHINGLE + 1))
-    # Where each shingle stands first in each item.
-    seeds = items.select("item_id", "n", F.posexplode("hs").alias("ip", "h"))
-    seeds = seeds.groupBy("item_id", "n", "h").agg(F.min("ip").alias("ip"))
-    seeds = broadcast_if_small(stored(seeds.select("n", "h", "ip").distinct(), "benchmark-seeds"), SMALL)
+    # Which shingles stand in items of which size.
+    seeds = items.select("n", F.explode("hs").alias("h")).distinct()
+    seeds = broadcast_if_small(stored(seeds, "benchmark-seeds"), SMALL)
+
+    def hits_in(rows: DataFrame, stride: int) -> DataFrame:
+        looked = [(str(SHINGLE), str(stride)), *((str(k), "1") for k in sizes)]
+        hits = None
+        for k, step in looked:
+            at = rows.select("doc_id", F.size("w").alias("len"), F.posexplode(_shingles(k=k, step=step)).alias("p", "h"))
+            at = at.select("doc_id", "len", (F.col("p") * int(step)).alias("p"), "h")
+            kind = F.col("n") >= SHINGLE if k == str(SHINGLE) else F.col("n") == int(k)
+            found = at.join(seeds.where(kind), "h").select("doc_id", "len", "n", "p")
+            hits = found if hits is None else hits.unionByName(found)
+        return hits
 
     texts = docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("w"))
-    looked = [(str(SHINGLE), str(stride)), *((str(k), "1") for k in sizes)]
-    hits = None
-    for k, step in looked:
-        at = texts.select("doc_id", F.size("w").alias("len"), F.posexplode(_shingles(k=k, step=step)).alias("p", "h"))
-        at = at.select("doc_id", "len", (F.col("p") * int(step)).alias("p"), "h")
-        kind = F.col("n") >= SHINGLE if k == str(SHINGLE) else F.col("n") == int(k)
-        found = at.join(seeds.where(kind), "h").select("doc_id", "len", "n", (F.col("p") - F.col("ip")).alias("s"))
-        hits = found if hits is None else hits.unionByName(found)
-    slack = F.floor(F.greatest(F.col("n") - (SHINGLE - 1), F.lit(1)) / 9).cast("int")
-    shifts = F.explode(F.sequence(F.col("s") - slack, F.col("s") + slack))
-    windows = hits.distinct().select("doc_id", "len", "n", shifts.alias("s"))
-    last = F.greatest(F.col("len") - F.col("n"), F.lit(0))
-    windows = windows.select("doc_id", "n", F.least(F.greatest("s", F.lit(0)), last).alias("s")).distinct()
+    some = stored(hits_in(texts, stride).select(F.col("doc_id").alias("hit")).distinct(), "hit-documents")
+    again = texts.join(broadcast_if_small(some, SMALL), F.col("doc_id").eqNullSafe(F.col("hit")), "left_semi")
+    hits = hits_in(again, 1).groupBy("doc_id", "len", "n").agg(F.sort_array(F.collect_set("p")).alias("ps"))
+    hits = hits.withColumn("m", F.greatest(F.col("n") - (SHINGLE - 1), F.lit(1)))
+    hits = hits.withColumn("need", (F.col("m") - F.floor(F.col("m") / 9)).cast("int"))
+    # From the i-th hit on, windows that start after the hit before and reach the ``need``-th hit.
+    starts = F.expr(
+        "CASE WHEN len < n THEN array(0) WHEN size(ps) < need THEN CAST(array() AS array<int>) "
+        "ELSE flatten(transform(filter(transform(sequence(0, size(ps) - need), i -> struct("
+        "greatest(ps[i + need - 1] - m + 1, CASE WHEN i > 0 THEN ps[i - 1] + 1 ELSE 0 END, 0) AS a, "
+        "least(ps[i], len - n) AS b)), x -> x.a <= x.b), x -> sequence(x.a, x.b))) END"
+    )
+    windows = hits.select("doc_id", "n", F.explode(starts).alias("s")).distinct()
     windows = windows.groupBy("doc_id").agg(F.collect_list(F.struct("s", "n")).alias("ws"))
     windows = stored(windows, "windows")
 

@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from greenledger.llm import chat_format as chat
 from greenledger.llm import embedding_dedup as emb
+from greenledger.llm.decontaminate import contaminated
 from greenledger.llm.suffix_dedup import remove_passages, repeated_passages
 
+from .test_passages import brute_leaks
+
 
 def test_links_whose_differing_coordinates_lie_on_both_sides(spark, monkeypatch):
     rng = np.random.default_rng(3)
@@ -96,3 +99,21 @@ def test_a_passage_stays_in_one_of_the_texts_that_share_the_smallest_id(spark, i
     left = sorted(r.text for r in remove_passages(df, spans).collect())
     assert sum(passage in t for t in left) == 1 and len(left) == 3
     assert all(t in (rows[i][1], f"own{i} text{i} end{i}") for i, t in enumerate(left))
+
+
+def test_leaks_of_items_that_repeat_themselves_or_are_turned_round(spark):
+    item, fill = [f"w{i}" for i in range(46)], [f"f{i}" for i in range(30)]
+    twice = [f"t{i}" for i in range(20)] * 2
+    texts = [
+        "x no no no no no no no y",
+        " ".join(fill + item[23:] + item[:23] + fill),
+        " ".join(fill + twice[10:] + twice[:10] + fill),
+        " ".join(fill + ["ha", "ho"] * 9 + fill[:3]),
+        " ".join(fill + item[23:] + fill + item[:23]),  # halves far apart: no window holds them
+    ]
+    docs = [*enumerate(texts), *((10 + i, " ".join(fill[:i] + t.split()[1:-1] + fill)) for i, t in enumerate(texts))]
+    items = [(1, "no " * 7), (2, " ".join(item)), (3, " ".join(twice)), (4, "ha ho " * 6), (5, "one two three four five six")]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in contaminated(df, bench).collect()}
+    assert got == brute_leaks(docs, items)
+    assert {(0, 1), (1, 2), (2, 3), (3, 4), (10, 1)} <= set(got) and (4, 2) not in got
