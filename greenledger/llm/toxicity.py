@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from greenledger.llm.common import stored
+
 #: Labelled rows that a model is fitted on at most, the lowest by a hash of their id.
 MAX_TOXIC, MAX_CLEAN = 2000, 4000
 WEIGHTS = 1 << 18
@@ -307,7 +309,8 @@ def fit_from(
 ) -> Model:
     """A model from at most MAX_TOXIC and MAX_CLEAN labelled rows that are not held out.
 
-    Rows without a label, id or text are left out. The sample is the lowest by a hash of the id.
+    Rows without a label, id or text are left out, and rows of one id, text and label count once. The
+    sample is the lowest by a hash of the id, and of its rows the lowest by a hash of id and text.
     """
     marked = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
     marked = marked.where(F.col("_id").isNotNull() & F.col("_y").isin(0, 1) & (fold(F.col("_id")) != 0)).distinct()
@@ -315,7 +318,10 @@ def fit_from(
     sample = low(1, MAX_TOXIC).unionByName(low(0, MAX_CLEAN))
     texts = docs.select(F.col(id_col).alias("_d"), F.col(text_col).cast("string").alias("_text"))
     rows = texts.join(F.broadcast(sample), F.col("_d") == F.col("_id")).where(F.col("_text").isNotNull())
-    rows = rows.select("_id", "_text", "_y").toArrow().sort_by([("_id", "ascending"), ("_text", "ascending"), ("_y", "ascending")])
+    rows = stored(rows.select("_id", "_text", "_y").distinct(), "toxicity-sample")
+    least = lambda y, n: rows.where(F.col("_y") == y).orderBy(F.xxhash64("_id", "_text"), "_id", "_text").limit(n)
+    rows = least(1, MAX_TOXIC).unionByName(least(0, MAX_CLEAN))
+    rows = rows.toArrow().sort_by([("_id", "ascending"), ("_text", "ascending"), ("_y", "ascending")])
     return fit(rows["_text"].to_pylist(), rows["_y"].to_pylist())
 
 

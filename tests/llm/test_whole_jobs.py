@@ -1,11 +1,14 @@
 """Cases in which an operator once did less than its whole job, one or two for each."""
 
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from greenledger.llm import chat_format as chat
 from greenledger.llm import embedding_dedup as emb
+from greenledger.llm import toxicity
 from greenledger.llm.decontaminate import contaminated
 from greenledger.llm.suffix_dedup import remove_passages, repeated_passages
 
@@ -117,3 +120,17 @@ def test_leaks_of_items_that_repeat_themselves_or_are_turned_round(spark):
     got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in contaminated(df, bench).collect()}
     assert got == brute_leaks(docs, items)
     assert {(0, 1), (1, 2), (2, 3), (3, 4), (10, 1)} <= set(got) and (4, 2) not in got
+
+
+def test_the_fitting_sample_is_bounded_in_rows(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_TOXIC", 5)
+    monkeypatch.setattr(toxicity, "MAX_CLEAN", 8)
+    taken = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, marks: taken.append(list(zip(texts, marks, strict=True))))
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:6]
+    docs = [(i, f"text {i} {j % 40}") for i in ids for j in range(120)]  # each text three times
+    labels = spark.createDataFrame([(i, int(k < 3)) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    for order in (docs, docs[::-1]):
+        toxicity.fit_from(spark.createDataFrame(order, "doc_id long, text string"), labels)
+    assert [sum(y == k for _, y in taken[0]) for k in (1, 0)] == [5, 8]
+    assert len(set(taken[0])) == 13 and taken[0] == taken[1]
