@@ -112,6 +112,8 @@ class _Writer:
             self.nulls += 1
         else:
             self.ids.append(doc_id)
+        if len(ids) and int(ids.max()) >= 1 << 8 * self.width:
+            raise ValueError(f"token id {int(ids.max())} does not fit in {self.width} bytes; use a larger width")
         self.file.write(ids.astype(f"<u{self.width}").tobytes())
         self.total += len(ids)
         self.ends.append(self.total)
@@ -184,9 +186,10 @@ def write_token_files(
 
     Returns the committed files: ``(file, part, docs, n_ids, start)``, ``start`` being the ids in all
     files before. ``path`` is a folder that driver and executors share (fresh if not given);
-    ``tokenizer_path`` must exist on every executor; ``width`` is 2 for vocabularies under 65,536, else
-    4. Null text: empty, so the end id alone. Null document ids come first. Rows with the same id keep
-    a document each, side by side. Other columns are ignored; an empty table writes no file.
+    ``tokenizer_path`` must exist on every executor; ``width`` is 2 for vocabularies up to 65,536, else
+    4, and an id that does not fit is an error. Null text: empty, so the end id alone. Null document
+    ids come first. Rows with the same id keep a document each, side by side. Other columns are
+    ignored; an empty table writes no file.
     """
     folder = path or scratch(docs.sparkSession, "token-files")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -11,6 +11,7 @@ from greenledger.llm import embedding_dedup as emb
 from greenledger.llm import toxicity
 from greenledger.llm.decontaminate import contaminated
 from greenledger.llm.suffix_dedup import remove_passages, repeated_passages
+from greenledger.llm.token_files import TokenFile, _Writer
 
 from .test_passages import brute_leaks
 
@@ -134,3 +135,13 @@ def test_the_fitting_sample_is_bounded_in_rows(spark, monkeypatch):
         toxicity.fit_from(spark.createDataFrame(order, "doc_id long, text string"), labels)
     assert [sum(y == k for _, y in taken[0]) for k in (1, 0)] == [5, 8]
     assert len(set(taken[0])) == 13 and taken[0] == taken[1]
+
+
+def test_ids_that_do_not_fit_are_an_error(tmp_path):
+    writer = _Writer(tmp_path.as_uri(), 2)
+    writer.add(1, np.array([0, 65_535], "<u4"))
+    with pytest.raises(ValueError, match="65536"):
+        writer.add(2, np.array([1, 65_536], "<u4"))
+    wide = _Writer(tmp_path.as_uri(), 4)
+    wide.add(1, np.array([1, 65_536], "<u4"))
+    assert TokenFile(wide.close()["file"]).ids(0).tolist() == [1, 65_536]
