@@ -101,6 +101,7 @@ def queries() -> dict[str, Query]:
     out["csv_roundtrip"] = csv_roundtrip
     out["csv_ingest"] = csv_ingest
     out["table_store"] = table_store
+    out["table_store_dates"] = table_store_dates
     out["recon_breaks"] = recon_breaks
     out["recon_summary"] = lambda spark, sf_dir: _recon(spark, sf_dir, lambda book, base: book.recon_summary(base))
     out["recon_top_breaks"] = lambda spark, sf_dir: _recon(spark, sf_dir, lambda book, base: book.top_breaks(base, 8))
@@ -131,9 +132,14 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean holdings overwritten in the table store by date, then one date read back."""
+    return table_store_dates(spark, sf_dir).where(F.col("as_of_date") == F.lit(driver.AS_OF).cast("date"))
+
+
+def table_store_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean holdings overwritten in the table store by date, then every date read back."""
     store = TableStore(f"{checkpoint_dir(spark).rstrip('/')}/store-{uuid.uuid4().hex}")
     store.write(driver_book(spark, sf_dir).silver("holdings"), "silver", "holdings", partition_by=("as_of_date",))
-    return store.read(spark, "silver", "holdings").where(F.col("as_of_date") == F.lit(driver.AS_OF).cast("date"))
+    return store.read(spark, "silver", "holdings")
 
 
 def _gold_book(spark: SparkSession, sf_dir: str):
@@ -188,6 +194,7 @@ def oracle_sql() -> dict[str, str]:
     out["csv_roundtrip"] = w(oracle.REPORT_SQL["R01"])
     out["csv_ingest"] = w("SELECT * FROM s_loans")
     out["table_store"] = w(f"SELECT * FROM s_holdings WHERE as_of_date = {oracle.D}")
+    out["table_store_dates"] = w("SELECT * FROM s_holdings")
     r = oracle.with_recon
     out["recon_breaks"] = r(" UNION ALL ".join(oracle.breaks_sql(rid) for rid in REPORT_IDS))
     out["recon_summary"] = r(oracle.recon_summary_sql(REPORT_IDS, SEEDED_DIFFERENCES))
