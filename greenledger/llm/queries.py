@@ -15,6 +15,7 @@ from greenledger.llm.embedding_dedup import embedding_near_dedup
 from greenledger.llm.packing import pack_documents
 from greenledger.llm.sharding import shard_documents
 from greenledger.llm.simhash_dedup import simhash_near_dedup
+from greenledger.llm.source_audit import source_divergence
 from greenledger.llm.toxicity import fit_from, fold, toxic_spans
 from greenledger.llm.suffix_dedup import repeated_passages
 from greenledger.llm.token_files import read_token_files, write_token_files
@@ -109,6 +110,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted", "spans")
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departures of every (language, source) group of all documents, over terms of 30 documents and more."""
+    return source_divergence(table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_embeddings": op1_embeddings,
@@ -121,6 +127,7 @@ def queries() -> dict[str, Query]:
         "op8_sharding": op8_sharding,
         "op9_packing": op9_packing,
         "op10_toxicity": op10_toxicity,
+        "op11_source_audit": op11_source_audit,
     }
 
 
@@ -158,5 +165,41 @@ FROM p
 """
 
 
+#: Every group x kept term, without cells; HUGEINT keeps the arithmetic exact.
+AUDIT_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+    translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), w AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS c FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+), n AS (
+  SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), l AS (SELECT lang, sum(c) AS n, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT lang, source, COALESCE(sum(c), 0) AS n FROM g LEFT JOIN n USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, kept.term, COALESCE(n.c, 0) AS c,
+    1 + (1000000000 * (COALESCE(n.c, 0) + 5)) // (t.n + 5 * l.v) AS p,
+    1 + (1000000000 * (kept.c + 5)) // (l.n + 5 * l.v) AS q
+  FROM g JOIN kept USING (lang) JOIN l USING (lang) JOIN t ON t.lang = g.lang AND t.source = g.source
+  LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = kept.term
+), s AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, COALESCE(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), term AS (
+  SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+FROM (FROM pair UNION ALL FROM term) QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embeddings": EMBEDDINGS_SQL, "op7_warc": WARC_SQL}
+    return {"op1_embeddings": EMBEDDINGS_SQL, "op7_warc": WARC_SQL, "op11_source_audit": AUDIT_SQL}
