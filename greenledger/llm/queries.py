@@ -18,6 +18,7 @@ from greenledger.llm.simhash_dedup import simhash_near_dedup
 from greenledger.llm.source_audit import source_divergence
 from greenledger.llm.toxicity import fit_from, fold, toxic_spans
 from greenledger.llm.suffix_dedup import repeated_passages
+from greenledger.llm.token_alignment import align_tokenizers
 from greenledger.llm.token_files import read_token_files, write_token_files
 from greenledger.llm.warc import archive_pages, page_records, read_warc
 
@@ -115,6 +116,12 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"), min_docs=30, top=50)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in two tokenizers, aligned by bytes."""
+    docs = table(spark, sf_dir, "documents")
+    return align_tokenizers(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))[0]
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_embeddings": op1_embeddings,
@@ -128,6 +135,7 @@ def queries() -> dict[str, Query]:
         "op9_packing": op9_packing,
         "op10_toxicity": op10_toxicity,
         "op11_source_audit": op11_source_audit,
+        "op13_token_alignment": op13_token_alignment,
     }
 
 
