@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from greenledger.llm.chat_format import chat_windows, conversation_digests
 from greenledger.llm.decontaminate import contaminated
 from greenledger.llm.embedding_dedup import embedding_near_dedup
+from greenledger.llm.lm_scoring import score_documents
 from greenledger.llm.packing import pack_documents
 from greenledger.llm.sharding import shard_documents
 from greenledger.llm.simhash_dedup import simhash_near_dedup
@@ -116,6 +117,12 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"), min_docs=30, top=50)
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents under a log-bilinear model; the model and the counts never see the held-out seventh."""
+    remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7
+    return score_documents(table(spark, sf_dir, "documents"), training=remainder != 2)
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in two tokenizers, aligned by bytes."""
     docs = table(spark, sf_dir, "documents")
@@ -135,6 +142,7 @@ def queries() -> dict[str, Query]:
         "op9_packing": op9_packing,
         "op10_toxicity": op10_toxicity,
         "op11_source_audit": op11_source_audit,
+        "op12_lm_scoring": op12_lm_scoring,
         "op13_token_alignment": op13_token_alignment,
     }
 
