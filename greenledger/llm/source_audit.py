@@ -160,9 +160,14 @@ def rising_terms(rows: DataFrame, top: int) -> DataFrame:
 
 
 def _cell_sums(table: pa.Table) -> pa.Table:
-    """Sums of |p - p'| over the terms of one slice, for the pairs of its sources; each cell of two counts once."""
+    """Sums of |p - p'| over the terms of one slice, for the pairs of its sources; each cell of two counts once.
+
+    Terms are counted as far as they differ from a term that both sources lack; the first slice adds the
+    language's V terms as such, so terms of other blocks are there too.
+    """
     plain = table.to_pydict()
     lang, left, right = plain["lang"][0], plain["left"][0], plain["right"][0]
+    all_terms = max(plain["v"]) if plain["slice"][0] == 0 else 0
     lacking = {s: (b, p) for s, t, b, p in zip(plain["source"], plain["term"], plain["block"], plain["p"], strict=True) if t is None}
     names = sorted(lacking)
     column = {s: i for i, s in enumerate(names)}
@@ -184,7 +189,8 @@ def _cell_sums(table: pa.Table) -> pa.Table:
             level_b, code_b = coded[j]
             cell, m = np.unique(code_a * len(level_b) + code_b, return_counts=True)
             f = np.abs(level_a[cell // max(1, len(level_b))] - level_b[cell % max(1, len(level_b))])
-            out.append((a, names[j], int(f @ m)))
+            none = abs((lacking[a][1] or 0) - (lacking[names[j]][1] or 0))
+            out.append((a, names[j], int(f @ m) + (all_terms - len(term)) * none))
     a, b, value = zip(*out, strict=True) if out else ((), (), ())
     columns = [pa.array([lang] * len(out), pa.string()), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(value, pa.int64())]
     return pa.Table.from_arrays(columns, names=["lang", "a", "b", "part"])
@@ -200,8 +206,9 @@ def source_pairs(rows: DataFrame, groups: DataFrame) -> DataFrame:
     blocks = -(-most // SOURCE_BLOCK) or 1
     slices = rows.count() * blocks // SLICE_ROWS + 1
     block = F.pmod(F.xxhash64("source"), F.lit(blocks)).cast("int")
-    used = rows.select("lang", "source", "term", "p", F.pmod(F.xxhash64("term"), F.lit(slices)).alias("slice"))
-    lack = groups.select("lang", "source", F.lit(None).cast("string").alias("term"), F.col("p0").alias("p"))
+    slice_of = F.pmod(F.xxhash64("term"), F.lit(slices)).alias("slice")
+    used = rows.select("lang", "source", "term", "p", slice_of, F.lit(0).cast("long").alias("v"))
+    lack = groups.select("lang", "source", F.lit(None).cast("string").alias("term"), F.col("p0").alias("p"), "v")
     lack = lack.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).withColumn("slice", F.col("slice").cast("long"))
     every = used.unionByName(lack).withColumn("block", block)
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other")
