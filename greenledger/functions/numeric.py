@@ -1,10 +1,9 @@
 """Reproducible arithmetic for published numbers.
 
-Double sums depend on the order tasks finish in, so a report rounded to
-cents could change from run to run. Money is therefore summed exactly in
-DECIMAL and rounded half-up in the decimal domain; results are handed back
-as DOUBLE through their decimal text, which makes them identical on every
-run and on every engine that rounds decimals the same way.
+Double sums depend on the order tasks finish in, so a report rounded to cents could change from run to
+run. Sums are therefore exact and rounded once (:mod:`greenledger.functions.exact`), and published numbers
+are rounded half-up in the decimal domain, which makes them identical on every run and on every engine
+that does the same.
 """
 
 from __future__ import annotations
@@ -12,14 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# An amount is taken to 9 decimals as DECIMAL(27,9): up to 1e18 per row, and a sum of amounts is a
-# DECIMAL(37,9), so totals are safe up to 1e28. What multiplies an amount (a share, a score) is a
-# DECIMAL(10,6); the product is an exact DECIMAL(38,15). Values beyond fail loudly (ANSI), and
-# non-finite inputs are rejected when they are cleaned. Values with no short decimal form (e.g.
-# issuer intensity times exposure, never published) are taken to 6 decimals before summing.
-AMOUNT_TYPE = "decimal(27,9)"
-FACTOR_TYPE = "decimal(10,6)"
-SUM_TYPE = "decimal(38,6)"
+from greenledger.functions.exact import exact_total, rounded
+
 ROUND_TYPE = "decimal(38,18)"  # 20 integer digits, 18 places before a published rounding
 
 
@@ -32,30 +25,18 @@ def as_double(dec: Column) -> Column:
     return dec.cast("string").cast("double")
 
 
-def exact_sum(col: str | Column, *factors: str | Column) -> Column:
-    """Order-independent sum of an amount (times one factor), as DECIMAL; the product is formed in decimal."""
-    term = _c(col).cast(AMOUNT_TYPE)
-    for f in factors:
-        term = term * _c(f).cast(FACTOR_TYPE)
-    return F.sum(term)
-
-
-def decimal_sum(col: str | Column) -> Column:
-    """Order-independent sum of values without a short decimal form, each taken to 6 decimals."""
-    return F.sum(_c(col).cast(SUM_TYPE))
-
-
 def sum_double(col: str | Column, *factors: str | Column) -> Column:
-    """Exact sum returned as double."""
-    return as_double(exact_sum(col, *factors))
+    """The sum of an amount (times its factors), rounded to the nearest double; null without a value.
 
+    For one-off use; :func:`greenledger.operators.totals.totals` forms terms once and is what reports use.
+    """
+    return rounded(exact_total(col, *factors))
 
-def round_half_up(col: str | Column, places: int) -> Column:
-    """Round half-up to ``places`` decimals in the decimal domain, returned as double."""
-    c = _c(col)
-    return as_double(F.round(c.cast(ROUND_TYPE), places))
 
+def round_half_up(col: str | Column, places: int) -> Column:
+    """Round half-up to ``places`` decimals in the decimal domain, returned as double.
 
-def round_sum(col: str | Column, places: int) -> Column:
-    """Exact sum rounded half-up, returned as double (null for an empty / all-null group)."""
-    return as_double(F.round(exact_sum(col), places))
+    From 10**20 on doubles are integers, and stay as they are.
+    """
+    c = _c(col).cast("double")
+    return F.coalesce(as_double(F.round(c.try_cast(ROUND_TYPE), places)), c)

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from greenledger.functions.numeric import as_double, decimal_sum, exact_sum, round_half_up, round_sum, sum_double
+from greenledger.functions.exact import merge, merge_over
+from greenledger.functions.numeric import round_half_up
 from greenledger.functions.pcaf import BUSINESS_LOAN, CORPORATE_BOND, LISTED_EQUITY
+from greenledger.operators.marts import intensities
+from greenledger.operators.totals import accumulated, as_doubles, totals
 
 # Report notes and SFDR indicator labels.
 R05_COVERAGE_NOTE = "WACI uses positions with emissions and revenue; footprint uses full AUM"
@@ -24,14 +27,23 @@ def financed_report(fe: DataFrame, asset_class: str, value_name: str) -> DataFra
     """
     rows = fe.where(F.col("asset_class") == F.lit(asset_class))
     fe_col = F.col("financed_emissions_tco2e")
-    agg = rows.groupBy("as_of_date", "portfolio_id", "issuer_id", "issuer_name").agg(
-        round_sum("exposure_eur", 2).alias(value_name),
-        round_sum(fe_col, 6).alias("financed_emissions_tco2e"),
-        round_half_up(F.max("attribution_factor"), 10).alias("attribution_factor"),
-        round_half_up(F.avg("pcaf_score"), 4).alias("pcaf_score"),
+    keys = ("as_of_date", "portfolio_id", "issuer_id", "issuer_name")
+    sums = totals(
+        rows,
+        keys,
+        {value_name: F.col("exposure_eur"), "emissions": fe_col},
+        F.max("attribution_factor").alias("factor"),
+        F.avg("pcaf_score").alias("score"),
         F.max(F.when(fe_col.isNotNull(), F.lit(1)).otherwise(F.lit(0))).alias("has_emissions_flag"),
     )
-    return agg
+    return sums.select(
+        *keys,
+        round_half_up(value_name, 2).alias(value_name),
+        round_half_up("emissions", 6).alias("financed_emissions_tco2e"),
+        round_half_up("factor", 10).alias("attribution_factor"),
+        round_half_up("score", 4).alias("pcaf_score"),
+        "has_emissions_flag",
+    )
 
 
 def r01_equity(fe: DataFrame) -> DataFrame:
@@ -67,27 +79,25 @@ def r06_pai(summary: DataFrame, portfolios: DataFrame, as_of: str) -> DataFrame:
 
     ``summary`` is the exact per-portfolio aggregate of the fact
     (``marts.portfolio_summary``). Every PAI is computed in the same
-    per-entity aggregate over it, so the fact is scanned once: the DECIMAL
-    partial sums re-aggregate exactly (PAI1 = rounded total financed
+    per-entity aggregate over it, so the fact is scanned once: the
+    accumulators are merged exactly (PAI1 = rounded total financed
     emissions; PAI2 from the rounded PAI1 and rounded AUM), and PAI3 is the
     AUM-weighted rounded WACI over the entity's portfolios that have a usable
     position. An entity without such a portfolio has no PAI3 row.
     """
     entity = portfolios.select("portfolio_id", "legal_entity")
     usable = F.col("usable_rows") > 0
-    waci = round_half_up(F.try_divide(as_double(F.col("waci_num")), as_double(F.col("covered_exposure"))), 6)
-    aum = as_double(F.col("aum"))
-    per_entity = (
-        summary.join(entity, "portfolio_id", "left")
-        .groupBy("legal_entity")
-        .agg(
-            as_double(F.round(F.sum("total_fe"), 6)).alias("pai1"),
-            as_double(F.round(F.sum("aum"), 2)).alias("aum_eur"),
-            as_double(decimal_sum(F.when(usable, waci * aum))).alias("_pai3_num"),
-            sum_double(F.when(usable, aum)).alias("_pai3_den"),
-            F.count_if(usable).alias("_usable_portfolios"),
-        )
+    weighted = {"_pai3_num": F.when(usable, F.col("waci") * F.col("aum")), "_pai3_den": F.when(usable, F.col("aum"))}
+    per_entity = accumulated(
+        intensities(summary).join(entity, "portfolio_id", "left"),
+        ("legal_entity",),
+        weighted,
+        merge("emissions").alias("emissions"),
+        merge("exposure").alias("exposure"),
+        F.count_if(usable).alias("_usable_portfolios"),
     )
+    per_entity = as_doubles(per_entity, "emissions", "exposure", *weighted)
+    per_entity = per_entity.withColumns({"pai1": round_half_up("emissions", 6), "aum_eur": round_half_up("exposure", 2)})
     wide = per_entity.select(
         "legal_entity",
         "_usable_portfolios",
@@ -105,11 +115,13 @@ def r07_fossil(fe: DataFrame) -> DataFrame:
     """Fossil-fuel exposure per portfolio; percentages from the rounded euro amounts."""
     x = F.col("exposure_eur")
     flag = F.col("fossil_fuel_flag")
-    agg = fe.groupBy("as_of_date", "portfolio_id").agg(
-        round_sum(x, 2).alias("aum_eur"),
-        round_sum(F.when(flag == 1, x).otherwise(F.lit(0.0)), 2).alias("fossil_fuel_market_value_eur"),
-        sum_double(F.when(flag.isNotNull(), x).otherwise(F.lit(0.0))).alias("flagged_exposure_eur"),
-    )
+    terms = {
+        "aum_eur": x,
+        "fossil_fuel_market_value_eur": F.when(flag == 1, x).otherwise(F.lit(0.0)),
+        "flagged_exposure_eur": F.when(flag.isNotNull(), x).otherwise(F.lit(0.0)),
+    }
+    agg = totals(fe, ("as_of_date", "portfolio_id"), terms)
+    agg = agg.withColumns({c: round_half_up(c, 2) for c in ("aum_eur", "fossil_fuel_market_value_eur")})
     return agg.select(
         "as_of_date",
         "portfolio_id",
@@ -143,12 +155,10 @@ def r09_coverage(coverage: DataFrame, as_of: str) -> DataFrame:
     The total is a window sum over the tiny per-cause aggregate (at most five
     rows), so nothing goes through the driver.
     """
-    per_cause = coverage.groupBy("gap_cause").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        round_sum("exposure_eur", 2).alias("market_value_eur"),
-        exact_sum("exposure_eur").alias("_cause_total"),
-    )
-    total = as_double(F.sum("_cause_total").over(Window.partitionBy(F.lit(1))))
+    per_cause = accumulated(coverage, ("gap_cause",), {"exposure": F.col("exposure_eur")}, F.count(F.lit(1)).alias("row_count"))
+    per_cause = per_cause.withColumn("total", merge_over("exposure", Window.partitionBy(F.lit(1))))
+    per_cause = as_doubles(per_cause, "exposure", "total").withColumn("market_value_eur", round_half_up("exposure", 2))
+    total = F.col("total")
     return per_cause.select(
         "gap_cause",
         "row_count",

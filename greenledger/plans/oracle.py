@@ -16,23 +16,20 @@ FY = int(AS_OF[:4])
 D = f"DATE '{AS_OF}'"
 
 def xsum(e: str, *factors: str) -> str:
-    """Exact sum as double: decimals are read from the numbers' text, the product is formed in decimal."""
-    term = " * ".join([dec(e, 27, 9), *(dec(x, 10, 6) for x in factors)])
-    return f"CAST(CAST(sum({term}) AS VARCHAR) AS DOUBLE)"
+    """Exact sum of doubles, as double: whole parts and the parts below them (in 2**-96) are added as integers."""
+    term = "(" + " * ".join([f"({e})", *(f"CAST({x} AS DOUBLE)" for x in factors)]) + ")"
+    whole = f"sum(CAST(floor({term}) AS HUGEINT))"
+    below = f"sum(CAST(({term} - floor({term})) * {UNIT} AS HUGEINT))"
+    return f"(CAST({whole} + {below} // {UNIT}::HUGEINT AS DOUBLE) + CAST({below} % {UNIT}::HUGEINT AS DOUBLE) / {UNIT})"
 
 
-def dec(e: str, width: int, scale: int) -> str:
-    return f"CAST(CAST({e} AS VARCHAR) AS DECIMAL({width},{scale}))"
-
-
-def dsum(e: str) -> str:
-    """Sum of values without a short decimal form, each taken to 6 decimals, as double."""
-    return f"CAST(CAST(sum({dec(e, 38, 6)}) AS VARCHAR) AS DOUBLE)"
+#: 2**96
+UNIT = "79228162514264337593543950336.0"
 
 
 def rsum(e: str, n: int) -> str:
     """Exact sum rounded half-up to n places, as double."""
-    return f"CAST(CAST(round(sum({dec(e, 27, 9)}), {n}) AS VARCHAR) AS DOUBLE)"
+    return f"CAST(CAST(round(CAST(CAST({xsum(e)} AS VARCHAR) AS DECIMAL(38,18)), {n}) AS VARCHAR) AS DOUBLE)"
 
 
 def rnd(e: str, n: int) -> str:
@@ -102,9 +99,10 @@ l_vendor_emissions AS (
   FROM supplier, (SELECT {FY} AS fy, 1 AS scale UNION ALL SELECT {FY - 1}, 2) years),
 l_taxonomy_data AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS issuer_id, '{FY}' AS fiscal_year,
-    CAST((s_suppkey % 10) / 10 AS VARCHAR) AS taxonomy_eligible_share,
+    '0.' || CAST(s_suppkey % 10 AS VARCHAR) || lpad(CAST(CAST(s_suppkey AS BIGINT) * 829348951 % 10000000000000 AS VARCHAR), 13, '0') AS taxonomy_eligible_share,
     CASE WHEN s_suppkey % 8 = 6 THEN '0.95' WHEN s_suppkey % 8 = 7 THEN NULL
-         ELSE CAST((s_suppkey % 10) / 20 AS VARCHAR) END AS taxonomy_aligned_share
+         ELSE '0.' || CAST(s_suppkey % 10 // 2 AS VARCHAR)
+           || lpad(CAST(CAST(s_suppkey AS BIGINT) * 829348951 % 10000000000000 AS VARCHAR), 13, '0') END AS taxonomy_aligned_share
   FROM supplier),
 fx_years AS (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders),
 l_fx_rates AS (
@@ -279,7 +277,7 @@ g_dq AS (
         FROM g_fe GROUP BY 1, 2, 3) a),
 g_ci_usable AS (
   SELECT as_of_date, portfolio_id,
-    {dsum("issuer_emissions_tco2e / (revenue_eur / 1000000.0) * exposure_eur")} AS waci_num,
+    {xsum("issuer_emissions_tco2e / (revenue_eur / 1000000.0)", "exposure_eur")} AS waci_num,
     {xsum("exposure_eur")} AS covered_exposure_eur, {xsum("financed_emissions_tco2e")} AS financed_emissions_tco2e
   FROM g_fe
   WHERE issuer_emissions_tco2e IS NOT NULL AND revenue_eur > 0 AND financed_emissions_tco2e IS NOT NULL
@@ -328,12 +326,10 @@ def _financed_report(asset_class: str, value_name: str) -> str:
 def _r09(coverage: str) -> str:
     return f"""
   SELECT gap_cause, row_count, market_value_eur,
-    {rnd("100.0 * market_value_eur / nullif(CAST(CAST(sum(cause_total) OVER () AS VARCHAR) AS DOUBLE), 0)", 6)}
-      AS share_of_aum_pct,
+    {rnd("100.0 * market_value_eur / nullif(total, 0)", 6)} AS share_of_aum_pct,
     {D} AS as_of_date
-  FROM (SELECT gap_cause, count(*) AS row_count, {rsum("exposure_eur", 2)} AS market_value_eur,
-          sum({dec("exposure_eur", 27, 9)}) AS cause_total
-        FROM {coverage} GROUP BY gap_cause) c"""
+  FROM (SELECT gap_cause, count(*) AS row_count, {rsum("exposure_eur", 2)} AS market_value_eur
+        FROM {coverage} GROUP BY gap_cause) c, (SELECT {xsum("exposure_eur")} AS total FROM {coverage}) t"""
 
 
 REPORT_SQL = {
@@ -357,7 +353,7 @@ REPORT_SQL = {
         FROM g_fe GROUP BY 1) e
   UNION ALL
   SELECT p.legal_entity, 'PAI3_ghg_intensity_tco2e_per_m_eur',
-    {rnd(f'{dsum("ci.waci_tco2e_per_m_eur * ci.aum_eur")} / nullif({xsum("ci.aum_eur")}, 0)', 6)}, {D}
+    {rnd(f'{xsum("ci.waci_tco2e_per_m_eur", "ci.aum_eur")} / nullif({xsum("ci.aum_eur")}, 0)', 6)}, {D}
   FROM g_ci ci LEFT JOIN s_portfolios p ON ci.portfolio_id = p.portfolio_id
   GROUP BY p.legal_entity""",
     "R07": f"""

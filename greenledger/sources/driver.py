@@ -193,16 +193,18 @@ def vendor_emissions(supplier: DataFrame, as_of: str = AS_OF) -> DataFrame:
 
 
 def taxonomy_data(supplier: DataFrame, as_of: str = AS_OF) -> DataFrame:
-    k = F.col("s_suppkey")
+    """Shares of 14 decimals: the first one decides, the others are the same in both shares."""
+    k = F.col("s_suppkey").cast("long")
+    more = F.lpad(_text(k * 829348951 % 10**13), 13, "0")
     aligned = (
         F.when(k % 8 == 6, F.lit("0.95"))
         .when(k % 8 == 7, F.lit(None).cast("string"))
-        .otherwise(_text((k % 10) / 20))
+        .otherwise(F.concat(F.lit("0."), _text(F.floor(k % 10 / 2)), more))
     )
     return supplier.select(
         _text(k).alias("issuer_id"),
         F.lit(as_of[:4]).alias("fiscal_year"),
-        _text((k % 10) / 10).alias("taxonomy_eligible_share"),
+        F.concat(F.lit("0."), _text(k % 10), more).alias("taxonomy_eligible_share"),
         aligned.alias("taxonomy_aligned_share"),
     )
 

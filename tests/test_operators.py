@@ -1,6 +1,7 @@
 """Unit tests of the column functions and operators on tiny frames."""
 
 import functools
+import math
 import operator
 
 import pytest
@@ -41,10 +42,10 @@ def test_exact_sum_is_order_independent(spark):
 
 def test_exact_sum_domain(spark):
     total = lambda values: spark.createDataFrame([(v,) for v in values], "x double").agg(numeric.sum_double("x")).first()[0]
-    assert total([1.5e13] * 4) == 6e13
-    assert total([4e-7] * 5) == 2e-6
-    with pytest.raises(Exception):  # beyond 1e18 in a row: fails loudly (ANSI) instead of rounding
-        total([1e19])
+    for values in ([1.5e13] * 4, [4e-7] * 5, [1e19, 1e-9, -1e19], [1e30, 1.0]):
+        assert total(values) == math.fsum(values)
+    with pytest.raises(Exception):  # beyond 1e43 in a row: fails loudly (ANSI) instead of rounding
+        total([1e45])
 
 
 PCAF_ROWS = [
