@@ -12,10 +12,10 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from greenledger.sources.extracts import MALFORMED
+from greenledger.sources.extracts import AUDIT, LEDGER_SCHEMA, MALFORMED
 from greenledger.functions.cleaning import (
     blank_to_null,
     missing_flag,
@@ -28,10 +28,8 @@ from greenledger.functions.cleaning import (
 
 # The ledger layout and the reasons that are not table rules.
 REJECT_COLUMNS = ("source_table", "reject_reason", "business_key", "details", "rejected_rows")
-REJECT_SCHEMA = (
-    "source_table string, reject_reason string, business_key string, details string, rejected_rows bigint"
-)
-AUDIT_COLUMNS = ("_ingested_at", "_source_file", "_batch_id")
+REJECT_SCHEMA = LEDGER_SCHEMA
+AUDIT_COLUMNS = AUDIT
 MISSING_KEY = "missing_key"
 DUPLICATE_KEY = "duplicate_key"
 NON_FINITE = "non_finite_number"
@@ -235,9 +233,16 @@ def clean_counts(typed: DataFrame, spec: CleanSpec) -> DataFrame:
     )
 
 
-def reject_ledger(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union of ledger frames (UNION ALL by name)."""
-    return reduce(lambda a, b: a.unionByName(b), frames)
+def empty_ledger(spark: SparkSession) -> DataFrame:
+    """A ledger without entries, with the ledger's types."""
+    return spark.createDataFrame([], REJECT_SCHEMA)
+
+
+def reject_ledger(frames: Sequence[DataFrame], spark: SparkSession | None = None) -> DataFrame:
+    """Union of ledger frames (UNION ALL by name); of none, the empty ledger of ``spark``."""
+    if not frames:
+        return empty_ledger(spark or SparkSession.getActiveSession())
+    return reduce(DataFrame.unionByName, frames)
 
 
 def reject_counts(ledger: DataFrame) -> DataFrame:

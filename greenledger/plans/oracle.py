@@ -382,6 +382,27 @@ def with_prelude(select: str) -> str:
     return prelude() + "\n" + select.strip()
 
 
+# ---- ingest -------------------------------------------------------------------------------
+
+
+def csv_ingest_sql(columns: dict[str, tuple[str, ...]]) -> str:
+    """What the deliveries of ``queries.deliver_csv`` say."""
+    parts = []
+    for name, cols in columns.items():
+        turned = f"CAST('0x' || substr(md5(coalesce({cols[0]}, '')), 1, 4) AS INT) % 2 = 1"
+        last = f"CASE WHEN {turned} THEN 'null' ELSE coalesce({cols[-1]}, 'null') END"
+        text = " || '|' || ".join([f"coalesce({c}, 'null')" for c in cols[:-1]] + [last])
+        said = [
+            ("malformed_line", ",".join(["long"] * (len(cols) + 1))),
+            ("malformed_line", "short" + "," * (len(cols) - 2)),
+            ("unknown_column", "delivered_by"),
+            ("missing_column", cols[-1]),
+        ]
+        parts.append(f"SELECT '{name}' AS source_table, 'row' AS outcome, {text} AS content FROM l_{name}")
+        parts += [f"SELECT '{name}', '{a}', '{b}'" for a, b in said]
+    return " UNION ALL ".join(parts)
+
+
 # ---- reconciliation -----------------------------------------------------------------------
 
 def baseline_sql(report_id: str) -> str:

@@ -15,17 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenledger.operators.emissions import VENDOR_ATTRS, open_projection
-from greenledger.operators.quality import DUPLICATE_KEY, clean_rows, reject_counts, typed_frame
+from greenledger.operators.quality import DUPLICATE_KEY, reject_counts
 from greenledger.plans import oracle
 from greenledger.plans.driver_book import driver_book
 from greenledger.session import checkpoint_dir
 from greenledger.sources import driver
-from greenledger.sources.extracts import ingest_extract, ingest_table
+from greenledger.sources.extracts import MALFORMED, ingest_delivery, ingest_table
 from greenledger.sources.tables import TableStore, read_report_csv, write_report_csv
 from greenledger.plans.pipeline import REPORT_IDS, SEEDED_DIFFERENCES
-from greenledger.plans.specs import LOANS, RECON_SPECS
+from greenledger.plans.specs import RECON_SPECS, SOURCES
 
 Query = Callable[[SparkSession, str], DataFrame]
+SPECS = {spec.name: spec for spec in SOURCES}
 
 CLEAN_QUERIES = {
     "clean_portfolios": "portfolios",
@@ -121,13 +122,44 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_report_csv(spark, path, report.schema)
 
 
+def deliver_csv(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
+    """All ten extracts as CSV under ``base``, in files that a bank's systems might send; path per source.
+
+    By a hash of the key, rows come in the contract's order, or in reverse order with a column more and
+    without the last one; a third file has a line that is too long and one that is too short.
+    """
+    paths = {}
+    for name, extract in driver.landing_extracts(spark, sf_dir).items():
+        spec = SPECS[name]
+        paths[name] = f"{base}/{name}"
+        rows = extract.select(*spec.columns).withColumn("_hash", F.substring(F.md5(F.coalesce(spec.columns[0], F.lit(""))), 1, 4))
+        turned = F.conv("_hash", 16, 10).cast("int") % 2 == 1
+        as_is = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        rows.where(~turned).select(*spec.columns).write.options(**as_is).csv(f"{paths[name]}/plain")
+        other = [F.col(c).alias(f" {c.upper()} ") for c in reversed(spec.columns[:-1])]
+        rows.where(turned).select(F.lit("x").alias("delivered_by"), *other).write.options(**as_is).csv(f"{paths[name]}/turned")
+        lines = [",".join(spec.columns), ",".join(["long"] * (len(spec.columns) + 1)), "short" + "," * (len(spec.columns) - 2)]
+        spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(f"{paths[name]}/torn")
+    return paths
+
+
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The loans extract delivered as CSV files in the shared folder, then scanned, stamped and cleaned."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/extract-csv/{uuid.uuid4().hex}/loans"
-    extract = driver.landing_extracts(spark, sf_dir)["loans"]
-    extract.select(*LOANS.columns).write.option("header", True).csv(path)
-    raw = ingest_extract(spark, path, LOANS.columns, driver.AS_OF)
-    return clean_rows(typed_frame(raw, LOANS), LOANS)
+    """All ten extracts read back from CSV files with headers of their own: rows as text, torn lines, header findings."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/extract-csv/{uuid.uuid4().hex}"
+    parts = []
+    for name, path in deliver_csv(spark, sf_dir, base).items():
+        rows, findings = ingest_delivery(spark, f"{path}/*", name, SPECS[name].columns, driver.AS_OF)
+        whole = F.concat_ws("|", *[F.coalesce(c, F.lit("null")) for c in SPECS[name].columns])
+        torn = F.col(MALFORMED).isNotNull()
+        outcome = F.when(torn, F.lit("malformed_line")).otherwise(F.lit("row"))
+        parts.append(
+            rows.select(
+                F.lit(name).alias("source_table"), outcome.alias("outcome"), F.when(torn, F.col(MALFORMED)).otherwise(whole).alias("content")
+            )
+        )
+        column = F.get_json_object("details", "$.column").alias("content")
+        parts.append(findings.select("source_table", F.col("reject_reason").alias("outcome"), column).distinct())
+    return reduce(DataFrame.unionByName, parts)
 
 
 def table_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +224,7 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT *, 'customer.parquet' AS _source_file, 'batch-{driver.AS_OF}' AS _batch_id FROM customer"
     )
     out["csv_roundtrip"] = w(oracle.REPORT_SQL["R01"])
-    out["csv_ingest"] = w("SELECT * FROM s_loans")
+    out["csv_ingest"] = w(oracle.csv_ingest_sql({name: SPECS[name].columns for name in CLEAN_QUERIES.values()}))
     out["table_store"] = w(f"SELECT * FROM s_holdings WHERE as_of_date = {oracle.D}")
     out["table_store_dates"] = w("SELECT * FROM s_holdings")
     r = oracle.with_recon
