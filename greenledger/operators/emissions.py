@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenledger.functions.numeric import round_half_up
 from greenledger.functions.pcaf import attribution_factor, issuer_emissions, pcaf_score
+from greenledger.operators.joins import join_attributes
 from greenledger.operators.positions import POSITION_COLUMNS, holding_positions, loan_positions, with_legal_entity
 
 # Published column names.
@@ -63,15 +66,7 @@ def issuer_profile(
     issuer-grain, so this never touches the position-sized data.
     """
     fy = F.lit(fiscal_year)
-    vend = vendor.where(F.col("fiscal_year") == fy).select(
-        "provider_entity_id",
-        "scope1_tco2e",
-        "scope2_tco2e",
-        "scope3_tco2e",
-        "emission_data_source",
-        "esg_rating",
-        "fossil_fuel_flag",
-    )
+    vend = vendor.where(F.col("fiscal_year") == fy).select(*VENDOR_ATTRS)
     emap = entity_map.select(
         "issuer_id", "issuer_name", "provider_entity_id", "coverage_status", "lei_missing_flag"
     ).join(vend, "provider_entity_id", "left")
@@ -119,12 +114,15 @@ def financed_emissions(
     as_of: str,
     loan_portfolio: str,
     taxonomy: DataFrame | None = None,
+    heavy: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Position-level financed emissions; unattributed positions stay, with nulls.
 
     Plan shape: the issuer profile is built at issuer grain and pushed onto
     the instrument master, so holdings join once (on instrument_id) and loans
-    join once (on issuer_id); FX is a bounded broadcast. With ``portfolios``
+    join once (on issuer_id). ``heavy`` gives the heavy hitters (see
+    :mod:`greenledger.operators.joins`) of written ``holdings`` by instrument, of
+    ``loans`` by issuer and of ``instruments`` by issuer. With ``portfolios``
     the legal entity is attached (the published table); without it the fact
     stays at portfolio level, which is all the marts and reports need. With
     ``taxonomy`` the taxonomy shares ride along (columns ``taxonomy_*``), so
@@ -134,12 +132,13 @@ def financed_emissions(
     profile = issuer_profile(financials, entity_map, vendor, taxonomy, fiscal_year)
     tax_cols = TAXONOMY_ATTRS if taxonomy is not None else ()
     extra = ISSUER_ATTRS + tax_cols
-    instrument_attrs = instruments.select("instrument_id", "issuer_id", "instrument_type").join(
-        profile, "issuer_id", "left"
-    )
-    positions = holding_positions(holdings, instrument_attrs, fx, None, as_of, extra).unionByName(
-        loan_positions(loans, fx, None, as_of, loan_portfolio, profile, extra)
+    heavy = heavy or {}
+    instrument_attrs = join_attributes(
+        instruments.select("instrument_id", "issuer_id", "instrument_type"), profile, "issuer_id", heavy.get("instruments")
     )
+    positions = holding_positions(
+        holdings, instrument_attrs, fx, None, as_of, extra, heavy.get("holdings")
+    ).unionByName(loan_positions(loans, fx, None, as_of, loan_portfolio, profile, extra, heavy.get("loans")))
     out = attribute(positions, as_of)
     columns = FINANCED_EMISSIONS_COLUMNS
     if portfolios is not None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenledger.functions.pcaf import BUSINESS_LOAN, asset_class_of
-from greenledger.operators.joins import join_few_keys, join_hot_keys
+from greenledger.operators.joins import join_attributes
 
 POSITION_COLUMNS = (
     "portfolio_id",
@@ -33,12 +33,12 @@ def fx_for_date(fx: DataFrame, as_of: str) -> DataFrame:
 
 
 def with_legal_entity(positions: DataFrame, portfolios: DataFrame) -> DataFrame:
-    return join_few_keys(positions, portfolios.select("portfolio_id", "legal_entity"), "portfolio_id")
+    return join_attributes(positions, portfolios.select("portfolio_id", "legal_entity"), "portfolio_id")
 
 
 def _with_rate(positions: DataFrame, fx: DataFrame, as_of: str) -> DataFrame:
     rates = fx_for_date(fx, as_of).withColumnRenamed("fx_currency", "native_currency")
-    return join_few_keys(positions, rates, "native_currency")
+    return join_attributes(positions, rates, "native_currency")
 
 
 def _in_eur(df: DataFrame, amount: str) -> DataFrame:
@@ -62,18 +62,20 @@ def holding_positions(
     portfolios: DataFrame | None,
     as_of: str,
     extra: Sequence[str] = (),
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Holdings of the as-of date with instrument, FX and (optionally) portfolio attributes.
 
     ``instrument_attrs`` is the instrument master, optionally already enriched
     with issuer attributes (``extra`` names them), so the big holdings side is
-    shuffled once, on ``instrument_id``.
+    shuffled once, on ``instrument_id``; ``heavy`` are the heavy hitters among
+    the holdings' instruments, if known.
     """
     h = holdings.where(F.col("as_of_date") == F.lit(as_of).cast("date")).select(
         "portfolio_id", "instrument_id", "market_value", F.col("currency").alias("native_currency")
     )
     inst = instrument_attrs.select("instrument_id", "issuer_id", "instrument_type", *extra)
-    joined = _with_rate(join_hot_keys(h, inst, "instrument_id"), fx, as_of)
+    joined = _with_rate(join_attributes(h, inst, "instrument_id", heavy), fx, as_of)
     if portfolios is not None:
         joined = with_legal_entity(joined, portfolios)
     joined = _in_eur(joined, "market_value").withColumns(
@@ -95,6 +97,7 @@ def loan_positions(
     loan_portfolio: str,
     issuer_attrs: DataFrame | None = None,
     extra: Sequence[str] = (),
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Business loans of the as-of date, all booked to ``loan_portfolio``."""
     lo = loans.where(F.col("as_of_date") == F.lit(as_of).cast("date")).select(
@@ -105,7 +108,7 @@ def loan_positions(
         F.col("currency").alias("native_currency"),
     )
     if issuer_attrs is not None:
-        lo = join_hot_keys(lo, issuer_attrs.select("issuer_id", *extra), "issuer_id")
+        lo = join_attributes(lo, issuer_attrs.select("issuer_id", *extra), "issuer_id", heavy)
     joined = _with_rate(lo, fx, as_of)
     if portfolios is not None:
         joined = with_legal_entity(joined, portfolios)

@@ -118,7 +118,17 @@ def reason_column(spec: CleanSpec, typed: DataFrame | None = None) -> Column:
 def business_key(key: Sequence[str]) -> Column:
     if not key:
         return F.lit(None).cast("string")
-    return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
+    return F.concat_ws("|", *[escaped(F.coalesce(F.col(k).cast("string"), F.lit(""))) for k in key])
+
+
+def escaped(part: Column) -> Column:
+    """A part of a key text, so that different keys have different texts: ``|`` and the escape itself are escaped."""
+    return F.replace(F.replace(part, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+
+
+def detail(column: str, kind: str) -> Column:
+    """A typed field of a ledger row's ``details``, read as VARIANT; null where the row's source has no such field."""
+    return F.try_variant_get(F.try_parse_json("details"), f"$.{column}", kind)
 
 
 def row_json(columns: Sequence[str]) -> Column:

@@ -382,6 +382,24 @@ def with_prelude(select: str) -> str:
     return prelude() + "\n" + select.strip()
 
 
+def reject_details_sql(tables: list[str], fields: dict[str, str]) -> str:
+    """Typed fields of rejected rows, and of the row that each duplicated key keeps."""
+    parts = []
+    for n in tables:
+        keys, _, columns = CONTRACT[n]
+        keys = keys.split()
+        own = {c.partition(":")[0] for c in columns.split()}
+        bkey = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys)
+        some = ", ".join(f"CAST({c if c in own else 'NULL'} AS {'VARCHAR' if k == 'string' else k}) AS {c}" for c, k in fields.items())
+        on = ", ".join(keys)
+        parts.append(f"SELECT '{n}' AS source_table, _reason AS reject_reason, {bkey} AS business_key, {some} FROM x_{n} WHERE _reason IS NOT NULL")
+        parts.append(
+            f"SELECT '{n}', 'duplicate_key', {bkey}, {some} FROM s_{n} "
+            f"SEMI JOIN (SELECT {on} FROM x_{n} WHERE _reason IS NULL GROUP BY {on} HAVING count(*) > 1) d USING ({on})"
+        )
+    return " UNION ALL ".join(parts)
+
+
 # ---- ingest -------------------------------------------------------------------------------
 
 

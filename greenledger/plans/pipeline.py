@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from greenledger.functions.pcaf import BUSINESS_LOAN, MAPPED, asset_class_of
 from greenledger.operators import marts, metrics, recon, reports
 from greenledger.operators.emissions import FINANCED_EMISSIONS_COLUMNS, financed_emissions
+from greenledger.operators.joins import heavy_hitters
 from greenledger.operators.positions import positions_in_eur, with_legal_entity
 from greenledger.operators.quality import clean_counts, clean_rows, ledger_rows, reject_ledger, typed_frame
 from greenledger.operators.resolve import resolve_entities
@@ -72,6 +73,7 @@ class Book:
         self._typed_cache: dict[str, DataFrame] = {}
         self._silver_cache: dict[str, DataFrame] = {}
         self._report_cache: dict[str, DataFrame] = {}
+        self._written: dict[str, DataFrame] = {}
 
     def with_materialized_fact(self) -> Book:
         """A book sharing this one's silver plans whose fact is written once and read back."""
@@ -88,8 +90,17 @@ class Book:
             self.__dict__[name] = df  # cached_property reads the instance dict first
 
     def pin_silver(self, tables: Mapping[str, DataFrame]) -> None:
-        """Use already-written clean tables instead of cleaning the extracts."""
+        """Use already-written clean tables instead of cleaning the extracts; their hot keys are counted."""
         self._silver_cache.update(tables)
+        self._written.update(tables)
+
+    def _heavy(self) -> dict[str, DataFrame]:
+        """Heavy hitters of the join keys of written tables (a lazy plan is not run twice to count its keys)."""
+        keys = {"holdings": "instrument_id", "loans": "borrower_issuer_id", "instruments": "issuer_id"}
+        found = {t: heavy_hitters(self._written[t], k) for t, k in keys.items() if t in self._written}
+        if "loans" in found:
+            found["loans"] = found["loans"].withColumnRenamed("borrower_issuer_id", "issuer_id")
+        return found
 
     # ---- silver -------------------------------------------------------------
     def _typed(self, name: str) -> DataFrame:
@@ -148,6 +159,7 @@ class Book:
             self.as_of,
             self.loan_portfolio,
             taxonomy=self.silver("taxonomy_data"),
+            heavy=self._heavy(),
         )
 
     @cached_property

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenledger.operators.emissions import VENDOR_ATTRS, open_projection
-from greenledger.operators.quality import DUPLICATE_KEY, reject_counts
+from greenledger.operators.quality import DUPLICATE_KEY, detail, reject_counts
 from greenledger.plans import oracle
 from greenledger.plans.driver_book import driver_book
 from greenledger.session import checkpoint_dir
@@ -74,6 +74,27 @@ def reject_ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return driver_book(spark, sf_dir).reject_ledger.drop("details")
 
 
+#: Fields that reject_details takes out of the ledger, with their types.
+DETAILS = {
+    "outstanding_amount": "double",
+    "market_value": "double",
+    "taxonomy_eligible_share": "double",
+    "taxonomy_aligned_share": "double",
+    "rate_to_eur": "double",
+    "fiscal_year": "int",
+    "src_line_no": "int",
+    "as_of_date": "date",
+    "currency": "string",
+}
+
+
+def reject_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ledger entry with typed fields of the row it speaks of (of a duplicated key: of the row kept)."""
+    ledger = driver_book(spark, sf_dir).reject_ledger
+    fields = [detail(c, kind).alias(c) for c, kind in DETAILS.items()]
+    return ledger.select("source_table", "reject_reason", "business_key", *fields)
+
+
 def duplicates_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = driver_book(spark, sf_dir).reject_ledger
     return (
@@ -87,6 +108,7 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {name: _silver(table) for name, table in CLEAN_QUERIES.items()}
     out["reject_ledger"] = reject_ledger_counts
     out["reject_ledger_rows"] = reject_ledger_rows
+    out["reject_details"] = reject_details
     out["duplicates_dropped"] = duplicates_dropped
     out["entity_map"] = _attr("entity_map")
     out["positions_eur"] = _attr("positions")
@@ -205,6 +227,7 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_rejects_union()}) r GROUP BY 1, 2"""
     )
     out["reject_ledger_rows"] = w(f"SELECT * FROM ({_rejects_union()}) r")
+    out["reject_details"] = w(oracle.reject_details_sql(list(CLEAN_QUERIES.values()), DETAILS))
     out["duplicates_dropped"] = w(
         f"""SELECT source_table, count(*) AS duplicate_keys, CAST(sum(rejected_rows) AS BIGINT) AS rows_dropped
             FROM ({_rejects_union()}) r WHERE reject_reason = 'duplicate_key' GROUP BY 1"""

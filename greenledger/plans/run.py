@@ -29,6 +29,8 @@ from greenledger.sources.tables import TableStore, write_report_csv
 # One row per gap cause, so five rows at most.
 SINGLE_FILE_REPORTS = ("R09",)
 # Tables with a date column worth partitioning on.
+# Gold tables that hold a date per run: a run leaves the other dates alone.
+ONE_DATE = {"partition_by": ("as_of_date",), "only_partitions": True}
 DATE_PARTITIONED = {"holdings": ("as_of_date",), "loans": ("as_of_date",)}
 
 
@@ -86,10 +88,10 @@ def run_batch(
     fact = with_legal_entity(gold_book.fact, clean["portfolios"]).select(*FINANCED_EMISSIONS_COLUMNS, *TAXONOMY_ATTRS)
     # the full fact carries vendor data: restricted layer; the open gold table is its projection
     fact, entry = _write_observed(
-        fact, store, "restricted", "financed_emissions_full", "gold.financed_emissions", partition_by=("as_of_date",)
+        fact, store, "restricted", "financed_emissions_full", "gold.financed_emissions", **ONE_DATE
     )
     log.append(entry)
-    store.write(open_projection(fact), "gold", "financed_emissions", partition_by=("as_of_date",))
+    store.write(open_projection(fact), "gold", "financed_emissions", **ONE_DATE)
     gold_book.pin(fact=fact.where(F.col("as_of_date") == F.lit(as_of).cast("date")))
 
     marts_out = {
@@ -103,7 +105,7 @@ def run_batch(
         log.append(entry)
     coverage = open_projection(gold_book.coverage)
     written["coverage"], entry = _write_observed(
-        coverage, store, "gold", "coverage", "gold.coverage", partition_by=("as_of_date",)
+        coverage, store, "gold", "coverage", "gold.coverage", **ONE_DATE
     )
     log.append(entry)
     gold_book.pin(

@@ -36,12 +36,19 @@ class TableStore:
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         return spark.read.parquet(self.path(layer, table))
 
-    def write(self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...] = ()) -> str:
-        """Overwrite the table; of a partitioned table only the partitions that ``df`` has."""
+    def write(
+        self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...] = (), only_partitions: bool = False
+    ) -> str:
+        """Replace the table, schema included: what ``df`` no longer has is gone.
+
+        ``only_partitions`` replaces just the partitions that ``df`` has, for tables that runs of
+        several dates write one date each.
+        """
         path = self.path(layer, table)
         writer = df.write.mode("overwrite")
         if partition_by:
-            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+            mode = "dynamic" if only_partitions else "static"
+            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", mode)
         writer.parquet(path)
         return path
 

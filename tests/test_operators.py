@@ -165,3 +165,19 @@ def test_blank_keys_and_non_finite_amounts_are_rejected(spark):
     assert sorted((r["reject_reason"], r["business_key"]) for r in ledger.collect()) == [
         ("missing_key", "|2025-12-31"), ("missing_key", "|2025-12-31"),
         ("non_finite_number", "A|2025-12-31"), ("non_finite_number", "B|2025-12-31")]
+
+
+def test_different_keys_have_different_texts(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("a\\", "|b|c"), ("a\\|", "b|c"), ("x", None)]
+    got = [r[0] for r in spark.createDataFrame(rows, "k string, l string").select(quality.business_key(("k", "l"))).collect()]
+    assert len(set(got)) == len(rows) and got[-1] == "x|"
+
+
+def test_ledger_details_keep_their_types(spark):
+    df = spark.createDataFrame([("n", 2.5, 7, None)], "k string, amount double, year int, lei string")
+    row = df.select(quality.row_json(df.columns).alias("details"))
+    got = row.select(
+        quality.detail("amount", "double").alias("a"), quality.detail("year", "int").alias("y"),
+        quality.detail("lei", "string").alias("l"), quality.detail("nothing", "date").alias("n"), quality.detail("k", "int").alias("k"),
+    ).first()
+    assert tuple(got) == (2.5, 7, None, None, None)

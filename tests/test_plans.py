@@ -53,19 +53,81 @@ def test_date_filter_reaches_the_scan_side_of_the_dedupe(spark):
         assert any(re.search("Filter.*(" + wanted + ")", x) for x in lines[dedupe + 1 :]), (table, plan)
 
 
-def test_hot_and_null_keys_are_spread(spark):
-    from greenledger.operators.joins import join_few_keys, join_hot_keys
-
-    rows = spark.range(4000).select(
-        "id", F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise(F.lit("hot")).cast("string").alias("k")
-    )
-    attrs = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
-    for join, salts in ((join_few_keys, 64), (join_hot_keys, 8)):
-        out = join(rows, attrs, "k")
-        assert out.columns == ["k", "id", "v"] and out.count() == 4000 and out.where("v = 1").count() == 3000
-        spread = rows.withColumn("s", F.pmod(F.xxhash64(*rows.columns), F.lit(salts))).groupBy("k", "s").count()
-        assert spread.agg(F.max("count")).first()[0] < 2 * 3000 / salts
-        assert "_salt" in plan_of(out)
+KEYED = "CASE WHEN id % 4 = 0 THEN NULL WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 900) END"
+
+
+def keyed_tables(spark):
+    """Positions on a hot, a null and many cold keys, and attributes of all but some of the cold ones; written."""
+    folder = tempfile.mkdtemp(prefix="greenledger-joins-")
+    spark.range(12_000).selectExpr(f"{KEYED} AS k", "id", "repeat('x', 50) AS pad").repartition(6).write.parquet(f"{folder}/p")
+    names = spark.range(0, 900, 1, 3).selectExpr("concat('k', id) AS k", "id * 10 AS v").where("v % 70 <> 0")
+    names.unionByName(spark.createDataFrame([("hot", 1), (None, 2)], "k string, v long")).write.parquet(f"{folder}/a")
+    return spark.read.parquet(f"{folder}/p"), spark.read.parquet(f"{folder}/a")
+
+
+def test_heavy_hitters_are_bounded_and_never_null(spark):
+    from greenledger.operators.joins import heavy_hitters
+
+    rows, _ = keyed_tables(spark)
+    assert {r.k: r.rows for r in heavy_hitters(rows, "k", 100).collect()} == {"hot": 3000}
+    assert heavy_hitters(rows, "k", 100_000).count() > 100
+    assert heavy_hitters(rows.limit(0), "k").count() == 0
+
+
+def test_attributes_join_alike_with_and_without_heavy_hitters(spark):
+    from greenledger.operators.joins import heavy_hitters, join_attributes
+
+    rows, attrs = keyed_tables(spark)
+    want = sorted(rows.join(attrs, "k", "left").select("k", "id", "v").collect(), key=lambda r: r.id)
+    for heavy in (None, heavy_hitters(rows, "k"), heavy_hitters(rows, "k", 1), heavy_hitters(rows, "k", 10**6)):
+        out = join_attributes(rows, attrs, "k", heavy)
+        assert out.columns == ["k", "id", "pad", "v"]
+        assert sorted(out.select("k", "id", "v").collect(), key=lambda r: r.id) == want
+
+
+def test_hot_and_null_keys_are_not_shuffled(spark):
+    """Rows of a hot or null key stay where they are read; attributes shuffle once, without copies."""
+    from greenledger.operators.joins import heavy_hitters, join_attributes
+
+    rows, attrs = keyed_tables(spark)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = join_attributes(rows, attrs, "k", heavy_hitters(rows, "k", 100))
+        plan = plan_of(out)
+        assert "Generate explode" not in plan and "Union" in plan
+        assert plan.count("SortMergeJoin") == 1
+        # positions and attributes of the cold join; the counts of the key column (combined first)
+        shuffled = out.withColumn("task", F.spark_partition_id()).groupBy("k", "task").count()
+        tasks = {r.k: r.tasks for r in shuffled.groupBy("k").agg(F.count("*").alias("tasks")).collect() if r.k in ("hot", None)}
+        assert tasks["hot"] >= 4 and tasks[None] >= 4  # as many as the scan has, not one
+        cold = max(r["count"] for r in shuffled.where("k <> 'hot'").collect())
+        assert cold < 3000 // 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_plain_join_splits_a_hot_key_at_run_time(spark):
+    from greenledger.operators.joins import join_attributes
+
+    rows, attrs = keyed_tables(spark)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = join_attributes(rows, attrs, "k")
+        assert len(out.collect()) == 12_000
+        assert "skew=true" in plan_of(out)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_partition_pruning_on_written_tables(spark):
