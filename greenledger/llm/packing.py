@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenledger.llm.common import gapless_index, stored
-from greenledger.llm.tokens import encoder, in_batches
+from greenledger.llm.tokens import encoder, forget_encoders, in_batches
 
 #: Pieces, about, that share one (length, sub) group when ranks are made.
 SUB_ROWS = 50_000
@@ -83,6 +83,7 @@ def pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     keep_ids: bool = False,
+    forget: bool = False,
 ) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32[, ids])``: documents cut only where longer than ``capacity``."""
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -100,6 +101,8 @@ def pieces(
                 columns = list(zip(*rows, strict=True))
                 arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=False)]
                 yield pa.RecordBatch.from_arrays(arrays, names=fields)
+        if forget:
+            forget_encoders()
 
     fields = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * keep_ids
@@ -116,15 +119,17 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     keep_ids: bool = False,
+    forget: bool = False,
 ) -> DataFrame:
     """Pack every document's ids (and ``end_id``) into sequences of at most ``capacity`` tokens.
 
     Returns ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` and, with ``keep_ids``,
     ``ids`` (little-endian unsigned 32-bit). Null text: empty, so the end id alone. Repeated rows and
     null ids are packed like any others; an empty table gives no row. ``tokenizer_path`` must exist on
-    every executor. Other columns are ignored.
+    every executor. Other columns are ignored. ``forget`` ends a task's memory of words with the task,
+    where other work shares the session's workers.
     """
-    cut = stored(pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col, keep_ids), "pieces")
+    cut = stored(pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col, keep_ids, forget), "pieces")
     counts = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # at most `capacity` rows
     plan = best_two_fit(counts, capacity)
     runs = {x: [] for x in counts}  # per length: rank from, first sequence, times in a bin, offset in the bin

@@ -203,6 +203,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def forget_encoders() -> None:
+    """Give back what this worker's encoders remember, for tasks of other kinds that follow in the same process."""
+    encoder.cache_clear()
+
+
 def in_batches(texts: list[str | None]):
     """Ranges of ``texts`` of about BATCH_CHARS characters (null counts as empty): ``(from, texts)``."""
     at, held, size = 0, [], 0
