@@ -62,7 +62,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of 2048 tokens, with their ids."""
-    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"), end_id=0, capacity=2048, keep_ids=True)
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"), end_id=0, capacity=2048, keep_ids=True, forget=True)
 
 
 STAGES = [
