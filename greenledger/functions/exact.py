@@ -7,14 +7,14 @@ longs: sums of sums (:func:`merge`, :func:`merge_over`) stay exact.
 
 The digit at place k of x is ``rint(x / B**k) - B rint(x / B**(k+1))``: scaling by powers of two, ``rint``
 and this difference are exact in double arithmetic, so it is a built-in expression in the generated code.
+Expressions are written as SQL text: they name their input often, and text is parsed in one step. Inputs
+are column names, or SQL text that is cheap to repeat.
 Digits are at most 2**23 + 1, so a group may hold 2**39 rows; beyond that ANSI mode fails loudly.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BITS = 24
@@ -27,114 +27,94 @@ DOUBLES = (-45, 42)
 Places = tuple[int, int]
 
 
-def _col(x: str | Column) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+def _double(x: float) -> str:
+    return f"{x!r}D" if "e" not in repr(x) else f"{repr(x).upper().replace('E+', 'E')}D"
 
 
-def _scaled(x: Column, power: int) -> Column:
+def _scaled(x: str, power: int) -> str:
     """x times 2**power, in factors that are doubles themselves."""
     while power > 1000:
-        x, power = x * F.lit(2.0**1000), power - 1000
+        x, power = f"{x} * {_double(2.0**1000)}", power - 1000
     while power < -1000:
-        x, power = x * F.lit(2.0**-1000), power + 1000
-    return x * F.lit(2.0**power)
+        x, power = f"{x} * {_double(2.0**-1000)}", power + 1000
+    return f"{x} * {_double(2.0**power)}"
 
 
-def _digit(x: Column, place: int, places: Places) -> Column:
-    digit = F.rint(_scaled(x, -BITS * place))
+def _digit(x: str, place: int, places: Places) -> str:
+    digit = f"rint({_scaled(x, -BITS * place)})"
     if place < places[1]:
-        digit = digit - F.rint(_scaled(x, -BITS * (place + 1))) * F.lit(float(BASE))
-    if places[1] - places[0] > 40:
+        digit += f" - rint({_scaled(x, -BITS * (place + 1))}) * {_double(float(BASE))}"
+    if places == DOUBLES and BITS * place + 96 <= 1023:
         # where x would be scaled beyond the largest double, it has no bits at this place
-        top = 2.0 ** min(BITS * place + 96, 1023)
-        digit = F.when(F.abs(x) < F.lit(top), digit).otherwise(F.lit(0.0)) if BITS * place + 96 <= 1023 else digit
-    return digit.cast("long")
-
+        digit = f"CASE WHEN abs({x}) < {_double(2.0 ** (BITS * place + 96))} THEN {digit} ELSE 0D END"
+    return f"CAST({digit} AS BIGINT)"
 
-def accumulate(x: str | Column, places: Places = AMOUNTS) -> Column:
-    """Aggregate: the accumulator of all x that are not null, null if there are none.
 
-    A number outside ``places``, NaN or an infinity is an error, never a wrong sum.
-    """
-    x = _col(x)
+def _accumulated(x: str, places: Places) -> str:
     low, high = places
-    limbs = [F.sum(_digit(x, k, places)) for k in range(low, high + 1)]
+    limbs = [f"sum({_digit(x, k, places)})" for k in range(low, high + 1)]
     if places != DOUBLES:
-        inside = (_scaled(F.rint(_scaled(x, -BITS * low)), BITS * low) == x) & (F.abs(x) < F.lit(2.0 ** (BITS * (high + 1) - 1)))
-        problem = F.raise_error(F.concat(F.lit("not a number that sums of amounts hold: "), x.cast("string"))).cast("long")
-        limbs[0] = F.sum(F.when(x.isNull() | inside, _digit(x, low, places)).otherwise(problem))
-    return F.when(F.count(x) > 0, F.array(*limbs))
+        inside = f"{_scaled(f'rint({_scaled(x, -BITS * low)})', BITS * low)} = {x} AND abs({x}) < {_double(2.0 ** (BITS * (high + 1) - 1))}"
+        problem = f"CAST(raise_error(concat('not a number that sums of amounts hold: ', CAST({x} AS STRING))) AS BIGINT)"
+        limbs[0] = f"sum(CASE WHEN {x} IS NULL OR ({inside}) THEN {_digit(x, low, places)} ELSE {problem} END)"
+    return f"CASE WHEN count({x}) > 0 THEN array({', '.join(limbs)}) END"
 
 
-def merge(total: str | Column, places: Places = AMOUNTS) -> Column:
-    """Aggregate: the accumulator of accumulators; null ones count for nothing."""
-    total = _col(total)
-    limbs = [F.sum(total[i]) for i in range(places[1] - places[0] + 1)]
-    return F.when(F.count(total) > 0, F.array(*limbs))
-
+def accumulate(x: str, places: Places = AMOUNTS) -> Column:
+    """Aggregate: the accumulator of all x that are not null, null if there are none.
 
-def merge_over(total: str | Column, window: WindowSpec, places: Places = AMOUNTS) -> Column:
-    """As :func:`merge`, over a window."""
-    total = _col(total)
-    limbs = [F.sum(total[i]).over(window) for i in range(places[1] - places[0] + 1)]
-    return F.when(F.count(total).over(window) > 0, F.array(*limbs))
+    A number outside ``places``, NaN or an infinity is an error, never a wrong sum.
+    """
+    return F.expr(_accumulated(x, places))
 
 
-def _carried(limbs: Column) -> Column:
-    """Digits from 0 to BASE - 1, lowest first, and the carry that is left: ``struct(carry, digits)``."""
-    start = F.struct(F.lit(0).cast("long").alias("carry"), F.array().cast("array<bigint>").alias("digits"))
+def merge(total: str, places: Places = AMOUNTS, over: str = "") -> Column:
+    """Aggregate: the accumulator of accumulators, null ones count for nothing. ``over``: of a window, as SQL."""
+    over = f" OVER ({over})" if over else ""
+    limbs = ", ".join(f"sum({total}[{i}]){over}" for i in range(places[1] - places[0] + 1))
+    return F.expr(f"CASE WHEN count({total}){over} > 0 THEN array({limbs}) END")
 
-    def step(done: Column, limb: Column) -> Column:
-        value = done["carry"] + limb
-        digit = value.bitwiseAND(F.lit(BASE - 1).cast("long"))
-        return F.struct(
-            F.shiftright(value, BITS).alias("carry"), F.concat(done["digits"], F.array(digit)).alias("digits")
-        )
 
-    return F.aggregate(limbs, start, step)
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``value`` computed once, under ``name``."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def rounded(total: str | Column, places: Places = AMOUNTS) -> Column:
+def _carried(limbs: str) -> str:
+    """Digits from 0 to BASE - 1, lowest first, and the carry that is left: ``struct(carry, digits)``."""
+    value = "(_gl_s.carry + _gl_v)"
+    step = f"named_struct('carry', shiftright({value}, {BITS}), 'digits', concat(_gl_s.digits, array({value} & {BASE - 1}L)))"
+    start = "named_struct('carry', 0L, 'digits', CAST(array() AS ARRAY<BIGINT>))"
+    return f"aggregate({limbs}, {start}, (_gl_s, _gl_v) -> {step})"
+
+
+def _rounded(total: str, places: Places) -> str:
+    zeros = "array(0L, 0L, 0L)"  # room for the carry, and for reading below the lowest digit
+    limbs = f"concat({zeros}, {total}, {zeros})"
+    turned = f"{_carried(f'transform({limbs}, _gl_x -> -_gl_x)')}.digits"
+    head = f"CAST(_gl_d[_gl_t] * {BASE}L + _gl_d[_gl_t - 1] AS DOUBLE) * {_double(2.0 ** (2 * BITS))}"
+    more = "CAST(exists(slice(_gl_d, 1, _gl_t - 3), _gl_z -> _gl_z <> 0) AS BIGINT)"
+    rest = f"CAST((_gl_d[_gl_t - 2] * {BASE}L + _gl_d[_gl_t - 3]) | {more} AS DOUBLE)"
+    power = f"((_gl_t - 6 + ({places[0]})) * {BITS})"
+    half = f"CAST(floor({power} / 2D) AS INT)"
+    size = f"({head} + {rest}) * pow(2D, {half}) * pow(2D, {power} - {half})"
+    top = "array_max(transform(_gl_d, (_gl_v, _gl_i) -> CASE WHEN _gl_v <> 0 THEN _gl_i ELSE 3 END))"
+    magnitude = _let("_gl_t", top, size)
+    digits = f"CASE WHEN _gl_c.carry < 0 THEN {turned} ELSE _gl_c.digits END"
+    signed = f"CASE WHEN _gl_c.carry < 0 THEN -1D ELSE 1D END * {_let('_gl_d', digits, magnitude)}"
+    return f"CASE WHEN {total} IS NOT NULL THEN {_let('_gl_c', _carried(limbs), signed)} END"
+
+
+def rounded(total: str, places: Places = AMOUNTS) -> Column:
     """The double nearest to an accumulator, ties to even; infinite beyond the largest double.
 
     The leading digit and the next three, with a mark for anything below them, are added as two doubles:
     one addition, so one rounding.
     """
-    low = places[0]
-    zeros = F.array(*[F.lit(0).cast("long")] * 3)
-    limbs = F.concat(zeros, _col(total), zeros)  # room for the carry, and for reading below the lowest digit
-
-    def from_digits(found: Column) -> Column:
-        negative = found["carry"] < 0
-        digits = F.when(negative, _carried(F.transform(limbs, lambda v: -v))["digits"]).otherwise(found["digits"])
-
-        def from_magnitude(d: Column) -> Column:
-            top = F.array_max(F.transform(d, lambda v, i: F.when(v != 0, i).otherwise(F.lit(3))))
-
-            def from_top(t: Column) -> Column:
-                at = lambda back: F.element_at(d, (t - back + 1).cast("int"))
-                more = F.exists(F.slice(d, F.lit(1), (t - 3).cast("int")), lambda v: v != 0).cast("long")
-                head = at(0) * F.lit(BASE) + at(1)
-                rest = (at(2) * F.lit(BASE) + at(3)).bitwiseOR(more)
-                value = head.cast("double") * F.lit(2.0 ** (2 * BITS)) + rest.cast("double")
-                power = (t - 6 + low) * BITS
-                half = F.floor(power / F.lit(2.0)).cast("int")
-                two = F.lit(2.0)
-                return value * F.pow(two, half) * F.pow(two, power - half)
-
-            return _let(top, from_top)
-
-        size = _let(digits, from_magnitude)
-        return F.when(negative, -size).otherwise(size)
-
-    return F.when(_col(total).isNotNull(), _let(_carried(limbs), from_digits))
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once, whatever ``body`` does with it."""
-    return F.transform(F.array(value), body)[0]
+    return F.expr(_rounded(total, places))
 
 
-def exact_total(x: str | Column, *factors: str | Column, places: Places = AMOUNTS) -> Column:
-    """Aggregate: the accumulator of x times its factors; each product is the double that ``*`` gives."""
-    return accumulate(reduce(Column.__mul__, [_col(x), *(_col(f).cast("double") for f in factors)]), places)
+def rounded_total(x: str, *factors: str, places: Places = AMOUNTS) -> Column:
+    """Aggregate: the sum of x times its factors; each product is the double that ``*`` gives."""
+    term = " * ".join([x, *(f"CAST({f} AS DOUBLE)" for f in factors)])
+    return F.expr(_rounded(_accumulated(f"({term})", places), places))

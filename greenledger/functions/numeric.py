@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from greenledger.functions.exact import exact_total, rounded
+from greenledger.functions.exact import rounded_total
 
 ROUND_TYPE = "decimal(38,18)"  # 20 integer digits, 18 places before a published rounding
 
@@ -25,12 +25,12 @@ def as_double(dec: Column) -> Column:
     return dec.cast("string").cast("double")
 
 
-def sum_double(col: str | Column, *factors: str | Column) -> Column:
+def sum_double(col: str, *factors: str) -> Column:
     """The sum of an amount (times its factors), rounded to the nearest double; null without a value.
 
     For one-off use; :func:`greenledger.operators.totals.totals` forms terms once and is what reports use.
     """
-    return rounded(exact_total(col, *factors))
+    return rounded_total(col, *factors)
 
 
 def round_half_up(col: str | Column, places: int) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from greenledger.functions.exact import merge, merge_over
+from greenledger.functions.exact import merge
 from greenledger.functions.numeric import round_half_up
 from greenledger.functions.pcaf import BUSINESS_LOAN, CORPORATE_BOND, LISTED_EQUITY
 from greenledger.operators.marts import intensities
@@ -156,7 +156,7 @@ def r09_coverage(coverage: DataFrame, as_of: str) -> DataFrame:
     rows), so nothing goes through the driver.
     """
     per_cause = accumulated(coverage, ("gap_cause",), {"exposure": F.col("exposure_eur")}, F.count(F.lit(1)).alias("row_count"))
-    per_cause = per_cause.withColumn("total", merge_over("exposure", Window.partitionBy(F.lit(1))))
+    per_cause = per_cause.withColumn("total", merge("exposure", over="PARTITION BY 1"))
     per_cause = as_doubles(per_cause, "exposure", "total").withColumn("market_value_eur", round_half_up("exposure", 2))
     total = F.col("total")
     return per_cause.select(

@@ -230,6 +230,10 @@ class Book:
             self._report_cache[report_id] = self._build_report(report_id)
         return self._report_cache[report_id]
 
+    def pin_report(self, report_id: str, written: DataFrame) -> None:
+        """Use an already-written report."""
+        self._report_cache[report_id] = written
+
     def _build_report(self, report_id: str) -> DataFrame:
         builders = {
             "R01": lambda: reports.r01_equity(self.report_fact),

@@ -21,7 +21,7 @@ from greenledger.plans.driver_book import driver_book
 from greenledger.session import checkpoint_dir
 from greenledger.sources import driver
 from greenledger.sources.extracts import MALFORMED, ingest_delivery, ingest_table
-from greenledger.sources.tables import TableStore, read_report_csv, write_report_csv
+from greenledger.sources.tables import TableStore, materialize, read_report_csv, write_report_csv
 from greenledger.plans.pipeline import REPORT_IDS, SEEDED_DIFFERENCES
 from greenledger.plans.specs import RECON_SPECS, SOURCES
 
@@ -209,9 +209,13 @@ def recon_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _recon(spark: SparkSession, sf_dir: str, build: Callable) -> DataFrame:
-    """Reconcile every report with the baseline planted in the driver data."""
+    """Reconcile every report, written, with the baseline planted in the driver data, written before."""
     book = _gold_book(spark, sf_dir)
-    return build(book, {r: driver.planted_baseline(book.report(r), RECON_SPECS[r]) for r in REPORT_IDS})
+    base = {}
+    for r in REPORT_IDS:
+        book.pin_report(r, materialize(book.report(r), r))
+        base[r] = materialize(driver.planted_baseline(book.report(r), RECON_SPECS[r]), f"{r}-baseline")
+    return build(book, base)
 
 
 def _rejects_union() -> str:
