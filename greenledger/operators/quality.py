@@ -141,14 +141,43 @@ def split_rejects(typed: DataFrame, spec: CleanSpec) -> tuple[DataFrame, DataFra
     flagged = typed.withColumn("_reject_reason", reason_column(spec, typed))
     good = flagged.where(F.col("_reject_reason").isNull()).drop("_reject_reason")
     bad = flagged.where(F.col("_reject_reason").isNotNull())
-    ledger = bad.select(
+    return good, reject_entries(bad, spec, F.col("_reject_reason"), typed.columns)
+
+
+def reject_entries(bad: DataFrame, spec: CleanSpec, reason: Column, columns: Sequence[str]) -> DataFrame:
+    """Ledger entries of rejected rows; ``columns`` make the details."""
+    return bad.select(
         F.lit(spec.name).alias("source_table"),
-        F.col("_reject_reason").alias("reject_reason"),
+        reason.alias("reject_reason"),
         business_key(spec.key).alias("business_key"),
-        row_json(typed.columns).alias("details"),
+        row_json(columns).alias("details"),
         F.lit(1).cast("bigint").alias("rejected_rows"),
     )
-    return good, ledger
+
+
+def duplicate_entries(groups: DataFrame, key: Sequence[str], source_table: str, row: Column, copies: Column) -> DataFrame:
+    """Ledger entries of duplicated keys: the surviving ``row`` and how many of its ``copies`` are dropped."""
+    return groups.select(
+        F.lit(source_table).alias("source_table"),
+        F.lit(DUPLICATE_KEY).alias("reject_reason"),
+        business_key(key).alias("business_key"),
+        F.to_json(row, {"ignoreNullFields": "false"}).alias("details"),
+        (copies - 1).alias("rejected_rows"),
+    )
+
+
+def survivors(df: DataFrame, key: Sequence[str], order: Sequence[tuple[str, bool]] = (), keep: Column | None = None) -> DataFrame:
+    """Per key the first row by ``order``, then by all columns (``_w.r``), and how many rows there are (``_n``)."""
+    order_exprs = [F.col(c) if asc else -F.col(c) for c, asc in order]
+    ranking = F.struct(
+        F.struct(*order_exprs, F.lit(0).alias("_pad")).alias("o"),
+        F.struct(*[F.col(c) for c in df.columns]).alias("r"),
+    )
+    if keep is None:
+        agg = [F.min(ranking).alias("_w"), F.count(F.lit(1)).alias("_n")]
+    else:
+        agg = [F.min(F.when(keep, ranking)).alias("_w"), F.count_if(keep).alias("_n")]
+    return df.groupBy(*key).agg(*agg)
 
 
 def dedupe_keep_one(
@@ -168,26 +197,11 @@ def dedupe_keep_one(
     row per duplicated key carrying the number of rows dropped.
     Descending order is supported for numeric columns only.
     """
-    order_exprs = [F.col(c) if asc else -F.col(c) for c, asc in order]
-    ranking = F.struct(
-        F.struct(*order_exprs, F.lit(0).alias("_pad")).alias("o"),
-        F.struct(*[F.col(c) for c in df.columns]).alias("r"),
-    )
-    if keep is None:
-        agg = [F.min(ranking).alias("_w"), F.count(F.lit(1)).alias("_n")]
-    else:
-        agg = [F.min(F.when(keep, ranking)).alias("_w"), F.count_if(keep).alias("_n")]
-    grouped = df.groupBy(*key).agg(*agg)
+    grouped = survivors(df, key, order, keep)
     # keys come from the grouping, so a filter on them (as-of date, fiscal year) moves below the aggregate
     columns = [F.col(c) if c in key else F.col(f"_w.r.{c}").alias(c) for c in df.columns]
     kept = grouped.where(F.col("_n") > 0).select(*columns)
-    dropped = grouped.where(F.col("_n") > 1).select(
-        F.lit(source_table).alias("source_table"),
-        F.lit(DUPLICATE_KEY).alias("reject_reason"),
-        business_key(key).alias("business_key"),
-        F.to_json(F.col("_w.r"), {"ignoreNullFields": "false"}).alias("details"),
-        (F.col("_n") - 1).alias("rejected_rows"),
-    )
+    dropped = duplicate_entries(grouped.where(F.col("_n") > 1), key, source_table, F.col("_w.r"), F.col("_n"))
     return kept, dropped
 
 

@@ -24,6 +24,7 @@ from greenledger.operators.joins import heavy_hitters
 from greenledger.operators.positions import positions_in_eur, with_legal_entity
 from greenledger.operators.quality import clean_counts, clean_rows, ledger_rows, reject_ledger, typed_frame
 from greenledger.operators.resolve import resolve_entities
+from greenledger.operators.routing import Routed, route_all
 from greenledger.plans import specs
 from greenledger.sources.tables import materialize
 
@@ -74,6 +75,7 @@ class Book:
         self._silver_cache: dict[str, DataFrame] = {}
         self._report_cache: dict[str, DataFrame] = {}
         self._written: dict[str, DataFrame] = {}
+        self._routed: dict[str, Routed] = {}
 
     def with_materialized_fact(self) -> Book:
         """A book sharing this one's silver plans whose fact is written once and read back."""
@@ -84,6 +86,17 @@ class Book:
             other.pin(entity_map=self.__dict__["entity_map"])
         return other
 
+    def with_routed_sources(self) -> Book:
+        """A book over this one's extracts, each typed and judged once and written by outcome."""
+        other = Book(self.spark, {}, self.as_of, self.loan_portfolio, self.clean_specs, self.materialize_fact)
+        other.pin_routed(route_all(self.extracts, self.clean_specs))
+        return other
+
+    def pin_routed(self, routed: Mapping[str, Routed]) -> None:
+        """Use sources after their routed pass: clean rows, ledger and counts read those tables."""
+        self._routed.update(routed)
+        self._silver_cache.update({name: r.clean() for name, r in routed.items()})
+
     def pin(self, **frames: DataFrame) -> None:
         """Use already-written tables for derived layers (``entity_map=``, ``fact=``, ...)."""
         for name, df in frames.items():
@@ -116,6 +129,8 @@ class Book:
 
     def rejects(self, name: str) -> DataFrame:
         """Ledger rows of one source."""
+        if name in self._routed:
+            return self._routed[name].ledger()
         return ledger_rows(self._typed(name), self.clean_specs[name])
 
     @cached_property
@@ -253,11 +268,15 @@ class Book:
     def step_metrics(self) -> DataFrame:
         """Rows in / out / rejected / de-duplicated / flagged for every cleaning step and the gold build.
 
-        Cleaning counts are one count-only aggregate per source; the gold
+        Cleaning counts are one count-only aggregate per source, over its
+        routed tables where it has them; the gold
         step checks that attaching issuer data neither adds nor loses positions.
         """
         parts = []
         for name, spec in self.clean_specs.items():
+            if name in self._routed:
+                parts += self._routed[name].counts(f"silver.{name}")
+                continue
             counts = clean_counts(self._typed(name), spec)
             parts.append(
                 counts.select(

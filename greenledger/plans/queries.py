@@ -65,13 +65,18 @@ def _attr(name: str) -> Query:
     return lambda spark, sf_dir: getattr(driver_book(spark, sf_dir), name)
 
 
+def _routed_book(spark: SparkSession, sf_dir: str):
+    """Ledger and row accounting read every source after one routed pass, which types it once."""
+    return driver_book(spark, sf_dir).with_routed_sources()
+
+
 def reject_ledger_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reject_counts(driver_book(spark, sf_dir).reject_ledger)
+    return reject_counts(_routed_book(spark, sf_dir).reject_ledger)
 
 
 def reject_ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every ledger entry (the row JSON is left out: number formatting is engine-specific)."""
-    return driver_book(spark, sf_dir).reject_ledger.drop("details")
+    return _routed_book(spark, sf_dir).reject_ledger.drop("details")
 
 
 #: Fields that reject_details takes out of the ledger, with their types.
@@ -90,13 +95,13 @@ DETAILS = {
 
 def reject_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every ledger entry with typed fields of the row it speaks of (of a duplicated key: of the row kept)."""
-    ledger = driver_book(spark, sf_dir).reject_ledger
+    ledger = _routed_book(spark, sf_dir).reject_ledger
     fields = [detail(c, kind).alias(c) for c, kind in DETAILS.items()]
     return ledger.select("source_table", "reject_reason", "business_key", *fields)
 
 
 def duplicates_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = driver_book(spark, sf_dir).reject_ledger
+    ledger = _routed_book(spark, sf_dir).reject_ledger
     return (
         ledger.where(F.col("reject_reason") == DUPLICATE_KEY)
         .groupBy("source_table")
@@ -119,7 +124,7 @@ def queries() -> dict[str, Query]:
     out["taxonomy_alignment"] = _attr("taxonomy_alignment")
     out["coverage_gaps"] = _attr("coverage_table")
     out.update({name: _report(rid) for name, rid in REPORT_QUERIES.items()})
-    out["step_metrics"] = lambda spark, sf_dir: driver_book(spark, sf_dir).step_metrics()
+    out["step_metrics"] = lambda spark, sf_dir: _routed_book(spark, sf_dir).step_metrics()
     out["audit_ingest"] = audit_ingest
     out["csv_roundtrip"] = csv_roundtrip
     out["csv_ingest"] = csv_ingest
@@ -198,7 +203,7 @@ def table_store_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gold_book(spark: SparkSession, sf_dir: str):
     """Reconciliation reads a written gold fact (as a production run does), not 18 inlined pipelines."""
-    return driver_book(spark, sf_dir, materialize_fact=True)
+    return driver_book(spark, sf_dir).with_materialized_fact()
 
 
 def recon_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,15 +22,16 @@ from greenledger.operators import metrics, recon
 from greenledger.operators.emissions import FINANCED_EMISSIONS_COLUMNS, TAXONOMY_ATTRS, open_projection
 from greenledger.operators.positions import with_legal_entity
 from greenledger.operators.quality import reject_ledger
+from greenledger.operators.routing import Sink, route
 from greenledger.plans import specs
 from greenledger.plans.pipeline import REPORT_IDS, SEEDED_DIFFERENCES, Book
 from greenledger.sources.tables import TableStore, write_report_csv
 
 # One row per gap cause, so five rows at most.
 SINGLE_FILE_REPORTS = ("R09",)
-# Tables with a date column worth partitioning on.
 # Gold tables that hold a date per run: a run leaves the other dates alone.
 ONE_DATE = {"partition_by": ("as_of_date",), "only_partitions": True}
+# Tables with a date column worth partitioning on.
 DATE_PARTITIONED = {"holdings": ("as_of_date",), "loans": ("as_of_date",)}
 
 
@@ -40,6 +41,16 @@ def _write_observed(df: DataFrame, store: TableStore, layer: str, table: str, st
     return store.read(df.sparkSession, layer, table), {"step": step, "output_rows": obs.get.get("rows", 0)}
 
 
+def _sink(store: TableStore, layer: str) -> Sink:
+    """Routed tables stand in the layer of their source: those of a vendor's data stay restricted."""
+
+    def write(df: DataFrame, name: str, partition_by: tuple[str, ...]) -> DataFrame:
+        path = store.write(df, layer, f"_{name}", partition_by=partition_by)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    return write
+
+
 def run_batch(
     spark: SparkSession,
     bronze: Mapping[str, DataFrame],
@@ -61,19 +72,22 @@ def run_batch(
         written_bronze[name], entry = _write_observed(bronze[name], store, layer, f"bronze_{name}", f"bronze.{name}")
         log.append(entry)
 
-    # silver: clean rows (partitioned by date where it has one) and the reject ledger
+    # silver: one routed pass per source, then clean rows (partitioned by date where it has one) and the reject ledger
     silver_book = Book(spark, written_bronze, as_of, loan_portfolio, dict(clean_specs or {}))
+    layers = {name: "restricted" if spec.restricted else "silver" for name, spec in silver_book.clean_specs.items()}
+    silver_book.pin_routed(
+        {name: route(written_bronze[name], spec, _sink(store, layers[name])) for name, spec in silver_book.clean_specs.items()}
+    )
     clean = {}
-    for name, spec in silver_book.clean_specs.items():
-        layer = "restricted" if spec.restricted else "silver"
+    for name in silver_book.clean_specs:
         clean[name], entry = _write_observed(
-            silver_book.silver(name), store, layer, name, f"silver.{name}", partition_by=DATE_PARTITIONED.get(name, ())
+            silver_book.silver(name), store, layers[name], name, f"silver.{name}", partition_by=DATE_PARTITIONED.get(name, ())
         )
         log.append(entry)
     # rejected rows of a restricted source stay restricted: their details are the vendor's data
     ledgers = {"silver": [], "restricted": []}
-    for name, spec in silver_book.clean_specs.items():
-        ledgers["restricted" if spec.restricted else "silver"].append(silver_book.rejects(name))
+    for name, layer in layers.items():
+        ledgers[layer].append(silver_book.rejects(name))
     for layer, parts in ledgers.items():
         if parts:
             _, entry = _write_observed(reject_ledger(parts), store, layer, "_rejects", f"{layer}._rejects")

@@ -65,16 +65,17 @@ def read_report_csv(spark: SparkSession, path: str, schema: StructType) -> DataF
     return spark.read.schema(schema).option("header", True).option("nullValue", "").csv(path)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once as parquet under the session's shared checkpoint folder and read it back.
 
     Cuts lineage like a reliable checkpoint, but computes the plan once (a
     reliable RDD checkpoint of an uncached plan runs it twice) and keeps the
-    data columnar, so readers get pruning and statistics.
+    data columnar, so readers get pruning and statistics. Read with the
+    schema of ``df``: an empty partitioned table has no file to tell it.
     """
     from greenledger.session import checkpoint_dir  # local import: session helpers stay optional here
 
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/greenledger/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
+    return spark.read.schema(df.schema).parquet(path) if partition_by else spark.read.parquet(path)
