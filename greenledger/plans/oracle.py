@@ -539,3 +539,36 @@ def step_metrics_sql(tables) -> str:
         for m in ("input_rows", "output_rows", "rejected_rows", "duplicate_rows", "flagged_rows")
     )
     return f"SELECT step, {sums} FROM ({' UNION ALL '.join(parts)}) u GROUP BY step"
+
+
+# ---- BY groups ----------------------------------------------------------------------------
+
+BY_FLAGS_SQL = """
+SELECT *,
+  row_number() OVER full_sort AS by_number,
+  count(*) OVER (PARTITION BY borrower_issuer_id, currency) AS by_rows,
+  row_number() OVER head_sort = 1 AS first_borrower_issuer_id,
+  row_number() OVER head_sort = count(*) OVER (PARTITION BY borrower_issuer_id) AS last_borrower_issuer_id,
+  row_number() OVER full_sort = 1 AS first_currency,
+  row_number() OVER full_sort = count(*) OVER (PARTITION BY borrower_issuer_id, currency) AS last_currency
+FROM s_loans
+WINDOW full_sort AS (PARTITION BY borrower_issuer_id, currency
+    ORDER BY outstanding_amount NULLS FIRST, loan_id NULLS FIRST, as_of_date NULLS FIRST, loan_purpose NULLS FIRST),
+  head_sort AS (PARTITION BY borrower_issuer_id
+    ORDER BY currency NULLS FIRST, outstanding_amount NULLS FIRST, loan_id NULLS FIRST, as_of_date NULLS FIRST,
+      loan_purpose NULLS FIRST)"""
+
+MERGE_BY_SQL = """
+SELECT k.issuer_id, k.by_number,
+  f.fiscal_year AS financial_year, f.evic_eur, f.total_assets_eur, f.revenue_eur,
+  t.fiscal_year AS taxonomy_year, t.taxonomy_eligible_share, t.taxonomy_aligned_share,
+  f.n IS NOT NULL AS in_left, t.n IS NOT NULL AS in_right
+FROM (SELECT issuer_id, unnest(range(1, max(n) + 1)) AS by_number,
+        max(n) FILTER (side = 0) AS n_left, max(n) FILTER (side = 1) AS n_right
+      FROM (SELECT issuer_id, 0 AS side, count(*) AS n FROM s_company_financials GROUP BY issuer_id
+            UNION ALL SELECT issuer_id, 1, count(*) FROM s_taxonomy_data GROUP BY issuer_id) u
+      GROUP BY issuer_id) k
+LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY issuer_id ORDER BY fiscal_year NULLS FIRST) AS n FROM s_company_financials) f
+  ON f.issuer_id = k.issuer_id AND f.n = least(k.by_number, k.n_left)
+LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY issuer_id ORDER BY fiscal_year NULLS FIRST) AS n FROM s_taxonomy_data) t
+  ON t.issuer_id = k.issuer_id AND t.n = least(k.by_number, k.n_right)"""

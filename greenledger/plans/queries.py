@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from greenledger.operators.by_groups import by_flags, merge_by
 from greenledger.operators.emissions import VENDOR_ATTRS, open_projection
 from greenledger.operators.quality import DUPLICATE_KEY, detail, reject_counts
 from greenledger.plans import oracle
@@ -125,6 +126,8 @@ def queries() -> dict[str, Query]:
     out["coverage_gaps"] = _attr("coverage_table")
     out.update({name: _report(rid) for name, rid in REPORT_QUERIES.items()})
     out["step_metrics"] = lambda spark, sf_dir: _routed_book(spark, sf_dir).step_metrics()
+    out["by_group_flags"] = loan_flags
+    out["merge_by_issuer"] = merged_issuers
     out["audit_ingest"] = audit_ingest
     out["csv_roundtrip"] = csv_roundtrip
     out["csv_ingest"] = csv_ingest
@@ -136,6 +139,20 @@ def queries() -> dict[str, Query]:
     return out
 
 
+def loan_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean loans by borrower and currency, the smallest amount first: numbers, first. and last. of both."""
+    loans = driver_book(spark, sf_dir).silver("loans")
+    return by_flags(loans, ("borrower_issuer_id", "currency"), ("outstanding_amount", "loan_id"))
+
+
+def merged_issuers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Match-merge of issuers' financial years with their taxonomy years."""
+    book = driver_book(spark, sf_dir)
+    years = book.silver("company_financials").withColumnRenamed("fiscal_year", "financial_year")
+    shares = book.silver("taxonomy_data").withColumnRenamed("fiscal_year", "taxonomy_year")
+    return merge_by(years, shares, ("issuer_id",), ("financial_year",), ("taxonomy_year",))
+
+
 def audit_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze ingest of one delivered file with its audit columns (load time left out: it is the clock)."""
     return ingest_table(spark, f"{sf_dir.rstrip('/')}/customer.parquet", driver.AS_OF).drop("_ingested_at")
@@ -252,6 +269,8 @@ def oracle_sql() -> dict[str, str]:
     out["coverage_gaps"] = w("SELECT * FROM g_cov")
     out.update({name: w(oracle.REPORT_SQL[rid]) for name, rid in REPORT_QUERIES.items()})
     out["step_metrics"] = w(oracle.step_metrics_sql(list(CLEAN_QUERIES.values())))
+    out["by_group_flags"] = w(oracle.BY_FLAGS_SQL)
+    out["merge_by_issuer"] = w(oracle.MERGE_BY_SQL)
     out["audit_ingest"] = (
         f"SELECT *, 'customer.parquet' AS _source_file, 'batch-{driver.AS_OF}' AS _batch_id FROM customer"
     )
