@@ -318,10 +318,13 @@ class Book:
         return recon.reconcile(self.report(report_id), baseline, specs.RECON_SPECS[report_id])
 
     def recon_summary(
-        self, baselines: Mapping[str, DataFrame], expected_fail: tuple[str, ...] = SEEDED_DIFFERENCES
+        self,
+        baselines: Mapping[str, DataFrame],
+        expected_fail: tuple[str, ...] = SEEDED_DIFFERENCES,
+        skip_equal: bool = False,
     ) -> DataFrame:
         pairs = {rid: (self.report(rid), base) for rid, base in baselines.items()}
-        return recon.recon_summary(pairs, specs.RECON_SPECS, expected_fail)
+        return recon.recon_summary(pairs, specs.RECON_SPECS, expected_fail, skip_equal)
 
     def top_breaks(self, baselines: Mapping[str, DataFrame], n: int = 8) -> DataFrame:
         return recon.top_breaks([self.compared(rid, base) for rid, base in baselines.items()], n)

@@ -147,7 +147,7 @@ def run_batch(
                 if e.getCondition() != "PATH_NOT_FOUND":
                     raise
                 missing.append(recon.missing_baseline(rid, written_reports[rid], SEEDED_DIFFERENCES))
-        parts = [recon.recon_summary(pairs, specs.RECON_SPECS, SEEDED_DIFFERENCES)] if pairs else []
+        parts = [recon.recon_summary(pairs, specs.RECON_SPECS, SEEDED_DIFFERENCES, skip_equal=True)] if pairs else []
         summary = reduce(DataFrame.unionByName, parts + missing)
         store.write(summary, "gold", "recon_summary")
 
