@@ -1,5 +1,6 @@
 """Suffix-array dedup and decontamination against brute force on small and real tables."""
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -9,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from greenledger.llm import queries as q
-from greenledger.llm.decontaminate import contaminated
+from greenledger.llm.decontaminate import contaminated, missed
 from greenledger.llm.suffix_dedup import remove_passages, repeated_passages
 
 SF = "/root/testdata/sf0.001"
@@ -168,3 +169,31 @@ def test_leaks_with_changes(spark):
     assert contaminated(df, bench.limit(0)).count() == 0
     with pytest.raises(ValueError):
         contaminated(df, bench, threshold=0.5)
+
+
+def test_leaks_of_many_items_of_one_size(spark):
+    rng = random.Random(5)
+    frame = [f"q{i}" for i in range(12)]  # words that all items share
+    items = [(i, " ".join(frame + [f"v{rng.randrange(400)}" for _ in range(24)])) for i in range(60)]
+    items += [(100 + i, " ".join(rng.choice("ab") for _ in range(12))) for i in range(10)]
+    docs = []
+    for d, (_, t) in enumerate(items):
+        w = t.split()
+        w[rng.randrange(len(w))] = "changed"
+        docs.append((None if d % 3 else d, " ".join(["x"] * rng.randrange(9) + w + frame)))
+    docs += [(None, " ".join(rng.choice("ab") for _ in range(60))) for _ in range(10)]
+    docs += docs[:5]
+    far = (900, " ".join(f"y{i}" for i in range(200_000)) + " " + items[7][1])  # a very long text
+    df = spark.createDataFrame([*docs, far], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = {(900, 7): 1.0}
+    for n, (d, t) in enumerate(docs):
+        for (_, i), x in brute_leaks([(n, t)], items).items():
+            want[d, i] = max(x, want.get((d, i), 0))
+    rows = contaminated(df, bench).collect()
+    got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in rows}
+    assert got == want and len(rows) == len(got)
+
+
+def test_missed_share_of_the_default_radius():
+    assert missed(26, 3 / 16) < 2e-5 and missed(26, 0.162) < 1e-6  # shortest windows; all others
