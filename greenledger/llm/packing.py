@@ -129,7 +129,10 @@ def pack_documents(
     every executor. Other columns are ignored. ``forget`` ends a task's memory of words with the task,
     where other work shares the session's workers.
     """
-    cut = stored(pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col, keep_ids, forget), "pieces")
+    cut = pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col, keep_ids, forget)
+    columns = cut.columns
+    # Pieces are numbered as written, so that equal ones can be told apart and spread.
+    cut = stored(cut.withColumn("_gl_row", F.monotonically_increasing_id()), "pieces")
     counts = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # at most `capacity` rows
     plan = best_two_fit(counts, capacity)
     runs = {x: [] for x in counts}  # per length: rank from, first sequence, times in a bin, offset in the bin
@@ -158,11 +161,10 @@ def pack_documents(
             yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], [*columns, "sequence_id", "offset"])
 
     subs = max(1, cut.count() // SUB_ROWS)
-    spread = cut.withColumn("sub", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(subs)))
-    order = [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")]
-    ranked = gapless_index(spread, "length", "sub", order, "rank").select(*cut.columns, "rank")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema)
-    columns = cut.columns
+    spread = cut.withColumn("sub", F.pmod(F.xxhash64("_gl_row"), F.lit(subs)))
+    order = [F.col("doc_id"), F.col("piece"), F.col("_gl_row")]
+    ranked = gapless_index(spread, "length", "sub", order, "rank").select(*columns, "rank")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.select(*columns).schema)
     return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")
 
 

@@ -78,7 +78,8 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         F.coalesce(F.unhex(F.substring(F.sha2(text.cast("binary"), 256), 1, 32)), F.lit(b"")).alias("group_key"),
     )
-    rows = stored(rows, "shard-rows")
+    # Rows are numbered as written, so that rows of one id, or equal rows, can be told apart and spread.
+    rows = stored(rows.withColumn("_gl_row", F.monotonically_increasing_id()), "shard-rows")
     sized = rows.groupBy("group_key").agg(F.sum("size").alias("bytes"))
     n_rows = rows.count()
     subs = max(1, n_rows // SUB_ROWS)
@@ -99,10 +100,10 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "group_key", F.expr("size(filter(cuts, x -> x <= rank))").alias("shard")
     )
     assigned = stored(
-        rows.join(placed, "group_key").withColumn("sub", F.pmod(F.xxhash64("doc_id"), F.lit(subs))), "shard-assigned"
+        rows.join(placed, "group_key").withColumn("sub", F.pmod(F.xxhash64("_gl_row"), F.lit(subs))), "shard-assigned"
     )
-    order = [F.col("doc_id"), F.col("group_key")]
-    return gapless_index(assigned, "shard", "sub", order, "slot").drop("sub")
+    order = [F.col("doc_id"), F.col("group_key"), F.col("_gl_row")]
+    return gapless_index(assigned, "shard", "sub", order, "slot").drop("sub", "_gl_row")
 
 
 def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> None:
