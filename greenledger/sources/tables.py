@@ -12,6 +12,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -53,6 +54,20 @@ class TableStore:
         return path
 
 
+    def write_date(self, df: DataFrame, layer: str, table: str, as_of: str) -> None:
+        """Replace one date's partition of a table, also by no rows; the other dates are not touched.
+
+        The column ``as_of_date`` of ``df`` gives way to the partition's.
+        """
+        df.drop("as_of_date").write.mode("overwrite").parquet(f"{self.path(layer, table)}/as_of_date={as_of}")
+
+    def read_date(self, spark: SparkSession, layer: str, table: str, as_of: str) -> DataFrame:
+        """One date's partition, also one without rows, with its date."""
+        path = self.path(layer, table)
+        part = spark.read.parquet(f"{path}/as_of_date={as_of}")
+        return part.withColumn("as_of_date", F.lit(as_of).cast("date"))
+
+
 def write_report_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """Headered CSV, null as an empty field. ``single_file`` only for reports known to be small."""
     out = df.coalesce(1) if single_file else df
