@@ -69,4 +69,4 @@ def test_run_is_the_registered_query(spark):
 
     assert entry.queries()["pipeline"] is cp.run
     found = {n for n in entry.queries() if re.match(r"op\d+_", n)}
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in found} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in found} == set(range(1, 14))
