@@ -77,7 +77,8 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             settings = json.load(f)
         self.rule = _rule(settings)
-        self.added = [x["content"] for x in settings.get("added_tokens", [])]
+        added = [x["content"] for x in settings.get("added_tokens", []) if x["content"]]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.letters = _byte_letters()
         self.lately: dict[str, bytes] = {}
         self.often: dict[str, bytes] = {}
@@ -111,7 +112,7 @@ class Encoder:
     def _cut(self, unit: str) -> list[str]:
         """A unit as units that end where a pre-token must."""
         text = self._plain(unit)
-        if any(x in text for x in self.added) or " " in text[1:]:
+        if self.added.search(text) or " " in text[1:]:
             return [unit]
         # U+0130 is the one letter whose lower case ends in a mark
         if self.rule == "blank" and not text.isascii() and ("\u0130" in text or not unicodedata.is_normalized("NFC", text)):
@@ -151,19 +152,21 @@ class Encoder:
             else:
                 new[unit] = ids
         parts = [self._cut(x) for x in cut]
-        seen = lambda x: new.get(x) or self.often.get(x) or self.lately.get(x)
+        pieces: dict[str, bytes] = {}
         for unit in set().union(*parts):
-            if seen(unit) is None:
+            ids = new.get(unit) or self.often.get(unit) or self.lately.get(unit)
+            if ids is None:
                 ids = self._word(unit)
                 if ids is None:
                     hard.append(unit)
-                else:
-                    new[unit] = ids
+                    continue
+                new[unit] = ids
+            pieces[unit] = ids
         for at in range(0, len(hard), 20_000):
             some = hard[at : at + 20_000]
-            new.update(zip(some, self._ids([self._plain(x) for x in some]), strict=True))
-        for unit, pieces in zip(cut, parts, strict=True):
-            new[unit] = b"".join([seen(x) or b"" for x in pieces])
+            pieces.update(zip(some, self._ids([self._plain(x) for x in some]), strict=True))
+        new.update((x, pieces[x]) for x in hard)
+        new.update((unit, b"".join(map(pieces.__getitem__, x))) for unit, x in zip(cut, parts, strict=True))
         return new
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -174,22 +177,19 @@ class Encoder:
         get = self.often.get
         units = [self._units(x) for x in texts]
         found = [x and list(map(get, x)) for x in units]
+        holes = [[i for i, v in enumerate(ids) if v is None] if ids else [] for ids in found]
         missing: set[str] = set()
-        for x, ids in zip(units, found, strict=True):
-            if x and None in ids:
-                missing.update(u for u, v in zip(x, ids, strict=True) if v is None)
+        for x, places in zip(units, holes, strict=True):
+            missing.update([x[i] for i in places])
         again = missing.intersection(self.lately)
         new = self._learn(missing - again)
-        self.often.update((u, self.lately.pop(u)) for u in again)
-        out = []
-        for text, x, ids in zip(texts, units, found, strict=True):
-            if x is None:
-                out.append(self._ids([text])[0])
-            elif None in ids:
-                pairs = zip(x, ids, strict=True)
-                out.append(b"".join([(new[u] if u in new else get(u)) if v is None else v for u, v in pairs]))
-            else:
-                out.append(b"".join(ids))
+        back = {u: self.lately.pop(u) for u in again}
+        self.often.update(back)
+        new_ids = (new | back).__getitem__
+        for x, ids, places in zip(units, found, holes, strict=True):
+            for i in places:
+                ids[i] = new_ids(x[i])
+        out = [self._ids([t])[0] if ids is None else b"".join(ids) for t, ids in zip(texts, found, strict=True)]
         if len(self.lately) + len(new) > LATELY:
             self.lately = new
         else:

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from greenledger.llm.queries import tokenizer_path
 from greenledger.llm.token_files import EliasFano
-from greenledger.llm.tokens import encoder
+from greenledger.llm.tokens import Encoder, encoder
 
 #: What is special to the pre-tokenizers' patterns, normalizers and added tokens.
 SPECIAL = [
@@ -44,3 +44,22 @@ def test_elias_fano(values):
         assert again.slice(3, len(values) - 1).tolist() == values[3:-1]
     with pytest.raises(IndexError):
         again.select(len(values))
+
+
+def test_known_units_are_not_looked_up_piece_by_piece(monkeypatch):
+    """A unit that is learned is put together from ids that are looked up once; the memory is asked once a unit."""
+    enc = Encoder(tokenizer_path("byte_bpe_50k.json"))
+    asked = []
+
+    class Counting(dict):
+        def get(self, key, default=None):
+            asked.append(key)
+            return super().get(key, default)
+
+    enc.often, enc.lately = Counting(), Counting()
+    text = "one, two, one, three. two, one; one, " * 3
+    whole = enc._ids([text])[0]
+    assert enc.encode([text])[0] == whole
+    learning = [x for x in asked if x == ","] + [x for x in asked if x == "\0,"]
+    assert len(learning) <= 2  # often and lately, once each
+    assert enc.encode([text])[0] == whole
