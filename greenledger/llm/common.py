@@ -6,8 +6,11 @@ lost executor recomputes from the last written table and never from another mach
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +29,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return memory that this process has freed, but still holds, to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries do so by themselves
+    if trim:
+        trim(0)
+
+
+def giving_back(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` of a ``mapIn...``, whose tasks end by giving back what they have freed.
+
+    Workers outlive their tasks: what an idle one holds is missing to the JVM beside it.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint for a *stored* narrow table of at most ``max_rows`` rows; beyond that a shuffle join."""
     return F.broadcast(df) if df.count() <= max_rows else df

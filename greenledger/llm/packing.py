@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from greenledger.llm.common import gapless_index, stored
+from greenledger.llm.common import gapless_index, giving_back, stored
 from greenledger.llm.tokens import encoder, forget_encoders, in_batches
 
 #: Pieces, about, that share one (length, sub) group when ranks are made.
@@ -108,7 +108,7 @@ def pieces(
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * keep_ids
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return rows.mapInArrow(cut, schema)
+    return rows.mapInArrow(giving_back(cut), schema)
 
 
 def pack_documents(
@@ -165,7 +165,7 @@ def pack_documents(
     order = [F.col("doc_id"), F.col("piece"), F.col("_gl_row")]
     ranked = gapless_index(spread, "length", "sub", order, "rank").select(*columns, "rank")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.select(*columns).schema)
-    return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")
+    return ranked.mapInArrow(giving_back(place), f"{schema}, sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

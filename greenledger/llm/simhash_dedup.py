@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from greenledger.llm.common import connected_components, stored
+from greenledger.llm.common import connected_components, giving_back, stored
 
 #: Variants that one bucket holds, about; 10 bytes each.
 BUCKET_VARIANTS = 2_000_000
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        score, f"doc_id {kind}, fp long"
+        giving_back(score), f"doc_id {kind}, fp long"
     )
 
 
@@ -144,7 +144,7 @@ def link_fingerprints(distinct: DataFrame, radius: int) -> DataFrame:
         return pd.DataFrame({"a": pairs[:, 0].view(np.int64), "b": pairs[:, 1].view(np.int64)})
 
     spread = distinct.repartition(buckets, "fp")
-    dealt = spread.mapInPandas(emit, "bucket int, variant binary, which binary")
+    dealt = spread.mapInPandas(giving_back(emit), "bucket int, variant binary, which binary")
     return dealt.groupBy("bucket").applyInPandas(meet, "a long, b long")
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from greenledger.llm.common import stored
+from greenledger.llm.common import giving_back, stored
 
 PASSAGE, GRAM = 50, 14
 #: Bytes of a text that are hashed at a time, about.
@@ -184,7 +184,7 @@ def repeated_passages(
                 names=["d", "th", "n", "ks", "twice"],
             )
 
-    long_texts = texts.mapInArrow(scan, "d long, th binary, n long, ks array<long>, twice array<long>")
+    long_texts = texts.mapInArrow(giving_back(scan), "d long, th binary, n long, ks array<long>, twice array<long>")
     rows = stored(long_texts.where(F.col("n") >= passage), "suffixes")
 
     # One document of each text; the others are copies.
@@ -223,7 +223,7 @@ def repeated_passages(
                 )
 
     around = texts.join(wanted, ["d", "th"]).select("d", "text", "ks", F.xxhash64("th").alias("t"))
-    windows = stored(around.mapInArrow(extend, "d long, t long, p int, h long, again boolean"), "suffix-windows")
+    windows = stored(around.mapInArrow(giving_back(extend), "d long, t long, p int, h long, again boolean"), "suffix-windows")
     place = F.struct("d", "t")
     least = windows.groupBy("h").agg(F.min(place).alias("x"), F.max(place).alias("y"), F.max("again").alias("self"))
     least = least.where("x != y OR self").select("h", F.col("x.d").alias("first"), F.col("x.t").alias("a"))
@@ -252,7 +252,7 @@ def repeated_passages(
 
     per_doc = per_doc.select("d", "t", "dup", "hits")
     spans = per_doc.mapInArrow(
-        join_up, "d long, t long, duplicate boolean, start_word long, n_words long, first long"
+        giving_back(join_up), "d long, t long, duplicate boolean, start_word long, n_words long, first long"
     )
     named = lambda c: F.when(F.col(c) != _NULL_ID, F.col(c))
     return spans.unionByName(copies.distinct()).select(

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from greenledger.llm.common import stored
+from greenledger.llm.common import giving_back, stored
 
 #: Labelled rows that a model is fitted on at most, the lowest by a hash of their id.
 MAX_TOXIC, MAX_CLEAN = 2000, 4000
@@ -347,7 +347,7 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
                 clean = [x < 0.5 for x, _ in scorer.score(texts)]
                 yield batch.slice(at, len(texts)).filter(pa.array(clean))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(giving_back(keep), docs.schema)
 
 
 def toxic_spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -382,4 +382,4 @@ def toxic_spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string"))
-    return rows.mapInArrow(score, f"doc_id {kind}, score double, predicted int, spans array<struct<start:int,end:int>>")
+    return rows.mapInArrow(giving_back(score), f"doc_id {kind}, score double, predicted int, spans array<struct<start:int,end:int>>")
