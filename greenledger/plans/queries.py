@@ -23,7 +23,7 @@ from greenledger.plans.incremental import refresh_dates
 from greenledger.session import checkpoint_dir
 from greenledger.sources import driver
 from greenledger.sources.extracts import MALFORMED, ingest_delivery, ingest_table
-from greenledger.sources.tables import TableStore, materialize, read_report_csv, write_report_csv
+from greenledger.sources.tables import TableStore, materialize, materialize_all, read_report_csv, write_report_csv
 from greenledger.plans.pipeline import REPORT_IDS, SEEDED_DIFFERENCES
 from greenledger.plans.specs import RECON_SPECS, SOURCES
 
@@ -176,10 +176,13 @@ def deliver_csv(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
     without the last one; a third file has a line that is too long and one that is too short.
     """
     paths = {}
-    for name, extract in driver.landing_extracts(spark, sf_dir).items():
+    extracts = driver.landing_extracts(spark, sf_dir)
+    # joined and shuffled once for both layouts
+    written = materialize_all({name: extract.select(*SPECS[name].columns) for name, extract in extracts.items()})
+    for name, extract in written.items():
         spec = SPECS[name]
         paths[name] = f"{base}/{name}"
-        rows = extract.select(*spec.columns).withColumn("_hash", F.substring(F.md5(F.coalesce(spec.columns[0], F.lit(""))), 1, 4))
+        rows = extract.withColumn("_hash", F.substring(F.md5(F.coalesce(spec.columns[0], F.lit(""))), 1, 4))
         turned = F.conv("_hash", 16, 10).cast("int") % 2 == 1
         as_is = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
         rows.where(~turned).select(*spec.columns).write.options(**as_is).csv(f"{paths[name]}/plain")

@@ -9,6 +9,8 @@ part files (never collected to the driver).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Tables that are written at a time where they do not depend on each other.
+WRITERS = 4
 LAYERS = ("bronze", "silver", "gold", "restricted")
 
 
@@ -94,3 +98,13 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     path = f"{checkpoint_dir(spark).rstrip('/')}/greenledger/{uuid.uuid4().hex}/{name}"
     (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path) if partition_by else spark.read.parquet(path)
+
+
+def materialize_all(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """:func:`materialize` of frames that do not depend on each other, a few at a time.
+
+    The last tasks of one table and the many short jobs of a small one leave cores idle, which another table's
+    tasks use.
+    """
+    with ThreadPoolExecutor(WRITERS) as pool:
+        return dict(zip(frames, pool.map(lambda name: materialize(frames[name], name), frames), strict=True))
