@@ -228,7 +228,7 @@ def fact_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The open fact after a late correction: first computed without loans and with a rate missing, then refreshed."""
     store = TableStore(f"{checkpoint_dir(spark).rstrip('/')}/store-{uuid.uuid4().hex}")
     book = driver_book(spark, sf_dir)
-    silver = {name: materialize(book.silver(name), name) for name in book.clean_specs}
+    silver = materialize_all({name: book.silver(name) for name in book.clean_specs})
     late = {"loans": silver["loans"].limit(0), "fx_rates": silver["fx_rates"].where("currency <> 'USD'")}
     for tables in ({**silver, **late}, silver):
         refresh_dates(spark, tables, store, [driver.AS_OF], driver.LOAN_PORTFOLIO)
