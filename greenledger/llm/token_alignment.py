@@ -45,9 +45,7 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
 
-        self.a = Encoder(path_a)
-        self.a.tokenizer.encode_special_tokens = True  # special strings in a text are plain text
-        self.a.added = []
+        self.a = Encoder(path_a, plain=True)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         letters = {v: k for k, v in self.a.letters.items()}
         vocabulary = self.a.tokenizer.get_vocab(with_added_tokens=True)

@@ -66,9 +66,12 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers, without special tokens."""
+    """Ids of whole texts as little-endian unsigned 32-bit integers, without special tokens.
 
-    def __init__(self, path: str):
+    ``plain``: strings of special tokens inside texts are plain text.
+    """
+
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -77,7 +80,8 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             settings = json.load(f)
         self.rule = _rule(settings)
-        added = [x["content"] for x in settings.get("added_tokens", []) if x["content"]]
+        self.tokenizer.encode_special_tokens = plain
+        added = [x["content"] for x in settings.get("added_tokens", []) if x["content"] and not (plain and x["special"])]
         self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.letters = _byte_letters()
         self.lately: dict[str, bytes] = {}

@@ -63,3 +63,13 @@ def test_known_units_are_not_looked_up_piece_by_piece(monkeypatch):
     learning = [x for x in asked if x == ","] + [x for x in asked if x == "\0,"]
     assert len(learning) <= 2  # often and lately, once each
     assert enc.encode([text])[0] == whole
+
+
+def test_strings_of_special_tokens_as_plain_text():
+    enc = Encoder(tokenizer_path("byte_bpe_50k.json"), plain=True)
+    assert enc.tokenizer.encode_special_tokens
+    texts = ["a <|endoftext|>, b-c.", "x<|endoftext|>y", "<|endoftext|>", "one, two's"]
+    for text, got in zip(texts, enc.encode(texts), strict=True):
+        ids = np.frombuffer(got, "<u4").tolist()
+        assert ids == enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert enc.tokenizer.token_to_id("<|endoftext|>") not in ids
