@@ -28,12 +28,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from greenledger.llm.common import connected_components, giving_back, stored
+from greenledger.llm.common import connected_components, give_back, giving_back, stored
 
 #: Variants that one bucket holds, about; 10 bytes each.
-BUCKET_VARIANTS = 2_000_000
+BUCKET_VARIANTS = 1_000_000
 #: Fingerprints whose variants are made at a time.
-CHUNK = 4096
+CHUNK = 2048
 SEED = 42
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -104,13 +104,16 @@ def link_fingerprints(distinct: DataFrame, radius: int) -> DataFrame:
                 fps = every[at : at + CHUNK]
                 odd = fps[np.bitwise_count(fps) % 2 == 1] if len(far) else fps[:0]
                 variant = np.concatenate([(fps[:, None] ^ near).ravel(), (odd[:, None] ^ far).ravel()])
-                which = np.concatenate(
-                    [np.tile(np.arange(n_near), len(fps)), np.tile(np.arange(n_near, len(masks)), len(odd))]
-                ).astype("<u2")
-                bucket = ((variant * _MIX) >> np.uint64(32)) % np.uint64(buckets)
+                numbers = np.arange(len(masks), dtype="<u2")
+                which = np.concatenate([np.tile(numbers[:n_near], len(fps)), np.tile(numbers[n_near:], len(odd))])
+                bucket = variant * _MIX
+                bucket >>= np.uint64(32)
+                bucket %= np.uint64(buckets)
+                bucket = bucket.astype(np.uint32)
                 order = np.argsort(bucket, kind="stable")
-                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+                cuts = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))]).tolist()
                 variant, which = variant[order], which[order]
+                del bucket, order
                 rows = [
                     (i, variant[x:y].tobytes(), which[x:y].tobytes())
                     for i, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
@@ -119,14 +122,20 @@ def link_fingerprints(distinct: DataFrame, radius: int) -> DataFrame:
                 yield pd.DataFrame(rows, columns=["bucket", "variant", "which"])
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
+        found = shared_variants(group)
+        give_back()  # a worker keeps nothing of a bucket
+        return found
+
+    def shared_variants(group: pd.DataFrame) -> pd.DataFrame:
         variant = np.frombuffer(b"".join(group["variant"]), dtype="<u8")
         which = np.frombuffer(b"".join(group["which"]), dtype="<u2")
         order = np.argsort(variant)
         variant, which = variant[order], which[order]
-        new = np.r_[True, variant[1:] != variant[:-1]]
-        number = np.cumsum(new) - 1
-        shared = np.bincount(number)[number] > 1
-        variant, which, number = variant[shared], which[shared], number[shared]
+        del order
+        same = np.concatenate([[False], variant[1:] == variant[:-1], [False]])
+        shared = same[1:] | same[:-1]  # equal to the one before or the one after
+        number = np.cumsum(~same[:-1][shared]) - 1
+        variant, which = variant[shared], which[shared]
         if not len(variant):
             return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
         fp = variant ^ masks[which]
