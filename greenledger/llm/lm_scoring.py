@@ -38,8 +38,10 @@ KNOWN, WORD_BYTES, PREDICTED = 100_000, 64, 1_007
 DIM, ORDER, NOISE, BATCH, RATE = 24, 2, 64, 1024, 0.1
 #: Documents are dealt to PARTS by a hash; the first round learns from FIRST of them, the second from the others.
 PARTS, FIRST = 4, 1
-#: Distinct words that a task counts before it hands them on; bytes of text cut into words, and tokens scored, at a time.
-HELD_WORDS, SLICE, SCORED = 400_000, 1 << 20, 400_000
+#: Distinct words that a task counts before it hands them on; bytes of text cut into words, and tokens learnt from, at a time.
+HELD_WORDS, SLICE, LEARNT = 400_000, 1 << 20, 400_000
+#: Tokens scored at a time, about 100 bytes each: the more there are, the more of them share a context.
+SCORED = 1_200_000
 #: Contexts that are multiplied at a time.
 CONTEXTS = 1024
 #: Averaged parameters are summed as integers of this scale.
@@ -247,12 +249,15 @@ class LanguageModel:
 
     def _summed(self, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
         """Sums of the vectors of equal rows."""
-        at = (rows[:, None] * DIM + np.arange(DIM, dtype=np.int32)).ravel()
+        at = np.add.outer(rows.astype(np.int64) * DIM, np.arange(DIM)).ravel()
         return np.bincount(at, weights=values.ravel(), minlength=self.units * DIM).reshape(-1, DIM).astype(np.float32)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(np.clip(-x, -30, 30)))
+    out = np.clip(np.negative(x), -30, 30)
+    np.exp(out, out=out)
+    out += 1
+    return np.divide(1, out, out=out)
 
 
 def _unit_stream(model: LanguageModel, batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -268,7 +273,7 @@ def _unit_stream(model: LanguageModel, batches: Iterator[pa.RecordBatch]) -> Ite
             parts.append(np.zeros(1, np.int32))
             held.append(np.concatenate(parts))
             size += len(held[-1])
-            if size >= SCORED:
+            if size >= LEARNT:
                 yield held
                 held, size = [], 0
     if held:

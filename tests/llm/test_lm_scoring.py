@@ -142,3 +142,27 @@ def test_nothing_to_learn_from(spark):
     (got,) = m.score_documents(docs, F.lit(False)).collect()
     assert (got.n_tokens, got.n_known, got.train_tokens, got.held_out, got.base_score) == (3, 0, 0, True, 0.0)
     assert m.score_documents(docs.limit(0)).count() == 0
+
+
+def test_documents_share_contexts_when_scored(monkeypatch):
+    """Contexts are multiplied once for all documents of a turn, which holds more tokens than one of learning."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    words = [b"", *(f"w{i}".encode() for i in range(60))]
+    model = m.LanguageModel.start(words, [5] * 61, [m.shape(x) for x in words], np.zeros((8, 2), np.int64), 40)
+    texts = [b" ".join(words[i] for i in rng.integers(1, 61, 10_000)) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    turns, log_probs = [], m.LanguageModel.log_probs
+    monkeypatch.setattr(m.LanguageModel, "log_probs", lambda self, u, b: turns.append(len(u)) or log_probs(self, u, b))
+
+    class Shared:
+        value = model
+
+    def scores():
+        return np.concatenate([x["score"].to_numpy() for x in m._scored(Shared)(iter([batch]))])
+
+    whole = scores()
+    assert turns == [600_060]
+    monkeypatch.setattr(m, "SCORED", 50_000)
+    assert np.allclose(scores(), whole, rtol=1e-6) and len(turns) > 10
