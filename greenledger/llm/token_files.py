@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from greenledger.llm.common import scratch, stored
-from greenledger.llm.tokens import encoder, in_batches
+from greenledger.llm.tokens import ROOMY, encoder, in_batches
 
 MAGIC = b"EFTOKEN1"
 SAMPLE = 256
@@ -204,7 +204,7 @@ def write_token_files(
             names = batch.column(0).to_pylist()
             for at, texts in in_batches(batch.column(1).to_pylist()):
                 out = out or _Writer(folder, width)
-                for doc_id, ids in zip(names[at:], encoder(tokenizer_path).encode(texts), strict=False):
+                for doc_id, ids in zip(names[at:], encoder(tokenizer_path, ROOMY).encode(texts), strict=False):
                     out.add(doc_id, np.frombuffer(ids + end, "<u4"))
         if out:
             yield pa.RecordBatch.from_pylist([out.close() | {"part": part}])

@@ -22,6 +22,8 @@ import numpy as np
 
 #: Units that a worker remembers: those met in one batch only, and those met again. Beyond that each starts afresh.
 LATELY, OFTEN = 150_000, 300_000
+#: The same where nothing else needs the worker's memory; about 150 bytes a unit.
+ROOMY = (450_000, 450_000)
 #: Characters of text, about, that are encoded at a time.
 BATCH_CHARS = 1_500_000
 _ODD_SPACE = re.compile(r" (?=\s)|\x00")
@@ -68,10 +70,10 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers, without special tokens.
 
-    ``plain``: strings of special tokens inside texts are plain text.
+    ``plain``: strings of special tokens inside texts are plain text. ``remembered``: units held, as LATELY and OFTEN.
     """
 
-    def __init__(self, path: str, plain: bool = False):
+    def __init__(self, path: str, plain: bool = False, remembered: tuple[int, int] = (LATELY, OFTEN)):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -84,6 +86,7 @@ class Encoder:
         added = [x["content"] for x in settings.get("added_tokens", []) if x["content"] and not (plain and x["special"])]
         self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.letters = _byte_letters()
+        self.most_lately, self.most_often = remembered
         self.lately: dict[str, bytes] = {}
         self.often: dict[str, bytes] = {}
 
@@ -118,6 +121,9 @@ class Encoder:
         text = self._plain(unit)
         if self.added.search(text) or " " in text[1:]:
             return [unit]
+        # what Python's tables do not know yet may be a letter to the library
+        if not text.isascii() and "Cn" in map(unicodedata.category, text):
+            return [unit]
         # U+0130 is the one letter whose lower case ends in a mark
         if self.rule == "blank" and not text.isascii() and ("\u0130" in text or not unicodedata.is_normalized("NFC", text)):
             return [unit]
@@ -176,7 +182,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.rule == "whole":
             return self._ids(texts)
-        if len(self.often) > OFTEN:
+        if len(self.often) > self.most_often:
             self.often.clear()
         get = self.often.get
         units = [self._units(x) for x in texts]
@@ -194,7 +200,7 @@ class Encoder:
             for i in places:
                 ids[i] = new_ids(x[i])
         out = [self._ids([t])[0] if ids is None else b"".join(ids) for t, ids in zip(texts, found, strict=True)]
-        if len(self.lately) + len(new) > LATELY:
+        if len(self.lately) + len(new) > self.most_lately:
             self.lately = new
         else:
             self.lately.update(new)
@@ -202,9 +208,9 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: tuple[int, int] = (LATELY, OFTEN)) -> Encoder:
     """One encoder per worker and tokenizer file."""
-    return Encoder(path)
+    return Encoder(path, remembered=remembered)
 
 
 def forget_encoders() -> None:

@@ -73,3 +73,28 @@ def test_strings_of_special_tokens_as_plain_text():
         ids = np.frombuffer(got, "<u4").tolist()
         assert ids == enc.tokenizer.encode(text, add_special_tokens=False).ids
         assert enc.tokenizer.token_to_id("<|endoftext|>") not in ids
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_letters_that_are_newer_than_python(name):
+    enc = Encoder(tokenizer_path(name))
+    texts = ["a\U00013460", "x a\U00013460b, c", "word\U0001CCF0 y"]  # unassigned, or assigned only lately
+    for text, got in zip(texts, enc.encode(texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_token_files_remember_more_units():
+    """Units that a worker meets again after as many others as it held before are not learned twice."""
+    import inspect
+
+    from greenledger.llm import token_files, tokens
+
+    assert "encoder(tokenizer_path, ROOMY)" in inspect.getsource(token_files.write_token_files)
+    learned = []
+    enc = Encoder(tokenizer_path("byte_bpe_50k.json"), remembered=tokens.ROOMY)
+    enc._learn = lambda units: learned.append(len(units)) or dict.fromkeys(units, b"1234")
+    words = [f"w{i}" for i in range(tokens.LATELY + 20_000)]
+    for at in range(0, len(words), 10_000):
+        enc.encode(["x " + " ".join(words[at : at + 10_000])])
+    enc.encode(["x " + " ".join(words[:10_000])])
+    assert learned[-1] == 0
