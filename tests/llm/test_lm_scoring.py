@@ -159,6 +159,17 @@ def test_documents_share_contexts_when_scored(monkeypatch):
     class Shared:
         value = model
 
+    class Task:
+        @staticmethod
+        def get():
+            return Task
+
+        @staticmethod
+        def partitionId():
+            return 0
+
+    monkeypatch.setattr(m, "TaskContext", Task)
+
     def scores():
         return np.concatenate([x["score"].to_numpy() for x in m._scored(Shared)(iter([batch]))])
 
