@@ -4,9 +4,11 @@ Byte-pair encoding works pre-token by pre-token, so a text can be cut wherever a
 each different unit is encoded once by the library, and the ids of equal units are reused. Cuts depend
 on the tokenizer's own settings (:func:`_rule`); a tokenizer with other settings gets whole texts.
 
-Units are cut at spaces first; a unit that is not known yet is cut further, after a word before
-punctuation, and pieces that are one word go to the library's BPE model itself, without the
-pre-tokenizer's regular expressions and offsets.
+Units are cut at spaces first, by Arrow, which also numbers the different ones of a batch; only these are
+looked up, and a text's ids are gathered by the numbers of its units. A unit that is not known yet is cut
+further, after a word before punctuation, and pieces that are one word go, many at a time, to a tokenizer of
+the library that has the same BPE model and splits at white space only, without the settings' regular
+expressions and offsets.
 """
 
 from __future__ import annotations
@@ -15,22 +17,29 @@ import functools
 import json
 import os
 import re
-import struct
 import unicodedata
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Units that a worker remembers: those met in one batch only, and those met again. Beyond that each starts afresh.
 LATELY, OFTEN = 150_000, 300_000
 #: The same where nothing else needs the worker's memory; about 150 bytes a unit.
 ROOMY = (450_000, 450_000)
+#: New words that the model gets at a time.
+WORDS = 20_000
 #: Characters of text, about, that are encoded at a time.
-BATCH_CHARS = 1_500_000
+BATCH_CHARS = 4_000_000
 _ODD_SPACE = re.compile(r" (?=\s)|\x00")
 _BEFORE_WORD = re.compile(r"(?= [^\W_])")
 #: After a letter (or other non-digit of a word) before what is no word character; after a lone line end before a word.
 _PIECES = re.compile(r"(?<=[^\W\d_])(?=\W)|(?<=\S\n)(?=\w)")
 
+#: ASCII that is in no word, but for the space.
+_POINTS = pa.array([chr(c) for c in range(1, 128) if not chr(c).isalnum() and chr(c) not in "_ "], pa.large_string())
+
 
 def _rule(settings: dict) -> str:
     """How texts may be cut.
@@ -67,6 +76,14 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(moved)}
 
 
+def _gathered(values: np.ndarray, size: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``values`` (``size`` of each, one after the other) by their numbers, and where each ends."""
+    n = size[numbers]
+    ends = np.cumsum(n)
+    shift = (np.cumsum(size) - size)[numbers] - (ends - n)
+    return values[np.repeat(shift, n) + np.arange(n.sum())], ends
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers, without special tokens.
 
@@ -76,6 +93,7 @@ class Encoder:
     def __init__(self, path: str, plain: bool = False, remembered: tuple[int, int] = (LATELY, OFTEN)):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
@@ -85,7 +103,18 @@ class Encoder:
         self.tokenizer.encode_special_tokens = plain
         added = [x["content"] for x in settings.get("added_tokens", []) if x["content"] and not (plain and x["special"])]
         self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        # a string that goes on from a letter to a point at its end
+        self.joined = any(re.search(r"[^\W\d_]\W$", x) for x in added)
         self.letters = _byte_letters()
+        # the model alone: words in the byte-level alphabet, white space between them
+        self.bare = Tokenizer(self.model)
+        self.bare.pre_tokenizer = WhitespaceSplit()
+        self.tiles = not settings["model"].get("unk_token")
+        suffix = settings["model"].get("end_of_word_suffix") or ""
+        vocabulary = self.bare.get_vocab()
+        self.spelled = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for entry, i in vocabulary.items():
+            self.spelled[i] = len(entry.removesuffix(suffix))
         self.most_lately, self.most_often = remembered
         self.lately: dict[str, bytes] = {}
         self.often: dict[str, bytes] = {}
@@ -132,8 +161,8 @@ class Encoder:
             return parts
         return [x[1:] if x[:1] == " " else "\0" + x for x in parts]
 
-    def _word(self, unit: str) -> bytes | None:
-        """Ids of a unit that is a single word for the pre-tokenizer, from the BPE model alone."""
+    def _spelled(self, unit: str) -> str | None:
+        """A unit that is a single word for the pre-tokenizer, in the byte-level alphabet."""
         space = self.rule == "space"
         bare = space and unit[:1] == "\0"
         word = unit[1:] if bare else unit
@@ -147,63 +176,135 @@ class Encoder:
                 if not word.isalpha():
                     return None
             spelled = word.encode().decode("latin-1").translate(self.letters)
-        if space and not bare:
-            spelled = "\u0120" + spelled  # the byte of a space
-        ids = [x.id for x in self.model.tokenize(spelled)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return "\u0120" + spelled if space and not bare else spelled  # the byte of a space
 
-    def _learn(self, units: set[str]) -> dict[str, bytes]:
+    def _words(self, spelled: list[str]) -> list[bytes]:
+        """Ids of words in the byte-level alphabet, from the BPE model alone."""
+        out: list[bytes] = []
+        for at in range(0, len(spelled), WORDS):
+            some = spelled[at : at + WORDS]
+            ids = np.array(self.bare.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            # the tokens of a word tile it
+            reach = np.cumsum(self.spelled[ids])
+            ends = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
+            last = np.searchsorted(reach, ends)
+            if self.tiles and len(reach) and reach[-1] == ends[-1] and (reach[last] == ends).all():
+                raw, cuts = ids.tobytes(), (4 * (last + 1)).tolist()
+                out.extend([raw[i:j] for i, j in zip([0, *cuts], cuts, strict=False)])
+            else:
+                out.extend(np.array([x.id for x in self.model.tokenize(w)], "<u4").tobytes() for w in some)
+        return out
+
+    def _learn(self, units: list[str]) -> dict[str, bytes]:
         """Ids of new units."""
-        new, cut, hard = {}, [], []
+        words, cut = {}, []
         for unit in units:
-            ids = self._word(unit)
-            if ids is None:
+            spelled = self._spelled(unit)
+            if spelled is None:
                 cut.append(unit)
             else:
-                new[unit] = ids
+                words[unit] = spelled
         parts = [self._cut(x) for x in cut]
+        hard = [x for x, p in zip(cut, parts, strict=True) if len(p) == 1]
         pieces: dict[str, bytes] = {}
-        for unit in set().union(*parts):
-            ids = new.get(unit) or self.often.get(unit) or self.lately.get(unit)
-            if ids is None:
-                ids = self._word(unit)
-                if ids is None:
-                    hard.append(unit)
-                    continue
-                new[unit] = ids
-            pieces[unit] = ids
-        for at in range(0, len(hard), 20_000):
-            some = hard[at : at + 20_000]
-            pieces.update(zip(some, self._ids([self._plain(x) for x in some]), strict=True))
-        new.update((x, pieces[x]) for x in hard)
+        for unit in set(chain.from_iterable(parts)).difference(words, hard):
+            ids = self.often.get(unit) or self.lately.get(unit)
+            if ids is not None:
+                pieces[unit] = ids
+            elif (spelled := self._spelled(unit)) is None:
+                hard.append(unit)
+            else:
+                words[unit] = spelled
+        new = dict(zip(words, self._words(list(words.values())), strict=True))
+        for at in range(0, len(hard), WORDS):
+            some = hard[at : at + WORDS]
+            new.update(zip(some, self._ids([self._plain(x) for x in some]), strict=True))
+        pieces |= new
         new.update((unit, b"".join(map(pieces.__getitem__, x))) for unit, x in zip(cut, parts, strict=True))
         return new
 
+    def _numbered(self, texts: list[str]) -> tuple[pa.Array, np.ndarray, list[int], np.ndarray, list[int]]:
+        """The different units of texts; their numbers, text after text; which texts, the units of each; texts that are encoded whole."""
+        whole: list[int] = []
+        if self.rule == "blank":
+            easy, odd = list(range(len(texts))), []
+            ready = [x.replace("\n", " ") for x in texts]
+        else:
+            easy, odd = [], []
+            for i, x in enumerate(texts):
+                (odd if _ODD_SPACE.search(x) else easy).append(i)
+            ready = ["\0" + texts[i] for i in easy]
+        lists = pc.split_pattern(pa.array(ready, pa.large_string()), " ")
+        counts = [np.diff(lists.offsets.to_numpy())]
+        values = [lists.flatten()]
+        for i in odd:
+            units = self._units(texts[i])
+            if units is None:
+                whole.append(i)
+            else:
+                easy.append(i)
+                values.append(pa.array(units, pa.large_string()))
+                counts.append(np.array([len(units)]))
+        found = pa.concat_arrays(values).dictionary_encode()
+        return found.dictionary, found.indices.to_numpy(), easy, np.concatenate(counts), whole
+
+    def _ends_word(self, letter: str) -> bool:
+        """Whether a pre-token ends between this character and what is no word character in ASCII."""
+        # U+0130 is the one letter whose lower case ends in a mark
+        return letter.isalpha() and (self.rule == "space" or (letter != "\u0130" and unicodedata.is_normalized("NFC", letter)))
+
+    def _pointed(self, units: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Different pieces of units, the numbers of each unit's pieces, and whether it has two: a point after a letter is one of its own."""
+        last = pc.utf8_slice_codeunits(units, -1)
+        before = pc.utf8_slice_codeunits(units, -2, -1).dictionary_encode()
+        letters = np.array([self._ends_word(x) for x in before.dictionary.to_pylist()], bool)
+        two = letters[before.indices.to_numpy()] & pc.is_in(last, _POINTS).to_numpy(zero_copy_only=False)
+        if self.joined:
+            two[:] = False
+        mask = pa.array(two)
+        points = last.filter(mask)
+        if self.rule == "space":
+            points = pc.binary_join_element_wise(pa.scalar("\0", pa.large_string()), points, pa.scalar("", pa.large_string()))
+        heads = pc.if_else(mask, pc.utf8_slice_codeunits(units, 0, -1), units)
+        found = pa.concat_arrays([heads, points]).dictionary_encode()
+        numbers = found.indices.to_numpy()
+        at = np.arange(len(two)) + np.cumsum(two) - two
+        pieces = np.empty(len(numbers), numbers.dtype)
+        pieces[at], pieces[at[two] + 1] = numbers[: len(two)], numbers[len(two) :]
+        return found.dictionary, pieces, two
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.rule == "whole":
             return self._ids(texts)
         if len(self.often) > self.most_often:
             self.often.clear()
-        get = self.often.get
-        units = [self._units(x) for x in texts]
-        found = [x and list(map(get, x)) for x in units]
-        holes = [[i for i, v in enumerate(ids) if v is None] if ids else [] for ids in found]
-        missing: set[str] = set()
-        for x, places in zip(units, holes, strict=True):
-            missing.update([x[i] for i in places])
-        again = missing.intersection(self.lately)
-        new = self._learn(missing - again)
-        back = {u: self.lately.pop(u) for u in again}
+        units, numbers, order, counts, whole = self._numbered(texts)
+        names, pieces, two = self._pointed(units)
+        names = names.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.often.get, names))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        back = {u: self.lately.pop(u) for u in [names[i] for i in missing] if u in self.lately}
         self.often.update(back)
-        new_ids = (new | back).__getitem__
-        for x, ids, places in zip(units, found, holes, strict=True):
-            for i in places:
-                ids[i] = new_ids(x[i])
-        out = [self._ids([t])[0] if ids is None else b"".join(ids) for t, ids in zip(texts, found, strict=True)]
+        new = self._learn([names[i] for i in missing if names[i] not in back])
+        for i in missing:
+            ids = back.get(names[i])
+            found[i] = new[names[i]] if ids is None else ids
         if len(self.lately) + len(new) > self.most_lately:
             self.lately = new
         else:
             self.lately.update(new)
+        # ids of the different units, and of all texts
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        every, ends = _gathered(np.frombuffer(b"".join(found), "<u4"), size, pieces)
+        size = np.diff(np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(1 + two)))])
+        every, ends = _gathered(every, size, numbers)
+        raw = every.tobytes()
+        cuts = 4 * np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
+        out = [b""] * len(texts)
+        for i, start, end in zip(order, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            out[i] = raw[start:end]
+        for i in whole:
+            out[i] = self._ids([texts[i]])[0]
         return out
 
 

@@ -98,3 +98,27 @@ def test_token_files_remember_more_units():
         enc.encode(["x " + " ".join(words[at : at + 10_000])])
     enc.encode(["x " + " ".join(words[:10_000])])
     assert learned[-1] == 0
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_are_learned_together_and_without_the_point_after_them(name, monkeypatch):
+    """A word with a point after it is not a unit of its own, and new words reach the model in one call."""
+    enc = Encoder(tokenizer_path(name))
+    learned, calls = [], []
+    learn, words = enc._learn, enc._words
+    monkeypatch.setattr(enc, "_learn", lambda units: learned.extend(units) or learn(units))
+    monkeypatch.setattr(enc, "_words", lambda spelled: calls.append(len(spelled)) or words(spelled))
+    texts = ["one, two. one; wörd! two? wörd: (three)", "", "two, one  wörd,\n\nthree.\n"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)]
+    assert got == [enc.tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+    assert not {"one,", "two.", "one;", "wörd!", "two?", "wörd:"} & {x.lstrip("\0") for x in learned}
+    assert len(calls) == 1
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_points_after_letters_that_normalize_to_marks(name):
+    enc = Encoder(tokenizer_path(name))
+    letters = ["יִ", "İ", "é", "K", "하", "²", "Ⅷ", "ﬁ", "ǅ", "_", "7"]
+    texts = [f"a{x}{p} {x}{p}" for x in letters for p in ",.\n'-\x1c"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)]
+    assert got == [enc.tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
