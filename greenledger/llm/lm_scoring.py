@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ DIM, ORDER, NOISE, BATCH, RATE = 24, 2, 64, 1024, 0.1
 PARTS, FIRST = 4, 1
 #: Distinct words that a task counts before it hands them on; bytes of text cut into words, and tokens learnt from, at a time.
 HELD_WORDS, SLICE, LEARNT = 400_000, 1 << 20, 400_000
+#: Bytes of slices, about, whose words are numbered together: each different word is looked up once.
+NUMBERED = 4_000_000
 #: Tokens scored at a time, about 100 bytes each: the more there are, the more of them share a context.
 SCORED = 1_200_000
 #: Contexts that are multiplied at a time.
@@ -53,39 +56,90 @@ _SHAPES = 8
 END = b""
 
 
-def word_slices(text: bytes) -> Iterator[list[bytes]]:
-    """The words of a text in lower case (A-Z only), slice by slice; a slice ends between words."""
+def folded_slices(text: bytes) -> Iterator[bytes]:
+    """A text in lower case (A-Z only) with a space for any white space, slice by slice; a slice ends between words."""
     at = 0
     while at < len(text):
         end = at + SLICE
         while end < len(text) and text[end] != 0x20 and not 0x09 <= text[end] <= 0x0D:
             end += 1
-        yield text[at:end].translate(_FOLD).split()
+        yield text[at:end].translate(_FOLD)
         at = end
 
 
+def word_slices(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, slice by slice."""
+    return (part.split() for part in folded_slices(text))
+
+
+@dataclass
+class Numbered:
+    """The words of some slices: the different ones, their numbers in order, and the (text, slice is its last, from, to) of each slice."""
+
+    words: pa.Array
+    numbers: np.ndarray
+    slices: list[tuple[int, bool, int, int]]
+
+
+def numbered(texts: list[bytes]) -> Iterator[Numbered]:
+    """The words of texts, slices of about NUMBERED bytes at a time; every text has a slice that is its last."""
+    held, owners, size = [], [], 0
+
+    def number() -> Numbered:
+        lists = pc.split_pattern(pa.array(held, pa.large_binary()), " ")
+        found = lists.flatten().dictionary_encode()
+        numbers = found.indices.to_numpy()
+        # nothing between two spaces is no word
+        some = pc.greater(pc.binary_length(found.dictionary), 0).to_numpy(zero_copy_only=False)[numbers]
+        ends = np.concatenate(([0], np.cumsum(some)))[lists.offsets.to_numpy()].tolist()
+        slices = [(i, last, x, y) for (i, last), x, y in zip(owners, ends, ends[1:], strict=False)]
+        return Numbered(found.dictionary, numbers[some], slices)
+
+    for i, text in enumerate(texts):
+        for part in folded_slices(text):
+            held.append(part), owners.append((i, False))
+            size += len(part)
+            if size >= NUMBERED:
+                yield number()
+                held, owners, size = [], [], 0
+        if owners and owners[-1][0] == i:
+            owners[-1] = (i, True)
+        else:
+            held.append(b""), owners.append((i, True))
+    if held:
+        yield number()
+
+
 def shape(word: bytes) -> int:
     return 4 * (not word.isascii()) + 2 * (word[-1:] != b"" and word[-1] in _POINTS) + (len(word) > 6)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(word, shape, n)`` of a task, combined."""
-    count: Counter = Counter()
+    held, rows, ends = [], 0, 0
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        words = list(count)
-        columns = [pa.array(words, pa.binary()), pa.array([shape(x) for x in words], pa.int32()), pa.array(list(count.values()), pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["word", "shape", "n"])
-        count.clear()
+    def combined() -> pa.Table:
+        return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+
+    def flush(table: pa.Table) -> pa.RecordBatch:
+        words = table["word"].to_numpy().tolist()
+        columns = [pa.array(words, pa.binary()), pa.array([shape(x) for x in words], pa.int32()), pa.array(table["n_sum"].to_numpy(), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["word", "shape", "n"])
 
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            for words in word_slices(text):
-                count.update(words)
-                if len(count) > HELD_WORDS:
-                    yield from flush()
-        count[END] += len(batch)
-    yield from flush()
+        for some in numbered(batch.column(0).to_pylist()):
+            times = np.bincount(some.numbers, minlength=len(some.words)).astype(np.int64)
+            held.append(pa.table({"word": some.words, "n": times}))
+            rows += len(times)
+            if rows > HELD_WORDS:
+                whole = combined()
+                held, rows = [whole.rename_columns({"n_sum": "n"})], len(whole)
+                if rows > HELD_WORDS:
+                    yield flush(whole)
+                    held, rows = [], 0
+        ends += len(batch)
+    held.append(pa.table({"word": pa.array([END], pa.large_binary()), "n": [ends]}))
+    yield flush(combined())
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -100,12 +154,14 @@ class _Known(dict):
 
     def __init__(self, words: list[bytes]):
         super().__init__(zip(words, range(len(words)), strict=True))
-        self.size, self.missed = len(words), []
+        self.size = len(words)
 
     def __missing__(self, word: bytes) -> int:
-        self.missed.append(word)
         return self.size + shape(word)
 
+    def codes(self, words: pa.Array) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words.to_numpy(zero_copy_only=False)), np.int32, len(words))
+
 
 @dataclass
 class LanguageModel:
@@ -263,19 +319,20 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def _unit_stream(model: LanguageModel, batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """Units of the documents, whole documents at a time, or slices of a long one."""
     known, unit_of = _Known(model.words), model.unit_of()
-    held, size = [], 0
+    held, parts, size = [], [], 0
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            parts = []
-            for words in word_slices(text):
-                parts.append(unit_of[np.fromiter(map(known.__getitem__, words), np.int32, len(words))])
-                known.missed.clear()
-            parts.append(np.zeros(1, np.int32))
-            held.append(np.concatenate(parts))
-            size += len(held[-1])
-            if size >= LEARNT:
-                yield held
-                held, size = [], 0
+        for some in numbered(batch.column(0).to_pylist()):
+            units = unit_of[known.codes(some.words)][some.numbers]
+            for _, last, start, end in some.slices:
+                parts.append(units[start:end])
+                if not last:
+                    continue
+                held.append(np.concatenate([*parts, np.zeros(1, np.int32)]))
+                parts = []
+                size += len(held[-1])
+                if size >= LEARNT:
+                    yield held
+                    held, size = [], 0
     if held:
         yield held
 
@@ -359,22 +416,27 @@ def _scored(shared):
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _SCORED.split(", ")])
 
-        size = 0
+        size, parts, tail = 0, [], Counter()
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                parts, tail = [], Counter()
-                for words in word_slices(text):
-                    parts.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
-                    tail.update(known.missed)
-                    known.missed.clear()
-                codes = np.concatenate([*parts, np.zeros(1, np.int32)])
-                held.append((doc_id, codes, tail))
-                size += len(codes)
-                if size >= SCORED:
-                    yield from flush()
-                    row += len(held)
-                    held.clear()
-                    size = 0
+            names = batch.column(0).to_pylist()
+            for some in numbered(batch.column(1).to_pylist()):
+                codes = known.codes(some.words)[some.numbers]
+                missed = np.flatnonzero(codes >= known.size)
+                cuts = np.searchsorted(missed, [x for _, _, *span in some.slices for x in span]).tolist()
+                missed = some.words.take(pa.array(some.numbers[missed])).to_numpy(zero_copy_only=False).tolist()
+                for k, (i, last, start, end) in enumerate(some.slices):
+                    parts.append(codes[start:end])
+                    tail.update(missed[cuts[2 * k] : cuts[2 * k + 1]])
+                    if not last:
+                        continue
+                    held.append((names[i], np.concatenate([*parts, np.zeros(1, np.int32)]), tail))
+                    parts, tail = [], Counter()
+                    size += len(held[-1][1])
+                    if size >= SCORED:
+                        yield from flush()
+                        row += len(held)
+                        held.clear()
+                        size = 0
         if held:
             yield from flush()
 

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from greenledger.llm import lm_scoring as m
@@ -177,3 +178,41 @@ def test_documents_share_contexts_when_scored(monkeypatch):
     assert turns == [600_060]
     monkeypatch.setattr(m, "SCORED", 50_000)
     assert np.allclose(scores(), whole, rtol=1e-6) and len(turns) > 10
+
+
+def test_words_are_looked_up_once_a_batch(monkeypatch):
+    """Words are numbered before they are looked up, slice by slice; long texts and empty ones keep their words."""
+    rng = np.random.default_rng(3)
+    texts = [b"", b" \t ", b"A b  a\x0bB\n", "Ж Я".encode() * 3, b" ".join(rng.choice([b"a", b"bB", b"c\n"], 2_000)), b"z" * 300, b"x "]
+    monkeypatch.setattr(m, "SLICE", 64)
+    monkeypatch.setattr(m, "NUMBERED", 500)
+    monkeypatch.setattr(m, "HELD_WORDS", 5)
+    got, groups = [[]], list(m.numbered(texts))
+    for some in groups:
+        words = some.words.to_pylist()
+        for i, last, start, end in some.slices:
+            assert i == len(got) - 1
+            got[-1].extend(words[k] for k in some.numbers[start:end])
+            if last:
+                got.append([])
+    want = [x.translate(m._FOLD).split() for x in texts]
+    assert got == [*want, []] and len(groups) > 3
+    counts = Counter()
+    for batch in m._counted(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"])])):
+        for row in batch.to_pylist():
+            assert row["shape"] == m.shape(row["word"])
+            counts[row["word"]] += row["n"]
+    assert +counts == Counter(w for x in want for w in [*x, m.END])
+
+    class Asked(m._Known):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    monkeypatch.setattr(m, "_Known", Asked)
+    monkeypatch.setattr(m, "NUMBERED", 1 << 20)
+    asked: list[bytes] = []
+    model = m.LanguageModel.start([m.END, b"a", b"bb"], [7, 3, 2], [0, 0, 0], np.zeros((8, 2), np.int64), 3)
+    units = list(m._unit_stream(model, iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"])])))
+    assert [len(x) for some in units for x in some] == [len(x) + 1 for x in want]
+    assert len(asked) == len(set(asked))
