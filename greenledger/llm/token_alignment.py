@@ -82,7 +82,7 @@ class Aligner:
 
     def tokens(self, units: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per side: the ids of all units and the number of each."""
-        a = self.a.encode([" " + x for x in units])
+        a = self.a.encode_words(units)
         b = self.b.encode(units, num_threads=1)
         for k, x in enumerate(units):
             if not x:  # nothing but the space that the tokenizer adds to what is not empty

@@ -273,12 +273,10 @@ class Encoder:
         pieces[at], pieces[at[two] + 1] = numbers[: len(two)], numbers[len(two) :]
         return found.dictionary, pieces, two
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if self.rule == "whole":
-            return self._ids(texts)
+    def _unit_ids(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different units, one after the other, and where each ends."""
         if len(self.often) > self.most_often:
             self.often.clear()
-        units, numbers, order, counts, whole = self._numbered(texts)
         names, pieces, two = self._pointed(units)
         names = names.to_numpy(zero_copy_only=False).tolist()
         found = list(map(self.often.get, names))
@@ -293,11 +291,31 @@ class Encoder:
             self.lately = new
         else:
             self.lately.update(new)
-        # ids of the different units, and of all texts
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         every, ends = _gathered(np.frombuffer(b"".join(found), "<u4"), size, pieces)
-        size = np.diff(np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(1 + two)))])
-        every, ends = _gathered(every, size, numbers)
+        return every, np.concatenate(([0], ends))[np.cumsum(1 + two)]
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of texts that are a space and one of these different words each."""
+        if self.rule != "space":
+            return self.encode([" " + x for x in words])
+        easy = [x for x in words if x and " " not in x and "\0" not in x and not x[0].isspace()]
+        every, ends = self._unit_ids(pa.array(easy, pa.large_string()))
+        raw, cuts = every.tobytes(), (4 * ends).tolist()
+        out = [raw[i:j] for i, j in zip([0, *cuts], cuts, strict=False)]
+        if len(easy) == len(words):
+            return out
+        found = dict(zip(easy, out, strict=True))
+        odd = [x for x in words if x not in found]
+        found.update(zip(odd, self.encode([" " + x for x in odd]), strict=True))
+        return [found[x] for x in words]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if self.rule == "whole":
+            return self._ids(texts)
+        units, numbers, order, counts, whole = self._numbered(texts)
+        every, ends = self._unit_ids(units)
+        every, ends = _gathered(every, np.diff(ends, prepend=0), numbers)
         raw = every.tobytes()
         cuts = 4 * np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
         out = [b""] * len(texts)

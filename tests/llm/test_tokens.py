@@ -122,3 +122,17 @@ def test_points_after_letters_that_normalize_to_marks(name):
     texts = [f"a{x}{p} {x}{p}" for x in letters for p in ",.\n'-\x1c"]
     got = [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)]
     assert got == [enc.tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_words_after_a_space():
+    """Words are encoded as they stand after a space, without texts being made of them and cut again."""
+    enc = Encoder(tokenizer_path("byte_bpe_50k.json"), plain=True)
+    words = ["one", "one,", "", "\n", "a b", "\tx", "wörd.\nTwo", "it's", "x\0y", " ", "<|endoftext|>", "5.", "two"]
+    want = [enc.tokenizer.encode(" " + x, add_special_tokens=False).ids for x in words]
+    texts = []
+    encode = enc.encode
+    enc.encode = lambda some: texts.extend(some) or encode(some)
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode_words(words)] == want
+    assert sorted(texts) == sorted([" ", " \n", " a b", " \tx", " x\0y", "  "])
+    assert enc.encode_words([]) == [] and enc.encode([]) == []
+    assert Encoder(tokenizer_path("word_bpe_49k.json")).encode_words(["one", ""])[1] == b""
