@@ -10,23 +10,27 @@ documents takes one vector operation per position. The marginals give the offend
 probability that a document holds any, calibrated on the labelled documents, is its score.
 
 The model is fitted on a bounded sample of labelled rows (``MAX_TOXIC``, ``MAX_CLEAN``) and has a
-fixed number of weights; scoring reads every whole text.
+fixed number of weights; scoring reads every whole text. The driver, which fits, keeps the sample as
+flat arrays of 4 bytes a number and goes through them a block at a time.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from greenledger.llm.common import giving_back, stored
+from greenledger.llm.common import give_back, giving_back, stored
 
 #: Labelled rows that a model is fitted on at most, the lowest by a hash of their id.
 MAX_TOXIC, MAX_CLEAN = 2000, 4000
@@ -34,6 +38,8 @@ WEIGHTS = 1 << 18
 #: Tokens on either side of a labelled token that training sees, and windows per clean document.
 AROUND, CLEAN_WINDOWS = 8, 2
 ROUNDS = 50
+#: Tokens that fitting looks at together, about.
+BLOCK = 1 << 18
 #: Tokens whose scores a worker remembers.
 REMEMBERED = 300_000
 #: Characters of text that are scored at a time, about.
@@ -48,12 +54,6 @@ def features(token: str) -> list[int]:
     return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % (WEIGHTS - 1) + 1 for x in names]
 
 
-def _stems(token: str) -> list[str]:
-    """What a derived label may rest on: the whole form or 4 to 7 first letters."""
-    w = token.lower()
-    return [f" {w}", *(w[:n] for n in range(4, 8) if len(w) > n)]
-
-
 @dataclass
 class Model:
     """``weights``: toxic against clean, number 0 for every token. ``moves``: odds factors of tag pairs."""
@@ -110,36 +110,100 @@ def _evidence(prob: np.ndarray) -> np.ndarray:
     return np.array([max(-15.0, math.log(top / (1 - top))), min(15.0, max(-15.0, some))])
 
 
+#: Lengths of the first letters that a derived label may rest on, beside the whole form.
+STEMS = range(4, 8)
+
+
 class _Corpus:
-    """The fitting sample as numbers: distinct lower-cased tokens, their features, documents of token numbers."""
-
-    def __init__(self, texts: list[str], toxic: list[int]):
-        seen = dict(zip(texts, toxic, strict=True))  # equal texts count once
-        self.y = np.array(list(seen.values()), dtype=bool)
-        self.ids: dict[str, int] = {}
-        number = self.ids.setdefault
-        self.docs = [
-            np.array([number(w, len(self.ids)) for w in _WORD.findall(t.lower())], dtype=np.int64) for t in seen
-        ]
-        lists = [[0, *features(w)] for w in self.ids]
-        self.owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-        self.number = np.array([f for x in lists for f in x], dtype=np.int64)
+    """The fitting sample as numbers: distinct lower-cased tokens, their features, documents of token numbers.
+
+    Texts are read one by one and not kept; of the tokens, only what is looked up later stays.
+    """
+
+    def __init__(self, texts: Iterable[str], toxic: Iterable[int]):
+        seen: dict[bytes, int] = {}  # equal texts count once
+        y, ids, flat, sizes = [], {}, array("i"), []
+        for text, mark in zip(texts, toxic, strict=True):
+            key = hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
+            if key in seen:
+                y[seen[key]] = mark
+                continue
+            seen[key] = len(y)
+            y.append(mark)
+            before = len(flat)
+            flat.extend(ids.setdefault(m.group(), len(ids)) for m in _WORD.finditer(text.lower()))
+            sizes.append(len(flat) - before)
+        self.y = np.array(y, dtype=bool)
+        self.words = len(ids)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        flat = np.frombuffer(flat, np.int32)
+        self.docs = [flat[e - n : e] for e, n in zip(ends, sizes, strict=True)]
+        number, sizes = array("i"), array("b")
+        for w in ids:
+            found = features(w)
+            number.append(0)
+            number.extend(found)
+            sizes.append(1 + len(found))
+        self.sizes = np.frombuffer(sizes, np.int8)
+        self.number = np.frombuffer(number, np.int32)
+        self.stems = [self._stems(ids, n) for n in STEMS]
+
+    @staticmethod
+    def _stems(words: Iterable[str], n: int) -> np.ndarray:
+        """Per word a number of its ``n`` first letters, -1 where it has no more than those."""
+        seen: dict[str, int] = {}
+        found = (seen.setdefault(w[:n], len(seen)) if len(w) > n else -1 for w in map(str.lower, words))
+        return np.fromiter(found, np.int32)
+
+    def _blocks(self) -> Iterator[tuple[int, int, int, int]]:
+        """Words in blocks, and where their features stand: ``(from, to, from, to)``."""
+        at = 0
+        for low in range(0, self.words, BLOCK // 8):
+            high = min(self.words, low + BLOCK // 8)
+            end = at + int(self.sizes[low:high].sum(dtype=np.int64))
+            yield low, high, at, end
+            at = end
+
+    def owners(self, low: int, high: int) -> np.ndarray:
+        return np.repeat(np.arange(high - low), self.sizes[low:high])
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.owner, weights[self.number], len(self.ids))
+        out = np.empty(self.words)
+        for low, high, at, end in self._blocks():
+            out[low:high] = np.bincount(self.owners(low, high), weights[self.number[at:end]], high - low)
+        return out
+
+    def features_of(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Features of the ``wanted`` words, ascending: which of these has them, and their numbers."""
+        owner, number = [], []
+        for low, high, at, end in self._blocks():
+            first, last = np.searchsorted(wanted, [low, high])
+            place = np.full(high - low, -1, np.int32)
+            place[wanted[first:last] - low] = np.arange(first, last)
+            of = place[self.owners(low, high)]
+            owner.append(of[of >= 0])
+            number.append(self.number[at:end][of >= 0])
+        return np.concatenate(owner), np.concatenate(number)
 
     def contexts(self, docs: list[np.ndarray]) -> np.ndarray:
         """Per token, in how many different pairs of neighbours it stands; copies of a passage count once."""
-        keys, words = [], []
+        total, at = sum(map(len, docs)), 0
+        keys, words = np.empty(total, np.uint64), np.empty(total, np.int32)
         for d in docs:
             wide = np.concatenate([[-1], d, [-1]]).astype(np.uint64)
             mixed = (wide[:-2] * np.uint64(0x9E3779B97F4A7C15)) ^ (wide[2:] * np.uint64(0xC2B2AE3D27D4EB4F))
-            keys.append((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xFF51AFD7ED558CCD) + wide[1:-1])
-            words.append(d)
-        if not docs:
-            return np.zeros(len(self.ids))
-        _, first = np.unique(np.concatenate(keys), return_index=True)
-        return np.bincount(np.concatenate(words)[first], minlength=len(self.ids))
+            keys[at : at + len(d)] = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xFF51AFD7ED558CCD) + wide[1:-1]
+            words[at : at + len(d)] = d
+            at += len(d)
+        out = np.zeros(self.words, np.int64)
+        parts = np.uint64(total // BLOCK + 1)  # equal keys are in one part
+        for part in range(int(parts)):
+            here = np.concatenate(
+                [np.flatnonzero(keys[i : i + BLOCK] % parts == part) + i for i in range(0, total, BLOCK)] or [[]]
+            ).astype(np.int64)
+            _, first = np.unique(keys[here], return_index=True)
+            out += np.bincount(words[here[first]], minlength=self.words)
+        return out
 
 
 def derive_labels(corpus: _Corpus, rows: np.ndarray) -> np.ndarray:
@@ -150,20 +214,18 @@ def derive_labels(corpus: _Corpus, rows: np.ndarray) -> np.ndarray:
     """
     yes = corpus.contexts([corpus.docs[i] for i in rows if corpus.y[i]])
     no = corpus.contexts([corpus.docs[i] for i in rows if not corpus.y[i]])
-    counts: dict[str, list[int]] = {}
-    for w, i in corpus.ids.items():
-        if yes[i] or no[i]:
-            for s in _stems(w):
-                n = counts.setdefault(s, [0, 0])
-                n[0] += yes[i]
-                n[1] += no[i]
     least = max(4, 0.01 * corpus.y[rows].sum())
     rate = (yes.sum() + 1) / (no.sum() + 1)
-    marks = {s for s, (n, m) in counts.items() if n >= least and n > 10 * rate * (m + 0.5)}
-    return np.array([any(s in marks for s in _stems(w)) for w in corpus.ids], dtype=bool)
+    marks = lambda n, m: (n >= least) & (n > 10 * rate * (m + 0.5))
+    out = marks(yes, no)
+    for stem in corpus.stems:
+        of = np.flatnonzero(stem >= 0)
+        sums = [np.bincount(stem[of], x[of]).astype(np.int64) for x in (yes, no)]
+        out[of] |= marks(*sums)[stem[of]]
+    return out
 
 
-def fit(texts: list[str], toxic: list[int]) -> Model:
+def fit(texts: Iterable[str], toxic: Iterable[int]) -> Model:
     """Fit the field and the calibration; deterministic. Without both kinds of labels scores are constant.
 
     The calibration uses documents that the field was not fitted on: two fields on alternate halves
@@ -181,12 +243,21 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     for side in (half, ~half):
         weights, moves = _train(c, every[~side])
         score = c.scores(weights)
-        found = marginals([score[c.docs[i]] for i in every[side]], moves)
-        seen[side] = [_evidence(p) for p in found]
+        for some in _alike(c, every[side]):
+            found = marginals([score[c.docs[i]] for i in some], moves)
+            seen[some] = [_evidence(p) for p in found]
     weights, moves = _train(c, every)
     return Model(weights.astype(np.float32), moves, _calibrate(seen, c.y))
 
 
+def _alike(c: _Corpus, rows: np.ndarray) -> Iterator[np.ndarray]:
+    """``rows`` in blocks of about BLOCK tokens, documents of like length together."""
+    sizes = np.array([len(c.docs[i]) for i in rows], dtype=np.int64)
+    order = np.argsort(-sizes, kind="stable")
+    block = np.cumsum(sizes[order]) // BLOCK
+    yield from np.split(rows[order], np.flatnonzero(np.diff(block)) + 1)
+
+
 def _windows(c: _Corpus, rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Tokens and tags around each labelled token, and of fixed pseudo-random places of clean documents."""
     marked, out = derive_labels(c, rows), []
@@ -218,8 +289,7 @@ def _train(c: _Corpus, rows: np.ndarray) -> tuple[np.ndarray, tuple[float, float
         token[: len(words), i], gold[: len(words), i], mask[: len(words), i] = words, tags, True
     used, flat = np.unique(token, return_inverse=True)
     token = flat.reshape(length, n)
-    mine = np.isin(c.owner, used)
-    owner, number = np.searchsorted(used, c.owner[mine]), c.number[mine]
+    owner, number = c.features_of(used)
     weights, moves = np.zeros(WEIGHTS), np.zeros((2, 2))  # moves[from, to], 1 is toxic
     squares, move_squares = np.full(WEIGHTS, 1e-6), np.full((2, 2), 1e-6)
     pair = mask[1:]
@@ -241,7 +311,8 @@ def _train(c: _Corpus, rows: np.ndarray) -> tuple[np.ndarray, tuple[float, float
         grad -= 1e-4 * weights
         # expected pairs of tags: forward odds before, backward odds after
         left, right = np.clip(f[:-1][pair], 1e-30, 1e30), np.clip((up * b)[1:][pair], 1e-30, 1e30)
-        joint = np.array([[np.full(len(left), e[0, 0]), e[0, 1] * right], [e[1, 0] * left, e[1, 1] * left * right]])
+        joint = np.empty((2, 2, len(left)))
+        joint[0, 0], joint[0, 1], joint[1, 0], joint[1, 1] = e[0, 0], e[0, 1] * right, e[1, 0] * left, e[1, 1] * left * right
         joint /= joint.sum(axis=(0, 1))
         move_grad = (want - joint.sum(axis=2)) / n - 1e-3 * moves
         squares += grad**2
@@ -321,8 +392,18 @@ def fit_from(
     rows = stored(rows.select("_id", "_text", "_y").distinct(), "toxicity-sample")
     least = lambda y, n: rows.where(F.col("_y") == y).orderBy(F.xxhash64("_id", "_text"), "_id", "_text").limit(n)
     rows = least(1, MAX_TOXIC).unionByName(least(0, MAX_CLEAN))
-    rows = rows.toArrow().sort_by([("_id", "ascending"), ("_text", "ascending"), ("_y", "ascending")])
-    return fit(rows["_text"].to_pylist(), rows["_y"].to_pylist())
+    rows = rows.toArrow()
+    order = pc.sort_indices(rows, [("_id", "ascending"), ("_text", "ascending"), ("_y", "ascending")])
+    texts, marks = _taken(rows["_text"], order), rows["_y"].take(order).to_pylist()
+    del rows  # the texts go when the last has been read
+    model = fit(texts, marks)
+    give_back()
+    return model
+
+
+def _taken(column: pa.ChunkedArray, order: pa.Array) -> Iterator[str]:
+    for i in order:
+        yield column[i.as_py()].as_py()
 
 
 def _chunks(every: list[str | None]) -> Iterator[tuple[int, list[str]]]:
