@@ -27,6 +27,12 @@ def test_without_the_subpackage(tmp_path):
         assert int(done.stdout) >= 39
 
 
+def test_another_copy_on_the_path(tmp_path, monkeypatch):
+    monkeypatch.setenv("PYTHONPATH", ROOT)
+    done = copy_without(tmp_path, "corpus_pipeline.py")
+    assert done.returncode == 0, done.stderr
+
+
 def test_without_a_module_that_only_the_subpackage_needs(tmp_path):
     broken = copy_without(tmp_path)  # complete copy: the training-data queries are there
     assert broken.returncode != 0 and "AssertionError" in broken.stderr
