@@ -91,7 +91,7 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for at, texts in in_batches(batch.column(1).to_pylist()):
+            for at, texts in in_batches(x.as_py() for x in batch.column(1)):
                 rows = []
                 for doc_id, ids in zip(names[at:], encoder(tokenizer_path).encode(texts), strict=False):
                     ids += end
@@ -146,8 +146,11 @@ def pack_documents(
         base += bins
     runs = {x: np.array(r, dtype=np.int64) for x, r in runs.items()}
 
+    # Ids are most of a row: they meet the places in the end, and neither ranks nor workers see them.
+    through = ["_gl_row"] if keep_ids else columns
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:  # the ids pass as they are, only numbers are looked at
+        for batch in batches:
             length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank"))
             sequence, offset = np.empty(len(length), np.int64), np.empty(len(length), np.int64)
             order = np.argsort(length, kind="stable")
@@ -157,15 +160,16 @@ def pack_documents(
                 run = runs[x][np.searchsorted(runs[x][:, 0], rank[rows], side="right") - 1]
                 bin_no, slot = np.divmod(rank[rows] - run[:, 0], run[:, 2])
                 sequence[rows], offset[rows] = run[:, 1] + bin_no, run[:, 3] + slot * x
-            kept = [batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], [*columns, "sequence_id", "offset"])
+            kept = [batch.column(c) for c in through]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], [*through, "sequence_id", "offset"])
 
     subs = max(1, cut.count() // SUB_ROWS)
-    spread = cut.withColumn("sub", F.pmod(F.xxhash64("_gl_row"), F.lit(subs)))
+    spread = cut.drop("ids").withColumn("sub", F.pmod(F.xxhash64("_gl_row"), F.lit(subs)))
     order = [F.col("doc_id"), F.col("piece"), F.col("_gl_row")]
-    ranked = gapless_index(spread, "length", "sub", order, "rank").select(*columns, "rank")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.select(*columns).schema)
-    return ranked.mapInArrow(giving_back(place), f"{schema}, sequence_id long, offset long")
+    ranked = gapless_index(spread, "length", "sub", order, "rank").select(*dict.fromkeys([*through, "length"]), "rank")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.select(*through).schema)
+    placed = ranked.mapInArrow(giving_back(place), f"{schema}, sequence_id long, offset long")
+    return cut.join(placed, "_gl_row").select(*columns, "sequence_id", "offset") if keep_ids else placed
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ import json
 import os
 import re
 import unicodedata
+from collections.abc import Iterable
 from itertools import chain
 
 import numpy as np
@@ -337,7 +338,7 @@ def forget_encoders() -> None:
     encoder.cache_clear()
 
 
-def in_batches(texts: list[str | None]):
+def in_batches(texts: Iterable[str | None]):
     """Ranges of ``texts`` of about BATCH_CHARS characters (null counts as empty): ``(from, texts)``."""
     at, held, size = 0, [], 0
     for i, x in enumerate(texts):
