@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenledger.llm.common import gapless_index, giving_back, stored
-from greenledger.llm.tokens import encoder, forget_encoders, in_batches
+from greenledger.llm.tokens import BATCH_CHARS, encoder, forget_encoders, in_batches
 
 #: Pieces, about, that share one (length, sub) group when ranks are made.
 SUB_ROWS = 50_000
@@ -87,11 +87,12 @@ def pieces(
 ) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32[, ids])``: documents cut only where longer than ``capacity``."""
     end = np.array([end_id], dtype="<u4").tobytes()
+    chars = BATCH_CHARS // 2 if forget else BATCH_CHARS
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for at, texts in in_batches(x.as_py() for x in batch.column(1)):
+            for at, texts in in_batches((x.as_py() for x in batch.column(1)), chars):
                 rows = []
                 for doc_id, ids in zip(names[at:], encoder(tokenizer_path).encode(texts), strict=False):
                     ids += end
@@ -126,8 +127,8 @@ def pack_documents(
     Returns ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` and, with ``keep_ids``,
     ``ids`` (little-endian unsigned 32-bit). Null text: empty, so the end id alone. Repeated rows and
     null ids are packed like any others; an empty table gives no row. ``tokenizer_path`` must exist on
-    every executor. Other columns are ignored. ``forget`` ends a task's memory of words with the task,
-    where other work shares the session's workers.
+    every executor. Other columns are ignored. ``forget`` ends a task's memory of words with the task
+    and encodes half as much text at a time, where other work shares the session's workers.
     """
     cut = pieces(docs, tokenizer_path, end_id, capacity, id_col, text_col, keep_ids, forget)
     columns = cut.columns

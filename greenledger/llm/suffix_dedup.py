@@ -35,6 +35,8 @@ from pyspark.sql.types import StringType
 from greenledger.llm.common import giving_back, stored
 
 PASSAGE, GRAM = 50, 14
+#: Texts whose suffixes a worker holds at a time.
+SCAN_ROWS = 1000
 #: Bytes of a text that are hashed at a time, about.
 _PART = 1 << 22
 _SPACE = np.zeros(256, dtype=bool)
@@ -171,7 +173,7 @@ def repeated_passages(
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, SCAN_ROWS) for b in batches for at in range(0, b.num_rows, SCAN_ROWS)):
             found = [_suffixes(_text_bytes(x.as_py()), passage, gram) for x in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [

@@ -338,13 +338,13 @@ def forget_encoders() -> None:
     encoder.cache_clear()
 
 
-def in_batches(texts: Iterable[str | None]):
-    """Ranges of ``texts`` of about BATCH_CHARS characters (null counts as empty): ``(from, texts)``."""
+def in_batches(texts: Iterable[str | None], chars: int = BATCH_CHARS):
+    """Ranges of ``texts`` of about ``chars`` characters (null counts as empty): ``(from, texts)``."""
     at, held, size = 0, [], 0
     for i, x in enumerate(texts):
         held.append(x or "")
         size += len(held[-1])
-        if size >= BATCH_CHARS:
+        if size >= chars:
             yield at, held
             at, held, size = i + 1, [], 0
     if held:
